@@ -12,13 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from prefspark.constants import CRITERIA, RUBRIC_HEADER
+from prefspark.functions.binding import bind
 
 HEX_DIGITS = "0123456789abcdef"
 
 
-def _digit(text: Column, position: int) -> Column:
-    """The value of one hex digit of the text's digest."""
-    return F.instr(F.lit(HEX_DIGITS), F.substring(F.md5(text), position, 1)) - 1
+def _digit(digest: Column, position: int) -> Column:
+    """The value of one hex digit."""
+    return F.instr(F.lit(HEX_DIGITS), F.substring(digest, position, 1)) - 1
 
 
 def _reply(text: Column, error: Column | None = None) -> Column:
@@ -74,24 +75,25 @@ class StandIn:
         )
 
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
+        asked = F.when(prompt.isNotNull(), F.md5(instruction))
+        return bind(asked, lambda digest: self._critique(digest, attempt))
+
+    def _critique(self, digest: Column, attempt: int) -> Column:
         lines = [
             F.concat(
                 F.lit(f"\n* {name}: "),
-                (_digit(instruction, j) % 5 + 1).cast("string"),
+                (_digit(digest, j) % 5 + 1).cast("string"),
                 F.lit(f"/5 - note on {name}"),
             )
             for j, name in enumerate(CRITERIA, start=1)
         ]
         text = F.concat(F.lit(RUBRIC_HEADER), *lines)
         if not self.flaky:
-            return _reply(F.when(prompt.isNotNull(), text))
+            return _reply(text)
         # An early attempt loses its header, which makes it unreadable.
-        text = F.when(_digit(instruction, 9) % 4 >= attempt, F.concat(*lines)).otherwise(text)
-        failed = (_digit(instruction, 10) == 0) & F.lit(attempt == 1)
-        return _reply(
-            F.when(prompt.isNotNull() & ~failed, text),
-            F.when(prompt.isNotNull() & failed, F.lit("TimeoutError: no reply")),
-        )
+        text = F.when(_digit(digest, 9) % 4 >= attempt, F.concat(*lines)).otherwise(text)
+        failed = (_digit(digest, 10) == 0) & F.lit(attempt == 1)
+        return _reply(F.when(~failed, text), F.when(failed, F.lit("TimeoutError: no reply")))
 
     def rewrite(self, instruction: Column, prompt: Column) -> Column:
         half = F.left(instruction, F.ceil(F.length(instruction) / 2.0).cast("int"))

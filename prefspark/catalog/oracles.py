@@ -13,7 +13,6 @@ from prefspark.catalog.queries import (
 )
 from prefspark.constants import (
     CRITERIA,
-    LOOSE_LINE,
     MAX_CONTEXT,
     MAX_NEW,
     MAX_RETRIES,
@@ -23,7 +22,6 @@ from prefspark.constants import (
     SAMPLE_FRACTION,
     SEED,
     STOPS,
-    STRICT_LINE,
 )
 from prefspark.functions import prompts
 
@@ -172,6 +170,10 @@ GENERATED = f"""
 
 # Rubric
 
+# Fixed patterns: a line counts for validation under the strict one, and the loose one reads it.
+STRICT_LINE = r"^\*\s*(" + "|".join(CRITERIA) + r")\s*:\s*[1-5]/5\s*-\s*.+$"
+LOOSE_LINE = r"^\*\s*(\w+):\s*(\d)/5\s*-\s*(.+)"
+
 _BLOCK = "block"
 _VARIANTS = [
     _BLOCK,
@@ -363,7 +365,7 @@ ORACLES: dict[str, str] = {
     "jsonl_round_trip": INSTRUCTIONS,
     "jsonl_tolerant_read": f"select record_id from ({DOCUMENTS}) where source <> 'src0'",
     "truncate_responses": f"""
-        select record_id, len(responses) as n_responses, {_each()} from ({PAIRS})""",
+        select record_id, cast(len(responses) as int) as n_responses, {_each()} from ({PAIRS})""",
     "render_chat": f"""
         select record_id, 0 as place, 'system' as role, {_text(SYSTEM)} as content
         from ({INSTRUCTIONS})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prefspark.backends.standin import StandIn
+from prefspark.backends.standin import HEX_DIGITS, StandIn
 from prefspark.constants import CRITERIA, MAX_RETRIES, N_RESPONSES
 from prefspark.functions.prompts import critique_prompt
 
@@ -193,11 +193,14 @@ def rubric_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.replace(block, F.lit("\n"), F.lit("\n   ")),
         F.concat(block, F.lit("\nEvaluation:")),
     ]
-    digit = F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(text), 32, 1))
+    digit = F.substring(F.md5(text), 32, 1)
+    chosen = F.lit(None)
+    for number, variant in enumerate(variants):
+        chosen = F.when(F.col("digit") == HEX_DIGITS[number], variant).otherwise(chosen)
     return (
         instructions(spark, sf_dir)
-        .withColumn("block", StandIn().critique(text, text)["text"])
-        .select("record_id", F.element_at(F.array(*variants), digit).alias("feedback"))
+        .withColumns({"block": StandIn().critique(text, text)["text"], "digit": digit})
+        .select("record_id", chosen.alias("feedback"))
     )
 
 

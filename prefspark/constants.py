@@ -14,10 +14,6 @@ CRITERIA = (
 # Fixed value: the line that opens a rubric block.
 RUBRIC_HEADER = "Evaluation:"
 
-# Fixed patterns: a line counts for validation under the strict one and is read with the loose one.
-STRICT_LINE = r"^\*\s*(" + "|".join(CRITERIA) + r")\s*:\s*[1-5]/5\s*-\s*.+$"
-LOOSE_LINE = r"^\*\s*(\w+):\s*(\d)/5\s*-\s*(.+)"
-
 # Text that marks the start of the next user turn in generated output.
 STOPS = (
     "\n<|start_header_id|>user<|end_header_id|>",

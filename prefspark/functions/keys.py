@@ -4,9 +4,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def text_digest(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def digest_key(digest: Column) -> Column:
+    """A digest as 32 bytes, empty for a null one, so that it is never null itself.
+
+    A nullable join key would get a not-null filter that hashes every text a second time. The empty
+    key equals no digest.
+    """
+    return F.coalesce(F.unhex(digest), F.lit(b""))
+
+
 def text_key(text: Column) -> Column:
-    """A 32-byte digest, so that joins shuffle and sort on it and not on the text."""
-    return F.unhex(F.sha2(text, 256))
+    """The key of a text, so that joins shuffle and sort on it and not on the text."""
+    return digest_key(text_digest(text))
 
 
 def hash_order(record_id: Column, seed: int) -> Column:

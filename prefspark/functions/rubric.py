@@ -1,58 +1,46 @@
-"""Validating and reading rubric text."""
+"""Validating and reading rubric text.
 
-from collections.abc import Callable
+A block is read by matching patterns over the whole text and not line by line, so a pattern must not
+run over a line end: its blanks are those within a line.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from prefspark.constants import CRITERIA, LOOSE_LINE, RUBRIC_HEADER, STRICT_LINE
+from prefspark.constants import CRITERIA, RUBRIC_HEADER
+from prefspark.functions.binding import bind
 from prefspark.functions.text import BLANKS
 
+_B = r"[ \t\f\x0B]*"
+_HEADER = rf"(?:\A|\n){_B}{RUBRIC_HEADER}{_B}(?:\n|\z)([\s\S]*)"
+_STRICT = rf"(?dm)^{_B}\*{_B}({'|'.join(CRITERIA)}){_B}:{_B}[1-5]/5{_B}-{_B}\S"
+_LOOSE = rf"(?dm)^{_B}\*{_B}(\w+):{_B}(\d)/5{_B}-{_B}(\S[^\n]*)"
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value computed once, however often `use` mentions it."""
-    return F.transform(F.array(value), use)[0]
 
+def rubric_body(text: Column) -> Column:
+    """Text after the first header line, with plain line ends; empty when there is no header."""
+    plain = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, r"\r\n?", "\n"))
+    return F.regexp_extract(F.coalesce(plain, text), _HEADER, 1)
 
-def body_lines(text: Column) -> Column:
-    """Trimmed lines after the first header line; empty when there is no header."""
-    lines = F.transform(
-        F.split(text, r"\r\n|\n|\r"), lambda line: F.btrim(line, F.lit(BLANKS))
-    )
 
-    def after_header(line_list: Column) -> Column:
-        header = F.array_position(line_list, F.lit(RUBRIC_HEADER))
-        body = F.slice(line_list, header.cast("int") + 1, F.size(line_list))
-        return F.when(header > 0, body).otherwise(F.array().cast("array<string>"))
+def _all(body: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract_all(body, F.lit(pattern), group)
 
-    return _bind(lines, after_header)
 
+def _names(names: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(name) for name in names])
 
-def _strict_names(body: Column) -> Column:
-    matching = F.filter(body, lambda line: line.rlike(STRICT_LINE))
-    return F.transform(matching, lambda line: F.regexp_extract(line, STRICT_LINE, 1))
 
+_SORTED = tuple(sorted(CRITERIA))
 
-def _valid_body(body: Column) -> Column:
-    expected = F.array(*[F.lit(name) for name in sorted(CRITERIA)])
-    return F.array_sort(_strict_names(body)) == expected
+
+def _valid(body: Column) -> Column:
+    return F.array_sort(_all(body, _STRICT, 1)) == _names(_SORTED)
 
 
 def is_valid_rubric(text: Column) -> Column:
     """Each criterion scored by exactly one well-formed line; other lines do not matter."""
-    return F.coalesce(_valid_body(body_lines(text)), F.lit(False))
-
-
-def _scored_lines(body: Column) -> Column:
-    matching = F.filter(body, lambda line: line.rlike(LOOSE_LINE))
-    return F.transform(
-        matching,
-        lambda line: F.struct(
-            F.regexp_extract(line, LOOSE_LINE, 1).alias("criterion"),
-            F.regexp_extract(line, LOOSE_LINE, 2).cast("int").alias("score"),
-            F.btrim(F.regexp_extract(line, LOOSE_LINE, 3), F.lit(BLANKS)).alias("note"),
-        ),
-    )
+    return F.coalesce(_valid(rubric_body(text)), F.lit(False))
 
 
 def parse_rubric(text: Column) -> Column:
@@ -61,23 +49,30 @@ def parse_rubric(text: Column) -> Column:
     Reading is looser than validation about digits and stricter about the colon, so a valid block
     may still be unreadable: its names must be the seven criteria and nothing else.
     """
-    body = body_lines(text)
-    names = F.array(*[F.lit(name) for name in CRITERIA])
 
-    def as_map(scored: Column) -> Column:
-        def last_of(name: Column) -> Column:
-            line = F.try_element_at(
-                F.filter(scored, lambda entry: entry["criterion"] == name), F.lit(-1)
+    def entries(found: Column) -> Column:
+        # Reversed lists, so that the first place of a name is its last line.
+        def entry(name: str) -> Column:
+            place = (F.array_position(found["names"], F.lit(name)) - 1).cast("int")
+            return F.struct(
+                F.get(found["scores"], place).cast("int").alias("score"),
+                F.btrim(F.get(found["notes"], place), F.lit(BLANKS)).alias("note"),
             )
-            return F.struct(line["score"].alias("score"), line["note"].alias("note"))
 
-        found = F.array_sort(F.array_distinct(scored["criterion"]))
-        return F.when(found == F.array_sort(names), F.map_from_arrays(names, F.transform(names, last_of)))
+        complete = F.array_sort(F.array_distinct(found["names"])) == _names(_SORTED)
+        as_map = F.map_from_arrays(_names(CRITERIA), F.array(*[entry(n) for n in CRITERIA]))
+        return F.when(complete, as_map)
 
-    def if_valid(lines: Column) -> Column:
-        return F.when(_valid_body(lines), _bind(_scored_lines(lines), as_map))
+    def read(body: Column) -> Column:
+        found = F.struct(
+            *[
+                F.reverse(_all(body, _LOOSE, group)).alias(field)
+                for group, field in enumerate(("names", "scores", "notes"), start=1)
+            ]
+        )
+        return F.when(_valid(body), bind(found, entries))
 
-    return _bind(body, if_valid)
+    return bind(rubric_body(text), read)
 
 
 def rubric_mean(parsed: Column) -> Column:

@@ -18,8 +18,9 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df if partitions is None else df.repartition(partitions)
 
 
-def _generated(
-    instruction: Column,
+def _generate(
+    df: DataFrame,
+    instruction: str,
     backend: Backend,
     n: int,
     seed: int,
@@ -27,10 +28,16 @@ def _generated(
     stops: Sequence[str],
     max_units: int,
     previous: Column | None = None,
-) -> Column:
+) -> DataFrame:
+    """Adds `_generated`."""
     # The user text is cut before the messages are built, so they stay complete.
-    shown = keep_head(instruction, max_units)
-    return backend.generate(shown, chat(shown, system), n, seed, stops, previous)
+    shown = F.col("_shown")
+    generated = backend.generate(shown, chat(shown, system), n, seed, stops, previous)
+    return (
+        df.withColumn("_shown", keep_head(F.col(instruction), max_units))
+        .withColumn("_generated", generated)
+        .drop("_shown")
+    )
 
 
 def generate_n(
@@ -45,10 +52,9 @@ def generate_n(
     partitions: int | None = None,
 ) -> DataFrame:
     """Adds n sampled `responses` per instruction, cut at stop strings, and `error`."""
-    generated = _generated(F.col("instruction"), backend, n, seed, system, stops, max_units)
+    rows = spread(df, partitions)
     return (
-        spread(df, partitions)
-        .withColumn("_generated", generated)
+        _generate(rows, "instruction", backend, n, seed, system, stops, max_units)
         .withColumns(
             {
                 "responses": trim_all_at_stops(F.col("_generated.texts"), stops),
@@ -116,13 +122,13 @@ def refine(
 ) -> DataFrame:
     """Critique, rewrite and regenerate: adds `feedback`, `refined_instruction`,
     `refined_responses` and `error`. After an error both refined columns are null."""
-    generated = _generated(
-        F.col("refined_instruction"), backend, n, seed, system, stops, max_units, F.col("responses")
-    )
+    rows = critique_rewrite(df, backend, partitions=partitions)
+    previous = F.col("responses")
     fine = F.col("error").isNull()
     return (
-        critique_rewrite(df, backend, partitions=partitions)
-        .withColumn("_generated", generated)
+        _generate(
+            rows, "refined_instruction", backend, n, seed, system, stops, max_units, previous
+        )
         .withColumn("error", F.coalesce("error", "_generated.error"))
         .withColumns(
             {

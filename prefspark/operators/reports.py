@@ -18,14 +18,13 @@ def text_field(lines: DataFrame, field: str, column: str = "value") -> DataFrame
 
     A typed read would turn a number into a string, so the type is taken from the raw line.
     """
-    parsed = F.try_parse_json(F.col(column))
-    value = F.variant_get(F.col("_parsed"), f"$.{field}", "variant")
-    kind = F.schema_of_variant(value)
+    value = F.variant_get(F.try_parse_json(F.col(column)), f"$.{field}", "variant")
+    is_text = F.schema_of_variant(F.col("_value")) == "STRING"
+    text = F.when(is_text, F.array(F.try_variant_get("_value", "$", "string")))
+    # Exploding a null list drops the line. A filter would move below and parse every line twice.
     return (
-        lines.withColumn("_parsed", parsed)
-        .filter(kind == "STRING")
-        .withColumn(field, F.try_variant_get("_parsed", f"$.{field}", "string"))
-        .drop("_parsed")
+        lines.withColumn("_value", value)
+        .select(*lines.columns, F.explode(text).alias(field))
     )
 
 
@@ -35,13 +34,16 @@ def first_valid_attempt(attempts: DataFrame, max_retries: int = MAX_RETRIES) ->
     An attempt that raised ends its record unless a readable one came before it.
     """
     parsed = F.when(F.col("error").isNull(), parse_rubric(F.col("feedback")))
-    decisive = F.col("feedback_json").isNotNull() | F.col("error").isNotNull()
+    # An attempt that settles nothing has no place in the order. Filtering such attempts out instead
+    # would move the filter below the projection and read every rubric twice.
+    settles = F.col("feedback_json").isNotNull() | F.col("error").isNotNull()
+    place = F.when(settles, F.col("attempt"))
     return (
         attempts.filter(F.col("attempt") <= max_retries)
         .withColumn("feedback_json", parsed)
-        .filter(decisive)
         .groupBy("record_id")
-        .agg(F.min_by(F.struct("feedback", "feedback_json", "error"), "attempt").alias("outcome"))
+        .agg(F.min_by(F.struct("feedback", "feedback_json", "error"), place).alias("outcome"))
+        .filter(F.col("outcome").isNotNull())
         .select("record_id", "outcome.*")
     )
 
@@ -52,17 +54,22 @@ def _failure(parsed: Column, error: Column) -> Column:
     )
 
 
-def _judged(records: DataFrame, keep_failed: bool) -> DataFrame:
+def _judged(records: DataFrame) -> DataFrame:
     """Turns `feedback_json` and `error` into the report columns."""
-    judged = records.withColumns(
+    return records.withColumns(
         {
             "failure_reason": _failure(F.col("feedback_json"), F.col("error")),
             "feedback_avg_score": rubric_mean(F.col("feedback_json")),
         }
     ).drop("error")
-    if keep_failed:
-        return judged
-    return judged.filter(F.col("failure_reason").isNull()).drop("failure_reason")
+
+
+def _filter_here(df: DataFrame, condition: Column) -> DataFrame:
+    """`df.filter(condition)` that stays where it is.
+
+    A filter moves below the projections its columns come from, and these are then computed twice.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*df.columns)))))
 
 
 def rubric_report(
@@ -87,7 +94,10 @@ def rubric_report(
             "error": F.when(~missing, F.col("error")),
         }
     )
-    return _judged(joined, keep_failed)
+    report = _judged(joined)
+    if keep_failed:
+        return report
+    return report.filter(F.col("failure_reason").isNull()).drop("failure_reason")
 
 
 def rubric_report_live(
@@ -127,7 +137,10 @@ def rubric_report_live(
             )
             .drop("_reply", "_parsed")
         )
-    return _judged(report, keep_failed)
+    report = _judged(report)
+    if keep_failed:
+        return report
+    return _filter_here(report, F.col("failure_reason").isNull()).drop("failure_reason")
 
 
 def reward_report(records: DataFrame, backend: Backend, *, partitions: int | None = None) -> DataFrame:

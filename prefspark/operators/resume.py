@@ -1,8 +1,10 @@
 """Joins against earlier work: skipping what is done and looking up what is cached.
 
 Keys are digests of the instruction. The right side is always reduced to one row per key before it
-meets the left side, so a popular instruction is heavy on the left side only, where adaptive
-execution splits its partition; small right sides are broadcast by measured size, never by hint.
+meets the left side, so a popular instruction is heavy on the left side only. Adaptive execution
+splits such a left partition if both join inputs come straight from a shuffle. The right side is
+therefore reduced by the digest in one form and joined by it in another, which costs a shuffle of
+the reduced rows. Small right sides are broadcast by measured size, never by hint.
 """
 
 from __future__ import annotations
@@ -10,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.functions.keys import text_key
+from prefspark.functions.keys import digest_key, text_digest, text_key
 
 _KEY = "_key"
+_DIGEST = "_digest"
 HIT_FIELDS = (
     "responses",
     "feedback",
@@ -24,7 +27,11 @@ HIT_FIELDS = (
 
 
 def _keys(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNotNull()).select(text_key(F.col(column)).alias(_KEY)).distinct()
+    """The key of every distinct text."""
+    digests = df.filter(F.col(column).isNotNull()).select(
+        text_digest(F.col(column)).alias(_DIGEST)
+    )
+    return digests.distinct().select(digest_key(F.col(_DIGEST)).alias(_KEY))
 
 
 def drop_empty(df: DataFrame, column: str = "instruction") -> DataFrame:
@@ -32,7 +39,9 @@ def drop_empty(df: DataFrame, column: str = "instruction") -> DataFrame:
     return df.filter(F.col(column).isNotNull() & (F.col(column) != ""))
 
 
-def skip_done(df: DataFrame, done: DataFrame, *, column: str = "instruction", dedupe: bool = False) -> DataFrame:
+def skip_done(
+    df: DataFrame, done: DataFrame, *, column: str = "instruction", dedupe: bool = False
+) -> DataFrame:
     """Non-empty rows whose instruction is not among the done ones.
 
     Repeated instructions within `df` are all kept unless `dedupe` is set.
@@ -48,8 +57,10 @@ def first_logged(cache: DataFrame) -> DataFrame:
     order = F.struct("round", "record_id")
     return (
         cache.filter(F.col("instruction").isNotNull())
-        .groupBy(text_key(F.col("instruction")).alias(_KEY))
+        .withColumn(_DIGEST, text_digest(F.col("instruction")))
+        .groupBy(_DIGEST)
         .agg(F.min_by(F.struct(*HIT_FIELDS), order).alias("hit"))
+        .select(digest_key(F.col(_DIGEST)).alias(_KEY), "hit")
     )
 
 
