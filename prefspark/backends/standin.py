@@ -17,7 +17,7 @@ from prefspark.functions.binding import bind
 HEX_DIGITS = "0123456789abcdef"
 
 
-def _digit(digest: Column, position: int) -> Column:
+def _digit(digest: Column, position: Column | int) -> Column:
     """The value of one hex digit."""
     return F.instr(F.lit(HEX_DIGITS), F.substring(digest, position, 1)) - 1
 
@@ -79,19 +79,17 @@ class StandIn:
         return bind(asked, lambda digest: self._critique(digest, attempt))
 
     def _critique(self, digest: Column, attempt: int) -> Column:
-        lines = [
-            F.concat(
-                F.lit(f"\n* {name}: "),
-                (_digit(digest, j) % 5 + 1).cast("string"),
-                F.lit(f"/5 - note on {name}"),
-            )
-            for j, name in enumerate(CRITERIA, start=1)
-        ]
-        text = F.concat(F.lit(RUBRIC_HEADER), *lines)
+        def line(name: Column, i: Column) -> Column:
+            score = (_digit(digest, i + 1) % 5 + 1).cast("string")
+            return F.concat(F.lit("\n* "), name, F.lit(": "), score, F.lit("/5 - note on "), name)
+
+        names = F.split(F.lit(" ".join(CRITERIA)), " ")
+        lines = F.array_join(F.transform(names, line), "")
+        text = F.concat(F.lit(RUBRIC_HEADER), lines)
         if not self.flaky:
             return _reply(text)
         # An early attempt loses its header, which makes it unreadable.
-        text = F.when(_digit(digest, 9) % 4 >= attempt, F.concat(*lines)).otherwise(text)
+        text = F.when(_digit(digest, 9) % 4 >= attempt, lines).otherwise(text)
         failed = (_digit(digest, 10) == 0) & F.lit(attempt == 1)
         return _reply(F.when(~failed, text), F.when(failed, F.lit("TimeoutError: no reply")))
 

@@ -290,7 +290,10 @@ def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def route_three_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = rounds.score_and_route(
-        _generated(spark, sf_dir), StandIn(), gamma=CACHED_GAMMA, cache=views.cache(spark, sf_dir)
+        _generated(spark, sf_dir),
+        StandIn(),
+        gamma=CACHED_GAMMA,
+        first_logged=resume.first_logged(views.cache(spark, sf_dir)),
     )
     return routed.select("record_id", *_each("scores", "score"), "route")
 
@@ -320,11 +323,12 @@ def rubric_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rubric_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = views.rubric_texts(spark, sf_dir).select(
-        "record_id", rubric.parse_rubric(F.col("feedback")).alias("parsed")
-    )
-    return parsed.select("record_id", F.explode("parsed").alias("criterion", "entry")).select(
-        "record_id", "criterion", "entry.score", "entry.note"
+    # Exploding the expression itself: a named column would get a filter that reads it twice.
+    parsed = rubric.parse_rubric(F.col("feedback"))
+    return (
+        views.rubric_texts(spark, sf_dir)
+        .select("record_id", F.explode(parsed).alias("criterion", "entry"))
+        .select("record_id", "criterion", "entry.score", "entry.note")
     )
 
 

@@ -4,6 +4,8 @@ A block is read by matching patterns over the whole text and not line by line, s
 run over a line end: its blanks are those within a line.
 """
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,15 +29,16 @@ def _all(body: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(body, F.lit(pattern), group)
 
 
-def _names(names: tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(name) for name in names])
+def _names(names: Iterable[str]) -> Column:
+    return F.split(F.lit(" ".join(names)), " ")
 
 
-_SORTED = tuple(sorted(CRITERIA))
+def _are_the_criteria(names: Column) -> Column:
+    return F.array_sort(names) == _names(sorted(CRITERIA))
 
 
 def _valid(body: Column) -> Column:
-    return F.array_sort(_all(body, _STRICT, 1)) == _names(_SORTED)
+    return _are_the_criteria(_all(body, _STRICT, 1))
 
 
 def is_valid_rubric(text: Column) -> Column:
@@ -51,17 +54,19 @@ def parse_rubric(text: Column) -> Column:
     """
 
     def entries(found: Column) -> Column:
-        # Reversed lists, so that the first place of a name is its last line.
-        def entry(name: str) -> Column:
-            place = (F.array_position(found["names"], F.lit(name)) - 1).cast("int")
+        def entry(name: Column) -> Column:
+            # The lists are reversed, so the first place of a name is its last line.
+            place = (F.array_position(found["names"], name) - 1).cast("int")
             return F.struct(
                 F.get(found["scores"], place).cast("int").alias("score"),
                 F.btrim(F.get(found["notes"], place), F.lit(BLANKS)).alias("note"),
             )
 
-        complete = F.array_sort(F.array_distinct(found["names"])) == _names(_SORTED)
-        as_map = F.map_from_arrays(_names(CRITERIA), F.array(*[entry(n) for n in CRITERIA]))
-        return F.when(complete, as_map)
+        names = _names(CRITERIA)
+        return F.when(
+            _are_the_criteria(F.array_distinct(found["names"])),
+            F.map_from_arrays(names, F.transform(names, entry)),
+        )
 
     def read(body: Column) -> Column:
         found = F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -43,9 +44,8 @@ def trim_at_stops(text: Column, stops: Sequence[str] = STOPS) -> Column:
     """Text before the earliest stop string; the whole text when none occurs."""
     if not stops:
         return text
-    found = F.array(*[F.nullif(F.instr(text, F.lit(stop)), F.lit(0)) for stop in stops])
-    first = F.array_min(found)
-    return F.when(first.isNull(), text).otherwise(F.left(text, first - 1))
+    any_stop = "|".join(re.escape(stop) for stop in stops)
+    return F.split(text, any_stop, 2)[0]
 
 
 def trim_all_at_stops(texts: Column, stops: Sequence[str] = STOPS) -> Column:

@@ -64,10 +64,15 @@ def first_logged(cache: DataFrame) -> DataFrame:
     )
 
 
+def lookup(df: DataFrame, first: DataFrame) -> DataFrame:
+    """Adds `hit` from a cache that `first_logged` has reduced, null where it holds nothing."""
+    keyed = df.withColumn(_KEY, text_key(F.col("instruction")))
+    return keyed.join(first, _KEY, "left").drop(_KEY)
+
+
 def cache_lookup(df: DataFrame, cache: DataFrame) -> DataFrame:
     """Adds `hit`, what the cache holds for the instruction, null when it holds nothing."""
-    keyed = df.withColumn(_KEY, text_key(F.col("instruction")))
-    return keyed.join(first_logged(cache), _KEY, "left").drop(_KEY)
+    return lookup(df, first_logged(cache))
 
 
 def cache_hits(df: DataFrame, cache: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ happen once: routes are read back and not computed again for each branch.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -30,11 +31,18 @@ from prefspark.functions.scores import AGGREGATES
 from prefspark.functions.text import truncate_responses
 from prefspark.operators.inference import refine, spread
 from prefspark.operators.lineage import both_sides, with_lineage
-from prefspark.operators.resume import cache_lookup
+from prefspark.operators.resume import first_logged, lookup
 from prefspark.operators.routing import route, route_counts
-from prefspark.schemas import CACHE_HIT, NEXT_ROUND, REFINE_LOG, ROUTED, TEXTS
+from prefspark.schemas import CACHE_HIT, FIRST_LOGGED, REFINE_LOG, ROUTED, TEXTS
 from prefspark.session import new_workdir
-from prefspark.sources.tables import read_round, read_rounds, round_is_complete, write_round
+from prefspark.sources.tables import (
+    drop_table,
+    is_complete,
+    read_round,
+    read_rounds,
+    round_is_complete,
+    write_round,
+)
 
 
 @dataclass(frozen=True)
@@ -114,16 +122,16 @@ def score_and_route(
     *,
     gamma: float,
     agg: str = "min",
-    cache: DataFrame | None = None,
+    first_logged: DataFrame | None = None,
     n_responses: int = N_RESPONSES,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Adds `scores`, `hit` and `route`. Rows found in the cache are not scored."""
+    """Adds `scores`, `hit` and `route`. Rows found in the reduced cache are not scored."""
     rows = rows.withColumn("responses", truncate_responses(F.col("responses"), n_responses))
-    if cache is None:
+    if first_logged is None:
         rows = rows.withColumn("hit", F.lit(None).cast(CACHE_HIT))
     else:
-        rows = cache_lookup(rows, cache)
+        rows = lookup(rows, first_logged)
     missed = F.col("hit").isNull()
     scores = backend.score(
         F.when(missed, F.col("instruction")), F.when(missed, F.col("responses"))
@@ -151,6 +159,28 @@ def _log_rows(routed: DataFrame, backend: Backend, **options) -> DataFrame:
     return refined.select(*carried).unionByName(cached.select(*carried))
 
 
+def _stored_cache(spark: SparkSession, cache: DataFrame | None, path: str) -> DataFrame | None:
+    """The cache reduced to its first rows, once for all rounds."""
+    if cache is None:
+        return None
+    if not is_complete(spark, path):
+        first_logged(cache).write.mode("overwrite").parquet(path)
+    return spark.read.schema(FIRST_LOGGED).parquet(path)
+
+
+def _settle(spark: SparkSession, path: str, settings: dict) -> None:
+    """Records the settings of a run, or checks that it is resumed with the same ones."""
+    recorded = json.dumps(settings, sort_keys=True)
+    if is_complete(spark, path):
+        earlier = spark.read.text(path).first().value
+        if earlier != recorded:
+            raise ValueError(f"the run to resume has other settings: {earlier} against {recorded}")
+        return
+    spark.range(1).select(F.lit(recorded).alias("value")).coalesce(1).write.mode(
+        "overwrite"
+    ).text(path)
+
+
 def refine_rounds(
     spark: SparkSession,
     pairs: DataFrame,
@@ -171,14 +201,26 @@ def refine_rounds(
 ) -> Run:
     """Carries out up to `max_rounds` rounds, fewer once no row goes on.
 
-    With `resume`, rounds that an interrupted run with the same arguments completed are kept.
+    Without `resume`, tables of an earlier run in `workdir` are replaced. With it, the rounds that
+    run completed are kept, and only the rest is carried out, on the same inputs.
     """
     if agg not in AGGREGATES:
         raise ValueError(f"unknown aggregate {agg!r}, expected one of {AGGREGATES}")
     if max_rounds < 1:
         raise ValueError("max_rounds must be at least 1")
+    generation = dict(n=n_responses, seed=seed, system=system, stops=stops, max_units=max_units)
+    settings = {**generation, "stops": list(stops), "gamma": float(gamma), "agg": agg}
+    settings |= {"backend": backend.name, "cached": cache is not None}
+
     workdir = workdir or new_workdir(spark, "rounds")
     routed_root, log_root = f"{workdir}/routed", f"{workdir}/refine_log"
+    cache_root, settings_root = f"{workdir}/cache", f"{workdir}/settings"
+    if not resume:
+        for root in (settings_root, cache_root, routed_root, log_root):
+            drop_table(spark, root)
+    _settle(spark, settings_root, settings)
+    hits = _stored_cache(spark, cache, cache_root)
+
     rows = _first_rows(pairs)
     kept = resume
     for number in range(max_rounds):
@@ -191,23 +233,14 @@ def refine_rounds(
                 backend,
                 gamma=gamma,
                 agg=agg,
-                cache=cache,
+                first_logged=hits,
                 n_responses=n_responses,
                 partitions=partitions,
             )
             write_round(routed, routed_root, number, partition_by="route")
-        routed = read_round(spark, routed_root, ROUTED, number)
         if not kept:
-            log = _log_rows(
-                routed,
-                backend,
-                n=n_responses,
-                seed=seed,
-                system=system,
-                stops=stops,
-                max_units=max_units,
-                partitions=partitions,
-            )
+            routed = read_round(spark, routed_root, ROUTED, number)
+            log = _log_rows(routed, backend, partitions=partitions, **generation)
             write_round(log, log_root, number)
         log = read_round(spark, log_root, REFINE_LOG, number)
         if log.isEmpty():

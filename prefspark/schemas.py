@@ -34,6 +34,9 @@ CACHE_HIT = _struct(
     refined_responses=TEXTS,
 )
 
+# A cache reduced to one row per instruction.
+FIRST_LOGGED = _struct(_key=T.BinaryType(), hit=CACHE_HIT)
+
 # One row per record and round; `round` and `route` are partition columns.
 ROUTED = T.StructType(
     NEXT_ROUND.fields

@@ -15,14 +15,25 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Removes a table that is about to be written anew, its completion mark included."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 def read_done(spark: SparkSession, path: str, schema: T.StructType = INSTRUCTION) -> DataFrame:
     """What an earlier run left: malformed lines are skipped, no file means no rows."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
@@ -35,7 +46,7 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 def read_cache(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """A refinement log of an earlier run; an absent or unreadable one counts as empty."""
     empty = spark.createDataFrame([], CACHE)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return empty
     try:
         if fmt == "json":
@@ -68,6 +79,10 @@ def import_instructions(spark: SparkSession, lines: DataFrame, path: str) -> Dat
     return spark.read.parquet(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def write_round(df: DataFrame, root: str, number: int, partition_by: str | None = None) -> None:
     """Replaces one round of a round-partitioned table, so that writing it again changes nothing."""
     writer = df.write.mode("overwrite")
@@ -80,17 +95,15 @@ def read_rounds(
     spark: SparkSession, root: str, schema: T.StructType, rounds: int | None = None
 ) -> DataFrame:
     """All rounds of such a table, or the first so many. Rounds never written are skipped."""
-    if not _exists(spark, root):
+    if not exists(spark, root):
         return spark.createDataFrame([], schema)
     table = spark.read.schema(schema).parquet(root)
     return table if rounds is None else table.filter(F.col("round") < rounds)
 
 
 def read_round(spark: SparkSession, root: str, schema: T.StructType, number: int) -> DataFrame:
-    return (
-        spark.read.schema(schema).option("basePath", root).parquet(f"{root}/round={number}")
-    )
+    return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/round={number}")
 
 
 def round_is_complete(spark: SparkSession, root: str, number: int) -> bool:
-    return _exists(spark, f"{root}/round={number}/_SUCCESS")
+    return is_complete(spark, f"{root}/round={number}")
