@@ -51,13 +51,10 @@ def read_cache(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     try:
         if fmt == "json":
             # A log is read whole or not at all, so a bad line anywhere voids it.
-            lines = spark.read.schema(
-                T.StructType(CACHE.fields + [T.StructField("_bad", T.StringType())])
-            )
-            cache = lines.option("columnNameOfCorruptRecord", "_bad").json(path)
-            if not cache.filter(F.col("_bad").isNotNull()).limit(1).isEmpty():
+            line = F.trim("value")
+            bad = spark.read.text(path).filter((line != "") & F.try_parse_json(line).isNull())
+            if not bad.isEmpty():
                 return empty
-            return cache.drop("_bad")
         return spark.read.schema(CACHE).format(fmt).load(path)
     except AnalysisException:
         return empty

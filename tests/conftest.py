@@ -1,0 +1,49 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
+
+from prefspark.session import CHECKPOINT_DIR, local_session  # noqa: E402
+
+TESTDATA = "/root/testdata"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, app="tests", **{CHECKPOINT_DIR: shared})
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Sets session options and restores them afterwards."""
+    before = {}
+
+    def put(**options):
+        for key, value in options.items():
+            name = key.replace("__", ".")
+            before.setdefault(name, spark.conf.get(name, None))
+            spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def run_plan_of(df) -> str:
+    """The plan after execution, with the changes adaptive execution made."""
+    df.collect()
+    return plan_of(df)
