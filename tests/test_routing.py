@@ -1,0 +1,61 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from prefspark.functions.scores import collapse, mean_or_zero
+from prefspark.operators.routing import route, route_counts
+
+NAN = float("nan")
+
+
+def routes(spark, lists, gamma=0.5, agg="min"):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lists)], "i int, s array<double>")
+    return [r[1] for r in sorted(df.select("i", route(F.col("s"), gamma, agg)).collect())]
+
+
+LISTS = [[0.4, 0.8], [0.5, 0.5], [0.1, 0.2], [], [0.9, NAN], [NAN, 0.9], [0.9, None], None]
+
+
+@pytest.mark.parametrize(
+    "agg, first",
+    [("min", "refine"), ("mean", "accepted"), ("max", "accepted")],
+)
+def test_routes(spark, agg, first):
+    assert routes(spark, LISTS, agg=agg) == [first, "accepted", "refine"] + ["invalid"] * 5
+
+
+def test_the_threshold_is_binary(spark):
+    value = 0.1 + 0.2
+    assert routes(spark, [[value]], gamma=value) == ["accepted"]
+    assert routes(spark, [[0.3]], gamma=value) == ["refine"]
+
+
+def test_unknown_aggregate():
+    with pytest.raises(ValueError, match="median"):
+        collapse(F.lit(None), "median")
+
+
+def test_cached_comes_first(spark):
+    df = spark.createDataFrame([([], True), ([0.9], True), ([0.9], False)], "s array<double>, c boolean")
+    got = df.select(route(F.col("s"), 0.5, cached=F.col("c")).alias("route"))
+    assert [r.route for r in got.collect()] == ["cached", "cached", "accepted"]
+    counts = {r.route: r.n for r in route_counts(got).collect()}
+    assert counts == {"cached": 2, "accepted": 1}
+
+
+def test_report_mean(spark):
+    df = spark.createDataFrame([(s,) for s in LISTS[:4]], "s array<double>")
+    means = [r[0] for r in df.select(mean_or_zero(F.col("s"))).collect()]
+    assert means[0] == pytest.approx(0.6) and means[1:] == [0.5, pytest.approx(0.15), 0.0]
+
+
+def test_raising_gamma_never_accepts_more(spark):
+    lists = [[i / 20, j / 20] for i in range(21) for j in range(21)]
+    accepted = [
+        routes(spark, lists, gamma=gamma, agg="mean").count("accepted")
+        for gamma in (0.0, 0.3, 0.5, 0.8, 1.01)
+    ]
+    assert accepted == sorted(accepted, reverse=True)
+    assert accepted[0] == len(lists) and accepted[-1] == 0
+    assert not math.isnan(sum(accepted))
