@@ -20,8 +20,8 @@ def units(text: Column) -> Column:
 
 
 def _within(text: Column, budget: int) -> Column:
-    # n units need at least 2n - 1 characters, so short texts skip the split.
-    return (F.length(text) <= 2 * budget) | (F.regexp_count(text, F.lit(_UNIT)) <= budget)
+    # n units need at least 2n - 1 bytes, so most texts are settled by their stored size.
+    return (F.octet_length(text) <= 2 * budget) | (F.regexp_count(text, F.lit(_UNIT)) <= budget)
 
 
 def over_budget(text: Column, budget: int) -> Column:

@@ -42,6 +42,7 @@ from prefspark.sources.tables import (
     read_rounds,
     round_is_complete,
     write_round,
+    write_table,
 )
 
 
@@ -164,7 +165,7 @@ def _stored_cache(spark: SparkSession, cache: DataFrame | None, path: str) -> Da
     if cache is None:
         return None
     if not is_complete(spark, path):
-        first_logged(cache).write.mode("overwrite").parquet(path)
+        write_table(first_logged(cache), path)
     return spark.read.schema(FIRST_LOGGED).parquet(path)
 
 

@@ -70,9 +70,9 @@ def write_jsonl(df: DataFrame, path: str, *, order_by: str | None = None) -> Non
 
 def import_instructions(spark: SparkSession, lines: DataFrame, path: str) -> DataFrame:
     """Gives rows without an id a `record_id` and stores them, so that the ids never change."""
-    lines.withColumn("record_id", F.monotonically_increasing_id().cast("string")).write.mode(
-        "overwrite"
-    ).parquet(path)
+    write_table(
+        lines.withColumn("record_id", F.monotonically_increasing_id().cast("string")), path
+    )
     return spark.read.parquet(path)
 
 
@@ -80,12 +80,17 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
-def write_round(df: DataFrame, root: str, number: int, partition_by: str | None = None) -> None:
-    """Replaces one round of a round-partitioned table, so that writing it again changes nothing."""
-    writer = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Replaces a table that a later stage reads. Texts compress well, and every one is read again."""
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{root}/round={number}")
+    writer.parquet(path)
+
+
+def write_round(df: DataFrame, root: str, number: int, partition_by: str | None = None) -> None:
+    """Replaces one round of a round-partitioned table, so that writing it again changes nothing."""
+    write_table(df, f"{root}/round={number}", partition_by)
 
 
 def read_rounds(
