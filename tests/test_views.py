@@ -1,0 +1,74 @@
+"""Derived inputs on conversations of very different length."""
+
+import pytest
+
+from prefspark.backends.standin import StandIn
+from prefspark.catalog import views
+from prefspark.operators.inference import score_single
+from prefspark.operators.reports import reward_per_record
+
+
+def conversations():
+    """One conversation holds a third of all turns; some lack a role."""
+    lengths = {1: 60, 2: 1, 3: 5, 4: 30, 5: 30, 6: 54}
+    rows = []
+    for conv_id, n in lengths.items():
+        for turn in range(n):
+            role = "system" if turn == 0 and conv_id % 2 else ("user", "assistant")[turn % 2]
+            rows.append((conv_id, turn, role, f"{role} {conv_id}.{turn}" + "x" * turn))
+    rows += [(7, turn, "assistant", f"only {turn}") for turn in range(3)]
+    return rows
+
+
+@pytest.fixture
+def sf_dir(spark, tmp_path):
+    rows = spark.createDataFrame(conversations(), "conv_id long, turn long, role string, text string")
+    rows.repartition(5).write.parquet(str(tmp_path / "conversations.parquet"))
+    return str(tmp_path)
+
+
+def by_conversation():
+    found = {}
+    for conv_id, turn, role, text in sorted(conversations()):
+        asked, answers = found.setdefault(str(conv_id), ([], []))
+        (asked if role == "user" else answers if role == "assistant" else []).append((turn, text))
+    return found
+
+
+@pytest.mark.parametrize("keep", [1, 2, 3])
+def test_pairs(spark, sf_dir, keep):
+    got = {r.record_id: (r.instruction, r.responses) for r in views.pairs(spark, sf_dir, keep).collect()}
+    assert got == {
+        key: (asked[0][1] if asked else None, [text for _, text in answers[:keep]])
+        for key, (asked, answers) in by_conversation().items()
+    }
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 4096])
+def test_response_turns(spark, sf_dir, monkeypatch, chunk):
+    monkeypatch.setattr(views, "TURNS_PER_CHUNK", chunk)
+    rows = views.response_turns(spark, sf_dir)
+    got = sorted(tuple(r) for r in rows.filter("response is not null").collect())
+    assert got == sorted(
+        (key, turn, asked[0][1], text)
+        for key, (asked, answers) in by_conversation().items()
+        if asked
+        for turn, text in answers
+    ) + [("7", turn, None, f"only {turn}") for turn in range(3)]
+    scored = reward_per_record(score_single(rows, StandIn()))
+    per_record = {r.record_id: r for r in scored.collect()}
+    assert set(per_record) == set(by_conversation())
+    assert per_record["2"].n_responses == 0 and per_record["2"].avg_score == 0
+    expected = [
+        len(text) / (len(text) + len(asked[0][1]))
+        for asked, answers in [by_conversation()["1"]]
+        for _, text in answers
+    ]
+    assert per_record["1"].avg_score == pytest.approx(sum(expected) / len(expected))
+
+
+def test_every_rubric_variant_occurs(spark):
+    texts = views.rubric_texts(spark, "/root/testdata/sf0.01")
+    assert texts.filter("feedback is null").isEmpty()
+    assert texts.filter("feedback = ''").count() > 0
+    assert texts.filter(r"feedback like '%\r\n%'").count() > 0
