@@ -82,7 +82,7 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jsonl_tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines, some of them cut short, read as the leavings of an earlier run."""
     path = new_workdir(spark, "jsonl")
-    views.json_lines(spark, sf_dir).select("value").write.text(path)
+    views.json_lines(spark, sf_dir).select("value").write.mode("overwrite").text(path)
     return tables.read_done(spark, path).select("record_id")
 
 

@@ -4,7 +4,7 @@ Records are ordered by a seeded hash of their id, and a sample of size k is the
 order, so it depends on ids and seed only and not on partitioning. The k-th record is found from the
 ids alone: histograms over ever longer hash prefixes narrow the search until few records share one.
 The rows are then filtered by comparing with that record, which takes no shuffle. The driver sees
-one row per pass.
+one row per pass. Record ids must be unique.
 """
 
 from __future__ import annotations

@@ -55,4 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_workdir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder in the shared one, removed with everything in it when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    # The file system only notes folders that exist.
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+    return path
