@@ -24,13 +24,16 @@ STOPS = (
     "<|user|>",
 )
 
-# Sampling settings of the generator.
+# Responses per instruction and their seed.
 N_RESPONSES = 2
+SEED = 42
+
+# Settings for the model object of a backend; the engine there applies them.
 TEMPERATURE = 0.9
 TOP_P = 1.0
 TOP_K = 50
 REPETITION_PENALTY = 1.05
-SEED = 42
+CONCURRENT_CALLS = 16
 
 # Context budgets in units.
 MAX_CONTEXT = 4096
@@ -40,7 +43,6 @@ MAX_NEW = 512
 SAMPLE_FRACTION = 0.5
 MAX_ROUNDS = 3
 MAX_RETRIES = 3
-CONCURRENT_CALLS = 16
 
 # Failure reasons of the rubric report.
 PARSE_FAILURE = "invalid_instruction_or_feedback_parse_failed"

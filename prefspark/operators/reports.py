@@ -11,6 +11,7 @@ from prefspark.functions.prompts import critique_prompt
 from prefspark.functions.rubric import parse_rubric, rubric_mean
 from prefspark.functions.scores import mean_or_zero, total
 from prefspark.operators.inference import score_responses, spread
+from prefspark.schemas import RUBRIC
 
 
 def text_field(lines: DataFrame, field: str, column: str = "value") -> DataFrame:
@@ -116,7 +117,7 @@ def rubric_report_live(
     report = spread(records, partitions).withColumns(
         {
             "feedback": F.lit(None).cast("string"),
-            "feedback_json": F.lit(None).cast("map<string, struct<score: int, note: string>>"),
+            "feedback_json": F.lit(None).cast(RUBRIC),
             "error": F.lit(None).cast("string"),
         }
     )

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from prefspark.plans.rounds import Run
+from prefspark.schemas import FINAL
 
 
 def finalize(
     spark: SparkSession, workdir: str, rounds_done: int, path: str, fmt: str = "parquet"
 ) -> DataFrame:
-    """Writes the four final datasets under `path`, one folder per side and status.
+    """Writes the four final datasets under `path`, one folder per side and status, and reads them.
 
     It takes the folder of a run and the number of completed rounds, so it can be a job of its own.
     """
     products = Run(spark, workdir, rounds_done).final_products
     products.write.mode("overwrite").partitionBy("side", "status").format(fmt).save(path)
-    return products
+    return spark.read.schema(FINAL).format(fmt).load(path)

@@ -80,7 +80,14 @@ class PickyModel(StandInModel):
 
 def test_a_failing_row_does_not_fail_its_batch(spark):
     df = spark.createDataFrame(
-        [("1", "good", ["x", "y"]), ("2", "bad", ["x"]), ("3", "fine", ["bad", "z"]), ("4", None, ["x"]), ("5", "ok", []), ("6", "ok", None)],
+        [
+            ("1", "good", ["x", "y"]),
+            ("2", "bad", ["x"]),
+            ("3", "fine", ["bad", "z"]),
+            ("4", None, ["x"]),
+            ("5", "ok", []),
+            ("6", "ok", None),
+        ],
         "record_id string, instruction string, responses array<string>",
     ).coalesce(1)
     backend = WorkerBackend(PickyModel, batch_size=10)
@@ -103,7 +110,9 @@ def test_a_refinement_fails_as_a_whole(spark):
         def generate(self, chats, n, seed, stops):
             raise ValueError("no")
 
-    df = spark.createDataFrame([("1", "text", ["x"])], "record_id string, instruction string, responses array<string>")
+    df = spark.createDataFrame(
+        [("1", "text", ["x"])], "record_id string, instruction string, responses array<string>"
+    )
     row = refine(df, WorkerBackend(NoAnswers)).first()
     assert row.error == "ValueError: no"
     assert row.refined_instruction is row.refined_responses is None

@@ -121,7 +121,12 @@ def cache_of(spark, *entries):
 def test_cache_goes_first(spark):
     cache = cache_of(spark, ("8", "hit", "late", 1), ("9", "hit", "early", 0), ("7", "early", "deep", 0))
     df = spark.createDataFrame(
-        [pair("1", "hit", "x" * 99), pair("2", "hit"), pair("3", "miss", "x" * 99), pair("4", "miss " * 99, "x")],
+        [
+            pair("1", "hit", "x" * 99),
+            pair("2", "hit"),
+            pair("3", "miss", "x" * 99),
+            pair("4", "miss " * 99, "x"),
+        ],
         PAIRS,
     )
     run = refine_rounds(spark, df, StandIn(), gamma=0.5, cache=cache, max_rounds=2)
@@ -237,7 +242,8 @@ def test_finalize_writes_four_datasets(spark, pairs, tmp_path, fmt):
     run = refine_rounds(spark, pairs, StandIn(), gamma=0.9)
     path = str(tmp_path / "final")
     for _ in range(2):
-        finalize(spark, run.workdir, run.rounds_done, path, fmt)
+        products = finalize(spark, run.workdir, run.rounds_done, path, fmt)
+    assert rows(products.select(*run.final_products.columns)) == rows(run.final_products)
     for side in ("original", "refined"):
         for status, n in (("accepted", 70), ("left", 28)):
             folder = f"{path}/side={side}/status={status}"

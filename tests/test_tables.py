@@ -122,7 +122,7 @@ def test_shared_dir_follows_the_session(spark, monkeypatch):
 
 
 class _Cluster:
-    """A session of a cluster that names no shared folder."""
+    """A session that names no shared folder."""
 
     class conf:
         @staticmethod
@@ -140,3 +140,18 @@ class _Cluster:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match=CHECKPOINT_DIR):
         shared_dir(_Cluster)
+
+
+def test_a_single_machine_gets_a_scratch_folder():
+    class Local(_Cluster):
+        class sparkContext(_Cluster.sparkContext):
+            master = "local[2]"
+
+    assert os.path.isdir(shared_dir(Local)) and shared_dir(Local) == shared_dir(Local)
+
+
+def test_folders_nobody_named_go_with_the_session(spark):
+    path = new_workdir(spark, "a")
+    assert tables.exists(spark, path) and path.startswith(shared_dir(spark))
+    tables.drop_table(spark, path)
+    assert not tables.exists(spark, path)
