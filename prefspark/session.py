@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 # Adaptive execution splits hot partitions, and hashes a join input whose partitions are all small
@@ -35,23 +34,12 @@ def local_session(cores: int | str = "*", app: str = "prefspark", **conf: str) -
     return builder.getOrCreate()
 
 
-@functools.cache
-def _scratch() -> str:
-    return tempfile.mkdtemp(prefix="prefspark-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
-
-    A single-machine session that names none gets a scratch folder. On a cluster such a folder
-    would be lost with its machine, so a missing setting is an error there.
-    """
+    """The folder all executors share: the configured one, else a folder in the warehouse."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _scratch()
-    raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    return spark.conf.get(WAREHOUSE_DIR).rstrip("/") + "/prefspark-runs"
 
 
 def new_workdir(spark: SparkSession, label: str) -> str:
