@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import mixing, rules, sharding, token_files, warc
-from prefspark.llm.common import table
+from prefspark.llm import katz, mixing, rules, sharding, substrings, token_files, warc
+from prefspark.llm.common import fold, table
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = substrings.dedup_substrings(docs)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +21,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.MEASURES, "base_failed", "kept")
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.train(docs, held_out=fold(F.col("doc_id"), 7) == 2).score()
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = mixing.with_copies(docs)
@@ -45,7 +56,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op4_quality_rules, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
+        op1_substring_dedup, op4_quality_rules, op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
     )
 }
 
