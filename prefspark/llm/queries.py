@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import katz, mixing, rules, sharding, substrings, token_files, warc
+from prefspark.llm import katz, mixing, rules, sharding, simhash, substrings, token_files, warc
 from prefspark.llm.common import fold, table
 
 
@@ -15,6 +15,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = rules.cascade(docs, measures=True)
@@ -56,7 +62,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op1_substring_dedup, op4_quality_rules, op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
+        op1_substring_dedup, op2_simhash_neardup, op4_quality_rules, op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
     )
 }
 
