@@ -42,7 +42,9 @@ from prefspark.session import new_workdir
 MAGIC, INDEX_MAGIC = b"TOKREC01", b"TOKIDX01"
 END_ID = 2
 #: Entries a worker process remembers before it starts anew.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 400_000
+#: Characters of text in pieces at a time.
+ENCODE_CHARS = 1 << 20
 PARTITION_BYTES = 16 << 20
 
 # Within these, no blank follows a blank, and no blank is anything but a space or a line feed, so that
@@ -95,6 +97,18 @@ class Encoder:
         return out
 
 
+def _portions(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts of about ENCODE_CHARS characters, or one longer text."""
+    begin = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > ENCODE_CHARS:
+            yield slice(begin, k)
+            begin, size = k, 0
+        size += len(text) + 1
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def _write_file(folder: str, records: Iterator[tuple[int | None, bytes, int]]) -> list[tuple]:
     """Writes one token file and its index; a row (file, records, tokens, first id), or none."""
     first = next(records, None)
@@ -147,9 +161,10 @@ def write_token_files(
 
         def records():
             for batch in batches:
-                ids = [None if i is None else int(i) for i in batch["id"]]
-                for record_id, data in zip(ids, encoder.encode(list(batch["text"])), strict=True):
-                    yield record_id, data + end, encoder.width
+                ids, texts = list(batch["id"]), list(batch["text"])
+                for part in _portions(texts):
+                    for record_id, data in zip(ids[part], encoder.encode(texts[part]), strict=True):
+                        yield None if record_id is None else int(record_id), data + end, encoder.width
 
         made = _write_file(folder, records())
         place = TaskContext.get().partitionId()
