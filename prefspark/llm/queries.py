@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import katz, mixing, rules, sharding, simhash, substrings, token_files, warc
+from prefspark.llm import decontamination, katz, mixing, quality, rules, sharding, simhash, substrings, token_files, warc
 from prefspark.llm.common import fold, table
 
 
@@ -21,12 +21,24 @@ def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"), held_out=held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = rules.cascade(docs, measures=True)
     return judged.select("doc_id", *rules.MEASURES, "base_failed", "kept")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return katz.train(docs, held_out=fold(F.col("doc_id"), 7) == 2).score()
@@ -62,7 +74,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        op1_substring_dedup, op2_simhash_neardup, op4_quality_rules, op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
+        op1_substring_dedup, op2_simhash_neardup, op3_quality_classifier, op4_quality_rules, op5_decontamination,
+        op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
     )
 }
 
