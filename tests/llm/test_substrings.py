@@ -1,0 +1,70 @@
+import random
+
+import numpy as np
+import pytest
+from conftest_llm import words
+
+from prefspark.llm import blocks, substrings
+
+
+def brute(rows, window):
+    """(words, removed spans as a list of flags) of each row, rows in the order that counts."""
+    seen, out = set(), []
+    for _, text in rows:
+        w = words(text)
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k : k + window])
+            if key in seen:
+                gone[k : k + window] = [True] * window
+            seen.add(key)
+        out.append((w, gone))
+    return out
+
+
+def check(df, rows, window):
+    got = {r.doc_id: r for r in df.collect()}
+    for (doc_id, _), (w, gone) in zip(rows, brute(rows, window), strict=True):
+        r = got[doc_id]
+        assert (r.n_words, r.n_removed) == (len(w), sum(gone))
+        assert r.kept_text == " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        spans = [False] * len(w)
+        for s in r.removed:
+            spans[s.start : s.end] = [True] * (s.end - s.start)
+        assert spans == gone
+
+
+def test_documents(spark, documents, texts):
+    check(substrings.dedup_substrings(documents), sorted(texts.items()), 20)
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 20])
+def test_random_texts_of_few_words(spark, monkeypatch, window):
+    monkeypatch.setattr(blocks, "PARTITION_KEYS", 300)
+    rng = random.Random(window)
+    rows = [(k, " ".join(rng.choice("ab" if k % 3 else "abcdefgh") for _ in range(rng.randrange(0, 90)))) for k in range(60)]
+    rows += [(60, "a " * 200), (61, "a " * 70), (62, "a b " * 60), (63, "b a " * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    # The blocks are small enough that copies meet across blocks and partitions.
+    monkeypatch.setattr(substrings, "make_blocks", lambda docs, **o: blocks.make_blocks(docs, block_words=100, **o))
+    check(substrings.dedup_substrings(df, window=window), rows, window)
+
+
+def test_edge_cases(spark, edge_docs):
+    rows = substrings.dedup_substrings(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    copies = [r for r in rows if r.n_words == 60 and r.doc_id in (None, 5, 6)]
+    # The row without an id comes first and keeps its words; its copies lose all of theirs.
+    assert sorted((r.doc_id or 0, r.n_removed) for r in copies) == [(0, 0), (5, 60), (6, 60), (6, 60)]
+    assert all(r.kept_text == "" for r in rows if r.doc_id in (1, 2, 3))
+    assert next(r.n_removed for r in rows if r.doc_id == 8) == 299
+
+
+def test_empty(spark, no_docs):
+    assert substrings.dedup_substrings(no_docs).collect() == []
+
+
+def test_sorted_keys_round_trip():
+    keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
+    assert np.array_equal(blocks.unpack_sorted(blocks.pack_sorted(keys)), keys)
+    assert len(blocks.unpack_sorted(blocks.pack_sorted(keys[:0]))) == 0
