@@ -33,6 +33,7 @@ QUESTION = "part int, block long, payload binary"
 ANSWER = "block long, step int, part int, payload binary, stats array<double>"
 #: Stands for a null id, and comes first.
 NO_ID = -(2**63)
+NOTE = -1
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -78,8 +79,8 @@ class Block:
 
     @functools.cached_property
     def vocabulary_names(self) -> np.ndarray:
-        digest = xxhash.xxh3_64_intdigest
-        return np.fromiter((digest(w) for w in self.vocabulary), dtype=np.uint64, count=len(self.vocabulary))
+        digests = map(xxhash.xxh3_64_intdigest, self.vocabulary)
+        return np.fromiter(digests, dtype=np.uint64, count=len(self.vocabulary))
 
     @functools.cached_property
     def names(self) -> np.ndarray:
@@ -161,13 +162,22 @@ def attach(blocks: DataFrame, answers: DataFrame | None) -> DataFrame:
 
 
 def answers_by_step(row) -> dict[int, list[bytes]]:
-    """Of one row: for each step the payloads in the order of the partitions."""
+    """Of one row: for each step the payloads in the order of the partitions; under NOTE the last note."""
     found: dict[int, list[tuple[int, bytes]]] = {}
+    last = -1
     for answer in [] if row.answers is None else row.answers:
-        found.setdefault(answer["step"], []).append((answer["part"], answer["payload"]))
+        if answer["part"] >= 0:
+            found.setdefault(answer["step"], []).append((answer["part"], answer["payload"]))
+        elif answer["step"] > last:
+            last, found[NOTE] = answer["step"], [(0, answer["payload"])]
     return {step: [payload for _, payload in sorted(parts)] for step, parts in found.items()}
 
 
+def note(number: int, payload: bytes) -> tuple:
+    """A row that a block sends to itself, so that its next question need not start from the beginning."""
+    return -1 - number % 1_000_003, number, payload
+
+
 def ask(blocks: DataFrame, answers: DataFrame | None, step: int, parts: int, question, reply, label: str) -> DataFrame:
     """One exchange: the answers of this step as a written table.
 
@@ -183,8 +193,10 @@ def ask(blocks: DataFrame, answers: DataFrame | None, step: int, parts: int, que
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
-        rows = reply(group["block"].to_numpy(), list(group["payload"]))
         part = int(group["part"].iloc[0])
+        if part < 0:
+            return group.assign(step=step, stats=None)[["block", "step", "part", "payload", "stats"]]
+        rows = reply(group["block"].to_numpy(), list(group["payload"]))
         told = [(b, step, part, payload, numbers) for b, payload, numbers in rows]
         return pd.DataFrame(told, columns=["block", "step", "part", "payload", "stats"])
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from prefspark.llm.blocks import (
-    NO_ID, Block, answers_by_step, ask, attach, joined_names, make_blocks, mixed, pack_sorted, part_bounds,
+    NO_ID, NOTE, Block, answers_by_step, ask, attach, joined_names, make_blocks, mixed, note, pack_sorted, part_bounds,
     partitions_for, questions, unpack_sorted,
 )
 
@@ -98,16 +98,26 @@ class Windows:
         """`done`: the rounds that are over; a round in which the block asked nothing has no replies."""
         self.block, self.window, self.parts = block, window, parts
         n = len(block.tokens)
-        self.alive = np.zeros(n, dtype=bool)
-        if n >= window:
+        begun, self.alive = 0, np.zeros(n, dtype=bool)
+        if NOTE in replies:
+            note_of = replies[NOTE][0]
+            begun, self.alive = note_of[0], np.unpackbits(np.frombuffer(note_of, dtype=np.uint8, offset=1), count=n).astype(bool)
+        elif n >= window:
             starts = np.arange(n - window + 1)
             self.alive[: n - window + 1] = block.document[starts] == block.document[starts + window - 1]
         self.symbols = Symbols.words(block)
+        if begun == done > levels:
+            return
         for step in range(done):
-            self.cull(replies.get(step, []))
+            if step >= begun:
+                self.cull(replies.get(step, []))
             if step < levels:
                 self.symbols = self.symbols.next_level(step + 1)
 
+    def note(self, done: int) -> tuple:
+        """The living windows after `done` rounds, for the next question."""
+        return note(self.block.number, bytes([done]) + np.packbits(self.alive).tobytes())
+
     def asked(self) -> tuple[np.ndarray, np.ndarray]:
         """The symbols that lie within a living window: their places, and the range of its starts."""
         s, n = self.symbols, len(self.alive)
@@ -124,9 +134,9 @@ class Windows:
     def cull(self, bits: list[bytes]) -> None:
         """Ends the windows around symbols that occur once."""
         at, _ = self.asked()
-        names = np.unique(self.symbols.name[at])
+        names, place = np.unique(self.symbols.name[at], return_inverse=True)
         shared = joined_bits(bits, part_bounds(names, self.parts))
-        single = at[~shared[np.searchsorted(names, self.symbols.name[at])]]
+        single = at[~shared[place]]
         n = len(self.alive)
         low = np.maximum(self.symbols.high[single] - self.window, 0)
         high = np.minimum(self.symbols.low[single] + 1, n)
@@ -142,11 +152,16 @@ class Windows:
         one = window_names(self.block.names, starts, self.window, 0x9E6C63D0676A9A99)
         two = window_names(self.block.names, starts, self.window, 0xB5026F5AA96619E9)
         owner = self.block.ids[self.block.document[starts]]
-        order = np.lexsort((starts, owner, two, one))
-        starts, one, two = starts[order], one[order], two[order]
+        order = np.argsort(one, kind="stable")
+        same = one[order][1:] == one[order][:-1]
+        apart = two[order][1:] != two[order][:-1]
+        if (same & (apart | (owner[order][1:] < owner[order][:-1]))).any():
+            # Texts out of the order of their ids, or two names of which only the first is equal.
+            order = np.lexsort((starts, owner, two, one))
+            same, apart = one[order][1:] == one[order][:-1], two[order][1:] != two[order][:-1]
         first = np.ones(len(starts), dtype=bool)
-        first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        return starts, one, two, first
+        first[1:] = ~same | apart
+        return starts[order], one[order], two[order], first
 
 
 def window_names(names: np.ndarray, starts: np.ndarray, window: int, base: int) -> np.ndarray:
@@ -214,20 +229,23 @@ def dedup_substrings(docs: DataFrame, *, window=WINDOW, levels=LEVELS, id_col="d
 
     def names_of(step: int):
         def question(block: Block, replies, parts: int) -> list[tuple]:
-            names, twice = Windows(block, replies, step, parts, window, levels).keys()
-            return questions(block.number, names, parts, lambda s: pack_sorted(names[s]) + np.packbits(twice[s]).tobytes())
+            windows = Windows(block, replies, step, parts, window, levels)
+            names, twice = windows.keys()
+            pack = lambda s: pack_sorted(names[s]) + np.packbits(twice[s]).tobytes()
+            return [*questions(block.number, names, parts, pack), windows.note(step)]
 
         return question
 
     def windows_of(block: Block, replies, parts: int) -> list[tuple]:
-        starts, one, two, first = Windows(block, replies, levels + 1, parts, window, levels).candidates()
+        windows = Windows(block, replies, levels + 1, parts, window, levels)
+        starts, one, two, first = windows.candidates()
         starts, one, two = starts[first].astype(np.uint32), one[first], two[first]
         owner = block.ids[block.document[starts]]
 
         def pack(s: slice) -> bytes:
             return pack_sorted(one[s]) + two[s].tobytes() + owner[s].tobytes() + starts[s].tobytes()
 
-        return questions(block.number, one, parts, pack)
+        return [*questions(block.number, one, parts, pack), windows.note(levels + 1)]
 
     answers = None
     for step in range(levels + 2):
