@@ -48,6 +48,16 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def pack_small(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, most of them small, byte plane by byte plane for the same reason."""
+    return numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_small(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
+
+
 def mixed(keys: np.ndarray, salt: int) -> np.ndarray:
     """A 64-bit finalizer over unsigned numbers."""
     x = keys + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -69,7 +79,7 @@ class Block:
         self.ids = np.frombuffer(row.ids, dtype=np.int64)
         self.flags = np.frombuffer(row.flags, dtype=np.uint8).astype(bool)
         self.lengths = np.frombuffer(row.lengths, dtype=np.uint32).astype(np.int64)
-        self.tokens = np.frombuffer(row.tokens, dtype=np.uint32)
+        self.tokens = unpack_small(row.tokens)
         self.raw_vocabulary = row.vocabulary
         self.ends = np.cumsum(self.lengths)
 
@@ -107,7 +117,8 @@ def make_blocks(
         def row() -> pd.DataFrame:
             packed = (
                 base + done, np.array(ids, dtype=np.int64).tobytes(), np.array(flags, dtype=np.uint8).tobytes(),
-                np.array(lengths, dtype=np.uint32).tobytes(), tokens.tobytes(), b" ".join(number), len(tokens),
+                np.array(lengths, dtype=np.uint32).tobytes(), pack_small(np.frombuffer(tokens, dtype=np.uint32)),
+                b" ".join(number), len(tokens),
             )
             return pd.DataFrame([packed], columns=[c.split()[0] for c in BLOCK.split(", ")])
 

@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.llm.blocks import (
-    NO_ID, Block, answers_by_step, ask, attach, joined_names, make_blocks, pack_sorted, part_bounds, partitions_for,
-    questions, summed, unpack_sorted,
+    NO_ID, Block, answers_by_step, ask, attach, joined_names, make_blocks, pack_small, pack_sorted, part_bounds,
+    partitions_for, questions, summed, unpack_small, unpack_sorted,
 )
 
 ORDER = 2
@@ -114,7 +114,7 @@ class Scorer:
         """The training count of each token."""
         order = np.argsort(self.block.vocabulary_names)
         of_name = np.zeros(len(order), dtype=np.int64)
-        of_name[order] = _numbers(self.replies.get(0, []), np.uint32)
+        of_name[order] = _numbers(self.replies.get(0, []))
         counts = np.full(len(self.current), self.texts, dtype=np.int64)
         counts[self.is_word] = of_name[self.block.tokens]
         return counts
@@ -155,8 +155,8 @@ class Scorer:
         return p
 
 
-def _numbers(payloads: list[bytes], kind) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, dtype=kind) for p in payloads]) if payloads else np.zeros(0, dtype=kind)
+def _numbers(payloads: list[bytes]) -> np.ndarray:
+    return np.concatenate([unpack_small(p) for p in payloads]) if payloads else np.zeros(0, dtype=np.uint32)
 
 
 def _count_words(blocks: np.ndarray, payloads: list[bytes]) -> Iterator[tuple]:
@@ -171,25 +171,25 @@ def _counted(blocks: np.ndarray, payloads: list[bytes], owners: bool) -> Iterato
     """Adds up the counts of each key; tells every block its keys' counts, and which of them it owns."""
     sizes = [len(p) // 12 for p in payloads]
     keys = np.concatenate([unpack_sorted(p[: 8 * n]) for p, n in zip(payloads, sizes, strict=True)])
-    counts = np.concatenate([np.frombuffer(p[8 * n :], dtype=np.uint32) for p, n in zip(payloads, sizes, strict=True)])
+    counts = np.concatenate([unpack_small(p[8 * n :]) for p, n in zip(payloads, sizes, strict=True)])
     distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
     owned = np.zeros(len(keys), dtype=bool)
     owned[first] = total > 0
-    told, at = total[place].astype(np.uint32), 0
+    told, at = total[place], 0
     for block, n in zip(blocks, sizes, strict=True):
         here = slice(at, at + n)
-        yield block, told[here].tobytes() + (np.packbits(owned[here]).tobytes() if owners else b""), None
+        yield block, pack_small(told[here]) + (np.packbits(owned[here]).tobytes() if owners else b""), None
         at += n
     seen = total > 0
     by_count = np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]
     stats = [*by_count.astype(float).tolist(), float(seen.sum()), float(total.sum())]
-    yield MODEL, pack_sorted(distinct[seen]) + total[seen].astype(np.uint32).tobytes(), stats
+    yield MODEL, pack_sorted(distinct[seen]) + pack_small(total[seen]), stats
 
 
 def _gram_reply(payloads: list[bytes], bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sizes = [n for n in np.diff(bounds).tolist() if n]
-    counts = [np.frombuffer(p[: 4 * n], dtype=np.uint32) for p, n in zip(payloads, sizes, strict=True)]
+    counts = [unpack_small(p[: 4 * n]) for p, n in zip(payloads, sizes, strict=True)]
     owned = [np.unpackbits(np.frombuffer(p[4 * n :], dtype=np.uint8), count=n) for p, n in zip(payloads, sizes, strict=True)]
     if not payloads:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
@@ -267,7 +267,7 @@ def train(docs: DataFrame, *, held_out: Column, order=ORDER, id_col="doc_id", te
 
     def ask_words(block: Block, replies, parts: int) -> list[tuple]:
         names, counts = Scorer(block, replies, parts, texts).words()
-        return questions(block.number, names, parts, lambda s: pack_sorted(names[s]) + counts[s].astype(np.uint32).tobytes())
+        return questions(block.number, names, parts, lambda s: pack_sorted(names[s]) + pack_small(counts[s]))
 
     tables = ask(blocks, None, 0, parts, ask_words, _count_words, "katz-words")
     *counts, distinct, total = summed(tables) or [0.0] * (K + 3)
@@ -278,8 +278,8 @@ def train(docs: DataFrame, *, held_out: Column, order=ORDER, id_col="doc_id", te
         def ask_grams(block: Block, replies, parts: int, n=n) -> list[tuple]:
             scorer = Scorer(block, replies, parts, texts)
             _, at, names, _, place = scorer.grams(n)
-            counts = np.bincount(place, weights=scorer.training[at], minlength=len(names)).astype(np.uint32)
-            return questions(block.number, names, parts, lambda s: pack_sorted(names[s]) + counts[s].tobytes())
+            counts = np.bincount(place, weights=scorer.training[at], minlength=len(names))
+            return questions(block.number, names, parts, lambda s: pack_sorted(names[s]) + pack_small(counts[s]))
 
         told = ask(blocks, tables, 2 * n - 3, parts, ask_grams, _count_grams, f"katz-{n}-grams")
         *counts, distinct, total = summed(told) or [0.0] * (K + 3)
