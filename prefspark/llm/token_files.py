@@ -24,7 +24,6 @@ Defined results
 from __future__ import annotations
 
 import array
-import re
 import struct
 import uuid
 import zlib
@@ -41,20 +40,12 @@ from prefspark.session import new_workdir
 
 MAGIC, INDEX_MAGIC = b"TOKREC01", b"TOKIDX01"
 END_ID = 2
-#: Entries a worker process remembers before it starts anew.
-MEMO_ENTRIES = 400_000
+#: Pieces in each of the two generations that a worker process remembers.
+MEMO_ENTRIES = 350_000
 #: Characters of text in pieces at a time.
 ENCODE_CHARS = 1 << 20
 PARTITION_BYTES = 16 << 20
 
-# Within these, no blank follows a blank, and no blank is anything but a space or a line feed, so that
-# a token starts at every one of them, whatever surrounds it.
-_UNUSUAL = re.compile(
-    "[ \\n][ \\n]|^[ \\n]|[ \\n]$"
-    "|[\\t\\x0b-\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u2060\\u3000\\ufeff]"
-)
-
-
 def masked(checksum: int) -> int:
     return (((checksum >> 15) | (checksum << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
@@ -64,34 +55,64 @@ class Encoder:
 
     A byte-level tokenizer cuts texts before it merges, and never across the place where a blank
     follows another character. So the ids of a text are those of its pieces between such places, and
-    pieces that come again need not be encoded again. Texts with unusual blanks are encoded whole.
+    pieces that come again need not be encoded again. New pieces are encoded many at a time, as one text;
+    as every id stands for known bytes, their ids are told apart by length. Texts with unusual blanks are
+    encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
+        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        # The vocabulary writes each byte as one character.
+        self.lengths = np.zeros(size, dtype=np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.lengths[number] = added.get(number, len(token))
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array.array(self.code, e.ids).tobytes() for e in done]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Adds the ids of pieces to the memo. A piece is without the space before it; a first piece of a
+        text, which has none, has a zero there. In front of that one a line feed is encoded and left out."""
+        for k in range(0, len(pieces), 20_000):
+            part = pieces[k : k + 20_000]
+            shown = ["\n" + p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in part]
+            ids = np.frombuffer(self._encode(["".join(shown)])[0], dtype=f"<u{self.width}")
+            ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in shown])
+            reached = np.cumsum(self.lengths[ids])
+            last = np.searchsorted(reached, ends)
+            if len(ids) and not np.array_equal(reached[np.minimum(last, len(ids) - 1)], ends):
+                self.memo.update(zip(part, self._encode(["" + (p[1:] if p[0] == "\0" else s) for p, s in zip(part, shown, strict=True)]), strict=True))
+                continue
+            raw, begin = ids.tobytes(), 0
+            for piece, end in zip(part, ((last + 1) * self.width).tolist(), strict=True):
+                self.memo[piece] = raw[begin + self.width if piece[0] == "\0" else begin : end]
+                begin = end
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_ENTRIES:
-            self.memo = {}
-        memo = self.memo
+            self.memo, self.older = {}, self.memo
         out: list[bytes | None] = [None] * len(texts)
-        whole = [k for k, t in enumerate(texts) if _UNUSUAL.search(t) or "\0" in t]
+        pieces = {k: ("\0" + t).replace("\n", " \n").split(" ") for k, t in enumerate(texts)}
+        # No blank follows another, and none is but a space or a line feed: only then does a token start at
+        # every one of them, whatever surrounds it.
+        whole = [k for k, t in enumerate(texts) if " ".join(t.split()) != t.replace("\n", " ") or "\0" in t or not t]
         for k, ids in zip(whole, self._encode([texts[k] for k in whole]), strict=True):
             out[k] = ids
-        # A piece is kept without the space before it; a first piece, which has none, with a zero.
-        pieces = {k: ("\0" + t).replace("\n", " \n").split(" ") for k, t in enumerate(texts) if out[k] is None}
-        new = list({p for parts in pieces.values() for p in parts if p not in memo})
-        as_text = [p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in new]
-        memo.update(zip(new, self._encode(as_text), strict=True))
+            del pieces[k]
+        memo, older = self.memo, self.older
+        missing = set().union(*pieces.values()).difference(memo)
+        for p in missing & older.keys():
+            memo[p] = older[p]
+        self._learn([p for p in missing if p not in memo])
         for k, parts in pieces.items():
             out[k] = b"".join(map(memo.__getitem__, parts))
         return out
