@@ -3,10 +3,13 @@
 Texts are cut into passages of two cells of CELL words, overlapping by one cell. The benchmark's
 passages, weighted by term frequency and inverse frequency over all cells of all documents, are the
 rows of a matrix whose leading right singular vectors a randomised SVD finds, in Spark jobs over the
-rows. Document passages are folded into that space; those whose cosine with a benchmark passage is
-COSINE or more are candidates. A candidate's surroundings are then compared with the item by their
-longest common subsequence of words: a share of LCS of the item's words or more is a leak, and so is a
-share of PARAPHRASE or more if the item's answer is found there as well.
+rows; there are as many of them as hold ENERGY of the rows and SHARE of each row. Document passages are
+folded into that space. One whose cosine with a benchmark passage is COSINE or more, and whose part
+along it is at least PART of its length, is a candidate (the latter as a passage of few weighted words
+points anywhere). A candidate's surroundings are then compared with the item by their longest common
+subsequence of words: a share of LCS of the item's words or more is a leak, and so is a share of
+PARAPHRASE or more if the item's answer is found there as well. Words in over STOP of all cells weigh
+nothing, but for items that have few others; they count like any in the comparison of words.
 
 Words are compared in lower case and without punctuation. Only words of the benchmark matter for all
 of this, so a document becomes the numbers of its words in the benchmark's vocabulary, once. The
@@ -33,15 +36,19 @@ from pyspark.sql import functions as F
 from prefspark.llm.common import written
 
 CELL = 16
-RANK = 128
-OVERSAMPLE = 16
+ENERGY = 0.9
+SHARE = 0.6
 COSINE = 0.4
+PART = 0.25
+STOP = 0.02
+#: A benchmark passage with fewer weighted words than this keeps the weights of all its words.
+FEW_WORDS = 5
 #: Item passages start this many words apart, so that one of them lies close to any passage of a text.
 ITEM_STRIDE = CELL // 2
 LCS = 0.7
 PARAPHRASE = 0.55
 ANSWER_WORDS = 5
-SLICE_WORDS = 200_000
+SLICE_WORDS = 10_000
 SEED = 42
 BLOCK_WORDS = 1 << 20
 LINK = "doc_id long, item_id long, lcs_share double, cosine double, first_word long"
@@ -77,25 +84,35 @@ def cell_bounds(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return starts, text, within == np.repeat(cells, cells) - 1
 
 
-def passage_sums(tokens: np.ndarray, lengths: np.ndarray, weighted: np.ndarray) -> tuple[np.ndarray, ...]:
+def passage_sums(
+    tokens: np.ndarray, lengths: np.ndarray, weighted: np.ndarray, least: float = 0.0
+) -> tuple[np.ndarray, ...]:
     """Sums of the rows of `weighted` over the words of each passage: (sums, start, end, text).
 
-    A passage is a cell and the next one of the same text; a text of one cell is one passage.
+    A passage is a cell and the next one of the same text; a text of one cell is one passage. Word 0 has
+    no row. With `least`, passages whose words' squared weights (the last column, which is then not
+    summed) add up to less are left out.
     """
     starts, text, last = cell_bounds(lengths)
+    lead = np.flatnonzero(~last | np.concatenate(([True], last[:-1])))
+    two = ~last[lead]
     known = np.flatnonzero(tokens)
     cell = np.searchsorted(starts, known, side="right") - 1
+    if least:
+        mass = np.bincount(cell, weights=weighted[tokens[known], -1], minlength=len(starts))
+        heavy = mass[lead] + np.where(two, mass[np.minimum(lead + 1, len(mass) - 1)], 0) >= least
+        lead, two, weighted = lead[heavy], two[heavy], weighted[:, :-1]
+        needed = np.zeros(len(starts), dtype=bool)
+        needed[lead] = needed[lead[two] + 1] = True
+        inside = needed[cell]
+        known, cell = known[inside], cell[inside]
     sums = np.zeros((len(starts), weighted.shape[1]), dtype=np.float32)
     filled, first = np.unique(cell, return_index=True)
-    if len(filled):
-        for k in range(0, len(filled), 4096):  # so that what is gathered at a time stays small
-            low, high = first[k], first[k + 4096] if k + 4096 < len(first) else len(known)
-            rows = weighted[tokens[known[low:high]]]
-            sums[filled[k : k + 4096]] = np.add.reduceat(rows, first[k : k + 4096] - low, axis=0)
-    only = last & np.concatenate(([True], last[:-1]))
-    lead = np.flatnonzero(~last | only)
-    passages = sums[lead].copy()
-    two = ~last[lead]
+    for k in range(0, len(filled), 4096):  # so that what is gathered at a time stays small
+        low, high = first[k], first[k + 4096] if k + 4096 < len(first) else len(known)
+        rows = weighted[tokens[known[low:high]]]
+        sums[filled[k : k + 4096]] = np.add.reduceat(rows, first[k : k + 4096] - low, axis=0)
+    passages = sums[lead]
     passages[two] += sums[lead[two] + 1]
     cell_ends = np.append(starts[1:], lengths.sum())
     return passages, starts[lead], cell_ends[lead + two], text[lead]
@@ -162,13 +179,13 @@ def encoded(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
     vocabulary = items.vocabulary
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number: dict[str, int] = {}
-
-        def learn(word: str) -> int:
-            plain = _MARKS.sub("", word.lower())
-            number[word] = n = vocabulary.get(plain, 0) if plain else -1
-            return n
+        class Numbers(dict):
+            def __missing__(self, word: str) -> int:
+                plain = _MARKS.sub("", word.lower())
+                self[word] = n = vocabulary.get(plain, 0) if plain else -1
+                return n
 
+        number = Numbers()
         ids, lengths, tokens = [], [], array.array("i")
 
         def row() -> pd.DataFrame:
@@ -177,7 +194,7 @@ def encoded(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
 
         for batch in batches:
             for doc_id, text in zip(batch["id"], batch["text"], strict=True):
-                found = [number[w] if w in number else learn(w) for w in text.split()]
+                found = list(map(number.__getitem__, text.split()))
                 if -1 in found:
                     found = [n for n in found if n >= 0]
                 if len(number) > 1 << 20:
@@ -204,8 +221,10 @@ def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
-def inverse_frequencies(blocks: DataFrame, size: int) -> np.ndarray:
-    """log(cells / cells with the word) for each word number, over all cells of all documents."""
+def inverse_frequencies(blocks: DataFrame, items: Items, stop: float = STOP) -> np.ndarray:
+    """log(cells / cells with the word) for each word number, over all cells of all documents; zero for
+    stop words."""
+    size = len(items.vocabulary)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, cells = np.zeros(size + 1, dtype=np.int64), 0
@@ -225,11 +244,14 @@ def inverse_frequencies(blocks: DataFrame, size: int) -> np.ndarray:
     n = np.zeros(size + 1)
     for word, value in counted:
         n[word] = value
-    return np.concatenate(([0.0], np.log((1 + n[0]) / (1 + n[1:])))).astype(np.float32)
-
-
-def _unit(rows: np.ndarray) -> np.ndarray:
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    idf = np.concatenate(([0.0], np.log((1 + n[0]) / (1 + n[1:]))))
+    weighs = n <= stop * n[0]
+    for _, low, high in item_passages(items.lengths):
+        words = np.unique(items.tokens[low:high])
+        if weighs[words].sum() < FEW_WORDS:
+            weighs[words] = True
+    weighs[0] = False
+    return np.where(weighs, idf, 0.0).astype(np.float32)
 
 
 def item_passages(lengths: np.ndarray) -> list[tuple[int, int, int]]:
@@ -243,13 +265,15 @@ def item_passages(lengths: np.ndarray) -> list[tuple[int, int, int]]:
     return found
 
 
-def latent_basis(spark, items: Items, idf: np.ndarray, rank: int, seed: int) -> np.ndarray:
+def latent_basis(spark, items: Items, idf: np.ndarray, energy=ENERGY, share=SHARE, seed=SEED) -> np.ndarray:
     """The leading right singular vectors of the items' passages, word by word, weighted by idf.
 
     With a random test matrix T, Spark adds up A^T A T over the rows of A, some passages a task; the
     eigenvectors of A^T A then follow from T and that product alone (Nystroem). Rows have length one.
+    A slice of the benchmark has few hundred rows, so T has a column for each and some more.
     """
-    size, width = len(idf), min(rank + OVERSAMPLE, len(idf))
+    places = item_passages(items.lengths)
+    size, width = len(idf), min(len(places) + 16, len(idf))
     test = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0]
     weights = idf.astype(float)
 
@@ -266,36 +290,53 @@ def latent_basis(spark, items: Items, idf: np.ndarray, rank: int, seed: int) ->
         parts = sum(np.frombuffer(p) for p in group["part"])
         return pd.DataFrame([(int(group["at"].iloc[0]), parts.tobytes())], columns=["at", "part"])
 
-    passages = [(items.tokens[low:high].tobytes(),) for _, low, high in item_passages(items.lengths)]
-    rows = spark.createDataFrame(passages, "words binary").repartition(min(len(passages) // 500 + 1, 200))
+    passages = [(items.tokens[low:high].tobytes(),) for _, low, high in places]
+    rows = spark.createDataFrame(passages, "words binary").repartition(min(len(passages) // 100 + 1, 200))
     parts = rows.mapInPandas(product, "at int, part binary").groupBy("at").applyInPandas(add, "at int, part binary")
     z = np.concatenate([np.frombuffer(p).reshape(-1, width) for _, p in sorted(map(tuple, parts.collect()))])
     shift = 1e-9 * max(np.linalg.norm(z), 1.0)
     core = test.T @ (z + shift * test)
     values, turns = np.linalg.eigh((core + core.T) / 2)
     scaled = (z + shift * test) @ turns / np.sqrt(np.maximum(values, shift))
-    basis = np.linalg.svd(scaled, full_matrices=False)[0][:, :rank]
-    return (basis * weights[:, None]).astype(np.float32)
+    basis, strengths, _ = np.linalg.svd(scaled, full_matrices=False)
+    held = np.zeros((len(places), width))
+    for k, (_, low, high) in enumerate(places):
+        row = np.bincount(items.tokens[low:high], minlength=size) * weights
+        held[k] = (row @ basis) ** 2 / max(row @ row, 1e-12)
+    enough = (np.cumsum(strengths**2) >= energy * (strengths**2).sum()) & (np.cumsum(held, axis=1).min(axis=0) >= min(share, held.sum(axis=1).min()))
+    rank = int(np.argmax(enough)) + 1 if enough.any() else width
+    return (basis[:, :rank] * weights[:, None]).astype(np.float32)
 
 
-def _search(blocks: DataFrame, items: Items, basis: np.ndarray, cosine: float) -> DataFrame:
+def _search(blocks: DataFrame, items: Items, basis: np.ndarray, idf: np.ndarray, cosine: float, part: float) -> DataFrame:
     """Links found in each block: candidates by cosine, then the check of words and answers."""
-    passages = item_passages(items.lengths)
-    vectors = _unit(np.stack([basis[items.tokens[low:high]].sum(axis=0) for _, low, high in passages]))
-    owner = np.array([item for item, _, _ in passages])
+    places = item_passages(items.lengths)
+    vectors = np.stack([basis[items.tokens[low:high]].sum(axis=0) for _, low, high in places])
+    lengths_of = np.linalg.norm(vectors, axis=1)
+    whole = np.array([((np.bincount(items.tokens[low:high], minlength=len(idf)) * idf) ** 2).sum() for _, low, high in places])
+    owner = np.array([item for item, _, _ in places])
+    squares = idf[:, None].astype(np.float32) ** 2
+    weighted = np.concatenate([basis, squares], axis=1)
+    # A passage that has less weight than this has too small a part along any vector.
+    least = float(part**2 * whole.min())
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 ids, lengths, tokens = _unpacked(row)
                 found: dict[tuple[int, int], tuple] = {}
-                passages, starts, _, text = passage_sums(tokens, lengths, basis)
+                weighing = np.where(squares[tokens, 0] > 0, tokens, 0)
+                passages, starts, _, text = passage_sums(weighing, lengths, weighted, least)
                 begins = np.cumsum(lengths) - lengths
                 for k in range(0, len(passages), 8192):
-                    close = _unit(passages[k : k + 8192]) @ vectors.T
-                    for p, q in np.argwhere(close >= cosine).tolist():
+                    rows = passages[k : k + 8192]
+                    along = rows @ vectors.T
+                    for p, q in np.argwhere(along >= part * whole).tolist():
+                        near = float(along[p, q] / (np.linalg.norm(rows[p]) * lengths_of[q]))
+                        if near < cosine:
+                            continue
                         doc, item = int(text[k + p]), int(owner[q])
-                        at, near = int(starts[k + p] - begins[doc]), float(close[p, q])
+                        at = int(starts[k + p] - begins[doc])
                         words = tokens[begins[doc] : begins[doc] + lengths[doc]]
                         low = max(0, at - 3 * int(items.lengths[item]))
                         high = at + 2 * CELL + 3 * int(items.lengths[item])
@@ -311,7 +352,7 @@ def _search(blocks: DataFrame, items: Items, basis: np.ndarray, cosine: float) -
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, *, rank=RANK, cosine=COSINE, seed=SEED, doc_id_col="doc_id",
+    docs: DataFrame, benchmark: DataFrame, *, cosine=COSINE, part=PART, seed=SEED, doc_id_col="doc_id",
     item_id_col="item_id", text_col="text", answer_col: str | None = None,
 ) -> DataFrame:
     """One row per document and item of which it holds most words in order, with the place of the match."""
@@ -319,8 +360,9 @@ def leaks(
     for rows in _slices(benchmark, item_id_col, text_col, answer_col):
         items = Items(rows)
         blocks = encoded(docs, items, doc_id_col, text_col)
-        idf = inverse_frequencies(blocks, len(items.vocabulary))
-        links = written(_search(blocks, items, latent_basis(spark, items, idf, rank, seed), cosine), "leaks")
+        idf = inverse_frequencies(blocks, items)
+        basis = latent_basis(spark, items, idf, seed=seed)
+        links = written(_search(blocks, items, basis, idf, cosine, part), "leaks")
         found = links if found is None else found.unionByName(links)
     if found is None:
         return spark.createDataFrame([], LINK)
