@@ -26,12 +26,8 @@ class Backend(Protocol):
         n: int,
         seed: int,
         stops: Sequence[str],
-        previous: Column | None = None,
     ) -> Column:
-        """`struct<texts: array<string>, error: string>` with n sampled responses.
-
-        `previous` holds the responses that a refined row had before.
-        """
+        """`struct<texts: array<string>, error: string>` with n sampled responses."""
 
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
         """`struct<text, error>` with the rubric text for an instruction."""

@@ -22,6 +22,11 @@ def _digit(digest: Column, position: Column | int) -> Column:
     return F.instr(F.lit(HEX_DIGITS), F.substring(digest, position, 1)) - 1
 
 
+def with_digest(text: Column, salt: str = "") -> Column:
+    """The whole text, made another one by a digest of it."""
+    return F.concat(text, F.lit(" "), F.md5(F.concat(F.lit(salt), text)))
+
+
 def _reply(text: Column, error: Column | None = None) -> Column:
     error = F.lit(None).cast("string") if error is None else error
     return F.struct(text.alias("text"), error.alias("error"))
@@ -40,10 +45,11 @@ class StandIn:
         self.flaky = flaky
 
     def score(self, instruction: Column, responses: Column) -> Column:
+        """A uniform number in [0, 1) from a digest of both texts."""
+
         def share(response: Column) -> Column:
-            return F.try_divide(
-                F.length(response).cast("double"), F.length(response) + F.length(instruction)
-            )
+            digest = F.md5(F.concat(instruction, F.lit("\n"), response))
+            return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
         return F.when(instruction.isNotNull(), F.transform(responses, share))
 
@@ -54,21 +60,9 @@ class StandIn:
         n: int,
         seed: int,
         stops: Sequence[str],
-        previous: Column | None = None,
     ) -> Column:
-        if previous is not None:
-            texts = previous
-        else:
-            texts = F.array(
-                *[
-                    F.concat(
-                        F.left(instruction, F.lit(40)),
-                        F.lit(" "),
-                        F.md5(F.concat(F.lit(f"{k}:{seed}:"), instruction)),
-                    )
-                    for k in range(1, n + 1)
-                ]
-            )
+        """The whole instruction with a digest of it, the seed and the place of the response."""
+        texts = F.array(*[with_digest(instruction, f"{k}:{seed}:") for k in range(1, n + 1)])
         return F.struct(
             F.when(instruction.isNotNull(), texts).alias("texts"),
             F.lit(None).cast("string").alias("error"),
@@ -94,5 +88,4 @@ class StandIn:
         return _reply(F.when(~failed, text), F.when(failed, F.lit("TimeoutError: no reply")))
 
     def rewrite(self, instruction: Column, prompt: Column) -> Column:
-        half = F.left(instruction, F.ceil(F.length(instruction) / 2.0).cast("int"))
-        return _reply(F.when(prompt.isNotNull(), half))
+        return _reply(F.when(prompt.isNotNull(), with_digest(instruction)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Protocol, Tuple
@@ -65,11 +68,25 @@ def _call_present(run, column: pd.Series, batch_size, threads, weight) -> list[t
     return results
 
 
+def _held_model(key: str, factory: Callable[[], WorkerModel]) -> WorkerModel:
+    """The model of this worker process.
+
+    It is kept in sys.modules: functions that travel with the job bring new module globals each time.
+    """
+    holder = sys.modules.setdefault("_prefspark_models", types.ModuleType("_prefspark_models"))
+    if not hasattr(holder, key):
+        # Another backend's model is of no more use to this process.
+        holder.__dict__.clear()
+        setattr(holder, key, factory())
+    return getattr(holder, key)
+
+
 class WorkerBackend:
     """Adapts a model object to columns by iterator Pandas UDFs.
 
-    `factory` runs once per task, in the worker. Only the model's own inputs are sent to Python; the
-    other columns of a row wait in the JVM. Calls in flight in the whole cluster are at most
+    `factory` runs once per Python worker process, which Spark keeps from task to task. Calls that follow
+    one another in a plan (a critique, then its rewrite) have processes of their own, each with its
+    model. Only the model's own inputs are sent to Python; the other columns of a row wait in the JVM. Calls in flight in the whole cluster are at most
     `partitions x threads`, so the operators' `partitions` argument caps them.
     """
 
@@ -81,12 +98,13 @@ class WorkerBackend:
         threads: int = 1,
     ):
         self.name = name
-        self._factory = factory
+        key = uuid.uuid4().hex
+        self._held = lambda: _held_model(key, factory)
         self._batch_size = batch_size
         self._threads = threads
 
     def score(self, instruction: Column, responses: Column) -> Column:
-        factory, size, threads = self._factory, self._batch_size, self._threads
+        factory, size, threads = self._held, self._batch_size, self._threads
 
         @F.pandas_udf("array<double>")
         def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -125,9 +143,8 @@ class WorkerBackend:
         n: int,
         seed: int,
         stops: Sequence[str],
-        previous: Column | None = None,
     ) -> Column:
-        factory, size, threads, stops = self._factory, self._batch_size, self._threads, tuple(stops)
+        factory, size, threads, stops = self._held, self._batch_size, self._threads, tuple(stops)
 
         @F.pandas_udf(GENERATED)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -149,7 +166,7 @@ class WorkerBackend:
         return run.asNondeterministic()(F.when(instruction.isNotNull(), messages))
 
     def _complete(self, prompt: Column) -> Column:
-        factory, size, threads = self._factory, self._batch_size, self._threads
+        factory, size, threads = self._held, self._batch_size, self._threads
 
         @F.pandas_udf(REPLY)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -9,6 +9,7 @@ from prefspark.catalog.queries import (
     GAMMA,
     QUERY_STOPS,
     SAMPLE_SIZE,
+    SCORED_UNITS,
     SYSTEM,
 )
 from prefspark.constants import (
@@ -42,8 +43,8 @@ def _digit(text: str, place: int) -> str:
     return f"(instr('0123456789abcdef', substr(md5({text}), {place}, 1)) - 1)"
 
 
-def _half(text: str) -> str:
-    return f"left({text}, cast(ceil(length({text}) / 2.0) as int))"
+def _with_digest(text: str, salt: str = "") -> str:
+    return f"({text} || ' ' || md5('{salt}' || {text}))"
 
 
 def _rubric_lines(text: str) -> str:
@@ -66,12 +67,12 @@ def _over(text: str, budget: int) -> str:
 
 
 def _head(text: str, budget: int) -> str:
-    kept = f"array_to_string({_units(text)}[1:{budget}], ' ')"
+    kept = rf"array_to_string(regexp_extract_all({text}, '\s*\S+')[1:{budget}], '')"
     return f"(case when {_over(text, budget)} then {kept} else {text} end)"
 
 
 def _tail(text: str, budget: int) -> str:
-    kept = f"array_to_string({_units(text)}[-{budget}:], ' ')"
+    kept = rf"array_to_string(regexp_extract_all({text}, '\S+\s*')[-{budget}:], '')"
     return f"(case when {_over(text, budget)} then {kept} else {text} end)"
 
 
@@ -81,18 +82,20 @@ def _trim(text: str, stops: tuple[str, ...]) -> str:
 
 
 def _generated_texts(text: str) -> str:
-    shown = _head(text, MAX_CONTEXT - MAX_NEW)
-    texts = [
-        f"left({shown}, 40) || ' ' || md5('{k}:{SEED}:' || {shown})" for k in (1, 2)
-    ]
+    """Responses to `text`, which is a column already cut to the budget."""
+    texts = [_with_digest(text, f"{k}:{SEED}:") for k in (1, 2)]
     return f"list_transform([{', '.join(texts)}], lambda r: {_trim('r', STOPS)})"
 
 
+def _score(text: str, response: str) -> str:
+    return f"(('0x' || substr(md5({text} || chr(10) || {response}), 1, 8))::bigint / 4294967296.0::double)"
+
+
 def _scores(text: str = "instruction", responses: str = "responses") -> str:
-    return (
-        f"list_transform({responses},"
-        f" lambda r: length(r)::double / nullif(length(r) + length({text}), 0))"
-    )
+    return f"list_transform({responses}, lambda r: {_score(text, 'r')})"
+
+
+_SHOWN = MAX_CONTEXT - MAX_NEW
 
 
 _COLLAPSE = {
@@ -135,14 +138,14 @@ TURNS = f"""
     join conversations c on cast(c.conv_id as varchar) = p.record_id and c.role = 'assistant'"""
 
 SCORED_TURNS = f"""
-    select record_id, turn,
-        length(response)::double / (length(response) + length(instruction)) as score
+    select record_id, turn, {_score('instruction', 'response')} as score
     from ({TURNS})"""
 
 GAPS = f"""
-    select record_id, case lang when 'fr' then null when 'es' then '' when 'de' then '  '
-        else instruction end as instruction
-    from ({DOCUMENTS})"""
+    select record_id, instruction from ({DOCUMENTS})
+    union all
+    select 'gap ' || record_id, case lang when 'fr' then null when 'es' then '' else '  ' end
+    from ({DOCUMENTS}) where lang in ('fr', 'es', 'de') or source = 'src0'"""
 
 DONE = f"""
     select instruction from ({INSTRUCTIONS})
@@ -150,12 +153,12 @@ DONE = f"""
 
 CACHE = f"""
     select record_id, instruction,
-        [left(instruction, 20), left(instruction, 30)] as responses,
+        [{_with_digest('instruction', 'a:')}, {_with_digest('instruction', 'b:')}] as responses,
         {_critique('instruction')} as feedback,
         instruction as original_instruction,
-        [left(instruction, 20), left(instruction, 30)] as original_responses,
-        '[' || record_id || '] ' || {_half('instruction')} as refined_instruction,
-        [left(instruction, 20), left(instruction, 30)] as refined_responses,
+        [{_with_digest('instruction', 'a:')}, {_with_digest('instruction', 'b:')}] as original_responses,
+        '[' || record_id || '] ' || instruction as refined_instruction,
+        [{_with_digest('instruction', 'c:')}, {_with_digest('instruction', 'd:')}] as refined_responses,
         0 as round
     from ({INSTRUCTIONS}) where record_id in (select record_id from ({LABELS}))"""
 
@@ -165,14 +168,16 @@ FIRST_LOGGED = f"""
     qualify row_number() over (partition by instruction order by round, record_id) = 1"""
 
 GENERATED = f"""
-    select record_id, instruction, {_generated_texts('instruction')} as responses
-    from ({INSTRUCTIONS})"""
+    select record_id, instruction, over_budget, {_generated_texts('shown')} as responses
+    from (select *, {_head('instruction', _SHOWN)} as shown,
+            {_over('instruction', _SHOWN)} as over_budget
+        from ({INSTRUCTIONS}))"""
 
 # Rubric
 
 # Fixed patterns: a line counts for validation under the strict one, and the loose one reads it.
 STRICT_LINE = r"^\*\s*(" + "|".join(CRITERIA) + r")\s*:\s*[1-5]/5\s*-\s*.+$"
-LOOSE_LINE = r"^\*\s*(\w+):\s*(\d)/5\s*-\s*(.+)"
+LOOSE_LINE = r"^\*\s*([\p{L}\p{N}_]+):\s*(\d)/5\s*-\s*(.+)"
 
 _BLOCK = "block"
 _VARIANTS = [
@@ -193,10 +198,12 @@ _VARIANTS = [
     "replace(block, '* ', '*  ')",
     "replace(block, chr(10), chr(10) || '   ')",
     "block || chr(10) || 'Evaluation:'",
+    "block || chr(10) || '* Qualité: 3/5 - more'",
+    "replace(block, chr(10), chr(13))",
 ]
 RUBRIC_TEXTS = f"""
     select record_id,
-        [{', '.join(_VARIANTS)}][{_digit('instruction', 32)} + 1] as feedback
+        [{', '.join(_VARIANTS)}][('0x' || substr(md5(instruction), 31, 2))::int % {len(_VARIANTS)} + 1] as feedback
     from (select record_id, instruction, {_critique('instruction')} as block
         from ({INSTRUCTIONS}))"""
 
@@ -207,7 +214,7 @@ _NAME_LIST = "[" + ", ".join(f"'{name}'" for name in CRITERIA) + "]"
 def _read_rubric(source: str) -> str:
     """Adds is_valid, readable and entries (criterion, score, note) to rows with feedback."""
     return f"""
-    select * exclude (lines, body, strict, loose),
+    select * exclude (lines, seen, body, seen_body, strict, loose),
         coalesce(list_sort(strict) = list_sort({_NAME_LIST}), false) as is_valid,
         coalesce(list_sort(strict) = list_sort({_NAME_LIST})
             and list_sort(list_distinct(list_transform(loose, lambda l: l.criterion)))
@@ -217,16 +224,19 @@ def _read_rubric(source: str) -> str:
     from (select *,
             list_transform(list_filter(body, lambda l: regexp_matches(l, {_text(STRICT_LINE)})),
                 lambda l: regexp_extract(l, {_text(STRICT_LINE)}, 1)) as strict,
-            list_transform(list_filter(body, lambda l: regexp_matches(l, {_text(LOOSE_LINE)})),
+            list_transform(list_filter(seen_body, lambda l: regexp_matches(l, {_text(LOOSE_LINE)})),
                 lambda l: {{
                     'criterion': regexp_extract(l, {_text(LOOSE_LINE)}, 1),
                     'score': cast(regexp_extract(l, {_text(LOOSE_LINE)}, 2) as int),
                     'note': trim(regexp_extract(l, {_text(LOOSE_LINE)}, 3), {_BLANKS})
                 }}) as loose
         from (select *, case when list_position(lines, '{RUBRIC_HEADER}') > 0
-                then lines[list_position(lines, '{RUBRIC_HEADER}') + 1:] else [] end as body
+                then lines[list_position(lines, '{RUBRIC_HEADER}') + 1:] else [] end as body,
+                case when list_position(seen, '{RUBRIC_HEADER}') > 0
+                then seen[list_position(seen, '{RUBRIC_HEADER}') + 1:] else [] end as seen_body
             from (select *, list_transform(string_split_regex(feedback, '\\r\\n|\\n|\\r'),
-                    lambda l: trim(l, {_BLANKS})) as lines
+                    lambda l: trim(l, {_BLANKS})) as lines,
+                    list_transform(string_split(feedback, chr(10)), lambda l: trim(l, {_BLANKS})) as seen
                 from ({source}))))"""
 
 
@@ -302,14 +312,16 @@ def _rounds(source: str, gamma: float, agg: str, cached: bool) -> dict[str, str]
                 {_critique('instruction')} as feedback,
                 coalesce(original_instruction, instruction) as original_instruction,
                 coalesce(original_responses, responses) as original_responses,
-                {_half('instruction')} as refined_instruction,
-                list_transform(responses, lambda r: {_trim('r', STOPS)}) as refined_responses,
-                cast(null as varchar) as error
-            from routed{i} where route = 'refine'
+                refined_instruction, {_generated_texts('shown')} as refined_responses,
+                over_budget, cast(null as varchar) as error
+            from (select *, {_head('refined_instruction', _SHOWN)} as shown,
+                    {_over('refined_instruction', _SHOWN)} as over_budget
+                from (select *, {_with_digest('instruction')} as refined_instruction
+                    from routed{i} where route = 'refine'))
             union all
             select r.record_id, {i}, true, r.instruction, h.responses, h.feedback,
                 h.original_instruction, h.original_responses, h.refined_instruction,
-                h.refined_responses, null
+                h.refined_responses, null, null
             from routed{i} r join hits h on h.instruction = r.instruction
             where r.route = 'cached'"""
         ctes[f"in{i + 1}"] = f"""
@@ -356,14 +368,20 @@ ORACLES: dict[str, str] = {
         select * from ({GAPS}) where instruction is not null and instruction <> ''""",
     "type_guard": f"""
         select record_id, json_extract_string(value, '$.instruction') as instruction
-        from (select record_id, case when lang = 'fr' then json_object('instruction', n_chars)
+        from (select record_id, json_object('instruction', instruction) as value from ({DOCUMENTS})
+            union all
+            select 'gap ' || record_id, case when lang = 'fr' then json_object('instruction', n_chars)
                 when lang = 'es' then json_object('record_id', record_id)
-                when lang = 'de' then json_object('instruction', [instruction])
-                else json_object('instruction', instruction) end as value
-            from ({DOCUMENTS}) where source <> 'src0')
+                else json_object('instruction', [n_chars]) end
+            from ({DOCUMENTS}) where source <> 'src0' and lang in ('fr', 'es', 'de'))
         where json_type(value, '$.instruction') = 'VARCHAR'""",
     "jsonl_round_trip": INSTRUCTIONS,
-    "jsonl_tolerant_read": f"select record_id from ({DOCUMENTS}) where source <> 'src0'",
+    "jsonl_tolerant_read": f"""
+        select record_id, instruction from ({DOCUMENTS})
+        union all
+        select 'gap ' || record_id, case lang when 'fr' then cast(n_chars as varchar)
+            when 'de' then '[' || cast(n_chars as varchar) || ']' end
+        from ({DOCUMENTS}) where source <> 'src0' and lang in ('fr', 'es', 'de')""",
     "truncate_responses": f"""
         select record_id, cast(len(responses) as int) as n_responses, {_each()} from ({PAIRS})""",
     "render_chat": f"""
@@ -395,15 +413,20 @@ ORACLES: dict[str, str] = {
         from conversations where role = 'assistant'""",
     "lineage_coalesce": f"""
         select i.record_id,
-            case when quality = 0 then {_half('instruction')} else instruction end as instruction,
+            case when quality = 0 then {_with_digest('instruction')} else instruction end as instruction,
             instruction as original_instruction,
-            case when quality = 0 then left(instruction, 30) else left(instruction, 20) end
-                as original_response
+            case when quality = 0 then {_with_digest('instruction', 'b:')}
+                else {_with_digest('instruction', 'a:')} end as original_response
         from ({INSTRUCTIONS}) i left join ({LABELS}) l on l.record_id = i.record_id""",
     "resume_anti_join": f"""
         select * from ({INSTRUCTIONS}) i
         where not exists (select 1 from ({DONE}) d where d.instruction = i.instruction)
             and instruction <> ''""",
+    "resume_retries_failed": f"""
+        select * from ({INSTRUCTIONS})
+        where instruction <> '' and instruction not in (
+            select instruction from ({INSTRUCTIONS}) i join ({LABELS}) l on l.record_id = i.record_id
+            where toxic = 0)""",
     "cache_lookup": f"""
         select i.record_id, h.record_id is not null as is_hit, h.feedback, h.original_instruction,
             h.refined_instruction, {_each('h.refined_responses')}
@@ -430,13 +453,31 @@ ORACLES: dict[str, str] = {
             (select sum(score) from ({SCORED_TURNS}))
             / nullif((select count(*) * 2 from ({ALL_PAIRS})), 0), 0), {DIGITS}) as avg_score""",
     "reward_report": f"""
-        select record_id, {_each('scores', 'score')},
-            coalesce({_collapsed('mean')}, 0) as avg_score
-        from ({SCORED_PAIRS})""",
+        select p.record_id, coalesce(s.turn, 0) // 64 as part,
+            case when s.score is not null then cast(row_number() over (
+                partition by p.record_id, s.turn // 64 order by s.turn) - 1 as int) end as place,
+            s.score, round(coalesce(avg(s.score) over (partition by p.record_id), 0), {DIGITS}) as avg_score
+        from ({ALL_PAIRS}) p left join ({SCORED_TURNS}) s on s.record_id = p.record_id""",
     "reward_report_mean": f"""
-        select round(coalesce(sum(coalesce(list_sum(scores), 0)) / nullif(count(*) * 2, 0), 0),
-            {DIGITS}) as avg_score
-        from ({SCORED_PAIRS})""",
+        select round(coalesce(
+            (select sum(score) from ({SCORED_TURNS}))
+            / nullif((select count(*) * 2 from ({ALL_PAIRS})), 0), 0), {DIGITS}) as avg_score""",
+    "reward_report_sampled": f"""
+        select round(sum(s.score) / {SAMPLE_SIZE // 2 * 2}, {DIGITS}) as avg_score
+        from ({_sample(ALL_PAIRS, str(SAMPLE_SIZE // 2))}) p
+        left join ({SCORED_TURNS}) s on s.record_id = p.record_id""",
+    "score_over_budget": f"""
+        select record_id, turn, asked_units + answer_units > {SCORED_UNITS} as over_budget,
+            {_score('asked', 'answer')} as score
+        from (select *,
+                case when answer_units + asked_units <= {SCORED_UNITS} then instruction
+                    when answer_units >= {SCORED_UNITS} then ''
+                    else array_to_string(asked_pieces[-({SCORED_UNITS} - answer_units):], '') end as asked,
+                case when answer_units <= {SCORED_UNITS} then response
+                    else array_to_string(answer_pieces[-{SCORED_UNITS}:], '') end as answer
+            from (select *, len(asked_pieces) as asked_units, len(answer_pieces) as answer_units
+                from (select *, regexp_extract_all(instruction, '\\S+\\s*') as asked_pieces,
+                        regexp_extract_all(response, '\\S+\\s*') as answer_pieces from ({TURNS}))))""",
     "threshold_split": _with("select record_id, route from routed0", **PAIR_ROUNDS),
     "route_counts": _with(
         "select route, count(*) as n from routed0 group by route", **PAIR_ROUNDS
@@ -465,22 +506,32 @@ ORACLES: dict[str, str] = {
                 when o.record_id is null then '{PARSE_FAILURE}' end as failure_reason
         from ({GAPS}) g left join ({OUTCOMES}) o on o.record_id = g.record_id""",
     "rubric_report": REPORT,
+    "rubric_report_lines": f"""
+        select i.record_id, i.instruction, case when o.error is null then {_MEAN} end as feedback_avg_score,
+            case when o.error is not null then 'exception: ' || o.error
+                when o.record_id is null then '{PARSE_FAILURE}' end as failure_reason
+        from ({INSTRUCTIONS}) i left join ({OUTCOMES}) o on o.record_id = i.record_id
+        union all
+        select 'gap ' || record_id, null, null, '{PARSE_FAILURE}'
+        from ({DOCUMENTS}) where source = 'src0' or lang in ('fr', 'es', 'de')""",
     "rubric_report_live": REPORT,
     "rubric_report_counts": f"""
         select (select count(*) from ({REPORT})) as n_written,
             (select count(*) from documents) as n_total""",
     "generate_n": f"""
-        select record_id, {_each()}, cast(null as varchar) as error from ({GENERATED})""",
+        select record_id, {_each()}, over_budget, cast(null as varchar) as error from ({GENERATED})""",
     "generate_n_worker": f"""
-        select record_id, {_each()}, cast(null as varchar) as error from ({GENERATED})""",
+        select record_id, {_each()}, over_budget, cast(null as varchar) as error from ({GENERATED})""",
     "first_responses": f"""
-        select record_id, {_each()}, cast(null as varchar) as error
-        from (select record_id, {_generated_texts('instruction')} as responses
-            from ({_fraction(GAPS, SAMPLE_FRACTION)}) s
+        select record_id, {_each()}, over_budget, cast(null as varchar) as error
+        from (select record_id, {_generated_texts('shown')} as responses, over_budget
+            from (select *, {_head('instruction', _SHOWN)} as shown,
+                    {_over('instruction', _SHOWN)} as over_budget
+                from ({_fraction(GAPS, SAMPLE_FRACTION)})) s
             where instruction <> ''
                 and not exists (select 1 from ({DONE}) d where d.instruction = s.instruction))""",
     "critique_rewrite": f"""
-        select record_id, feedback, case when error is null then {_half('instruction')} end
+        select record_id, feedback, case when error is null then {_with_digest('instruction')} end
             as refined_instruction, error
         from ({ATTEMPTS}) where attempt = 1""",
     "refine_rounds": _with(_OUTCOME, **PAIR_ROUNDS),
@@ -496,7 +547,7 @@ ORACLES: dict[str, str] = {
     "refine_log": _with(
         f"""select record_id, round, from_cache, instruction, {_each()}, feedback,
             original_instruction, {_each('original_responses', 'original_response')},
-            refined_instruction, {_each('refined_responses', 'refined_response')}, error
+            refined_instruction, {_each('refined_responses', 'refined_response')}, over_budget, error
         from ({' union all '.join(f'select * from log{i}' for i in range(MAX_ROUNDS))})""",
         **DOCUMENT_ROUNDS,
     ),

@@ -25,8 +25,9 @@ from prefspark.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-GAMMA = 0.9
-CACHED_GAMMA = 0.1
+GAMMA = 0.4
+CACHED_GAMMA = 0.5
+SCORED_UNITS = 300
 FRACTION = 0.29
 SAMPLE_SIZE = 30
 QUERY_STOPS = ("\n", ". ")
@@ -67,7 +68,7 @@ def drop_empty_instruction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def type_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     guarded = reports.text_field(views.json_lines(spark, sf_dir), "instruction")
-    return guarded.select("record_id", "instruction")
+    return guarded.filter(F.col("instruction").isNotNull()).select("record_id", "instruction")
 
 
 @query
@@ -83,7 +84,7 @@ def jsonl_tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines, some of them cut short, read as the leavings of an earlier run."""
     path = new_workdir(spark, "jsonl")
     views.json_lines(spark, sf_dir).select("value").write.mode("overwrite").text(path)
-    return tables.read_done(spark, path).select("record_id")
+    return tables.read_done(spark, path)
 
 
 # Columns
@@ -91,11 +92,9 @@ def jsonl_tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def truncate_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = views.pairs(spark, sf_dir, keep=N_RESPONSES + 1)
-    cut = text.truncate_responses(F.col("responses"), N_RESPONSES)
-    return pairs.withColumn("responses", cut).select(
-        "record_id", F.size("responses").alias("n_responses"), *_each()
-    )
+    """The first responses of each conversation, picked from one row per turn."""
+    pairs = views.pairs(spark, sf_dir)
+    return pairs.select("record_id", F.size("responses").alias("n_responses"), *_each())
 
 
 @query
@@ -182,6 +181,14 @@ def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.skip_done(views.instructions(spark, sf_dir), views.done(spark, sf_dir))
 
 
+@query
+def resume_retries_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to do after an earlier output, written and read back, in which calls failed."""
+    path = new_workdir(spark, "earlier")
+    tables.write_table(views.earlier_output(spark, sf_dir), path)
+    return resume.skip_done(views.instructions(spark, sf_dir), spark.read.parquet(path))
+
+
 @query
 def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resume.cache_lookup(views.instructions(spark, sf_dir), views.cache(spark, sf_dir))
@@ -258,16 +265,39 @@ def reward_avg_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reward_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = reports.reward_report(views.pairs(spark, sf_dir), StandIn())
-    return report.select("record_id", *_each("scores", "score"), "avg_score")
+    """Every response's score and the mean of its record."""
+    report = reports.reward_report(views.response_lists(spark, sf_dir), StandIn())
+    mean = reports.reward_mean_per_record(report)
+    each = report.select("record_id", "part", F.posexplode_outer("scores").alias("place", "score"))
+    return each.join(mean, "record_id").select(
+        "record_id", "part", "place", "score", F.round("avg_score", DIGITS).alias("avg_score")
+    )
 
 
 @query
 def reward_report_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mean = reports.reward_mean(reports.reward_report(views.pairs(spark, sf_dir), StandIn()))
+    report = reports.reward_report(views.response_lists(spark, sf_dir), StandIn())
+    mean = reports.reward_mean_of_lists(report)
     return mean.select(F.round("avg_score", DIGITS).alias("avg_score"))
 
 
+@query
+def reward_report_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean reward of a fixed number of records, drawn exactly."""
+    turns = views.response_turns(spark, sf_dir)
+    chosen = sampling.sample_size(turns.select("record_id").distinct(), SAMPLE_SIZE // 2)
+    scored = inference.score_single(turns.join(chosen, "record_id", "left_semi"), StandIn())
+    return reports.reward_mean_per_response(scored).select(F.round("avg_score", DIGITS).alias("avg_score"))
+
+
+@query
+def score_over_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of conversations of which the model sees the tail that fits."""
+    turns = views.response_turns(spark, sf_dir).filter(F.col("response").isNotNull())
+    scored = inference.score_single(turns, StandIn(), max_units=SCORED_UNITS)
+    return scored.select("record_id", "turn", "over_budget", "score")
+
+
 # Routing
 
 
@@ -366,6 +396,14 @@ def rubric_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_rubric(report, "instruction", "feedback_avg_score")
 
 
+@query
+def rubric_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From raw lines to a report in which every line appears, with the reason where it failed."""
+    lines = reports.text_field(views.json_lines(spark, sf_dir), "instruction")
+    report = reports.rubric_report(lines, views.attempts(spark, sf_dir), keep_failed=True)
+    return report.select("record_id", "instruction", "feedback_avg_score", "failure_reason")
+
+
 @query
 def rubric_report_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `rubric_report`, with the backend asked instead of a log."""
@@ -388,7 +426,7 @@ def rubric_report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat_generated(generated: DataFrame) -> DataFrame:
-    return generated.select("record_id", *_each(), "error")
+    return generated.select("record_id", *_each(), "over_budget", "error")
 
 
 @query
@@ -469,7 +507,7 @@ def refine_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def refine_rounds_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As `refine_rounds`, with the stand-in called in the Python workers."""
-    return _outcome(_run(spark, sf_dir, worker_backend(keep_responses=True)))
+    return _outcome(_run(spark, sf_dir, worker_backend()))
 
 
 @query
@@ -497,6 +535,7 @@ def refine_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_each("original_responses", "original_response"),
         "refined_instruction",
         *_each("refined_responses", "refined_response"),
+        "over_budget",
         "error",
     )
 

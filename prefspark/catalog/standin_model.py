@@ -6,10 +6,9 @@ Its scores and texts say nothing about quality; it gives what `StandIn` gives.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Sequence
 
-from prefspark.backends.standin import HEX_DIGITS, StandIn
+from prefspark.backends.standin import HEX_DIGITS
 from prefspark.backends.worker import WorkerBackend
 from prefspark.constants import CRITERIA, RUBRIC_HEADER
 from prefspark.functions.prompts import (
@@ -26,14 +25,14 @@ def _md5(text: str) -> str:
 
 class StandInModel:
     def score(self, pairs: list[tuple[str, str]]) -> list[float]:
-        return [len(response) / (len(response) + len(text)) for text, response in pairs]
+        return [int(_md5(f"{text}\n{response}")[:8], 16) / (1 << 32) for text, response in pairs]
 
     def generate(
         self, chats: list[list[dict[str, str]]], n: int, seed: int, stops: Sequence[str]
     ) -> list[list[str]]:
         texts = [chat[-1]["content"] for chat in chats]
         return [
-            [f"{text[:40]} {_md5(f'{k}:{seed}:{text}')}" for k in range(1, n + 1)]
+            [f"{text} {_md5(f'{k}:{seed}:{text}')}" for k in range(1, n + 1)]
             for text in texts
         ]
 
@@ -44,7 +43,7 @@ class StandInModel:
     def _reply(prompt: str) -> str:
         if prompt.startswith(REWRITE_HEAD):
             text = prompt[len(REWRITE_HEAD) : prompt.rindex(REWRITE_MIDDLE)]
-            return text[: math.ceil(len(text) / 2)]
+            return f"{text} {_md5(text)}"
         digest = _md5(prompt[len(CRITIQUE_HEAD) : len(prompt) - len(CRITIQUE_TAIL)])
         lines = [
             f"* {name}: {HEX_DIGITS.index(digit) % 5 + 1}/5 - note on {name}"
@@ -53,15 +52,5 @@ class StandInModel:
         return "\n".join([RUBRIC_HEADER, *lines])
 
 
-class _KeepsResponses(WorkerBackend):
-    """Regenerates nothing: a refined row keeps its responses, as it does with `StandIn`."""
-
-    def generate(self, instruction, messages, n, seed, stops, previous=None):
-        if previous is None:
-            return super().generate(instruction, messages, n, seed, stops)
-        return StandIn().generate(instruction, messages, n, seed, stops, previous)
-
-
-def worker_backend(keep_responses: bool = False, **options) -> WorkerBackend:
-    kind = _KeepsResponses if keep_responses else WorkerBackend
-    return kind(StandInModel, name="stand-in in workers", **options)
+def worker_backend(**options) -> WorkerBackend:
+    return WorkerBackend(StandInModel, name="stand-in in workers", **options)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from prefspark.backends.standin import HEX_DIGITS, StandIn
+from prefspark.backends.standin import StandIn, with_digest
 from prefspark.constants import CRITERIA, MAX_RETRIES, N_RESPONSES
 from prefspark.functions.prompts import critique_prompt
+from prefspark.operators.selection import first_n
 
 # Turns of one conversation that meet its instruction in the same task.
 TURNS_PER_CHUNK = 4096
+# Turn numbers whose answers make one list of responses.
+TURNS_PER_LIST = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,17 +42,8 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str, keep: int = N_RESPONSES) -> DataFrame:
-    """Per conversation its first user turn and its first `keep` assistant turns.
-
-    The rank filter is applied on both sides of the shuffle, so a conversation of any length sends
-    at most `keep` turns per role and task, and no task holds one whole.
-    """
-    by_turn = Window.partitionBy("conv_id", "role").orderBy("turn")
-    first = (
-        table(spark, sf_dir, "conversations")
-        .withColumn("rank", F.row_number().over(by_turn))
-        .filter(F.col("rank") <= keep)
-    )
+    """Per conversation its first user turn and its first `keep` assistant turns."""
+    first = first_n(table(spark, sf_dir, "conversations"), ["conv_id", "role"], "turn", keep)
     asked = F.when((F.col("role") == "user") & (F.col("rank") == 1), F.col("text"))
     answer = F.when(F.col("role") == "assistant", F.struct("rank", "text"))
     return (
@@ -72,6 +65,7 @@ def response_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     turns = table(spark, sf_dir, "conversations")
     chunk = F.floor(F.col("turn") / TURNS_PER_CHUNK)
+    chunks = turns.select("conv_id", chunk.alias("chunk")).distinct()
     asked = (
         turns.groupBy("conv_id")
         .agg(
@@ -79,10 +73,8 @@ def response_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(F.col("role") == "user", F.col("text")),
                 F.when(F.col("role") == "user", F.col("turn")),
             ).alias("instruction"),
-            F.min(chunk).alias("low"),
-            F.max(chunk).alias("high"),
         )
-        .select("conv_id", "instruction", F.explode(F.sequence("low", "high")).alias("chunk"))
+        .join(chunks, "conv_id")
     )
     answered = turns.filter(F.col("role") == "assistant").select(
         "conv_id", chunk.alias("chunk"), "turn", F.col("text").alias("response")
@@ -92,29 +84,50 @@ def response_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def response_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All assistant turns as lists of responses, in lists of bounded length: a conversation has one
+    row for each TURNS_PER_LIST turn numbers among which it has an answer, and one at least."""
+    turns = response_turns(spark, sf_dir)
+    answer = F.when(F.col("response").isNotNull(), F.struct("turn", "response"))
+    part = F.floor(F.coalesce("turn", F.lit(0)) / TURNS_PER_LIST).alias("part")
+    return (
+        turns.groupBy("record_id", part)
+        .agg(F.min("instruction").alias("instruction"), F.array_sort(F.collect_list(answer)).alias("a"))
+        .select("record_id", "part", "instruction", F.col("a.response").alias("responses"))
+    )
+
+
+def _gaps(docs: DataFrame, gap: Column) -> DataFrame:
+    """A further row, with an id of its own, for each document of these languages."""
+    return docs.filter(F.col("lang").isin("fr", "es", "de") | (F.col("source") == "src0")).select(
+        F.concat(F.lit("gap "), F.col("record_id")).alias("record_id"), gap
+    )
+
+
 def with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instructions that are null, empty or blank for some languages."""
+    """The instructions, and further ones that are null, empty or blank."""
+    docs = documents(spark, sf_dir)
     text = (
-        F.when(F.col("lang") == "fr", F.lit(None))
+        F.when(F.col("lang") == "fr", F.lit(None).cast("string"))
         .when(F.col("lang") == "es", F.lit(""))
-        .when(F.col("lang") == "de", F.lit("  "))
-        .otherwise(F.col("instruction"))
+        .otherwise(F.lit("  "))
     )
-    return documents(spark, sf_dir).select("record_id", text.alias("instruction"))
+    return docs.select("record_id", "instruction").unionByName(_gaps(docs, text.alias("instruction")))
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A JSON line per document whose instruction is of another type for some languages, with the
-    lines of one source cut short."""
+    """A JSON line per document, and further ones without a text or cut short."""
+    docs = documents(spark, sf_dir)
     record, text = F.col("record_id"), F.col("instruction")
+    gap_id = F.concat(F.lit("gap "), record).alias("record_id")
     line = (
         F.when(F.col("source") == "src0", F.lit('{"instruction": "'))
-        .when(F.col("lang") == "fr", F.to_json(F.struct(record, F.col("n_chars").alias("instruction"))))
-        .when(F.col("lang") == "es", F.to_json(F.struct(record)))
-        .when(F.col("lang") == "de", F.to_json(F.struct(record, F.array(text).alias("instruction"))))
-        .otherwise(F.to_json(F.struct(record, text)))
+        .when(F.col("lang") == "fr", F.to_json(F.struct(gap_id, F.col("n_chars").alias("instruction"))))
+        .when(F.col("lang") == "es", F.to_json(F.struct(gap_id)))
+        .otherwise(F.to_json(F.struct(gap_id, F.array("n_chars").alias("instruction"))))
     )
-    return documents(spark, sf_dir).select("record_id", line.alias("value"))
+    whole = docs.select("record_id", F.to_json(F.struct(record, text)).alias("value"))
+    return whole.unionByName(_gaps(docs, line.alias("value")))
 
 
 def done(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,14 +136,25 @@ def done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions(spark, sf_dir).join(good, "record_id", "left_semi")
 
 
-def half(text: Column) -> Column:
-    return F.left(text, F.ceil(F.length(text) / 2.0).cast("int"))
+def earlier_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output of an earlier run over the labelled documents; calls for toxic ones failed."""
+    failed = F.col("toxic") == 1
+    return (
+        instructions(spark, sf_dir)
+        .join(labels(spark, sf_dir), "record_id")
+        .select(
+            "record_id",
+            "instruction",
+            F.when(~failed, F.array("instruction")).alias("responses"),
+            F.when(failed, F.lit("TimeoutError: no reply")).alias("error"),
+        )
+    )
 
 
 def cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The refinement log of an earlier run, over all labelled documents."""
     text = F.col("instruction")
-    responses = F.array(F.left(text, F.lit(20)), F.left(text, F.lit(30)))
+    responses = F.array(with_digest(text, "a:"), with_digest(text, "b:"))
     labelled = instructions(spark, sf_dir).join(
         labels(spark, sf_dir).select("record_id"), "record_id", "left_semi"
     )
@@ -141,10 +165,8 @@ def cache(spark: SparkSession, sf_dir: str) -> DataFrame:
         StandIn().critique(text, text)["text"].alias("feedback"),
         text.alias("original_instruction"),
         responses.alias("original_responses"),
-        F.concat(F.lit("["), F.col("record_id"), F.lit("] "), half(text)).alias(
-            "refined_instruction"
-        ),
-        responses.alias("refined_responses"),
+        F.concat(F.lit("["), F.col("record_id"), F.lit("] "), text).alias("refined_instruction"),
+        F.array(with_digest(text, "c:"), with_digest(text, "d:")).alias("refined_responses"),
         F.lit(0).alias("round"),
     )
 
@@ -158,16 +180,16 @@ def partly_refined(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(labels(spark, sf_dir), "record_id", "left")
         .select(
             "record_id",
-            F.when(bad, half(text)).otherwise(text).alias("instruction"),
-            F.array(F.left(text, F.lit(20))).alias("responses"),
+            F.when(bad, with_digest(text)).otherwise(text).alias("instruction"),
+            F.array(with_digest(text, "a:")).alias("responses"),
             F.when(bad, text).alias("original_instruction"),
-            F.when(bad, F.array(F.left(text, F.lit(30)))).alias("original_responses"),
+            F.when(bad, F.array(with_digest(text, "b:"))).alias("original_responses"),
         )
     )
 
 
 def rubric_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rubric block per document, deformed in one of sixteen ways by a digit of its digest."""
+    """A rubric block per document, deformed in one of eighteen ways by two digits of its digest."""
     text = F.col("instruction")
     block = F.col("block")
     lines = F.split(block, "\n")
@@ -192,14 +214,16 @@ def rubric_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.replace(block, F.lit("* "), F.lit("*  ")),
         F.replace(block, F.lit("\n"), F.lit("\n   ")),
         F.concat(block, F.lit("\nEvaluation:")),
+        F.concat(block, F.lit("\n* Qualité: 3/5 - more")),
+        F.replace(block, F.lit("\n"), F.lit("\r")),
     ]
-    digit = F.substring(F.md5(text), 32, 1)
+    number = F.conv(F.substring(F.md5(text), 31, 2), 16, 10).cast("int") % len(variants)
     chosen = F.lit(None)
-    for number, variant in enumerate(variants):
-        chosen = F.when(F.col("digit") == HEX_DIGITS[number], variant).otherwise(chosen)
+    for place, variant in enumerate(variants):
+        chosen = F.when(F.col("number") == place, variant).otherwise(chosen)
     return (
         instructions(spark, sf_dir)
-        .withColumns({"block": StandIn().critique(text, text)["text"], "digit": digit})
+        .withColumns({"block": StandIn().critique(text, text)["text"], "number": number})
         .select("record_id", chosen.alias("feedback"))
     )
 

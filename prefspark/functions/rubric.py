@@ -14,15 +14,20 @@ from prefspark.functions.binding import bind
 from prefspark.functions.text import BLANKS
 
 _B = r"[ \t\f\x0B]*"
-_HEADER = rf"(?:\A|\n){_B}{RUBRIC_HEADER}{_B}(?:\n|\z)([\s\S]*)"
+# The reader ends lines at line feeds alone; a carriage return is one of its blanks.
+_R = r"[ \t\f\x0B\r]*"
 _STRICT = rf"(?dm)^{_B}\*{_B}({'|'.join(CRITERIA)}){_B}:{_B}[1-5]/5{_B}-{_B}\S"
-_LOOSE = rf"(?dm)^{_B}\*{_B}(\w+):{_B}(\d)/5{_B}-{_B}(\S[^\n]*)"
+_LOOSE = rf"(?dm)^{_R}\*{_R}([\p{{L}}\p{{N}}_]+):{_R}(\d)/5{_R}-{_R}(\S[^\n]*)"
+
+
+def _after_header(text: Column, blanks: str) -> Column:
+    return F.regexp_extract(text, rf"(?:\A|\n){blanks}{RUBRIC_HEADER}{blanks}(?:\n|\z)([\s\S]*)", 1)
 
 
 def rubric_body(text: Column) -> Column:
     """Text after the first header line, with plain line ends; empty when there is no header."""
     plain = F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, r"\r\n?", "\n"))
-    return F.regexp_extract(F.coalesce(plain, text), _HEADER, 1)
+    return _after_header(F.coalesce(plain, text), _B)
 
 
 def _all(body: Column, pattern: str, group: int) -> Column:
@@ -69,11 +74,16 @@ def parse_rubric(text: Column) -> Column:
         )
 
     def read(body: Column) -> Column:
-        found = F.struct(
-            *[
-                F.reverse(_all(body, _LOOSE, group)).alias(field)
-                for group, field in enumerate(("names", "scores", "notes"), start=1)
-            ]
+        # Without a carriage return the validator and the reader see the same lines.
+        seen = F.when(F.contains(text, F.lit("\r")), _after_header(text, _R)).otherwise(body)
+        found = bind(
+            seen,
+            lambda lines: F.struct(
+                *[
+                    F.reverse(_all(lines, _LOOSE, group)).alias(field)
+                    for group, field in enumerate(("names", "scores", "notes"), start=1)
+                ]
+            ),
         )
         return F.when(_valid(body), bind(found, entries))
 

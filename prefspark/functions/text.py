@@ -19,24 +19,27 @@ def units(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_UNIT), 0)
 
 
-def _within(text: Column, budget: int) -> Column:
+def _within(text: Column, budget: int | Column) -> Column:
     # n units need at least 2n - 1 bytes, so most texts are settled by their stored size.
     return (F.octet_length(text) <= 2 * budget) | (F.regexp_count(text, F.lit(_UNIT)) <= budget)
 
 
-def over_budget(text: Column, budget: int) -> Column:
+def over_budget(text: Column, budget: int | Column) -> Column:
     return ~_within(text, budget)
 
 
 def keep_head(text: Column, budget: int) -> Column:
-    """The text itself when it fits the budget, else its first `budget` units."""
-    head = F.array_join(F.slice(units(text), 1, budget), " ")
+    """The text itself when it fits the budget, else what reaches to the end of unit `budget`."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"\s*{_UNIT}"), 0)
+    head = F.array_join(F.slice(pieces, 1, budget), "")
     return F.when(_within(text, budget), text).otherwise(head)
 
 
-def keep_tail(text: Column, budget: int) -> Column:
-    """The text itself when it fits the budget, else its last `budget` units."""
-    tail = F.array_join(F.slice(units(text), -budget, budget), " ")
+def keep_tail(text: Column, budget: int | Column) -> Column:
+    """The text itself when it fits the budget, else all from the first of the last `budget` units."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"{_UNIT}\s*"), 0)
+    start = F.greatest(F.size(pieces) - budget, F.lit(0)) + 1
+    tail = F.array_join(F.slice(pieces, start, F.greatest(F.lit(budget) if isinstance(budget, int) else budget, F.lit(0))), "")
     return F.when(_within(text, budget), text).otherwise(tail)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from prefspark.backends.base import Backend
 from prefspark.constants import MAX_CONTEXT, MAX_NEW, N_RESPONSES, SEED, STOPS
 from prefspark.functions.prompts import chat, critique_prompt, rewrite_prompt
-from prefspark.functions.text import keep_head, trim_all_at_stops
+from prefspark.functions.text import keep_head, keep_tail, over_budget, trim_all_at_stops, units
 
 
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
@@ -27,14 +27,18 @@ def _generate(
     system: str,
     stops: Sequence[str],
     max_units: int,
-    previous: Column | None = None,
 ) -> DataFrame:
-    """Adds `_generated`."""
+    """Adds `_generated`, and `over_budget`: whether the text was cut to `max_units` first."""
     # The user text is cut before the messages are built, so they stay complete.
     shown = F.col("_shown")
-    generated = backend.generate(shown, chat(shown, system), n, seed, stops, previous)
+    generated = backend.generate(shown, chat(shown, system), n, seed, stops)
     return (
-        df.withColumn("_shown", keep_head(F.col(instruction), max_units))
+        df.withColumns(
+            {
+                "_shown": keep_head(F.col(instruction), max_units),
+                "over_budget": over_budget(F.col(instruction), max_units),
+            }
+        )
         .withColumn("_generated", generated)
         .drop("_shown")
     )
@@ -51,7 +55,7 @@ def generate_n(
     max_units: int = MAX_CONTEXT - MAX_NEW,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Adds n sampled `responses` per instruction, cut at stop strings, and `error`."""
+    """Adds n sampled `responses` per instruction, cut at stop strings, `over_budget` and `error`."""
     rows = spread(df, partitions)
     return (
         _generate(rows, "instruction", backend, n, seed, system, stops, max_units)
@@ -71,15 +75,35 @@ def score_responses(df: DataFrame, backend: Backend, *, partitions: int | None =
     return spread(df, partitions).withColumn("scores", scores)
 
 
-def score_single(df: DataFrame, backend: Backend, *, partitions: int | None = None) -> DataFrame:
-    """Adds `score` to rows of one `response` each; null where there is no response."""
-    response = F.when(F.col("response").isNotNull(), F.array("response"))
-    scores = backend.score(F.col("instruction"), response)
+def score_single(
+    df: DataFrame,
+    backend: Backend,
+    *,
+    max_units: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Adds `score` to rows of one `response` each; null where there is no response.
+
+    With `max_units` the model sees the tail of the conversation: the response's own tail, and before
+    it as much of the instruction's as fits. `over_budget` tells which conversations were cut.
+    """
+    rows, asked, answer = spread(df, partitions), F.col("instruction"), F.col("response")
+    if max_units is not None:
+        room = F.greatest(F.lit(0), F.lit(max_units) - F.size(units(answer)))
+        rows = rows.withColumns(
+            {
+                "over_budget": F.coalesce(F.size(units(asked)) > room, F.lit(False))
+                | F.coalesce(over_budget(answer, max_units), F.lit(False)),
+                "_asked": keep_tail(asked, room),
+                "_answer": keep_tail(answer, max_units),
+            }
+        )
+        asked, answer = F.col("_asked"), F.col("_answer")
+    scores = backend.score(asked, F.when(answer.isNotNull(), F.array(answer)))
     return (
-        spread(df, partitions)
-        .withColumn("_scores", scores)
+        rows.withColumn("_scores", scores)
         .withColumn("score", F.col("_scores")[0])
-        .drop("_scores")
+        .drop("_scores", "_asked", "_answer")
     )
 
 
@@ -121,14 +145,11 @@ def refine(
     partitions: int | None = None,
 ) -> DataFrame:
     """Critique, rewrite and regenerate: adds `feedback`, `refined_instruction`,
-    `refined_responses` and `error`. After an error both refined columns are null."""
+    `refined_responses`, `over_budget` and `error`. After an error both refined columns are null."""
     rows = critique_rewrite(df, backend, partitions=partitions)
-    previous = F.col("responses")
     fine = F.col("error").isNull()
     return (
-        _generate(
-            rows, "refined_instruction", backend, n, seed, system, stops, max_units, previous
-        )
+        _generate(rows, "refined_instruction", backend, n, seed, system, stops, max_units)
         .withColumn("error", F.coalesce("error", "_generated.error"))
         .withColumns(
             {

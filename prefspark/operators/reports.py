@@ -15,18 +15,14 @@ from prefspark.schemas import RUBRIC
 
 
 def text_field(lines: DataFrame, field: str, column: str = "value") -> DataFrame:
-    """JSON lines whose field is present and a string, with that string under the field's name.
+    """JSON lines with the field's text under its name, null where it is absent or not a string.
 
     A typed read would turn a number into a string, so the type is taken from the raw line.
     """
     value = F.variant_get(F.try_parse_json(F.col(column)), f"$.{field}", "variant")
     is_text = F.schema_of_variant(F.col("_value")) == "STRING"
-    text = F.when(is_text, F.array(F.try_variant_get("_value", "$", "string")))
-    # Exploding a null list drops the line. A filter would move below and parse every line twice.
-    return (
-        lines.withColumn("_value", value)
-        .select(*lines.columns, F.explode(text).alias(field))
-    )
+    text = F.when(is_text, F.try_variant_get("_value", "$", "string"))
+    return lines.withColumn("_value", value).withColumn(field, text).drop("_value")
 
 
 def first_valid_attempt(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
@@ -56,13 +52,13 @@ def _failure(parsed: Column, error: Column) -> Column:
 
 
 def _judged(records: DataFrame) -> DataFrame:
-    """Turns `feedback_json` and `error` into the report columns."""
+    """Turns `feedback_json` and `_error` into the report columns."""
     return records.withColumns(
         {
-            "failure_reason": _failure(F.col("feedback_json"), F.col("error")),
+            "failure_reason": _failure(F.col("feedback_json"), F.col("_error")),
             "feedback_avg_score": rubric_mean(F.col("feedback_json")),
         }
-    ).drop("error")
+    ).drop("_error")
 
 
 def _filter_here(df: DataFrame, condition: Column) -> DataFrame:
@@ -84,17 +80,19 @@ def rubric_report(
 
     Failed records are dropped, or kept with a `failure_reason`.
     """
-    outcome = first_valid_attempt(attempts, max_retries)
+    settled = first_valid_attempt(attempts, max_retries)
+    outcome = settled.select("record_id", F.struct("feedback", "feedback_json", "error").alias("_outcome"))
     missing = F.col("instruction").isNull()
-    # A failed record has no feedback columns, whatever its attempts said.
-    fine = F.col("error").isNull() & ~missing
+    # A failed record has no feedback columns, whatever its attempts said. Report columns that the
+    # records bring along are replaced; an `error` of theirs is not the report's and stays.
+    fine = F.col("_outcome.error").isNull() & ~missing
     joined = records.join(outcome, "record_id", "left").withColumns(
         {
-            "feedback": F.when(fine, F.col("feedback")),
-            "feedback_json": F.when(fine, F.col("feedback_json")),
-            "error": F.when(~missing, F.col("error")),
+            "feedback": F.when(fine, F.col("_outcome.feedback")),
+            "feedback_json": F.when(fine, F.col("_outcome.feedback_json")),
+            "_error": F.when(~missing, F.col("_outcome.error")),
         }
-    )
+    ).drop("_outcome")
     report = _judged(joined)
     if keep_failed:
         return report
@@ -118,11 +116,11 @@ def rubric_report_live(
         {
             "feedback": F.lit(None).cast("string"),
             "feedback_json": F.lit(None).cast(RUBRIC),
-            "error": F.lit(None).cast("string"),
+            "_error": F.lit(None).cast("string"),
         }
     )
     for attempt in range(1, max_retries + 1):
-        is_open = F.col("feedback_json").isNull() & F.col("error").isNull()
+        is_open = F.col("feedback_json").isNull() & F.col("_error").isNull()
         asked = F.when(is_open, prompt)
         report = (
             report.withColumn("_reply", backend.critique(F.col("instruction"), asked, attempt))
@@ -133,7 +131,7 @@ def rubric_report_live(
                         F.col("feedback")
                     ),
                     "feedback_json": F.coalesce("feedback_json", "_parsed"),
-                    "error": F.coalesce("error", "_reply.error"),
+                    "_error": F.coalesce("_error", "_reply.error"),
                 }
             )
             .drop("_reply", "_parsed")
@@ -157,6 +155,20 @@ def reward_mean(report: DataFrame, n_responses: int = N_RESPONSES) -> DataFrame:
     )
 
 
+def reward_mean_per_record(report: DataFrame) -> DataFrame:
+    """(record_id, avg_score) for a report whose records may have several rows, each with a list."""
+    lists = report.select("record_id", total(F.col("scores")).alias("total"), F.size("scores").alias("n"))
+    summed = lists.groupBy("record_id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    mean = F.try_divide(F.col("total"), F.col("n"))
+    return summed.select("record_id", F.coalesce(mean, F.lit(0.0)).alias("avg_score"))
+
+
+def reward_mean_of_lists(report: DataFrame, n_responses: int = N_RESPONSES) -> DataFrame:
+    """`reward_mean` for a report whose records may have several rows, each with a list."""
+    lists = report.select("record_id", total(F.col("scores")).alias("total"))
+    return _dataset_mean(lists.groupBy("record_id").agg(F.sum("total").alias("total")), n_responses)
+
+
 def _dataset_mean(totals: DataFrame, n_responses: int) -> DataFrame:
     summed = totals.agg(F.sum("total").alias("total"), F.count("*").alias("n"))
     mean = F.try_divide(F.col("total"), F.col("n") * n_responses)

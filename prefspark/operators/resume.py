@@ -39,17 +39,26 @@ def drop_empty(df: DataFrame, column: str = "instruction") -> DataFrame:
     return df.filter(F.col(column).isNotNull() & (F.col(column) != ""))
 
 
+def finished(done: DataFrame) -> DataFrame:
+    """Of an earlier output what need not be done again: rows with responses and without an error."""
+    if "error" in done.columns:
+        done = done.filter(F.col("error").isNull())
+    if "responses" in done.columns:
+        done = done.filter(F.col("responses").isNotNull())
+    return done
+
+
 def skip_done(
     df: DataFrame, done: DataFrame, *, column: str = "instruction", dedupe: bool = False
 ) -> DataFrame:
     """Non-empty rows whose instruction is not among the done ones.
 
-    Repeated instructions within `df` are all kept unless `dedupe` is set.
+    Rows of `done` that failed are not done. Repeated instructions within `df` are all kept unless `dedupe` is set.
     """
     todo = drop_empty(df, column).withColumn(_KEY, text_key(F.col(column)))
     if dedupe:
         todo = todo.dropDuplicates([_KEY])
-    return todo.join(_keys(done, column), _KEY, "left_anti").drop(_KEY)
+    return todo.join(_keys(finished(done), column), _KEY, "left_anti").drop(_KEY)
 
 
 def first_logged(cache: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Records are ordered by a seeded hash of their id, and a sample of size k is the first k of that
 order, so it depends on ids and seed only and not on partitioning. The k-th record is found from the
-ids alone: histograms over ever longer hash prefixes narrow the search until few records share one.
+ids alone: histograms over ever longer hash prefixes narrow the search until one record has it.
 The rows are then filtered by comparing with that record, which takes no shuffle. The driver sees
-one row per pass. Record ids must be unique.
+one row per pass. A sample that would have to take some of the rows with one id (or without any) and
+leave others cannot be told apart by ids, and is an error.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from prefspark.functions.keys import hash_order
 
 # A histogram has 16 ** DIGITS bars, so each task sends few and their running sum is small.
 DIGITS = 3
-# Records that share a prefix are ranked in one task once there are at most this many.
-RANKED_AT_ONCE = 100_000
 HASH_LENGTH = 32
 
 
@@ -46,25 +45,24 @@ def _bar_holding(keys: DataFrame, prefix_length: int, size: Column) -> Row | Non
 
 
 def _first_in_hash_order(
-    df: DataFrame, size: Column, id_col: str, seed: int, digits: int, ranked_at_once: int
+    df: DataFrame, size: Column, id_col: str, seed: int, digits: int
 ) -> DataFrame | None:
     """The rows up to place `size`; None when there is no such place."""
-    place_of = F.struct(hash_order(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
-    keys = df.select(place_of.alias("key")).select("key.*")
+    place_of = hash_order(F.coalesce(F.col(id_col).cast("string"), F.lit("")), seed)
+    keys = df.select(place_of.alias("h"))
     prefix_length = digits
     bar = _bar_holding(keys, prefix_length, size)
     if bar is None:
         return None
     if bar.place < 1:
         return df.filter(F.lit(False))
-    pool = keys.filter(F.left("h", F.lit(prefix_length)) == bar.prefix)
-    while bar.bar > ranked_at_once and prefix_length < HASH_LENGTH:
+    while bar.bar > 1 and prefix_length < HASH_LENGTH:
+        pool = keys.filter(F.startswith("h", F.lit(bar.prefix)))
         prefix_length = min(prefix_length + digits, HASH_LENGTH)
         bar = _bar_holding(pool, prefix_length, F.lit(bar.place))
-        pool = pool.filter(F.left("h", F.lit(prefix_length)) == bar.prefix)
-    ranked = pool.withColumn("rank", F.row_number().over(Window.orderBy("h", "id")))
-    last = ranked.filter(F.col("rank") == bar.place).first()
-    return df.filter(place_of <= F.struct(F.lit(last.h).alias("h"), F.lit(last.id).alias("id")))
+    if bar.place < bar.bar:
+        raise ValueError(f"the sample would end among {bar.bar} rows with one {id_col}")
+    return df.filter(F.left(place_of, F.lit(prefix_length)) <= bar.prefix)
 
 
 def sample_fraction(
@@ -74,13 +72,12 @@ def sample_fraction(
     id_col: str = "record_id",
     seed: int = SEED,
     digits: int = DIGITS,
-    ranked_at_once: int = RANKED_AT_ONCE,
 ) -> DataFrame:
     """Exactly `int(n * fraction)` rows, the product taken in binary floating point."""
     if not 0 <= fraction <= 1:
         raise ValueError(f"fraction must lie in [0, 1], got {fraction}")
     size = F.floor(F.col("n").cast("double") * F.lit(float(fraction)))
-    sample = _first_in_hash_order(df, size, id_col, seed, digits, ranked_at_once)
+    sample = _first_in_hash_order(df, size, id_col, seed, digits)
     return df.filter(F.lit(False)) if sample is None else sample
 
 
@@ -91,12 +88,11 @@ def sample_size(
     id_col: str = "record_id",
     seed: int = SEED,
     digits: int = DIGITS,
-    ranked_at_once: int = RANKED_AT_ONCE,
 ) -> DataFrame:
     """Exactly `size` rows; asking for more than there are is an error."""
     if size < 0:
         raise ValueError(f"size must not be negative, got {size}")
-    sample = _first_in_hash_order(df, F.lit(size), id_col, seed, digits, ranked_at_once)
+    sample = _first_in_hash_order(df, F.lit(size), id_col, seed, digits)
     if sample is None:
         if size > 0:
             raise ValueError(f"cannot sample {size} rows, there are fewer")

@@ -155,6 +155,7 @@ def _log_rows(routed: DataFrame, backend: Backend, **options) -> DataFrame:
         "instruction",
         "hit.*",
         F.lit(None).cast("string").alias("error"),
+        F.lit(None).cast("boolean").alias("over_budget"),
         F.lit(True).alias("from_cache"),
     )
     return refined.select(*carried).unionByName(cached.select(*carried))

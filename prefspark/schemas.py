@@ -57,6 +57,7 @@ REFINE_LOG = T.StructType(
         refined_instruction=T.StringType(),
         refined_responses=TEXTS,
         error=T.StringType(),
+        over_budget=T.BooleanType(),
         from_cache=T.BooleanType(),
         round=T.IntegerType(),
     ).fields
@@ -67,7 +68,7 @@ CACHE = T.StructType(
     [
         f
         for f in REFINE_LOG.fields
-        if f.name not in ("error", "from_cache")
+        if f.name not in ("error", "over_budget", "from_cache")
     ]
 )
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefspark.functions.text import BLANKS
 from prefspark.schemas import CACHE, INSTRUCTION
 
 
@@ -51,7 +52,7 @@ def read_cache(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     try:
         if fmt == "json":
             # A log is read whole or not at all, so a bad line anywhere voids it.
-            line = F.trim("value")
+            line = F.btrim("value", F.lit(BLANKS))
             bad = spark.read.text(path).filter((line != "") & F.try_parse_json(line).isNull())
             if not bad.isEmpty():
                 return empty

@@ -1,3 +1,4 @@
+import os
 import sys
 import threading
 import time
@@ -35,7 +36,7 @@ def pairs(spark):
         generate_n,
         score_responses,
         critique_rewrite,
-        lambda df, backend: refine(df, backend, seed=7).drop("refined_responses"),
+        lambda df, backend: refine(df, backend, seed=7),
     ],
 )
 def test_both_backends_agree(pairs, operator):
@@ -92,7 +93,11 @@ def test_a_failing_row_does_not_fail_its_batch(spark):
     ).coalesce(1)
     backend = WorkerBackend(PickyModel, batch_size=10)
     scores = {r.record_id: r.scores for r in score_responses(df, backend).collect()}
-    assert scores == {"1": [0.2, 0.2], "2": [None], "3": [None, 0.2], "4": None, "5": [], "6": None}
+    score = lambda *pair: StandInModel().score([pair])[0]
+    assert scores == {
+        "1": [score("good", "x"), score("good", "y")], "2": [None], "3": [None, score("fine", "z")],
+        "4": None, "5": [], "6": None,
+    }
 
     generated = {r.record_id: (r.responses, r.error) for r in generate_n(df, backend).collect()}
     assert generated["1"] == (["one", ""], None)
@@ -102,7 +107,7 @@ def test_a_failing_row_does_not_fail_its_batch(spark):
     refined = {r.record_id: r for r in refine(df, backend).collect()}
     assert refined["2"].error == "TimeoutError: slow"
     assert refined["2"].refined_instruction is refined["2"].refined_responses is None
-    assert refined["1"].refined_instruction == "go" and refined["1"].error is None
+    assert refined["1"].refined_instruction.startswith("good ") and refined["1"].error is None
 
 
 def test_a_refinement_fails_as_a_whole(spark):
@@ -131,6 +136,34 @@ def test_batches_hold_similar_lengths_and_results_keep_their_order():
     assert seen == [["a", "bb"], ["ccc", "dddd"]]
 
 
+def test_one_model_per_worker_process(spark, tmp_path):
+    folder = str(tmp_path)
+
+    class Counted(StandInModel):
+        def __init__(self):
+            import os
+            import uuid
+
+            open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+    df = spark.range(64).select(
+        F.col("id").cast("string").alias("record_id"), F.lit("a").alias("instruction"), F.array(F.lit("b")).alias("responses")
+    )
+    backend = WorkerBackend(Counted)
+    for _ in range(2):
+        score_responses(df.repartition(16), backend).collect()
+    built = [name.split("-")[0] for name in os.listdir(folder)]
+    assert built and len(built) == len(set(built))
+
+
+def test_a_rewritten_instruction_is_answered_anew(pairs):
+    for backend in (StandIn(), worker_backend()):
+        for row in refine(pairs, backend, seed=7).filter("refined_instruction is not null").collect():
+            assert row.refined_instruction.startswith(row.instruction)
+            assert [r.startswith(row.refined_instruction) for r in row.refined_responses] == [True, True]
+            assert row.refined_responses != row.responses and row.over_budget is False
+
+
 def test_too_few_results_are_an_error():
     results = _call(lambda items: [], ["a", "b"], 2, 1, len)
     assert [value for value, _ in results] == [None, None]

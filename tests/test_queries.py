@@ -5,9 +5,10 @@ from check_queries import connect, difference
 from conftest import TESTDATA, plan_of
 
 import __spark_entry__ as entry_points
+from prefspark.catalog.oracles import ORACLES as SQL
+from prefspark.catalog.queries import QUERIES
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")

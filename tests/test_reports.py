@@ -1,9 +1,11 @@
 import pytest
+from conftest import ByLength
 from pyspark.sql import functions as F
 from test_rubric import BASE
 
 from prefspark.backends.standin import StandIn
 from prefspark.constants import PARSE_FAILURE
+from prefspark.operators.inference import generate_n
 from prefspark.operators.reports import (
     first_valid_attempt,
     reward_mean,
@@ -12,6 +14,7 @@ from prefspark.operators.reports import (
     reward_report,
     rubric_report,
     rubric_report_live,
+    text_field,
 )
 from prefspark.schemas import ATTEMPTS
 
@@ -97,7 +100,7 @@ def test_live_report_asks_only_what_is_open(spark):
 def test_reward_reports_agree(spark):
     rows = [("1", "abcd", ["ab", "abcd", "a"]), ("2", "ab", []), ("3", "ab", ["ab"])]
     df = spark.createDataFrame(rows, "record_id string, instruction string, responses array<string>")
-    report = reward_report(df, StandIn())
+    report = reward_report(df, ByLength())
     by_id = {r.record_id: r for r in report.collect()}
     assert by_id["1"].scores == [1 / 3, 0.5, 0.2] and by_id["2"].avg_score == 0
     total = 1 / 3 + 0.5 + 0.2 + 0.5
@@ -109,3 +112,27 @@ def test_reward_reports_agree(spark):
     assert per_record == {k: pytest.approx(r.avg_score) for k, r in by_id.items()}
     assert reward_mean(report.limit(0)).first().avg_score == 0
     assert reward_mean_per_response(single.limit(0)).first().avg_score == 0
+
+
+def test_reports_compose(spark):
+    """Over generated rows, over an earlier report, and over a log that carries feedback."""
+    df = spark.createDataFrame([("1", "one"), ("2", "two"), ("3", None)], "record_id string, instruction string")
+    log = spark.createDataFrame(
+        [("1", 1, BASE, None), ("2", 1, None, "E: x")], "record_id string, attempt int, feedback string, error string"
+    )
+    made = generate_n(df, StandIn())
+    for report in (lambda rows: rubric_report(rows, log, keep_failed=True), lambda rows: rubric_report_live(rows, StandIn(), keep_failed=True)):
+        once = report(made)
+        again = report(once)
+        assert "error" in once.columns and again.columns == once.columns
+        assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
+    reasons = {r.record_id: r.failure_reason for r in rubric_report(made, log, keep_failed=True).collect()}
+    assert reasons == {"1": None, "2": "exception: E: x", "3": PARSE_FAILURE}
+
+
+def test_lines_without_a_text_stay_with_a_reason(spark):
+    lines = [("1", '{"instruction": "a"}'), ("2", '{"instruction": 5}'), ("3", "{}"), ("4", "{bad"), ("5", None)]
+    records = text_field(spark.createDataFrame(lines, "record_id string, value string"), "instruction")
+    log = spark.createDataFrame([("1", 1, BASE, None), ("2", 1, BASE, None)], "record_id string, attempt int, feedback string, error string")
+    kept = rubric_report(records, log, keep_failed=True).collect()
+    assert {r.record_id: r.failure_reason for r in kept} == {"1": None} | {k: PARSE_FAILURE for k in "2345"}

@@ -2,8 +2,11 @@ import pytest
 from conftest import run_plan_of
 from pyspark.sql import functions as F
 
+from prefspark.backends.standin import StandIn
 from prefspark.operators.resume import align_outputs, cache_hits, cache_lookup, skip_done
+from prefspark.plans.preparation import first_responses
 from prefspark.schemas import CACHE
+from prefspark.sources.tables import read_cache
 
 
 def rows(spark, *texts):
@@ -98,3 +101,23 @@ def test_a_hot_instruction_is_split(spark, conf, skewed, join):
 def test_small_right_sides_are_broadcast_by_size(spark, skewed):
     plan = run_plan_of(skip_done(skewed, rows(spark, "hot")))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("Initial Plan")[0]
+
+
+def test_failed_rows_are_answered_on_the_next_run(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c")], "record_id string, instruction string")
+    earlier = spark.createDataFrame(
+        [("1", "a", ["x"], None), ("2", "b", None, "TimeoutError: t"), ("3", "c", None, None)],
+        "record_id string, instruction string, responses array<string>, error string",
+    )
+    path = str(tmp_path / "earlier")
+    earlier.write.parquet(path)
+    done = spark.read.parquet(path)
+    assert sorted(r.record_id for r in first_responses(rows, StandIn(), done=done).collect()) == ["2", "3"]
+    everything = first_responses(rows, StandIn(), done=done).unionByName(done.filter("error is null and responses is not null"), allowMissingColumns=True)
+    assert skip_done(rows, everything).isEmpty()
+
+
+def test_one_blank_line_does_not_void_a_cache(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    spark.createDataFrame([('{"record_id": "1", "instruction": "a", "round": 0}',), ("\t",), (" ",)], "value string").coalesce(1).write.text(path)
+    assert [r.instruction for r in read_cache(spark, path).collect()] == ["a"]

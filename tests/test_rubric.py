@@ -28,7 +28,11 @@ CASES = {
     "score out of range": (BASE.replace("Clarity: 2/5", "Clarity: 6/5"), None),
     "empty": ("", None),
     "crlf": (BASE.replace("\n", "\r\n"), 3.0),
-    "cr": (BASE.replace("\n", "\r"), 3.0),
+    # The validator ends lines there, the reader does not.
+    "cr": (BASE.replace("\n", "\r"), None),
+    "cr after the block": (BASE + "\rThat is all.", 3.0),
+    "letters of another script": (BASE + "\n* Qualité: 3/5 - more", None),
+    "letters of no script": (BASE + "\n* Tone!: 3/5 - more", 3.0),
     "empty note": (BASE.replace("Safety: 5/5 - a note", "Safety: 5/5 - "), None),
     "reversed": ("\n".join(["Evaluation:", *BASE.split("\n")[:0:-1]]), 3.0),
     "two spaces after the star": (BASE.replace("* ", "*  "), 3.0),
@@ -77,10 +81,12 @@ def statement_of_the_rule(text):
     if "Evaluation:" not in lines:
         return False, None
     body = lines[lines.index("Evaluation:") + 1 :]
+    seen = [line.strip() for line in text.split("\n")]
+    seen = seen[seen.index("Evaluation:") + 1 :] if "Evaluation:" in seen else []
     names = "|".join(CRITERIA)
     strict = [re.match(rf"\*\s*({names})\s*:\s*[1-5]/5\s*-\s*.+$", line) for line in body]
     valid = sorted(m[1] for m in strict if m) == sorted(CRITERIA)
-    loose = [re.match(r"\*\s*(\w+):\s*(\d)/5\s*-\s*(.+)", line) for line in body]
+    loose = [re.match(r"\*\s*(\w+):\s*(\d)/5\s*-\s*(.+)", line) for line in seen]
     entries = {m[1]: (int(m[2]), m[3].strip()) for m in loose if m}
     return valid, entries if valid and set(entries) == set(CRITERIA) else None
 

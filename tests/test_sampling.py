@@ -36,14 +36,28 @@ def test_size_is_exact(spark, size):
     assert ids(sample_size(numbered(spark, 100), size)) == set(in_hash_order(100)[:size])
 
 
-@pytest.mark.parametrize("digits, ranked_at_once", [(1, 100_000), (1, 1), (2, 5), (32, 1)])
-def test_any_number_of_passes_gives_the_same(spark, digits, ranked_at_once):
-    sample = sample_size(
-        numbered(spark, 300), 77, digits=digits, ranked_at_once=ranked_at_once
-    )
+@pytest.mark.parametrize("digits", [1, 2, 5, 32])
+def test_any_number_of_passes_gives_the_same(spark, digits):
+    sample = sample_size(numbered(spark, 300), 77, digits=digits)
     assert ids(sample) == set(in_hash_order(300)[:77])
 
 
+def test_repeated_and_missing_ids(spark):
+    order = in_hash_order(4)
+    rows = [(i,) for i in order] + [(order[1],)] * 2
+    df = spark.createDataFrame(rows, "record_id string")
+    assert sample_size(df, 1).collect() == [(order[0],)]
+    assert sorted(r.record_id for r in sample_size(df, 4).collect()) == sorted([order[0]] + [order[1]] * 3)
+    assert sample_fraction(df, 5 / 6).count() == 5
+    for size in (2, 3):
+        with pytest.raises(ValueError, match="with one record_id"):
+            sample_size(df, size)
+    nulls = spark.createDataFrame([(None,), (None,)], "record_id string")
+    assert sample_size(nulls, 2).count() == 2 and sample_size(nulls, 0).isEmpty()
+    with pytest.raises(ValueError, match="with one record_id"):
+        sample_fraction(nulls, 0.5)
+
+
 def test_partitioning_does_not_matter_and_the_seed_does(spark):
     samples = [ids(sample_fraction(numbered(spark, 500, p), 0.3)) for p in (1, 2, 7)]
     assert samples[0] == samples[1] == samples[2]

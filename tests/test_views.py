@@ -1,8 +1,8 @@
 """Derived inputs on conversations of very different length."""
 
 import pytest
+from conftest import ByLength
 
-from prefspark.backends.standin import StandIn
 from prefspark.catalog import views
 from prefspark.operators.inference import score_single
 from prefspark.operators.reports import reward_per_record
@@ -55,7 +55,7 @@ def test_response_turns(spark, sf_dir, monkeypatch, chunk):
         if asked
         for turn, text in answers
     ) + [("7", turn, None, f"only {turn}") for turn in range(3)]
-    scored = reward_per_record(score_single(rows, StandIn()))
+    scored = reward_per_record(score_single(rows, ByLength()))
     per_record = {r.record_id: r for r in scored.collect()}
     assert set(per_record) == set(by_conversation())
     assert per_record["2"].n_responses == 0 and per_record["2"].avg_score == 0
@@ -67,6 +67,15 @@ def test_response_turns(spark, sf_dir, monkeypatch, chunk):
     assert per_record["1"].avg_score == pytest.approx(sum(expected) / len(expected))
 
 
+def test_turn_numbers_far_apart(spark, tmp_path):
+    rows = [(1, 0, "user", "a"), (1, 4_000_000_000, "assistant", "b"), (1, 7, "assistant", "c")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    turns = views.response_turns(spark, str(tmp_path))
+    assert turns.count() == 2 and {r.instruction for r in turns.collect()} == {"a"}
+    lists = {(r.part, tuple(r.responses)) for r in views.response_lists(spark, str(tmp_path)).collect()}
+    assert lists == {(0, ("c",)), (62_500_000, ("b",))}
+
+
 def test_every_rubric_variant_occurs(spark):
     texts = views.rubric_texts(spark, "/root/testdata/sf0.01")
     assert texts.filter("feedback is null").isEmpty()
