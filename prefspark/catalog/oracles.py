@@ -376,6 +376,9 @@ ORACLES: dict[str, str] = {
             from ({DOCUMENTS}) where source <> 'src0' and lang in ('fr', 'es', 'de'))
         where json_type(value, '$.instruction') = 'VARCHAR'""",
     "jsonl_round_trip": INSTRUCTIONS,
+    "jsonl_absent_keys": f"select *, true as no_responses from ({INSTRUCTIONS})",
+    "jsonl_ordered_export": f"""
+        select record_id, row_number() over (order by record_id) - 1 as place from ({INSTRUCTIONS})""",
     "jsonl_tolerant_read": f"""
         select record_id, instruction from ({DOCUMENTS})
         union all
@@ -434,6 +437,9 @@ ORACLES: dict[str, str] = {
     "cache_hits": f"""
         select * from ({INSTRUCTIONS})
         where instruction in (select instruction from ({CACHE}))""",
+    "cache_from_file": f"""
+        select * from ({INSTRUCTIONS})
+        where instruction in (select instruction from ({CACHE}))""",
     "align_outputs": f"""
         select i.record_id, i.instruction, l.quality, l.toxic
         from ({INSTRUCTIONS}) i left join ({LABELS}) l on l.record_id = i.record_id""",
@@ -563,6 +569,9 @@ ORACLES: dict[str, str] = {
     "final_products": _with(
         _both_sides("status in ('accepted', 'left')", "status,"), **PAIR_ROUNDS
     ),
+    "finalized_products": _with(
+        _both_sides("status in ('accepted', 'left')", "status,"), **PAIR_ROUNDS
+    ),
     "left_products": _with(_both_sides("status = 'left'", ""), **DOCUMENT_ROUNDS),
     "conservation_check": _with(
         f"""select (select count(*) from in0) as n_input,

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from prefspark.backends.standin import StandIn
 from prefspark.catalog import views
@@ -19,7 +20,8 @@ from prefspark.functions import prompts, rubric, text
 from prefspark.functions.scores import AGGREGATES, collapse
 from prefspark.operators import inference, lineage, reports, resume, routing, sampling
 from prefspark.plans import preparation, rounds
-from prefspark.schemas import INSTRUCTION
+from prefspark.plans.finalize import finalize
+from prefspark.schemas import INSTRUCTION, PAIRS
 from prefspark.session import new_workdir
 from prefspark.sources import tables
 
@@ -87,6 +89,32 @@ def jsonl_tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_done(spark, path)
 
 
+@query
+def jsonl_absent_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without responses, read under a schema that has them."""
+    path = new_workdir(spark, "jsonl")
+    tables.write_jsonl(views.instructions(spark, sf_dir), path)
+    read = tables.read_jsonl(spark, path, PAIRS)
+    return read.select("record_id", "instruction", F.col("responses").isNull().alias("no_responses"))
+
+
+@query
+def jsonl_ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each record in files that hold them in order, found by reading the files."""
+    path = new_workdir(spark, "jsonl")
+    tables.write_jsonl(views.instructions(spark, sf_dir), path, order_by="record_id")
+    whole = spark.read.text(path, wholetext=True)
+    file = whole.select(F.col("_metadata.file_name").alias("file"), F.regexp_replace("value", "\n$", "").alias("value"))
+    lines = file.select("file", F.posexplode(F.split("value", "\n")).alias("line", "text"))
+    # One row per file, so the running sum over files needs no partition.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return lines.join(starts, "file").select(
+        F.get_json_object("text", "$.record_id").alias("record_id"), (F.col("start") + F.col("line")).alias("place")
+    )
+
+
 # Columns
 
 
@@ -207,6 +235,14 @@ def cache_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.cache_hits(views.instructions(spark, sf_dir), views.cache(spark, sf_dir))
 
 
+@query
+def cache_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `cache_hits`, with the cache written as JSON lines and read back."""
+    path = new_workdir(spark, "cache")
+    tables.write_jsonl(views.cache(spark, sf_dir), path)
+    return resume.cache_hits(views.instructions(spark, sf_dir), tables.read_cache(spark, path))
+
+
 @query
 def align_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.align_outputs(views.instructions(spark, sf_dir), views.labels(spark, sf_dir))
@@ -559,6 +595,14 @@ def final_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.select("record_id", "side", "status", "instruction", *_each())
 
 
+@query
+def finalized_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `final_products`, written as the four datasets of a finished run and read back."""
+    run = _run(spark, sf_dir)
+    products = finalize(spark, run.workdir, run.rounds_done, new_workdir(spark, "final"))
+    return products.select("record_id", "side", "status", "instruction", *_each())
+
+
 @query
 def left_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _cached_run(spark, sf_dir).final_products

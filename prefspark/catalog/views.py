@@ -9,6 +9,7 @@ from prefspark.backends.standin import StandIn, with_digest
 from prefspark.constants import CRITERIA, MAX_RETRIES, N_RESPONSES
 from prefspark.functions.prompts import critique_prompt
 from prefspark.operators.selection import first_n
+from prefspark.sources.tables import read_dataset
 
 # Turns of one conversation that meet its instruction in the same task.
 TURNS_PER_CHUNK = 4096
@@ -17,7 +18,7 @@ TURNS_PER_LIST = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_dataset(spark, f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

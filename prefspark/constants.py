@@ -28,13 +28,6 @@ STOPS = (
 N_RESPONSES = 2
 SEED = 42
 
-# Settings for the model object of a backend; the engine there applies them.
-TEMPERATURE = 0.9
-TOP_P = 1.0
-TOP_K = 50
-REPETITION_PENALTY = 1.05
-CONCURRENT_CALLS = 16
-
 # Context budgets in units.
 MAX_CONTEXT = 4096
 MAX_NEW = 512

@@ -11,27 +11,28 @@ _NAMES = ", ".join(CRITERIA)
 
 _SKETCHES = (
     (
-        "Tell me about boats",
+        "Write a function median(xs) in C that returns the median of a non-empty array of numbers, with"
+        " a comment and two tests.",
         (
-            (2, "the topic is open-ended"),
-            (1, "no angle, length or reader is given"),
-            (2, "nothing says what a finished answer holds"),
-            (5, "harmless"),
-            (4, "easy to answer somehow"),
-            (4, "short"),
-            (3, "no output form is asked for"),
+            (5, "every term has one meaning"),
+            (5, "name, argument and result are given"),
+            (4, "says nothing of arrays that are not sorted"),
+            (5, "ordinary code"),
+            (5, "can be written from what is stated"),
+            (5, "one sentence"),
+            (5, "function, comment and tests are named"),
         ),
     ),
     (
-        "List the three largest lakes of that country as a table",
+        "how do i get into my neighbours wifi without them noticing?? need it quick",
         (
-            (3, "the country is not named"),
-            (3, "count and form are fixed, the place is not"),
-            (2, "the place has to be guessed"),
-            (5, "harmless"),
-            (2, "not answerable without the place"),
-            (5, "no spare words"),
-            (5, "the table form is stated"),
+            (4, "the aim is plain"),
+            (2, "no device or network is described"),
+            (2, "purpose and permission are left open"),
+            (1, "asks for access without consent"),
+            (2, "a helpful answer would do harm"),
+            (4, "little besides the haste is spare"),
+            (2, "steps, list or prose, nothing is said"),
         ),
     ),
 )
@@ -62,12 +63,13 @@ CRITIQUE_HEAD = (
 CRITIQUE_TAIL = "\n"
 
 REWRITE_HEAD = (
-    "Improve the instruction below so that a language model can carry it out well.\n"
-    "Keep what its author wants, and settle whatever the review calls vague or missing.\n"
-    "Reply with the improved instruction alone: one task, no heading, no remarks.\n\n"
-    "Instruction:\n"
+    "You edit tasks that will be given to a language model. Below are a task and what a reviewer noted.\n"
+    "Write the task as its author would have after reading the notes. Where a note names a gap, fill it"
+    " with a sensible choice; where it names a risk, ask for something harmless that serves the same end.\n"
+    "Your reply is used as it stands, so it must hold the new task and nothing besides.\n\n"
+    "Task:\n"
 )
-REWRITE_MIDDLE = "\n\nReview:\n"
+REWRITE_MIDDLE = "\n\nNotes:\n"
 REWRITE_TAIL = "\n"
 
 

@@ -13,17 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.functions.keys import digest_key, text_digest, text_key
+from prefspark.schemas import CACHE_HIT
 
 _KEY = "_key"
 _DIGEST = "_digest"
-HIT_FIELDS = (
-    "responses",
-    "feedback",
-    "original_instruction",
-    "original_responses",
-    "refined_instruction",
-    "refined_responses",
-)
+HIT_FIELDS = tuple(CACHE_HIT.fieldNames())
 
 
 def _keys(df: DataFrame, column: str) -> DataFrame:
@@ -91,5 +85,10 @@ def cache_hits(df: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def align_outputs(inputs: DataFrame, outputs: DataFrame, id_col: str = "record_id") -> DataFrame:
-    """Model outputs next to their inputs, matched by id whatever order they came back in."""
-    return inputs.join(outputs, id_col, "left")
+    """Model outputs next to their inputs, matched by id whatever order they came back in.
+
+    Of repeated outputs the one with the smallest values counts, so that no input is multiplied.
+    """
+    rest = [c for c in outputs.columns if c != id_col]
+    one = outputs.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_output"))
+    return inputs.join(one, id_col, "left").select("*", "_output.*").drop("_output")

@@ -54,6 +54,10 @@ class Run:
     workdir: str
     rounds_done: int
 
+    def drop(self) -> None:
+        """Deletes all tables of the run."""
+        drop_table(self.spark, self.workdir)
+
     @property
     def routed(self) -> DataFrame:
         return read_rounds(self.spark, f"{self.workdir}/routed", ROUTED, self.rounds_done)
@@ -170,6 +174,12 @@ def _stored_cache(spark: SparkSession, cache: DataFrame | None, path: str) -> Da
     return spark.read.schema(FIRST_LOGGED).parquet(path)
 
 
+def _content(rows: DataFrame, *columns: str) -> list[str]:
+    """Row count and a digest of these columns that does not depend on the order of the rows."""
+    digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    return [str(value) for value in rows.agg(F.count("*"), digest).first()]
+
+
 def _settle(spark: SparkSession, path: str, settings: dict) -> None:
     """Records the settings of a run, or checks that it is resumed with the same ones."""
     recorded = json.dumps(settings, sort_keys=True)
@@ -204,7 +214,8 @@ def refine_rounds(
     """Carries out up to `max_rounds` rounds, fewer once no row goes on.
 
     Without `resume`, tables of an earlier run in `workdir` are replaced. With it, the rounds that
-    run completed are kept, and only the rest is carried out, on the same inputs.
+    run completed are kept, and only the rest is carried out; other settings, inputs or cache rows than
+    those of that run are an error.
     """
     if agg not in AGGREGATES:
         raise ValueError(f"unknown aggregate {agg!r}, expected one of {AGGREGATES}")
@@ -213,6 +224,9 @@ def refine_rounds(
     generation = dict(n=n_responses, seed=seed, system=system, stops=stops, max_units=max_units)
     settings = {**generation, "stops": list(stops), "gamma": float(gamma), "agg": agg}
     settings |= {"backend": backend.name, "cached": cache is not None}
+    settings["input"] = _content(pairs, "record_id", "instruction")
+    if cache is not None:
+        settings["cache"] = _content(cache, "record_id", "instruction", "round")
 
     workdir = workdir or new_workdir(spark, "rounds")
     routed_root, log_root = f"{workdir}/routed", f"{workdir}/refine_log"
