@@ -39,7 +39,8 @@ def first_valid_attempt(attempts: DataFrame, max_retries: int = MAX_RETRIES) ->
         attempts.filter(F.col("attempt") <= max_retries)
         .withColumn("feedback_json", parsed)
         .groupBy("record_id")
-        .agg(F.min_by(F.struct("feedback", "feedback_json", "error"), place).alias("outcome"))
+        # An unreadable text is not sent along, as it cannot be the outcome.
+        .agg(F.min_by(F.when(settles, F.struct("feedback", "feedback_json", "error")), place).alias("outcome"))
         .filter(F.col("outcome").isNotNull())
         .select("record_id", "outcome.*")
     )
