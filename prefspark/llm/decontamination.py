@@ -38,9 +38,9 @@ from prefspark.llm.common import written
 CELL = 16
 ENERGY = 0.9
 SHARE = 0.6
-COSINE = 0.4
-PART = 0.25
-STOP = 0.02
+COSINE = 0.5
+PART = 0.3
+STOP = 0.01
 #: A benchmark passage with fewer weighted words than this keeps the weights of all its words.
 FEW_WORDS = 5
 #: Item passages start this many words apart, so that one of them lies close to any passage of a text.
