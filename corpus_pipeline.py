@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from prefspark.llm import decontamination, mixing, quality, sharding, simhash
 from prefspark.llm.common import table, written
 
-#: Near copies are those of five-word shingles whose fingerprints differ in at most 7 of 64 bits, which
-#: for the angle between them means a similarity well above 0.8.
-NEAR_SHINGLE, NEAR_BITS = 5, 7
+#: Near copies share five-word shingles to a Jaccard similarity of at least 0.8, which is confirmed by the
+#: shingles; fingerprints within 7 bits are candidates beside those of the MinHash bands.
+NEAR_SHINGLE, NEAR_BITS, NEAR_SIMILARITY = 5, 7, 0.8
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +21,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
-    return simhash.near_dedup(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS)
+    return simhash.near_dedup(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS, similarity=NEAR_SIMILARITY)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,35 +29,51 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prefspark.llm import jaccard
 from prefspark.llm.common import without, written
 from prefspark.llm.components import components
 
 BITS = 64
 SHINGLE = 4
 MAX_BITS = 4
+SIMILARITY = 0.8
 SEED = 42
 #: Copies at one anchor above which those at home are dealt to several tasks.
 HOT_ANCHOR = 50_000
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """A bit is one if it is in over half of the hashes of the text's shingles."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> Iterator[np.ndarray]:
+    """The hashes of the text's shingles, in parts."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     size = min(shingle, len(words))
     spans = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)
-    digest, n, ones = xxhash.xxh64_intdigest, len(words) - size + 1, np.zeros(BITS, dtype=np.int64)
+    digest = xxhash.xxh64_intdigest
     while part := list(itertools.islice(spans, _CHUNK)):
-        hashes = np.array([digest(joined[a:b], seed) for a, b in part], dtype="<u8")
+        yield np.array([digest(joined[a:b], seed) for a, b in part], dtype="<u8")
+
+
+def _print_of(parts: list[np.ndarray]) -> int:
+    n, ones = sum(map(len, parts)), np.zeros(BITS, dtype=np.int64)
+    for hashes in parts:
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return sum(1 << k for k in np.flatnonzero(2 * ones > n).tolist())
 
 
+def _set_of(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, dtype="<u8"), *parts]))
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """A bit is one if it is in over half of the hashes of the text's shingles."""
+    return _print_of(list(shingle_hashes(text, shingle, seed)))
+
+
 def fingerprints(docs: DataFrame, *, shingle=SHINGLE, seed=SEED, text_col="text") -> DataFrame:
     """The documents with `simhash`, a 64-bit number in two's complement."""
 
@@ -231,13 +247,57 @@ def near_duplicates(
     return prints.join(by_print, "simhash").select("doc_id", "simhash", "component_id")
 
 
-def near_dedup(docs: DataFrame, *, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """The documents whose id is the smallest of their component; rows without an id stay.
+def near_dedup(
+    docs: DataFrame, *, shingle=SHINGLE, max_bits=MAX_BITS, similarity=SIMILARITY, seed=SEED, id_col="doc_id", text_col="text",
+) -> DataFrame:
+    """The document with the smallest id of each component; rows without an id stay.
 
-    Of rows that repeat the smallest id, one stays.
+    Links are those whose sets of shingles have a Jaccard similarity of `similarity` or more, which the
+    sets confirm; candidates come from the fingerprints and from the bands of `jaccard`. Of rows that
+    repeat the smallest id within a component, one stays.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    kept = written(found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "simhash-kept")
-    rows = docs.join(kept, F.col(id_col).cast("long") == F.col("__kept"), "left_semi")
-    unique = rows.dropDuplicates([id_col])
-    return unique.unionByName(docs.where(F.col(id_col).isNull()))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__text": F.xxhash64(text)})
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, prints, keys = [], [], []
+            for value in batch.column(2).to_pylist():
+                parts = list(shingle_hashes(value, shingle, seed))
+                held = _set_of(parts)
+                names.append(jaccard.name(held))
+                prints.append(_print_of(parts))
+                keys.append(jaccard.bands(held))
+            columns = [pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in (names, prints)]
+            columns += [pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "text", "set", "simhash", "bands"])
+
+    marked = keyed.select("__id", "__text", text.alias("t")).mapInArrow(mark, "id long, text long, set long, simhash long, bands array<long>")
+    marks = written(marked, "near-marks")
+    least = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text"))).alias("least")
+    grouped = marks.groupBy("set").agg(least, F.min("text").alias("text"), F.min("simhash").alias("simhash"), F.first("bands").alias("bands"))
+    distinct = written(grouped, "near-distinct")
+
+    def sets_of(needed: DataFrame) -> DataFrame:
+        wanted = distinct.join(needed, "set").select("set", F.col("text").alias("__text"))
+        texts = keyed.select("__text", text.alias("t")).join(wanted, "__text").select("set", "t").dropDuplicates(["set"])
+
+        def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held = [_set_of(list(shingle_hashes(value, shingle, seed))) for value in batch.column(1).to_pylist()]
+                columns = [batch.column(0), pa.array([len(h) for h in held], pa.int32()), pa.array([h.tobytes() for h in held], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["set", "n", "shingles"])
+
+        return texts.mapInArrow(shingles, "set long, n int, shingles binary")
+
+    # A fingerprint is one of its sets; the others are candidates with it.
+    prints = written(distinct.groupBy("simhash").agg(F.min("set").alias("of")), "near-prints")
+    near = links(prints, max_bits).join(prints.toDF("a", "of_a"), "a").join(prints.toDF("b", "of_b"), "b")
+    same = distinct.join(prints, "simhash").where("set <> of")
+    more = near.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).unionByName(same.select(F.col("set").alias("a"), F.col("of").alias("b")))
+    labels = jaccard.linked_components(distinct.select("set", "bands"), more, sets_of, similarity)
+    labelled = distinct.join(labels, distinct["set"] == labels["node"], "left").select(F.coalesce("label", "set").alias("label"), "least")
+    firsts = labelled.groupBy("label").agg(F.min("least").alias("least")).where("least is not null")
+    kept = written(firsts.select(F.col("least.id").alias("__id"), F.col("least.text").alias("__text")), "simhash-kept")
+    unique = keyed.join(kept, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"])
+    return unique.unionByName(keyed.where("__id is null")).drop("__id", "__text")
