@@ -8,7 +8,9 @@ folded into that space. One whose cosine with a benchmark passage is COSINE or m
 along it is at least PART of its length, is a candidate (the latter as a passage of few weighted words
 points anywhere). A candidate's surroundings are then compared with the item by their longest common
 subsequence of words: a share of LCS of the item's words or more is a leak, and so is a share of
-PARAPHRASE or more if the item's answer is found there as well. Words in over STOP of all cells weigh
+PARAPHRASE or more if the item's answer is found there as well. A benchmark without an answer column has
+no answers to check; the item's last ANSWER_WORDS words then stand in for one, if it has at least twice as
+many words, and a paraphrase that changes two of them is not found. Words in over STOP of all cells weigh
 nothing, but for items that have few others; they count like any in the comparison of words.
 
 Words are compared in lower case and without punctuation. Only words of the benchmark matter for all
@@ -126,10 +128,11 @@ class Items:
         number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
         self.ids = [i for i, _, _ in rows]
         self.words = [[number(w) for w in plain_words(text)] for _, text, _ in rows]
-        # Where the benchmark has no answers, an item's last words stand for it.
+        self.answered = [bool(plain_words(answer)) for _, _, answer in rows]
+        # Where the benchmark has no answers, an item's last words stand in for them.
         self.answers = [
-            [number(w) for w in plain_words(answer)] if answer else words[-ANSWER_WORDS:]
-            for (_, _, answer), words in zip(rows, self.words, strict=True)
+            [number(w) for w in plain_words(answer)] if answered else words[-ANSWER_WORDS:]
+            for (_, _, answer), words, answered in zip(rows, self.words, self.answered, strict=True)
         ]
         self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         self.tokens = np.array([w for words in self.words for w in words], dtype=np.int64)
@@ -150,7 +153,7 @@ class Items:
         share, start = best
         if share >= LCS:
             return best
-        if share >= PARAPHRASE and n >= 2 * ANSWER_WORDS:
+        if share >= PARAPHRASE and (self.answered[item] or n >= 2 * ANSWER_WORDS):
             if lcs_length(answer, text[start : start + reach + len(answer)]) >= 0.8 * len(answer):
                 return best
         return None

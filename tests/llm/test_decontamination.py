@@ -97,3 +97,18 @@ def test_edge_cases(spark, edge_docs, no_docs):
     assert sorted(r.doc_id for r in d.decontaminate(edge_docs, items).collect()) == [1, 2, 3, 4, 8, 9, 10, 11, 11]
     assert d.leaks(no_docs, items).collect() == [] and d.leaks(edge_docs, items.limit(0)).collect() == []
     assert d.decontaminate(edge_docs, items.limit(0)).count() == edge_docs.count()
+
+
+def test_short_item_with_an_answer(spark):
+    """A paraphrase of an item under ten words leaks if the given answer follows, and only then."""
+    rng = random.Random(6)
+    filler = lambda n: " ".join(f"f{rng.getrandbits(30)}" for _ in range(n))
+    changed = "which river runs oddly beyond old vienna today"
+    docs = [(1, f"{filler(40)} {changed} danube {filler(40)}"), (2, f"{filler(40)} {changed} rhine {filler(40)}")]
+    docs += [(k, filler(80)) for k in range(3, 40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "which river flows through the old vienna today", "Danube")], "item_id long, text string, answer string")
+    assert [r.doc_id for r in d.leaks(df, items, answer_col="answer").collect()] == [1]
+    (item,) = d.Items([(1, "one two three four five", "six")]).words
+    assert d.Items([(1, "one two three four five", "six")]).leak(0, [1, 2, 3, 9, 9, 6], 0, 6) and len(item) == 5
+    assert d.Items([(1, "one two three four five", None)]).leak(0, [1, 2, 3, 9, 9, 6], 0, 6) is None
