@@ -19,7 +19,8 @@ benchmark is taken in slices of at most SLICE_WORDS words, whose vectors are wha
 
 Defined results
 * A null or empty text, in either table, is linked with nothing; nor is an item without words.
-* Rows that share a document id, or have none, are one document; likewise for items.
+* Rows that share a document id, or have none, are one document in `leaks`; likewise for items.
+  `decontaminate` judges rows with an id one by one; those without are one document.
 * An empty table on either side gives no links. Further columns are ignored, whatever their names.
 """
 
@@ -374,8 +375,14 @@ def leaks(
     return best.select(doc_id.alias("doc_id"), "item_id", "m.lcs_share", "m.cosine", (-F.col("m.col3")).alias("first_word"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id_col="doc_id", **options) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    found = leaks(docs, benchmark, doc_id_col=doc_id_col, **options)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id_col="doc_id", text_col="text", **options) -> DataFrame:
+    """The documents that hold no benchmark item.
+
+    A row with an id is judged by its own text, also where others share the id; its key is a hash of both,
+    so that reruns agree. Rows without an id are one document.
+    """
+    number, text = F.col(doc_id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumn("__row", F.when(number.isNotNull(), F.xxhash64(number, text)))
+    found = leaks(keyed, benchmark, doc_id_col="__row", text_col=text_col, **options)
     held = written(found.select(F.col("doc_id").alias("__leaking")).distinct(), "leaking")
-    return docs.join(held, F.col(doc_id_col).cast("long").eqNullSafe(F.col("__leaking")), "left_anti")
+    return keyed.join(held, F.col("__row").eqNullSafe(F.col("__leaking")), "left_anti").drop("__row")

@@ -112,3 +112,12 @@ def test_short_item_with_an_answer(spark):
     (item,) = d.Items([(1, "one two three four five", "six")]).words
     assert d.Items([(1, "one two three four five", "six")]).leak(0, [1, 2, 3, 9, 9, 6], 0, 6) and len(item) == 5
     assert d.Items([(1, "one two three four five", None)]).leak(0, [1, 2, 3, 9, 9, 6], 0, 6) is None
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    rng = random.Random(7)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    item, clean = text(40), text(100)
+    df = spark.createDataFrame([(1, f"{text(50)} {item} {text(50)}"), (1, clean), (2, clean)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in d.decontaminate(df, items).collect()) == [(1, clean), (2, clean)]
