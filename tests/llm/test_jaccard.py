@@ -102,3 +102,19 @@ def test_one_id_with_two_texts(spark):
     rows = [(1, "a first text of some seven words"), (1, "and quite another with no word alike"), (1, "a first text of some seven words")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.text for r in simhash.near_dedup(df).collect()) == sorted({t for _, t in rows})
+
+
+def test_near_fingerprints_below_the_threshold_stay(spark):
+    """Texts within 7 bits of an earlier one and under 0.75 of its shingles are no copies of it."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(300)]
+    print_of = simhash.fingerprint(" ".join(base), 5)
+    texts = {0: " ".join(base)}
+    for k in range(1, 3000):
+        text = " ".join(changed(rng, base, 11))
+        sets = brute_sets({0: texts[0], k: text})
+        near = len(sets[0] & sets[k]) / len(sets[0] | sets[k])
+        if near < 0.75 and (print_of ^ simhash.fingerprint(text, 5)).bit_count() <= 7:
+            texts[k] = text
+    assert len(texts) > 3
+    assert kept(spark, texts) == brute_kept(texts) == sorted(texts)
