@@ -2,17 +2,12 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
-from prefspark.backends.standin import StandIn  # noqa: E402
 from prefspark.session import CHECKPOINT_DIR, local_session  # noqa: E402
 
-TESTDATA = "/root/testdata"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
@@ -39,32 +34,3 @@ def conf(spark):
             spark.conf.unset(name)
         else:
             spark.conf.set(name, value)
-
-
-class ByLength(StandIn):
-    """Scores by length and halves what it rewrites, so that a test can set how rounds end.
-
-    Its responses to a rewritten instruction are twice as long as that.
-    """
-
-    def score(self, instruction, responses):
-        share = lambda r: F.length(r).cast("double") / (F.length(r) + F.length(instruction))
-        return F.when(instruction.isNotNull(), F.transform(responses, share))
-
-    def generate(self, instruction, messages, n, seed, stops):
-        texts = F.array(*[F.concat(instruction, instruction) for _ in range(n)])
-        return F.struct(F.when(instruction.isNotNull(), texts).alias("texts"), F.lit(None).cast("string").alias("error"))
-
-    def rewrite(self, instruction, prompt):
-        half = F.left(instruction, F.ceil(F.length(instruction) / 2.0).cast("int"))
-        return F.struct(F.when(prompt.isNotNull(), half).alias("text"), F.lit(None).cast("string").alias("error"))
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def run_plan_of(df) -> str:
-    """The plan after execution, with the changes adaptive execution made."""
-    df.collect()
-    return plan_of(df)

@@ -4,7 +4,7 @@ import threading
 import time
 
 import pytest
-from conftest import TESTDATA, plan_of
+from helpers import TESTDATA, plan_of
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@
 
 import pytest
 from check_queries import connect, difference
-from conftest import TESTDATA, plan_of
+from helpers import TESTDATA, plan_of
 
 import __spark_entry__ as entry_points
 from prefspark.catalog.oracles import ORACLES as SQL

@@ -1,5 +1,5 @@
 import pytest
-from conftest import ByLength
+from helpers import ByLength
 from pyspark.sql import functions as F
 from test_rubric import BASE
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import run_plan_of
+from helpers import run_plan_of
 from pyspark.sql import functions as F
 
 from prefspark.backends.standin import StandIn

@@ -3,7 +3,7 @@ import os
 import sys
 
 import pytest
-from conftest import TESTDATA, ByLength, run_plan_of
+from helpers import TESTDATA, ByLength, run_plan_of
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

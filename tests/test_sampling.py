@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from prefspark.operators.sampling import sample_fraction, sample_size

@@ -1,7 +1,7 @@
 """Derived inputs on conversations of very different length."""
 
 import pytest
-from conftest import ByLength
+from helpers import ByLength
 
 from prefspark.catalog import views
 from prefspark.operators.inference import score_single
