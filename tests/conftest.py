@@ -8,6 +8,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
 from prefspark.session import CHECKPOINT_DIR, local_session  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
