@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import decontamination, katz, mixing, quality, rules, sharding, simhash, substrings, token_files, warc
+from prefspark.llm import decontamination, katz, mixing, prefix_tokens, quality, rules, sharding, simhash, substrings, token_files, warc
 from prefspark.llm.common import fold, table
 
 
@@ -72,10 +72,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(docs).select("doc_id", "bytes", "shard", "shard_depth", "shard_bytes")
 
 
+#: The limit that op11 asks about.
+TOKEN_LIMIT = 512
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stored = prefix_tokens.stored_prefixes(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    prefix = F.col("prefix")
+    return stored.select(
+        "doc.doc_id", prefix["n_bytes"].alias("n_bytes"), prefix["n_tokens"].alias("n_tokens"),
+        (prefix["n_tokens"] > TOKEN_LIMIT).alias("over_limit"),
+        prefix_tokens.longest_within(prefix, TOKEN_LIMIT).alias("kept_chars"),
+    )
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_simhash_neardup, op3_quality_classifier, op4_quality_rules, op5_decontamination,
-        op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding,
+        op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding, op11_token_counts,
     )
 }
 

@@ -19,7 +19,7 @@ def test_sql(spark, name):
 
 
 def test_each_operator_has_one_query():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, len(QUERIES) + 1)]
 
 
 def test_pipeline(spark):

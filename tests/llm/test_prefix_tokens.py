@@ -1,0 +1,114 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest_llm import SF_DIR
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from prefspark.llm import prefix_tokens
+from prefspark.llm.queries import TOKEN_LIMIT, op11_token_counts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PARTS = [
+    "a", "B", " ", "  ", "   ", "\n", "\n\n", "\t", "don't", "'s", "'", "'ll", "'re", "'ve", "l", "12", ".", ",!", "é", "ñu", "\xa0", "　",
+    "\x1c", "\x85", "​", "<|endoftext|>", "<|endof", "\0", "\r\n", "日本", "\U0001f600", "x's y", "hello", "----", "aaaa", "Thaea", "×",
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return prefix_tokens.PrefixCounter(PATH)
+
+
+def brute(tokenizer, text):
+    """The count of every prefix, each encoded anew."""
+    return [len(e.ids) for e in tokenizer.encode_batch([text[:k] for k in range(len(text) + 1)], add_special_tokens=False)]
+
+
+def counts(counter, text):
+    return [0, *np.cumsum(counter.steps(text), dtype=np.int64).tolist()]
+
+
+def test_every_prefix_of_odd_texts(counter, tokenizer):
+    rng = random.Random(1)
+    for _ in range(1500):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(0, 14)))
+        assert counts(counter, text) == brute(tokenizer, text), repr(text)
+
+
+def test_every_prefix_of_given_texts(counter, tokenizer, texts):
+    for text in sorted(texts.values(), key=lambda t: (len(t), t))[:60]:
+        assert counts(counter, text) == brute(tokenizer, text)
+
+
+def test_the_vocabulary_holds_what_the_method_needs(counter):
+    """Every token's own bytes have that one token."""
+    assert all(counter._ask(("", token)) for token in list(counter.vocabulary)[::17])
+
+
+def test_long_pieces_are_linear(counter, tokenizer):
+    for text in ("a" * 30_000, "ab" * 20_000, "-" * 9000, "é日" * 4000, " " * 5000 + "x"):
+        got = counts(counter, text)
+        for k in (1, 2, 777, len(text) // 2, len(text) - 1, len(text)):
+            assert got[k] == len(tokenizer.encode(text[:k], add_special_tokens=False).ids)
+
+
+def test_wide_steps(counter, monkeypatch):
+    monkeypatch.setattr(counter, "_counts", lambda chunk: [0, 300])
+    counter.memo.pop("q", None)
+    assert counter.steps("q").tolist() == [300] and counter.steps("q").dtype == np.int32
+
+
+def test_memory_is_bounded(monkeypatch, tokenizer, texts):
+    monkeypatch.setattr(prefix_tokens, "MEMO_CHUNKS", 50)
+    monkeypatch.setattr(prefix_tokens, "MEMO_PAIRS", 50)
+    small = prefix_tokens.PrefixCounter(PATH)
+    for text in list(texts.values())[:20]:
+        assert small.steps(text).sum(dtype=int) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+    assert len(small.memo) <= 50 and len(small.older) <= 50 and len(small.pairs) <= 50
+
+
+def test_query(spark, tokenizer, texts):
+    rows = {r.doc_id: r for r in op11_token_counts(spark, SF_DIR).collect()}
+    assert rows.keys() == texts.keys()
+    for doc_id, text in texts.items():
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        row = rows[doc_id]
+        assert (row.n_bytes, row.n_tokens, row.over_limit) == (len(text.encode()), n, n > TOKEN_LIMIT)
+        cut = len(tokenizer.encode(text[: row.kept_chars], add_special_tokens=False).ids)
+        assert cut <= TOKEN_LIMIT and (row.kept_chars < len(text)) == (n > TOKEN_LIMIT)
+        if row.kept_chars < len(text):  # no longer prefix fits
+            assert min(counts(prefix_tokens._counter(PATH), text)[row.kept_chars + 1 :]) > TOKEN_LIMIT
+
+
+def test_questions_and_edges(spark, edge_docs, no_docs, tokenizer):
+    stored = prefix_tokens.stored_prefixes(edge_docs, PATH)
+    prefix = F.col("prefix")
+    places = F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1, 5, 10**6)], F.lit(None).cast("int"))).alias("k")
+    asked = stored.select("doc.text", "prefix", places).select("text", "k", prefix_tokens.tokens_before(prefix, F.col("k")).alias("n"))
+    for row in asked.collect():
+        want = None if row.k is None else len(tokenizer.encode((row.text or "")[: max(row.k, 0)], add_special_tokens=False).ids)
+        assert row.n == want
+    cut = prefix_tokens.truncated(stored, 7)
+    assert cut.columns == edge_docs.columns and cut.count() == edge_docs.count()
+    for row in cut.collect():
+        assert len(tokenizer.encode(row.text or "", add_special_tokens=False).ids) <= 7
+    kinds = stored.select(prefix_tokens.longest_within(prefix, -1).alias("none"), prefix_tokens.longest_within(prefix, 0).alias("zero"))
+    assert {(r.none, r.zero) for r in kinds.collect()} == {(None, 0)}
+    nulls = stored.where("doc.doc_id = 1").first()
+    assert (nulls.prefix.n_bytes, nulls.prefix.n_tokens, len(nulls.prefix.steps)) == (0, 0, 0)
+    assert prefix_tokens.stored_prefixes(no_docs, PATH).count() == 0
+    with pytest.raises(ValueError):
+        prefix_tokens.truncated(stored, -1)
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        prefix_tokens.PrefixCounter(public_tokenizers.path("word_bpe_49k.json"))
