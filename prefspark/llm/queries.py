@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import decontamination, katz, mixing, prefix_tokens, quality, rules, sharding, simhash, substrings, token_files, warc
+from prefspark.llm import decontamination, katz, mixing, prefix_tokens, quality, rules, sharding, simhash, substrings, token_files, warc, whitening
 from prefspark.llm.common import fold, table
 
 
@@ -89,10 +89,20 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    each = F.posexplode(F.arrays_zip("result.whitened", "result.explained")).alias("place", "of")
+    return found.select("row.vec_id", "result", each).select(
+        "vec_id", (F.col("place") + 1).alias("component"), "result.n", "result.deviation", "of.whitened", "of.explained",
+        "result.identity_error",
+    )
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_simhash_neardup, op3_quality_classifier, op4_quality_rules, op5_decontamination,
         op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding, op11_token_counts,
+        op12_embedding_whitening,
     )
 }
 
