@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prefspark.sources.tables import drop_table, write_table
+from prefspark.sources.tables import write_table
 
 # monotonically_increasing_id: the partition above these bits, the row below them.
 ROW_BITS = 33
@@ -121,8 +121,3 @@ def in_input_order(lines: DataFrame, path: str, name: str = "seq") -> DataFrame:
     joined = splits.join(starts, keys)
     number = F.col("_before") + F.col(_PLACE) - F.col("_first")
     return joined.select(*[F.col(c) for c in kept], number.alias(name))
-
-
-def drop_order(df: DataFrame, path: str) -> None:
-    """Deletes the folder of stored rows once their numbers have been written elsewhere."""
-    drop_table(df.sparkSession, path)
