@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm import decontamination, katz, mixing, prefix_tokens, quality, rules, sharding, simhash, substrings, token_files, warc, whitening
+from prefspark.llm import decontamination, katz, merkle, mixing, prefix_tokens, quality, rules, sharding, simhash, substrings, token_files, warc, whitening
 from prefspark.llm.common import fold, table
 
 
@@ -98,16 +98,83 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document, by its id's checksum, is checked with its text in lower case."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    values = [F.translate("text", upper, upper.lower()) if f == "text" else F.col(f) for f in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle.proofs(merkle.build(docs, claim=F.when(tampered, merkle.leaf(*values))))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"), F.col("group").alias("lang"), "place",
+    )
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_simhash_neardup, op3_quality_classifier, op4_quality_rules, op5_decontamination,
         op6_language_model, op7_source_mix, op8_warc, op9_token_files, op10_sharding, op11_token_counts,
-        op12_embedding_whitening,
+        op12_embedding_whitening, op13_merkle_manifest,
     )
 }
 
 _SIZED = r"select doc_id, text, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents"
 
+
+def _merkle_sql(inner: int = 8, outer: int = 4) -> str:
+    """The trees level by level: `inner` levels within a language hold 8 ** inner documents, `outer` ones 8 ** outer languages."""
+
+    def tree(name: str, depth: int) -> list[str]:
+        """From {name}_0 (tree, place, h): the nodes of each level, and the runs that they form below it."""
+        steps = []
+        for k in range(depth):
+            steps.append(
+                f"{name}_runs_{k} as (select tree, place // 8 as run, list(h order by place) as hs, sum(count(*)) over (partition by tree) as n"
+                f" from {name}_{k} group by tree, place // 8)"
+            )
+            steps.append(
+                f"{name}_{k + 1} as (select tree, run as place, case when n > 1 then sha256(array_to_string(hs, '')) else hs[1] end as h from {name}_runs_{k})"
+            )
+        return steps
+
+    def climb(name: str, depth: int, before: str, key: str, place: str) -> list[str]:
+        """Of each leaf: its proof so far, as text, and what its claim has become."""
+        steps = []
+        for k in range(depth):
+            source = before if k == 0 else f"{name}_climb_{k - 1}"
+            at = f"({place} // {8**k})"
+            steps.append(
+                f"{name}_climb_{k} as (select c.* exclude (proof, node), "
+                f"case when r.n > 1 then c.proof || array_to_string(r.hs[:{at} % 8] || r.hs[{at} % 8 + 2:], '') else c.proof end as proof, "
+                f"case when r.n > 1 then sha256(array_to_string(r.hs[:{at} % 8] || [c.node] || r.hs[{at} % 8 + 2:], '')) else c.node end as node "
+                f"from {source} c join {name}_runs_{k} r on r.tree = c.{key} and r.run = {at} // 8)"
+            )
+        return steps
+
+    field = lambda v: f"coalesce(strlen({v}::varchar) || ':' || {v}::varchar, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(text if f == "text" else f) for f in merkle.FIELDS) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)"
+    crc = f"xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::varchar, ''), lambda d: ascii(d)::bigint)), lambda c, b: {byte}), 4294967295)"
+    steps = [
+        f"leaves as (select doc_id, lang, {leaf('text')} as leaf, case when {crc} % 3 = 0 then {leaf(lower)} else {leaf('text')} end as node from documents)",
+        "placed as (select *, case when lang is null then '0' else '1' || lang end as tree, '' as proof,"
+        " row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place from leaves)",
+        "lang_0 as (select tree, place, leaf as h from placed)",
+        *tree("lang", inner),
+        f"root_0 as (select '' as tree, row_number() over (order by tree) - 1 as place, h, tree as of from lang_{inner})",
+        *tree("root", outer),
+        *climb("lang", inner, "placed", "tree", "c.place"),
+        f"joined as (select c.*, '' as top, t.h as subroot, t.place as lang_place from lang_climb_{inner - 1} c join root_0 t on t.of = c.tree)",
+        *climb("root", outer, "joined", "top", "c.lang_place"),
+    ]
+    return (
+        "with " + ",\n".join(steps) + "\nselect c.doc_id, c.leaf, c.subroot, r.h as root, sha256(c.proof) as proof_sha256, c.node as folded_root,"
+        f" c.node = r.h as verified, c.lang, c.place::bigint as place from root_climb_{outer - 1} c, root_{outer} r"
+    )
+
+
 ORACLES = {
     "op7_source_mix": rf"""
 with sized as ({_SIZED}),
@@ -148,4 +215,5 @@ fitting as (
 select doc_id, bytes, case when depth = 0 then '' else right(lpad(bin(head), 64, '0'), depth::int) end as shard,
   depth::int as shard_depth, shard_bytes::bigint as shard_bytes
 from fitting where k = 1""",
+    "op13_merkle_manifest": _merkle_sql(),
 }
