@@ -19,6 +19,9 @@ class Backend(Protocol):
     def score(self, instruction: Column, responses: Column) -> Column:
         """`array<double>`, one score per response; null where scoring failed."""
 
+    def score_pairs(self, instructions: Column, responses: Column) -> Column:
+        """As `score`, with an array that holds an instruction for each response."""
+
     def generate(
         self,
         instruction: Column,

@@ -53,6 +53,9 @@ class StandIn:
 
         return F.when(instruction.isNotNull(), F.transform(responses, share))
 
+    def score_pairs(self, instructions: Column, responses: Column) -> Column:
+        return F.zip_with(instructions, responses, lambda i, r: self.score(i, F.array(r))[0])
+
     def generate(
         self,
         instruction: Column,

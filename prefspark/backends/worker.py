@@ -104,37 +104,38 @@ class WorkerBackend:
         self._threads = threads
 
     def score(self, instruction: Column, responses: Column) -> Column:
+        return self._score(F.when(responses.isNotNull(), F.array(instruction)), responses)
+
+    def score_pairs(self, instructions: Column, responses: Column) -> Column:
+        return self._score(instructions, responses)
+
+    def _score(self, instructions: Column, responses: Column) -> Column:
+        """Scores by an array of one instruction for all responses of a row, or of one for each."""
         factory, size, threads = self._held, self._batch_size, self._threads
 
+        def pairs_of(asked, answers) -> list[tuple[str, str] | None]:
+            of = [asked[0]] * len(answers) if len(asked) == 1 else asked
+            return [None if i is None or r is None else (i, r) for i, r in zip(of, answers, strict=True)]
+
         @F.pandas_udf("array<double>")
         def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             model = factory()
-            for instructions, lists in batches:
+            for asked_lists, lists in batches:
                 # Flatten the lists of a batch, score all pairs together, cut them up again.
-                skipped = [i is None or r is None for i, r in zip(instructions, lists)]
-                sizes = [0 if skip else len(r) for skip, r in zip(skipped, lists)]
-                pairs = pd.Series(
-                    [
-                        None if text is None else (i, text)
-                        for i, r, skip in zip(instructions, lists, skipped)
-                        if not skip
-                        for text in r
-                    ],
-                    dtype=object,
-                )
+                rows = [
+                    None if a is None or r is None or (len(a) == 1 and a[0] is None) else pairs_of(a, r)
+                    for a, r in zip(asked_lists, lists)
+                ]
+                flat = pd.Series([pair for row in rows if row is not None for pair in row], dtype=object)
                 scored = _call_present(
-                    model.score, pairs, size, threads, lambda pair: len(pair[0]) + len(pair[1])
+                    model.score, flat, size, threads, lambda pair: len(pair[0]) + len(pair[1])
                 )
                 values = iter([value for value, _ in scored])
                 yield pd.Series(
-                    [
-                        None if skip else [next(values) for _ in range(count)]
-                        for skip, count in zip(skipped, sizes)
-                    ],
-                    dtype=object,
+                    [None if row is None else [next(values) for _ in row] for row in rows], dtype=object
                 )
 
-        return run.asNondeterministic()(instruction, responses)
+        return run.asNondeterministic()(instructions, responses)
 
     def generate(
         self,

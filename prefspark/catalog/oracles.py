@@ -10,6 +10,7 @@ from prefspark.catalog.queries import (
     QUERY_STOPS,
     SAMPLE_SIZE,
     SCORED_UNITS,
+    SHARES,
     SYSTEM,
 )
 from prefspark.constants import (
@@ -95,6 +96,18 @@ def _scores(text: str = "instruction", responses: str = "responses") -> str:
     return f"list_transform({responses}, lambda r: {_score(text, 'r')})"
 
 
+def _budgeted(text: str, responses: str, budget: int) -> tuple[str, str]:
+    """Scores of the conversations' tails, and which of them were cut."""
+    asked_units, answer_units = f"len({_units(text)})", f"len({_units('r')})"
+    pieces = rf"regexp_extract_all({text}, '\S+\s*')"
+    asked = f"""(case when {asked_units} + {answer_units} <= {budget} then {text}
+        when {answer_units} >= {budget} then case when {asked_units} = 0 then {text} else '' end
+        else array_to_string({pieces}[-({budget} - {answer_units}):], '') end)"""
+    scores = f"list_transform({responses}, lambda r: {_score(asked, _tail('r', budget))})"
+    flags = f"list_transform({responses}, lambda r: {asked_units} + {answer_units} > {budget})"
+    return scores, flags
+
+
 _SHOWN = MAX_CONTEXT - MAX_NEW
 
 
@@ -286,11 +299,30 @@ def _fraction(source: str, fraction: float) -> str:
     return _sample(source, f"floor(n * {fraction}::double)")
 
 
+REPEATED_IDS = f"""
+    select case when lang <> 'en' then cast(cast(record_id as bigint) % 10 as varchar) end as record_id, instruction
+    from ({DOCUMENTS})
+    union all select null, 'equal' from ({DOCUMENTS}) where source = 'src0'"""
+
+
+def _sized(column: str) -> str:
+    return f"coalesce(strlen({column}) || ':' || {column}, '-')"
+
+
+# Rows in seeded order, those with one id by their content.
+SHUFFLED = f"""
+    select *, row_number() over (order by md5('{SEED}:' || coalesce(record_id, '')),
+            md5({_sized('record_id')} || {_sized('instruction')})) - 1 as place,
+        count(*) over () as n
+    from ({REPEATED_IDS})"""
+
 # Rounds
 
 
-def _rounds(source: str, gamma: float, agg: str, cached: bool) -> dict[str, str]:
+def _rounds(source: str, gamma: float, agg: str, cached: bool, budget: int | None = None) -> dict[str, str]:
     """CTEs in<i>, routed<i> and log<i> for every round, and `ended` with where records ended."""
+    asked = ("r.instruction", "r.responses")
+    scores, flags = (_scores(*asked), "cast(null as boolean[])") if budget is None else _budgeted(*asked, budget)
     hits = FIRST_LOGGED if cached else f"select * from ({CACHE}) where false"
     ctes = {
         "hits": hits,
@@ -304,8 +336,7 @@ def _rounds(source: str, gamma: float, agg: str, cached: bool) -> dict[str, str]
                 when {_collapsed(agg)} is null then 'invalid'
                 when {_collapsed(agg)} < {gamma}::double then 'refine' else 'accepted' end as route
             from (select r.*, h.record_id is not null as is_hit,
-                    case when h.record_id is null then {_scores('r.instruction', 'r.responses')}
-                        end as scores
+                    case when h.record_id is null then {scores} end as scores, {flags} as flags
                 from in{i} r left join hits h on h.instruction = r.instruction)"""
         ctes[f"log{i}"] = f"""
             select record_id, {i} as round, false as from_cache, instruction, responses,
@@ -343,6 +374,12 @@ def _rounds(source: str, gamma: float, agg: str, cached: bool) -> dict[str, str]
     return ctes
 
 
+_BUDGET_SCORES, _BUDGET_FLAGS = _budgeted("instruction", "responses", SCORED_UNITS)
+BUDGET_REPORT = f"""
+    select record_id, {_each('scores', 'score')}, {_each('flags', 'cut')},
+        (scores[1] + scores[2]) / 2 as avg_score
+    from (select record_id, {_BUDGET_SCORES} as scores, {_BUDGET_FLAGS} as flags from ({GENERATED}))"""
+
 PAIR_ROUNDS = _rounds(PAIRS, GAMMA, "min", cached=False)
 DOCUMENT_ROUNDS = _rounds(GENERATED, CACHED_GAMMA, "mean", cached=True)
 
@@ -440,6 +477,12 @@ ORACLES: dict[str, str] = {
     "cache_from_file": f"""
         select * from ({INSTRUCTIONS})
         where instruction in (select instruction from ({CACHE}))""",
+    "cache_first_by_position": f"""
+        select i.record_id, h.record_id is not null as is_hit, h.refined_instruction, {_each('h.refined_responses')}
+        from ({INSTRUCTIONS}) i left join (
+            select * from ({CACHE})
+            qualify row_number() over (partition by instruction order by cast(record_id as bigint) desc) = 1
+        ) h on h.instruction = i.instruction""",
     "align_outputs": f"""
         select i.record_id, i.instruction, l.quality, l.toxic
         from ({INSTRUCTIONS}) i left join ({LABELS}) l on l.record_id = i.record_id""",
@@ -484,6 +527,8 @@ ORACLES: dict[str, str] = {
             from (select *, len(asked_pieces) as asked_units, len(answer_pieces) as answer_units
                 from (select *, regexp_extract_all(instruction, '\\S+\\s*') as asked_pieces,
                         regexp_extract_all(response, '\\S+\\s*') as answer_pieces from ({TURNS}))))""",
+    "reward_report_budget": BUDGET_REPORT,
+    "reward_report_budget_worker": BUDGET_REPORT,
     "threshold_split": _with("select record_id, route from routed0", **PAIR_ROUNDS),
     "route_counts": _with(
         "select route, count(*) as n from routed0 group by route", **PAIR_ROUNDS
@@ -494,6 +539,11 @@ ORACLES: dict[str, str] = {
     ),
     "sample_exact_fraction": _fraction(INSTRUCTIONS, FRACTION),
     "sample_fixed_size": _sample(INSTRUCTIONS, str(SAMPLE_SIZE)),
+    "sample_repeated_ids": " union all ".join(
+        f"select record_id, instruction, {share}::double as share from ({SHUFFLED}) where place < floor(n * {share}::double)"
+        for share in SHARES
+    ),
+    "seeded_shuffle": f"select record_id, instruction, place from ({SHUFFLED})",
     "rubric_valid": f"select record_id, is_valid from ({READ_RUBRICS})",
     "rubric_parse": f"""
         select record_id, entry.criterion as criterion, entry.score as score, entry.note as note
@@ -541,7 +591,16 @@ ORACLES: dict[str, str] = {
             as refined_instruction, error
         from ({ATTEMPTS}) where attempt = 1""",
     "refine_rounds": _with(_OUTCOME, **PAIR_ROUNDS),
+    "refine_rounds_resumed": _with(_OUTCOME, **PAIR_ROUNDS),
     "refine_rounds_worker": _with(_OUTCOME, **PAIR_ROUNDS),
+    "refine_rounds_budget": _with(
+        " union all ".join(
+            f"""select record_id, {_each('scores', 'score')}, {_each('flags', 'cut')}, {i} as round, route
+            from routed{i}"""
+            for i in range(MAX_ROUNDS)
+        ),
+        **_rounds(GENERATED, CACHED_GAMMA, "min", cached=False, budget=SCORED_UNITS),
+    ),
     "refine_rounds_cached": _with(_OUTCOME, **DOCUMENT_ROUNDS),
     "round_counts": _with(
         " union all ".join(
@@ -572,6 +631,15 @@ ORACLES: dict[str, str] = {
     "finalized_products": _with(
         _both_sides("status in ('accepted', 'left')", "status,"), **PAIR_ROUNDS
     ),
+    "export_in_input_order": _with(
+        """select side, status, cast(seq as varchar) as record_id, seq,
+            row_number() over (partition by side, status order by seq) - 1 as place
+        from (select *, unnest(['original', 'refined']) as side from ended e join numbers n using (record_id)
+            where status in ('accepted', 'left'))""",
+        numbers=f"""select record_id, row_number() over (order by cast(record_id as bigint)) - 1 as seq
+            from ({INSTRUCTIONS})""",
+        **_rounds(GENERATED, CACHED_GAMMA, "min", cached=False),
+    ),
     "left_products": _with(_both_sides("status = 'left'", ""), **DOCUMENT_ROUNDS),
     "conservation_check": _with(
         f"""select (select count(*) from in0) as n_input,

@@ -6,11 +6,11 @@ say nothing about quality.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from prefspark.backends.standin import StandIn
 from prefspark.catalog import views
@@ -19,18 +19,21 @@ from prefspark.constants import CRITERIA, MAX_CONTEXT, MAX_NEW, N_RESPONSES
 from prefspark.functions import prompts, rubric, text
 from prefspark.functions.scores import AGGREGATES, collapse
 from prefspark.operators import inference, lineage, reports, resume, routing, sampling
+from prefspark.operators.ordinals import in_input_order
 from prefspark.plans import preparation, rounds
 from prefspark.plans.finalize import finalize
 from prefspark.schemas import INSTRUCTION, PAIRS
 from prefspark.session import new_workdir
 from prefspark.sources import tables
+from prefspark.sources.imports import import_instructions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 GAMMA = 0.4
 CACHED_GAMMA = 0.5
-SCORED_UNITS = 300
+SCORED_UNITS = MAX_CONTEXT
 FRACTION = 0.29
+SHARES = (0.1, 0.29, 0.5, 0.8)
 SAMPLE_SIZE = 30
 QUERY_STOPS = ("\n", ". ")
 SYSTEM = "Answer briefly."
@@ -103,16 +106,8 @@ def jsonl_ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of each record in files that hold them in order, found by reading the files."""
     path = new_workdir(spark, "jsonl")
     tables.write_jsonl(views.instructions(spark, sf_dir), path, order_by="record_id")
-    whole = spark.read.text(path, wholetext=True)
-    file = whole.select(F.col("_metadata.file_name").alias("file"), F.regexp_replace("value", "\n$", "").alias("value"))
-    lines = file.select("file", F.posexplode(F.split("value", "\n")).alias("line", "text"))
-    # One row per file, so the running sum over files needs no partition.
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
-    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return lines.join(starts, "file").select(
-        F.get_json_object("text", "$.record_id").alias("record_id"), (F.col("start") + F.col("line")).alias("place")
-    )
+    lines = in_input_order(spark.read.text(path), new_workdir(spark, "order"), "place")
+    return lines.select(F.get_json_object("value", "$.record_id").alias("record_id"), "place")
 
 
 # Columns
@@ -243,6 +238,18 @@ def cache_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.cache_hits(views.instructions(spark, sf_dir), tables.read_cache(spark, path))
 
 
+@query
+def cache_first_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a log read from files holds for each instruction: its first row there, which has the largest id."""
+    path = new_workdir(spark, "cache")
+    tables.write_jsonl(views.cache(spark, sf_dir), path, order_by=F.desc(F.col("record_id").cast("long")))
+    log = tables.read_cache(spark, path, positions=True)
+    found = resume.cache_lookup(views.instructions(spark, sf_dir), log)
+    return found.select(
+        "record_id", F.col("hit").isNotNull().alias("is_hit"), "hit.refined_instruction", *_each("hit.refined_responses")
+    )
+
+
 @query
 def align_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.align_outputs(views.instructions(spark, sf_dir), views.labels(spark, sf_dir))
@@ -334,6 +341,25 @@ def score_over_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("record_id", "turn", "over_budget", "score")
 
 
+def _flat_budget(report: DataFrame, flags: str, *columns: str) -> DataFrame:
+    """The scores of a row's responses next to what tells that they were cut."""
+    return report.select("record_id", *_each("scores", "score"), *_each(flags, "cut"), *columns)
+
+
+@query
+def reward_report_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rewards of long conversations: whole documents and the responses to them."""
+    report = reports.reward_report(_generated(spark, sf_dir).drop("over_budget"), StandIn(), max_units=SCORED_UNITS)
+    return _flat_budget(report, "over_budget", "avg_score")
+
+
+@query
+def reward_report_budget_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `reward_report_budget`, with the stand-in called in the Python workers."""
+    report = reports.reward_report(_generated(spark, sf_dir).drop("over_budget"), worker_backend(), max_units=SCORED_UNITS)
+    return _flat_budget(report, "over_budget", "avg_score")
+
+
 # Routing
 
 
@@ -377,6 +403,22 @@ def sample_fixed_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_size(views.instructions(spark, sf_dir), SAMPLE_SIZE)
 
 
+@query
+def sample_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact shares of rows most of which have no id or one that others have as well, some of them equal."""
+    rows = views.with_repeated_ids(spark, sf_dir)
+    samples = [
+        sampling.sample_fraction(rows, share).withColumn("share", F.lit(share)) for share in SHARES
+    ]
+    return functools.reduce(DataFrame.unionByName, samples)
+
+
+@query
+def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each row in seeded order."""
+    return sampling.shuffled(views.with_repeated_ids(spark, sf_dir))
+
+
 # Rubric
 
 
@@ -522,7 +564,7 @@ def _outcome(run: rounds.Run) -> DataFrame:
     invalid = lineage.with_lineage(run.invalid.drop("hit", "route")).withColumn(
         "status", F.lit("invalid")
     )
-    rows = accepted.unionByName(left).unionByName(invalid)
+    rows = accepted.unionByName(invalid).unionByName(left, allowMissingColumns=True)
     return rows.select(
         "record_id",
         "status",
@@ -546,12 +588,47 @@ def refine_rounds_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcome(_run(spark, sf_dir, worker_backend()))
 
 
+@query
+def refine_rounds_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds over documents, with scored conversations cut to their budget; every row that was scored."""
+    run = rounds.refine_rounds(
+        spark, _generated(spark, sf_dir), StandIn(), gamma=CACHED_GAMMA, score_units=SCORED_UNITS
+    )
+    return _flat_budget(run.routed, "score_over_budget", "round", "route")
+
+
 @query
 def refine_rounds_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rounds over documents, by the mean score and with a cache from an earlier run."""
     return _outcome(_cached_run(spark, sf_dir))
 
 
+class _Stopping(StandIn):
+    """A backend that is not there any more after so many uses."""
+
+    def __init__(self, uses: int):
+        super().__init__()
+        self.uses = uses
+
+    def score(self, instruction: Column, responses: Column) -> Column:
+        self.uses -= 1
+        if self.uses < 0:
+            raise InterruptedError("no backend")
+        return super().score(instruction, responses)
+
+
+@query
+def refine_rounds_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `refine_rounds`, in parts, stopped within the first round and carried on."""
+    options = dict(gamma=GAMMA, parts=4, workdir=new_workdir(spark, "resumed"))
+    pairs = views.pairs(spark, sf_dir)
+    try:
+        rounds.refine_rounds(spark, pairs, _Stopping(2), **options)
+    except InterruptedError:
+        pass
+    return _outcome(rounds.refine_rounds(spark, pairs, StandIn(), resume=True, **options))
+
+
 @query
 def round_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir).counts
@@ -603,6 +680,31 @@ def finalized_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return products.select("record_id", "side", "status", "instruction", *_each())
 
 
+@query
+def export_in_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From files to final datasets: the place of each row in the input and in the files that hold it."""
+    lines, work = new_workdir(spark, "lines"), new_workdir(spark, "work")
+    by_id = F.col("record_id").cast("long")
+    tables.write_jsonl(views.instructions(spark, sf_dir), lines, order_by=by_id)
+    read = tables.read_jsonl(spark, lines, INSTRUCTION).select("instruction")
+    rows = import_instructions(spark, read, f"{work}/input")
+    run = rounds.refine_rounds(spark, inference.generate_n(rows, StandIn()), StandIn(), gamma=CACHED_GAMMA)
+    path = f"{work}/final"
+    finalize(spark, run.workdir, run.rounds_done, path, "json", in_order=True)
+    found = []
+    for side in ("original", "refined"):
+        for status in ("accepted", "left"):
+            folder = f"{path}/side={side}/status={status}"
+            if tables.exists(spark, folder):
+                placed = in_input_order(spark.read.text(folder), f"{work}/{side}-{status}", "place")
+                found.append(placed.withColumns({"side": F.lit(side), "status": F.lit(status)}))
+    empty = spark.createDataFrame([], "value string, place long, side string, status string")
+    return functools.reduce(DataFrame.unionByName, found, empty).select(
+        "side", "status", F.get_json_object("value", "$.record_id").alias("record_id"),
+        F.get_json_object("value", "$.seq").cast("long").alias("seq"), "place",
+    )
+
+
 @query
 def left_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _cached_run(spark, sf_dir).final_products

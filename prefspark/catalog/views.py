@@ -116,6 +116,17 @@ def with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("record_id", "instruction").unionByName(_gaps(docs, text.alias("instruction")))
 
 
+def with_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instructions, of which those in English have no id and the others share a few; and as many rows as
+    the first source has that are equal to each other."""
+    docs = documents(spark, sf_dir)
+    shared = F.when(F.col("lang") != "en", (F.col("record_id").cast("long") % 10).cast("string"))
+    equal = docs.filter(F.col("source") == "src0").select(
+        F.lit(None).cast("string").alias("record_id"), F.lit("equal").alias("instruction")
+    )
+    return docs.select(shared.alias("record_id"), "instruction").unionByName(equal)
+
+
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON line per document, and further ones without a text or cut short."""
     docs = documents(spark, sf_dir)

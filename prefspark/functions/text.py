@@ -35,14 +35,32 @@ def keep_head(text: Column, budget: int) -> Column:
     return F.when(_within(text, budget), text).otherwise(head)
 
 
+def tail_pieces(text: Column) -> Column:
+    """The units of a text with the blanks after each, of which tails are made."""
+    return F.regexp_extract_all(text, F.lit(rf"{_UNIT}\s*"), 0)
+
+
 def keep_tail(text: Column, budget: int | Column) -> Column:
     """The text itself when it fits the budget, else all from the first of the last `budget` units."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"{_UNIT}\s*"), 0)
+    pieces = tail_pieces(text)
     start = F.greatest(F.size(pieces) - budget, F.lit(0)) + 1
     tail = F.array_join(F.slice(pieces, start, F.greatest(F.lit(budget) if isinstance(budget, int) else budget, F.lit(0))), "")
     return F.when(_within(text, budget), text).otherwise(tail)
 
 
+def count_units(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(_UNIT))
+
+
+def keep_tails(text: Column, pieces: Column, budgets: Column) -> Column:
+    """`keep_tail` of one text for each of an array of budgets. `pieces`, a column of its `tail_pieces`, is
+    found once."""
+    n = F.size(pieces)
+    start = lambda b: F.greatest(n - b, F.lit(0)) + 1
+    tail = lambda b: F.array_join(F.slice(pieces, start(b), b), "")
+    return F.transform(budgets, lambda b: F.when(n <= b, text).otherwise(tail(b)))
+
+
 def trim_at_stops(text: Column, stops: Sequence[str] = STOPS) -> Column:
     """Text before the earliest stop string; the whole text when none occurs."""
     if not stops:

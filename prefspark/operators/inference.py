@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from prefspark.backends.base import Backend
 from prefspark.constants import MAX_CONTEXT, MAX_NEW, N_RESPONSES, SEED, STOPS
 from prefspark.functions.prompts import chat, critique_prompt, rewrite_prompt
-from prefspark.functions.text import keep_head, keep_tail, over_budget, trim_all_at_stops, units
+from prefspark.functions.text import (
+    count_units,
+    keep_head,
+    keep_tail,
+    keep_tails,
+    over_budget,
+    tail_pieces,
+    trim_all_at_stops,
+    units,
+)
 
 
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
@@ -69,10 +78,54 @@ def generate_n(
     )
 
 
-def score_responses(df: DataFrame, backend: Backend, *, partitions: int | None = None) -> DataFrame:
-    """Adds `scores`, one per response and in their order."""
-    scores = backend.score(F.col("instruction"), F.col("responses"))
-    return spread(df, partitions).withColumn("scores", scores)
+def with_scores(
+    df: DataFrame,
+    instruction: Column,
+    responses: Column,
+    backend: Backend,
+    max_units: int,
+    flags: str,
+) -> DataFrame:
+    """Adds `scores` of the tail of each conversation that fits `max_units`, and `flags` which were cut.
+
+    Each response keeps its own tail and leaves its own room to the tail of the instruction, whose units
+    are found once per row.
+    """
+    asked, answers, rooms, pieces = (F.col(c) for c in ("_asked", "_answers", "_rooms", "_pieces"))
+    # Two texts of so few bytes have no more units than that together.
+    longest = F.array_max(F.transform(answers, lambda r: F.coalesce(F.octet_length(r), F.lit(0))))
+    short = F.octet_length(asked) + longest <= F.lit(2 * max_units - 2)
+    room = lambda r: F.greatest(F.lit(max_units) - F.coalesce(count_units(r), F.lit(0)), F.lit(0))
+    whole = pieces.isNull()
+    rows = (
+        df.withColumns({"_asked": instruction, "_answers": responses})
+        .withColumn("_pieces", F.when(~F.coalesce(short, F.lit(False)), tail_pieces(asked)))
+        .withColumn("_rooms", F.transform(answers, room))
+    )
+    seen = F.when(whole, F.transform(answers, lambda _: asked)).otherwise(keep_tails(asked, pieces, rooms))
+    kept = F.when(whole, answers).otherwise(F.transform(answers, lambda r: keep_tail(r, max_units)))
+    cut = lambda r, room: F.coalesce((F.size(pieces) > room) | over_budget(r, max_units), F.lit(False))
+    told = F.when(whole, F.transform(answers, lambda _: F.lit(False))).otherwise(
+        F.zip_with(answers, rooms, cut)
+    )
+    scored = rows.withColumns(
+        {"scores": backend.score_pairs(F.when(asked.isNotNull(), seen), kept), flags: told}
+    )
+    return scored.drop("_asked", "_answers", "_rooms", "_pieces")
+
+
+def score_responses(
+    df: DataFrame, backend: Backend, *, max_units: int | None = None, partitions: int | None = None
+) -> DataFrame:
+    """Adds `scores`, one per response and in their order.
+
+    With `max_units` the model sees the tail of each conversation, and `over_budget`, an array too, tells
+    which of them were cut.
+    """
+    rows, instruction, responses = spread(df, partitions), F.col("instruction"), F.col("responses")
+    if max_units is None:
+        return rows.withColumn("scores", backend.score(instruction, responses))
+    return with_scores(rows, instruction, responses, backend, max_units, "over_budget")
 
 
 def score_single(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prefspark.sources.tables import write_table
+from prefspark.sources.tables import with_position, write_table
 
 # monotonically_increasing_id: the partition above these bits, the row below them.
 ROW_BITS = 33
@@ -79,31 +79,6 @@ def running_sum(df: DataFrame, order: list[Column], weight: str, path: str, name
     return joined.select(*[F.col(c) for c in df.columns], (F.col("_before") + F.col("_inside")).alias(name))
 
 
-def with_position(lines: DataFrame) -> DataFrame:
-    """Adds `position`, a struct that grows along the input: file, start of the split, row.
-
-    Rows that do not come straight from files are in the order of their partitions.
-    """
-    row = F.monotonically_increasing_id().alias("row")
-    if _from_files(lines):
-        place = F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), row
-        )
-    else:
-        place = F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("start"), row)
-    return lines.withColumn("position", place)
-
-
-def _from_files(lines: DataFrame) -> bool:
-    # The fields of `_metadata` are there only while rows are still those of a file scan.
-    from pyspark.errors import AnalysisException
-
-    try:
-        return "_metadata" not in lines.columns and bool(lines.select("_metadata.file_block_start").columns)
-    except AnalysisException:
-        return False
-
-
 def in_input_order(lines: DataFrame, path: str, name: str = "seq") -> DataFrame:
     """Adds `name`, the row's place in the input from 0 on: by file name, then by row within the file.
 
@@ -114,8 +89,8 @@ def in_input_order(lines: DataFrame, path: str, name: str = "seq") -> DataFrame:
     kept = lines.columns
     stored = _stored(rows.withColumnsRenamed({"file": _FILE, "start": _START}), f"{path}/rows")
     # A split is read by one task in one go; rows of several tasks share one only outside of files.
-    splits = stored.withColumn(_PART, F.when(F.col(_FILE) == "", _part()).otherwise(F.lit(0)))
-    keys = [_FILE, _START, _PART]
+    splits = stored.withColumn("_task", F.when(F.col(_FILE) == "", _part()).otherwise(F.lit(0)))
+    keys = [_FILE, _START, "_task"]
     counts = splits.groupBy(*keys).agg(F.count("*").alias("n"), F.min(_PLACE).alias("_first"))
     starts = running_sum(counts, [F.col(k) for k in keys], "n", f"{path}/splits", "_before").drop("n")
     joined = splits.join(starts, keys)

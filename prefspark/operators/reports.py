@@ -143,9 +143,14 @@ def rubric_report_live(
     return _filter_here(report, F.col("failure_reason").isNull()).drop("failure_reason")
 
 
-def reward_report(records: DataFrame, backend: Backend, *, partitions: int | None = None) -> DataFrame:
-    """Adds `scores` and their mean `avg_score`, 0 for a record without responses."""
-    scored = score_responses(records, backend, partitions=partitions)
+def reward_report(
+    records: DataFrame, backend: Backend, *, max_units: int | None = None, partitions: int | None = None
+) -> DataFrame:
+    """Adds `scores` and their mean `avg_score`, 0 for a record without responses.
+
+    With `max_units` conversations are cut as in `score_responses`, and `over_budget` is added.
+    """
+    scored = score_responses(records, backend, max_units=max_units, partitions=partitions)
     return scored.withColumn("avg_score", mean_or_zero(F.col("scores")))
 
 

@@ -56,8 +56,9 @@ def skip_done(
 
 
 def first_logged(cache: DataFrame) -> DataFrame:
-    """The first log row of each instruction, by round and then record id, as (key, hit)."""
-    order = F.struct("round", "record_id")
+    """The first log row of each instruction as (key, hit): by `position` in the log where it was read with
+    one, else by round and then record id."""
+    order = F.col("position") if "position" in cache.columns else F.struct("round", "record_id")
     return (
         cache.filter(F.col("instruction").isNotNull())
         .withColumn(_DIGEST, text_digest(F.col("instruction")))

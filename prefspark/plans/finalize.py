@@ -9,12 +9,21 @@ from prefspark.schemas import FINAL
 
 
 def finalize(
-    spark: SparkSession, workdir: str, rounds_done: int, path: str, fmt: str = "parquet"
+    spark: SparkSession,
+    workdir: str,
+    rounds_done: int,
+    path: str,
+    fmt: str = "parquet",
+    *,
+    in_order: bool = False,
 ) -> DataFrame:
     """Writes the four final datasets under `path`, one folder per side and status, and reads them.
 
-    It takes the folder of a run and the number of completed rounds, so it can be a job of its own.
+    It takes the folder of a run and the number of completed rounds, so it can be a job of its own. With
+    `in_order` the files of a folder, in name order, hold its rows in the order of the input (`seq`).
     """
     products = Run(spark, workdir, rounds_done).final_products
+    if in_order:
+        products = products.orderBy("side", "status", "seq")
     products.write.mode("overwrite").partitionBy("side", "status").format(fmt).save(path)
     return spark.read.schema(FINAL).format(fmt).load(path)

@@ -3,6 +3,10 @@
 Every round writes two tables, `routed` (one row per record) and `refine_log` (one row per record
 that goes on). They cut the lineage, are what a restart picks up from, and make every model call
 happen once: routes are read back and not computed again for each branch.
+
+A run may deal its records into parts, by a hash, once and for all rounds. Each part of a round is a job that
+commits its own folders, and a restart carries out the missing ones alone, so that what is lost with a job is
+the model calls of one part.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefspark.backends.base import Backend
 from prefspark.constants import (
@@ -29,11 +34,11 @@ from prefspark.constants import (
 )
 from prefspark.functions.scores import AGGREGATES
 from prefspark.functions.text import truncate_responses
-from prefspark.operators.inference import refine, spread
+from prefspark.operators.inference import refine, spread, with_scores
 from prefspark.operators.lineage import both_sides, with_lineage
 from prefspark.operators.resume import first_logged, lookup
 from prefspark.operators.routing import route, route_counts
-from prefspark.schemas import CACHE_HIT, FIRST_LOGGED, REFINE_LOG, ROUTED, TEXTS
+from prefspark.schemas import CACHE_HIT, FIRST_LOGGED, FLAGS, NEXT_ROUND, REFINE_LOG, ROUTED, TEXTS
 from prefspark.session import new_workdir
 from prefspark.sources.tables import (
     drop_table,
@@ -94,7 +99,7 @@ class Run:
     @property
     def final_products(self) -> DataFrame:
         """Accepted and left rows, each as `side` original and refined."""
-        columns = ("record_id", "instruction", "responses", "original_instruction", "original_responses")
+        columns = [name for name in NEXT_ROUND.fieldNames()]
         accepted = self.accepted.select(*columns, F.lit("accepted").alias("status"))
         left = self.left.select(*columns, F.lit("left").alias("status"))
         return both_sides(accepted.unionByName(left))
@@ -108,6 +113,7 @@ def _next_rows(log: DataFrame) -> DataFrame:
         F.coalesce("refined_responses", "responses").alias("responses"),
         "original_instruction",
         "original_responses",
+        "seq",
     )
 
 
@@ -118,6 +124,7 @@ def _first_rows(pairs: DataFrame) -> DataFrame:
         "responses",
         F.lit(None).cast("string").alias("original_instruction"),
         F.lit(None).cast(TEXTS).alias("original_responses"),
+        (F.col("seq") if "seq" in pairs.columns else F.lit(None)).cast("long").alias("seq"),
     )
 
 
@@ -129,23 +136,28 @@ def score_and_route(
     agg: str = "min",
     first_logged: DataFrame | None = None,
     n_responses: int = N_RESPONSES,
+    score_units: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Adds `scores`, `hit` and `route`. Rows found in the reduced cache are not scored."""
+    """Adds `scores`, `hit` and `route`. Rows found in the reduced cache are not scored.
+
+    `score_units` is the budget of a conversation in scoring, and `score_over_budget` tells which of the
+    row's conversations were cut to it; null without a budget.
+    """
     rows = rows.withColumn("responses", truncate_responses(F.col("responses"), n_responses))
     if first_logged is None:
         rows = rows.withColumn("hit", F.lit(None).cast(CACHE_HIT))
     else:
         rows = lookup(rows, first_logged)
     missed = F.col("hit").isNull()
-    scores = backend.score(
-        F.when(missed, F.col("instruction")), F.when(missed, F.col("responses"))
-    )
-    return (
-        spread(rows, partitions)
-        .withColumn("scores", scores)
-        .withColumn("route", route(F.col("scores"), gamma, agg, cached=~missed))
-    )
+    asked, answers = F.when(missed, F.col("instruction")), F.when(missed, F.col("responses"))
+    rows = spread(rows, partitions)
+    if score_units is None:
+        flags = F.lit(None).cast(FLAGS)
+        rows = rows.withColumns({"scores": backend.score(asked, answers), "score_over_budget": flags})
+    else:
+        rows = with_scores(rows, asked, answers, backend, score_units, "score_over_budget")
+    return rows.withColumn("route", route(F.col("scores"), gamma, agg, cached=~missed))
 
 
 def _log_rows(routed: DataFrame, backend: Backend, **options) -> DataFrame:
@@ -161,6 +173,7 @@ def _log_rows(routed: DataFrame, backend: Backend, **options) -> DataFrame:
         F.lit(None).cast("string").alias("error"),
         F.lit(None).cast("boolean").alias("over_budget"),
         F.lit(True).alias("from_cache"),
+        "seq",
     )
     return refined.select(*carried).unionByName(cached.select(*carried))
 
@@ -207,42 +220,51 @@ def refine_rounds(
     system: str = "",
     stops: Sequence[str] = STOPS,
     max_units: int = MAX_CONTEXT - MAX_NEW,
+    score_units: int | None = None,
     partitions: int | None = None,
+    parts: int = 1,
     workdir: str | None = None,
     resume: bool = False,
 ) -> Run:
     """Carries out up to `max_rounds` rounds, fewer once no row goes on.
 
     Without `resume`, tables of an earlier run in `workdir` are replaced. With it, the rounds that
-    run completed are kept, and only the rest is carried out; other settings, inputs or cache rows than
-    those of that run are an error.
+    run completed are kept, and of a round the parts it completed, and only the rest is carried out; other
+    settings, inputs or cache rows than those of that run are an error. A part should be large enough to
+    occupy the cluster, as parts are carried out one after another. `max_units` is the budget of a prompt, `score_units` that of a scored
+    conversation.
     """
     if agg not in AGGREGATES:
         raise ValueError(f"unknown aggregate {agg!r}, expected one of {AGGREGATES}")
     if max_rounds < 1:
         raise ValueError("max_rounds must be at least 1")
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
     generation = dict(n=n_responses, seed=seed, system=system, stops=stops, max_units=max_units)
     settings = {**generation, "stops": list(stops), "gamma": float(gamma), "agg": agg}
     settings |= {"backend": backend.name, "cached": cache is not None}
-    settings["input"] = _content(pairs, "record_id", "instruction")
+    if score_units is not None:
+        settings["score_units"] = score_units
+    if parts > 1:
+        settings["parts"] = parts
+    settings["input"] = _content(pairs, "record_id", "instruction", "responses")
     if cache is not None:
         settings["cache"] = _content(cache, "record_id", "instruction", "round")
 
     workdir = workdir or new_workdir(spark, "rounds")
     routed_root, log_root = f"{workdir}/routed", f"{workdir}/refine_log"
     cache_root, settings_root = f"{workdir}/cache", f"{workdir}/settings"
+    input_root = f"{workdir}/input"
     if not resume:
-        for root in (settings_root, cache_root, routed_root, log_root):
+        for root in (settings_root, cache_root, input_root, routed_root, log_root):
             drop_table(spark, root)
     _settle(spark, settings_root, settings)
     hits = _stored_cache(spark, cache, cache_root)
 
-    rows = _first_rows(pairs)
-    kept = resume
-    for number in range(max_rounds):
-        # From the first incomplete round on, everything is done anew.
-        kept_routes = kept and round_is_complete(spark, routed_root, number)
-        kept = kept_routes and round_is_complete(spark, log_root, number)
+    def carry_out(number: int, part: int, rows: DataFrame, kept: bool) -> bool:
+        """One part of a round; tells whether it was there already."""
+        kept_routes = kept and round_is_complete(spark, routed_root, number, part=part)
+        kept = kept_routes and round_is_complete(spark, log_root, number, part=part)
         if not kept_routes:
             routed = score_and_route(
                 rows,
@@ -251,20 +273,43 @@ def refine_rounds(
                 agg=agg,
                 first_logged=hits,
                 n_responses=n_responses,
+                score_units=score_units,
                 partitions=partitions,
             )
-            write_round(routed, routed_root, number, partition_by="route")
+            write_round(routed, routed_root, number, partition_by="route", part=part)
         if not kept:
-            routed = read_round(spark, routed_root, ROUTED, number)
+            routed = read_round(spark, routed_root, ROUTED, number, part=part)
             log = _log_rows(routed, backend, partitions=partitions, **generation)
-            write_round(log, log_root, number)
-        log = read_round(spark, log_root, REFINE_LOG, number)
-        if log.isEmpty():
+            write_round(log, log_root, number, part=part)
+        return kept
+
+    first = _dealt(spark, _first_rows(pairs), parts, input_root)
+    # From its first incomplete round on, a part is done anew.
+    kept = [resume] * parts
+    for number in range(max_rounds):
+        for part in range(parts):
+            if number:
+                rows = _next_rows(read_round(spark, log_root, REFINE_LOG, number - 1, part=part))
+            else:
+                rows = first[part]
+            kept[part] = carry_out(number, part, rows, kept[part])
+        if read_round(spark, log_root, REFINE_LOG, number).isEmpty():
             break
-        rows = _next_rows(log)
     return Run(spark, workdir, number + 1)
 
 
+def _dealt(spark: SparkSession, rows: DataFrame, parts: int, path: str) -> list[DataFrame]:
+    """The rows of each part. They are stored by part first, so that no part computes the others' rows."""
+    if parts == 1:
+        return [rows]
+    if not is_complete(spark, path):
+        part = F.pmod(F.xxhash64("record_id", "instruction"), F.lit(parts)).cast("int")
+        write_table(rows.withColumn("part", part), path, "part")
+    schema = T.StructType([*NEXT_ROUND.fields, T.StructField("part", T.IntegerType())])
+    stored = spark.read.schema(schema).parquet(path)
+    return [stored.filter(F.col("part") == part).drop("part") for part in range(parts)]
+
+
 def conservation(pairs: DataFrame, run: Run) -> DataFrame:
     """One row of counts; `whole` tells that every input record ended in exactly one place."""
     ends = (

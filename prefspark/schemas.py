@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 TEXTS = T.ArrayType(T.StringType())
 SCORES = T.ArrayType(T.DoubleType())
+FLAGS = T.ArrayType(T.BooleanType())
 RUBRIC = T.MapType(
     T.StringType(),
     T.StructType(
@@ -22,7 +23,10 @@ PAIRS = T.StructType(INSTRUCTION.fields + [T.StructField("responses", TEXTS)])
 
 LINEAGE = _struct(original_instruction=T.StringType(), original_responses=TEXTS)
 
-NEXT_ROUND = T.StructType(PAIRS.fields + LINEAGE.fields)
+# `seq` is the place in the input, null where it has none.
+SEQ = _struct(seq=T.LongType())
+
+NEXT_ROUND = T.StructType(PAIRS.fields + LINEAGE.fields + SEQ.fields)
 
 # What the refinement cache contributes to a row that hits it.
 CACHE_HIT = _struct(
@@ -41,7 +45,11 @@ FIRST_LOGGED = _struct(_key=T.BinaryType(), hit=CACHE_HIT)
 ROUTED = T.StructType(
     NEXT_ROUND.fields
     + _struct(
-        scores=SCORES, hit=CACHE_HIT, round=T.IntegerType(), route=T.StringType()
+        scores=SCORES,
+        score_over_budget=FLAGS,
+        hit=CACHE_HIT,
+        round=T.IntegerType(),
+        route=T.StringType(),
     ).fields
 )
 
@@ -59,6 +67,7 @@ REFINE_LOG = T.StructType(
         error=T.StringType(),
         over_budget=T.BooleanType(),
         from_cache=T.BooleanType(),
+        seq=T.LongType(),
         round=T.IntegerType(),
     ).fields
 )
@@ -68,12 +77,12 @@ CACHE = T.StructType(
     [
         f
         for f in REFINE_LOG.fields
-        if f.name not in ("error", "over_budget", "from_cache")
+        if f.name not in ("error", "over_budget", "from_cache", "seq")
     ]
 )
 
 FINAL = T.StructType(
-    PAIRS.fields + _struct(side=T.StringType(), status=T.StringType()).fields
+    PAIRS.fields + SEQ.fields + _struct(side=T.StringType(), status=T.StringType()).fields
 )
 
 ATTEMPTS = _struct(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +45,41 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(path)
 
 
-def read_cache(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """A refinement log of an earlier run; an absent or unreadable one counts as empty."""
+def with_position(lines: DataFrame) -> DataFrame:
+    """Adds `position`, a struct that grows along the input: file, start of the split, row.
+
+    Rows that do not come straight from files are in the order of their partitions.
+    """
+    row = F.monotonically_increasing_id().alias("row")
+    if _from_files(lines):
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), row
+        )
+    else:
+        place = F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("start"), row)
+    return lines.withColumn("position", place)
+
+
+def _from_files(lines: DataFrame) -> bool:
+    if "_metadata" in lines.columns or not lines.inputFiles():
+        return False
+    try:
+        # The fields of `_metadata` are there only while rows are still those of a file scan.
+        return bool(lines.select("_metadata.file_block_start").columns)
+    except AnalysisException:
+        return False
+
+
+def read_cache(
+    spark: SparkSession, path: str, fmt: str = "json", *, positions: bool = False
+) -> DataFrame:
+    """A refinement log of an earlier run; an absent or unreadable one counts as empty.
+
+    With `positions` each row has its `position` in the log, by which its first row for an instruction is
+    found.
+    """
     empty = spark.createDataFrame([], CACHE)
+    empty = with_position(empty) if positions else empty
     if not exists(spark, path):
         return empty
     try:
@@ -56,12 +89,28 @@ def read_cache(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
             bad = spark.read.text(path).filter((line != "") & F.try_parse_json(line).isNull())
             if not bad.isEmpty():
                 return empty
-        return spark.read.schema(CACHE).format(fmt).load(path)
+        elif not _readable(spark, path, fmt):
+            return empty
+        log = spark.read.schema(CACHE).format(fmt).load(path)
+        return with_position(log) if positions else log
     except AnalysisException:
         return empty
 
 
-def write_jsonl(df: DataFrame, path: str, *, order_by: str | None = None) -> None:
+def _readable(spark: SparkSession, path: str, fmt: str) -> bool:
+    """Whether every file can be read whole. Tasks read one each; a job that fails for another reason fails."""
+    log = spark.read.schema(CACHE).option("ignoreCorruptFiles", "false").format(fmt).load(path)
+    try:
+        # A digest of all columns makes every page of every file be decoded.
+        log.agg(F.max(F.xxhash64(*CACHE.fieldNames()))).first()
+        return True
+    except Py4JJavaError as failure:
+        if "FAILED_READ_FILE" in str(failure):
+            return False
+        raise
+
+
+def write_jsonl(df: DataFrame, path: str, *, order_by: str | Column | None = None) -> None:
     """Replaces the JSON lines at `path`; non-ASCII text stays as it is.
 
     With `order_by` the files in name order hold the rows in that order.
@@ -69,14 +118,6 @@ def write_jsonl(df: DataFrame, path: str, *, order_by: str | None = None) -> Non
     (df if order_by is None else df.orderBy(order_by)).write.mode("overwrite").json(path)
 
 
-def import_instructions(spark: SparkSession, lines: DataFrame, path: str) -> DataFrame:
-    """Gives rows without an id a `record_id` and stores them, so that the ids never change."""
-    write_table(
-        lines.withColumn("record_id", F.monotonically_increasing_id().cast("string")), path
-    )
-    return spark.read.parquet(path)
-
-
 def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
@@ -89,9 +130,15 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
     writer.parquet(path)
 
 
-def write_round(df: DataFrame, root: str, number: int, partition_by: str | None = None) -> None:
-    """Replaces one round of a round-partitioned table, so that writing it again changes nothing."""
-    write_table(df, f"{root}/round={number}", partition_by)
+def _round_path(root: str, number: int, part: int) -> str:
+    return f"{root}/round={number}/part={part}"
+
+
+def write_round(
+    df: DataFrame, root: str, number: int, partition_by: str | None = None, *, part: int = 0
+) -> None:
+    """Replaces one part of one round of a round-partitioned table, so that writing it again changes nothing."""
+    write_table(df, _round_path(root, number, part), partition_by)
 
 
 def read_rounds(
@@ -100,13 +147,17 @@ def read_rounds(
     """All rounds of such a table, or the first so many. Rounds never written are skipped."""
     if not exists(spark, root):
         return spark.createDataFrame([], schema)
-    table = spark.read.schema(schema).parquet(root)
+    table = spark.read.schema(schema).parquet(root).select(*schema.fieldNames())
     return table if rounds is None else table.filter(F.col("round") < rounds)
 
 
-def read_round(spark: SparkSession, root: str, schema: T.StructType, number: int) -> DataFrame:
-    return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/round={number}")
+def read_round(
+    spark: SparkSession, root: str, schema: T.StructType, number: int, *, part: int | None = None
+) -> DataFrame:
+    path = f"{root}/round={number}" if part is None else _round_path(root, number, part)
+    table = spark.read.schema(schema).option("basePath", root).parquet(path)
+    return table.select(*schema.fieldNames())
 
 
-def round_is_complete(spark: SparkSession, root: str, number: int) -> bool:
-    return is_complete(spark, f"{root}/round={number}")
+def round_is_complete(spark: SparkSession, root: str, number: int, *, part: int = 0) -> bool:
+    return is_complete(spark, _round_path(root, number, part))

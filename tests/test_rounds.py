@@ -1,3 +1,4 @@
+import collections
 import hashlib
 import os
 import sys
@@ -229,14 +230,14 @@ def test_resuming_keeps_what_is_complete(spark, pairs, tmp_path):
     options = dict(gamma=0.9, workdir=workdir, cache=cache_of(spark, ("1", "none", "r", 0)))
     whole = rows(refine_rounds(spark, pairs, StandIn(), **options).final_products)
     # As if the run had been interrupted while it wrote the log of its second round.
-    for round_dir in ("refine_log/round=1", "routed/round=2"):
+    for round_dir in ("refine_log/round=1/part=0", "routed/round=2/part=0"):
         os.rename(f"{workdir}/{round_dir}/_SUCCESS", f"{workdir}/{round_dir}/_lost")
     before = files(workdir)
     run = refine_rounds(spark, pairs, StandIn(), **options, resume=True)
     assert rows(run.final_products) == whole
     kept = {path for path, time in files(workdir).items() if before.get(path) == time}
     assert {p.split("part-")[0][len(workdir) :].split("/route=")[0].strip("/") for p in kept} == {
-        "cache", "routed/round=0", "refine_log/round=0", "routed/round=1",
+        "cache", "routed/round=0/part=0", "refine_log/round=0/part=0", "routed/round=1/part=0",
     }
     with pytest.raises(ValueError, match="other settings"):
         refine_rounds(spark, pairs, StandIn(), gamma=0.8, workdir=workdir, resume=True)
@@ -250,6 +251,104 @@ def test_resuming_can_add_rounds(spark, pairs, tmp_path):
     assert rows(more.final_products) == rows(fresh.final_products)
 
 
+def test_resuming_with_other_responses_is_an_error(spark, pairs, tmp_path):
+    workdir = str(tmp_path / "run")
+    refine_rounds(spark, pairs, StandIn(), gamma=0.9, workdir=workdir, max_rounds=1)
+    other = pairs.withColumn("responses", F.reverse("responses"))
+    with pytest.raises(ValueError, match="other settings"):
+        refine_rounds(spark, other, StandIn(), gamma=0.9, workdir=workdir, max_rounds=1, resume=True)
+
+
+@pytest.mark.parametrize("parts", [2, 7])
+def test_parts_do_not_change_the_run(spark, pairs, parts):
+    whole = refine_rounds(spark, pairs, StandIn(), gamma=0.6)
+    dealt = refine_rounds(spark, pairs, StandIn(), gamma=0.6, parts=parts)
+    assert rows(dealt.final_products) == rows(whole.final_products) and counts(dealt) == counts(whole)
+    assert dealt.rounds_done == whole.rounds_done and conservation(pairs, dealt).first().whole
+    with pytest.raises(ValueError):
+        refine_rounds(spark, pairs, StandIn(), gamma=0.6, parts=0)
+
+
+class Counting(StandInModel):
+    """Notes the pairs it scores, and takes its whole process down when it meets one of them."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def score(self, pairs):
+        import uuid
+
+        broken = os.path.join(self.folder, "broken")
+        if os.path.exists(broken) and open(broken).read() in [text for text, _ in pairs]:
+            os._exit(1)
+        with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as file:
+            file.write("\n".join(hashlib.md5(f"{a}|{b}".encode()).hexdigest() for a, b in pairs))
+        return super().score(pairs)
+
+
+def scored(folder):
+    """How often each pair was scored."""
+    found = collections.Counter()
+    for name in os.listdir(folder):
+        if name != "broken":
+            found.update(open(os.path.join(folder, name)).read().split())
+    return found
+
+
+def test_a_killed_round_is_resumed_by_its_parts(spark, pairs, tmp_path):
+    workdir, parts = str(tmp_path / "run"), 5
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    options = dict(gamma=0.5, max_rounds=2, parts=parts, workdir=workdir)
+    backend = WorkerBackend(lambda: Counting(str(calls)), name="counting", batch_size=1)
+    part = F.pmod(F.xxhash64(F.col("record_id").cast("string"), "instruction"), F.lit(parts))
+    with_answers = pairs.filter(F.size("responses") > 0)
+    # The last row of the fourth part takes the job down, half way through the first round.
+    fatal = with_answers.filter(part == 3).orderBy(F.desc("record_id")).first().instruction
+    (calls / "broken").write_text(fatal)
+    with pytest.raises(Exception):
+        refine_rounds(spark, pairs, backend, **options)
+    assert [os.path.exists(f"{workdir}/refine_log/round=0/part={k}/_SUCCESS") for k in range(parts)] == [True] * 3 + [False] * 2
+    (calls / "broken").unlink()
+    finished = with_answers.filter(part < 3).select("instruction", F.explode(F.slice("responses", 1, 2)).alias("r")).collect()
+    run = refine_rounds(spark, pairs, backend, **options, resume=True)
+    assert rows(run.final_products) == rows(refine_rounds(spark, pairs, StandIn(), gamma=0.5, max_rounds=2).final_products)
+    often = scored(str(calls))
+    # What was committed is not asked again.
+    done = {hashlib.md5(f"{r.instruction}|{r.r}".encode()).hexdigest() for r in finished}
+    assert done and all(often[key] == 1 for key in done)
+
+
+def test_scoring_budgets_in_rounds(spark):
+    long, words = " ".join(f"w{k}" for k in range(6000)), lambda n: " ".join(f"r{k}" for k in range(n))
+    data = [pair("1", long, words(10), words(5000)), pair("2", "short", "a b", words(4096)), pair("3", "", words(4097)), pair("4", None, "x"), pair("5", long)]
+    df = spark.createDataFrame(data, PAIRS)
+    run = refine_rounds(spark, df, StandIn(), gamma=0.5, max_rounds=1, score_units=4096)
+    model = StandInModel()
+    found = {r.record_id: r for r in run.routed.collect()}
+    tail = lambda text, n: " ".join(text.split()[-n:]) if n else ""
+    asked = [(tail(long, 4086), words(10)), ("", tail(words(5000), 4096)), ("short", "a b"), ("", words(4096)), ("", tail(words(4097), 4096))]
+    want = model.score(asked)
+    assert found["1"].scores == want[:2] and found["1"].score_over_budget == [True, True]
+    assert found["2"].scores == want[2:4] and found["2"].score_over_budget == [False, True]
+    assert found["3"].scores == want[4:] and found["3"].score_over_budget == [True]
+    assert found["4"].route == found["5"].route == "invalid" and found["5"].score_over_budget == []
+    worker = refine_rounds(spark, df, WorkerBackend(StandInModel), gamma=0.5, max_rounds=1, score_units=4096)
+    assert rows(worker.routed.select("record_id", "scores", "score_over_budget", "route")) == rows(
+        run.routed.select("record_id", "scores", "score_over_budget", "route")
+    )
+    none = refine_rounds(spark, df, StandIn(), gamma=0.5, max_rounds=1)
+    assert {r.score_over_budget for r in none.routed.collect()} == {None}
+
+
+def test_a_run_is_not_resumed_with_another_scoring_budget(spark, pairs, tmp_path):
+    workdir = str(tmp_path / "run")
+    refine_rounds(spark, pairs, StandIn(), gamma=0.9, workdir=workdir, max_rounds=1, score_units=50)
+    for other in (51, None):
+        with pytest.raises(ValueError, match="other settings"):
+            refine_rounds(spark, pairs, StandIn(), gamma=0.9, workdir=workdir, max_rounds=1, score_units=other, resume=True)
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_finalize_writes_four_datasets(spark, pairs, tmp_path, fmt):
     run = refine_rounds(spark, pairs, StandIn(), gamma=0.4)

@@ -4,7 +4,7 @@ import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
-from prefspark.operators.sampling import sample_fraction, sample_size
+from prefspark.operators.sampling import sample_fraction, sample_size, shuffled
 
 
 def numbered(spark, n, partitions=3):
@@ -47,15 +47,57 @@ def test_repeated_and_missing_ids(spark):
     rows = [(i,) for i in order] + [(order[1],)] * 2
     df = spark.createDataFrame(rows, "record_id string")
     assert sample_size(df, 1).collect() == [(order[0],)]
-    assert sorted(r.record_id for r in sample_size(df, 4).collect()) == sorted([order[0]] + [order[1]] * 3)
+    for size in (2, 3, 4, 5):
+        want = sorted(([order[0]] + [order[1]] * 3 + order[2:])[:size])
+        assert sorted(r.record_id for r in sample_size(df, size).collect()) == want
     assert sample_fraction(df, 5 / 6).count() == 5
-    for size in (2, 3):
-        with pytest.raises(ValueError, match="with one record_id"):
-            sample_size(df, size)
     nulls = spark.createDataFrame([(None,), (None,)], "record_id string")
-    assert sample_size(nulls, 2).count() == 2 and sample_size(nulls, 0).isEmpty()
-    with pytest.raises(ValueError, match="with one record_id"):
-        sample_fraction(nulls, 0.5)
+    assert [sample_size(nulls, k).count() for k in range(3)] == [0, 1, 2]
+    assert sample_fraction(nulls, 0.5).count() == 1
+
+
+def content(row):
+    sized = ("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row)
+    return hashlib.md5("".join(sized).encode()).hexdigest()
+
+
+def mixed_rows(n=600):
+    """A third without an id, a third with a few, and equal rows among both."""
+    rows = []
+    for k in range(n):
+        record_id = None if k % 3 == 0 else str(k % 5) if k % 3 == 1 else str(k)
+        rows.append((record_id, "same" if k % 2 else f"text {k % 100}", k % 4))
+    return rows
+
+
+@pytest.mark.parametrize("size", [0, 1, 60, 130, 200, 201, 333, 500, 599, 600])
+def test_ties_go_by_content_and_equal_rows_by_number(spark, size):
+    rows = mixed_rows()
+    key = lambda r: (hashlib.md5(f"42:{r[0] or ''}".encode()).hexdigest(), content(r))
+    want = sorted(sorted(rows, key=key)[:size], key=str)
+    for partitions in (1, 9):
+        df = spark.createDataFrame(rows, "record_id string, text string, x int").repartition(partitions, "x", "text")
+        assert sorted((tuple(r) for r in sample_size(df, size, digits=1).collect()), key=str) == want
+
+
+def test_equal_rows_are_dealt_from_many_files(spark):
+    df = spark.range(1000, numPartitions=8).select(F.lit(None).cast("string").alias("record_id"), F.lit(1).alias("x"))
+    sample = sample_fraction(df, 0.33)
+    assert sample.count() == 330 and sample.columns == ["record_id", "x"]
+    assert "Exchange" not in plan_of(sample)
+
+
+def test_shuffled_rows_have_places_in_sample_order(spark):
+    rows = mixed_rows()
+    df = spark.createDataFrame(rows, "record_id string, text string, x int").repartition(5)
+    placed = shuffled(df)
+    assert placed.columns == ["record_id", "text", "x", "place"] and "SinglePartition" not in plan_of(placed)
+    found = sorted((tuple(r) for r in placed.collect()), key=lambda r: r[3])
+    assert [r[3] for r in found] == list(range(len(rows)))
+    key = lambda r: (hashlib.md5(f"42:{r[0] or ''}".encode()).hexdigest(), content(r))
+    assert [r[:3] for r in found] == sorted(rows, key=key)
+    head = sorted((r[:3] for r in found[:77]), key=str)
+    assert sorted((tuple(r) for r in sample_size(df, 77).collect()), key=str) == head
 
 
 def test_partitioning_does_not_matter_and_the_seed_does(spark):

@@ -2,14 +2,17 @@ import json
 import os
 
 import pytest
+from helpers import plan_of
 from pyspark.sql import functions as F
 
+from prefspark.operators.ordinals import in_input_order, numbered, running_sum
 from prefspark.operators.reports import text_field
-from prefspark.operators.resume import drop_empty
+from prefspark.operators.resume import cache_lookup, drop_empty
 from prefspark.plans.preparation import project_instruction
 from prefspark.schemas import CACHE, INSTRUCTION, PAIRS
 from prefspark.session import CHECKPOINT_DIR, WAREHOUSE_DIR, new_workdir, shared_dir
 from prefspark.sources import tables
+from prefspark.sources.imports import import_instructions
 
 
 def write(path, *lines):
@@ -94,10 +97,81 @@ def test_route_partitions_are_pruned(spark, tmp_path):
 
 def test_imported_ids_are_unique_and_stay(spark, tmp_path):
     lines = spark.range(100).select(F.concat(F.lit("t"), F.col("id")).alias("instruction"))
-    stored = tables.import_instructions(spark, lines.repartition(5), str(tmp_path / "t"))
+    stored = import_instructions(spark, lines.repartition(5), str(tmp_path / "t"))
     ids = {r.instruction: r.record_id for r in stored.collect()}
-    assert len(set(ids.values())) == 100
+    assert set(ids.values()) == {str(k) for k in range(100)}
     assert {r.instruction: r.record_id for r in stored.repartition(3).collect()} == ids
+    assert import_instructions(spark, lines.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_imported_rows_are_numbered_in_file_order(spark, tmp_path, conf):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    want = []
+    for name, n in (("b", 3), ("a", 4000), ("c", 0), ("d", 1200)):
+        lines = [json.dumps({"instruction": f"{name}{k}"}) for k in range(n)]
+        (folder / f"{name}.jsonl").write_text("".join(line + "\n" for line in lines))
+    for name, n in (("a", 4000), ("b", 3), ("d", 1200)):
+        want += [f"{name}{k}" for k in range(n)]
+    # Splits far smaller than files, and read in whatever order.
+    conf(spark__sql__files__maxPartitionBytes="7000", spark__sql__files__openCostInBytes="100")
+    lines = tables.read_jsonl(spark, str(folder), INSTRUCTION)
+    assert lines.rdd.getNumPartitions() > 10
+    stored = import_instructions(spark, lines.select("instruction"), str(tmp_path / "t"))
+    rows = sorted(stored.collect(), key=lambda r: r.seq)
+    assert [r.seq for r in rows] == list(range(len(want))) and [r.instruction for r in rows] == want
+    assert all(r.record_id == str(r.seq) for r in rows) and not tables.exists(spark, str(tmp_path / "t-order"))
+
+
+def test_numbers_within_groups(spark, tmp_path):
+    rows = [(g, k % 7, k) for g, n in (("a", 50), ("b", 1), ("c", 33)) for k in range(n)]
+    df = spark.createDataFrame(rows, "g string, x int, y int").repartition(6)
+    found = numbered(df, [F.col("x"), F.col("y")], str(tmp_path / "t"), within="g", parts=5).collect()
+    for group in "abc":
+        want = [r[1:] for r in sorted(r for r in rows if r[0] == group)]
+        assert [(r.x, r.y) for r in sorted((r for r in found if r.g == group), key=lambda r: r.seq)] == want
+        assert sorted(r.seq for r in found if r.g == group) == list(range(len(want)))
+
+
+def test_running_sums(spark, tmp_path):
+    rows = [(k, (k * 37) % 11) for k in range(500)]
+    df = spark.createDataFrame(rows, "k int, n long").repartition(7)
+    found = {r.k: r.before for r in running_sum(df, [F.col("k")], "n", str(tmp_path / "t"), "before").collect()}
+    assert found == {k: sum(n for j, n in rows if j < k) for k, _ in rows}
+
+
+def test_no_task_numbers_all_rows(spark, tmp_path):
+    df = spark.range(1000).repartition(4)
+    for placed in (numbered(df, [F.col("id")], str(tmp_path / "a")), in_input_order(df, str(tmp_path / "b"))):
+        assert "SinglePartition" not in plan_of(placed)
+
+
+def test_a_log_is_read_by_position(spark, tmp_path):
+    """The first row in the log wins, whatever its id and round."""
+    rows = [{"record_id": "9", "instruction": "a", "round": 3, "refined_instruction": "first"}]
+    rows += [{"record_id": str(k), "instruction": f"x{k}", "round": 0} for k in range(3000)]
+    rows += [{"record_id": "1", "instruction": "a", "round": 0, "refined_instruction": "later"}]
+    path = write(tmp_path / "cache.jsonl", *map(json.dumps, rows))
+    asked = spark.createDataFrame([("q", "a")], "record_id string, instruction string")
+    for positions, want in ((True, "first"), (False, "later")):
+        log = tables.read_cache(spark, path, positions=positions)
+        assert cache_lookup(asked, log).first().hit.refined_instruction == want
+
+
+def test_a_broken_parquet_cache_is_empty(spark, tmp_path):
+    path = tmp_path / "cache"
+    cache = spark.createDataFrame([(str(k), f"text {k}") for k in range(2000)], "record_id string, instruction string")
+    for name in CACHE.fieldNames()[2:]:
+        cache = cache.withColumn(name, F.lit(None).cast(CACHE[name].dataType))
+    cache.repartition(3).write.parquet(str(path))
+    assert tables.read_cache(spark, str(path), "parquet").count() == 2000
+    file = next(f for f in sorted(os.listdir(path)) if f.endswith(".parquet"))
+    for keep in (0.9, 0.1):
+        raw = (path / file).read_bytes()
+        (path / file).write_bytes(raw[: int(len(raw) * keep)])
+        (path / f".{file}.crc").unlink(missing_ok=True)
+        empty = tables.read_cache(spark, str(path), "parquet")
+        assert empty.schema == CACHE and empty.isEmpty()
 
 
 def test_field_must_be_a_string(spark):

@@ -12,7 +12,9 @@ from prefspark.functions.rubric import is_valid_rubric
 from prefspark.functions.text import (
     keep_head,
     keep_tail,
+    keep_tails,
     over_budget,
+    tail_pieces,
     trim_all_at_stops,
     trim_at_stops,
     truncate_responses,
@@ -59,6 +61,17 @@ def test_budgets_against_brute_force(spark, texts):
             assert kept.split() == units[:4] and tail.split() == units[-4:]
 
 
+def test_tails_of_one_text_for_several_budgets(spark):
+    """As each budget by itself gives."""
+    texts = ["a b  c", " a\nb\tc d ", "", None, "abcdefgh", "x " * 50, " ", "one two three four five"]
+    budgets = [0, 1, 2, 3, 49, 50]
+    x = F.col("x")
+    together = keep_tails(x, tail_pieces(x), F.array(*[F.lit(b) for b in budgets]))
+    alone = F.array(*[keep_tail(x, F.lit(b)) for b in budgets])
+    for text, (many, single) in zip(texts, evaluate(spark, texts, together, alone)):
+        assert many == single, repr(text)
+
+
 @pytest.mark.parametrize(
     "text, kept",
     [
