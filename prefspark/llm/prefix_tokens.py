@@ -80,45 +80,47 @@ class PrefixCounter:
             raise ValueError(f"{path} has added tokens that depend on what surrounds them")
         self.special = sorted((t["content"] for t in added), key=len, reverse=True)
         self.special_pattern = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self.vocabulary: dict[str, int] = model["vocab"]
+        #: For each token: of tokens before it, whether both stay as they are next to each other.
+        self.stays: dict[str, dict[str, bool]] = {token: {} for token in model["vocab"]}
+        self.pairs = 0
         self.table = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
         # By the last two bytes of a token: the lengths it may have, longest first.
         lengths: dict[str, set[int]] = {}
-        for token in self.vocabulary:
+        for token in self.stays:
             lengths.setdefault(token[-2:], set()).add(len(token))
         self.lengths = {end: sorted(n, reverse=True) for end, n in lengths.items() if len(end) == 2}
-        self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ask(self, pair: tuple[str, str]) -> bool:
+    def _ask(self, before: str, token: str) -> bool:
         """Whether the two tokens' bytes together have just these two tokens; the first may be empty."""
-        found = [t.value for t in self.tokenizer.model.tokenize("".join(pair))]
-        stays = found == [t for t in pair if t]
-        if len(self.pairs) >= MEMO_PAIRS:
-            self.pairs.clear()
-        self.pairs[pair] = stays
+        found = [t.value for t in self.tokenizer.model.tokenize(before + token)]
+        if self.pairs >= MEMO_PAIRS:
+            for known in self.stays.values():
+                known.clear()
+            self.pairs = 0
+        self.pairs += 1
+        self.stays[token][before] = stays = found == ([before, token] if before else [token])
         return stays
 
     def _piece(self, piece: str) -> list[int]:
         """The count of each prefix of a piece, the empty one first, in characters."""
         plain = piece.isascii()
         raw = (piece if plain else piece.encode("utf-8", "surrogatepass").decode("latin-1")).translate(self.table)
-        vocabulary, lengths, known = self.vocabulary, self.lengths, self.pairs.get
+        lengths, tokens = self.lengths.get, self.stays.get
         last, counts = ["", raw[:1]], [0, 1]
         for end in range(2, len(raw) + 1):
-            token, n = raw[end - 1], 1
-            for size in lengths.get(raw[end - 2 : end], ()):
+            begin = end - 1
+            for size in lengths(raw[end - 2 : end], ()):
                 if size <= end:
-                    longer = raw[end - size : end]
-                    if longer in vocabulary:
-                        pair = last[end - size], longer
-                        stays = known(pair)
-                        if self._ask(pair) if stays is None else stays:
-                            token, n = longer, size
+                    known = tokens(raw[end - size : end])
+                    if known is not None:
+                        stays = known.get(last[end - size])
+                        if stays or (stays is None and self._ask(last[end - size], raw[end - size : end])):
+                            begin = end - size
                             break
-            last.append(token)
-            counts.append(counts[end - n] + 1)
+            last.append(raw[begin:end])
+            counts.append(counts[begin] + 1)
         if plain:
             return counts[: len(raw) + 1]
         ends, end = [0], 0
@@ -153,26 +155,43 @@ class PrefixCounter:
             total += inside[-1]
         return counts
 
-    def _learn(self, chunk: str) -> bytes:
-        """A chunk's steps as signed bytes; an OverflowError where they do not fit."""
-        found = self.older.get(chunk)
+    def _learn(self, key: str) -> bytes:
+        """The steps of a chunk as signed bytes; an OverflowError where they do not fit.
+
+        The key of a chunk that starts with a space and a word is without the space; a zero stands before one
+        that starts with the word."""
+        found = self.older.get(key)
         if found is None:
+            chunk = key[1:] if key[0] == "\0" else key if _BLANKS.match(key) else " " + key
             counts = self._counts(chunk)
             found = array.array("b", map(operator.sub, counts[1:], counts)).tobytes()
-        if len(chunk) <= MEMO_CHARS:
+        if len(key) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_CHUNKS:
                 self.memo, self.older = {}, self.memo
-            self.memo[chunk] = found
+            self.memo[key] = found
         return found
 
+    @staticmethod
+    def _keys(text: str) -> list[str]:
+        """The text's chunks as the keys of `_learn`."""
+        if text and "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
+            # Single spaces and line feeds alone, and none at the ends.
+            return ("\0" + text).replace("\n", " \n").split(" ")
+        keys = []
+        for chunk in _CHUNKS.findall(text):
+            if chunk[0] == " " and len(chunk) > 1 and chunk[1] != "\0" and not _BLANKS.match(chunk, 1):
+                keys.append(chunk[1:])
+            else:
+                keys.append(chunk if _BLANKS.match(chunk) else "\0" + chunk)
+        return keys
+
     def _segment(self, text: str) -> np.ndarray:
         """Steps of a text without special tokens, as int8, or int32 where that is too small."""
-        chunks = _CHUNKS.findall(text)
         known, learn = self.memo.get, self._learn
         try:
-            return np.frombuffer(b"".join([known(c) or learn(c) for c in chunks]), dtype=np.int8)
+            return np.frombuffer(b"".join([known(k) or learn(k) for k in self._keys(text)]), dtype=np.int8)
         except OverflowError:
-            return np.concatenate([np.diff(self._counts(c)) for c in chunks]).astype(np.int32)
+            return np.concatenate([np.diff(self._counts(c)) for c in _CHUNKS.findall(text)]).astype(np.int32)
 
     def steps(self, text: str) -> np.ndarray:
         """What each character of the text adds to the number of tokens, as int8 or int32."""

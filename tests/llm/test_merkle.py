@@ -1,0 +1,140 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from conftest_llm import SF_DIR
+from pyspark.sql import functions as F
+
+from prefspark.llm import merkle
+from prefspark.llm.queries import op13_merkle_manifest
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, tree string, place int, leaf int, root double"
+FILL = ("t", 1, 2, 0.5)
+
+
+def h(*inputs):
+    return hashlib.sha256("".join(inputs).encode("utf-8")).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode('utf-8'))}:{value}"
+
+
+def climb(nodes, fanout):
+    """(root, per leaf its runs as (place in the run, run)) by a plain tree."""
+    runs, spots = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for k, at in enumerate(spots):
+            low = at - at % fanout
+            runs[k].append((at % fanout, nodes[low : low + fanout]))
+        spots = [at // fanout for at in spots]
+        nodes = [h(*nodes[k : k + fanout]) for k in range(0, len(nodes), fanout)]
+    return nodes[0], runs
+
+
+def brute(rows, fanout=8):
+    """{place of the row: (lang, place, leaf, subroot, root, proof_sha256, folded_root)}"""
+    leaves = [h(*map(field, r[:5])) for r in [(r[0], r[1], r[2], r[3], r[4]) for r in rows]]
+    groups = defaultdict(list)
+    for k, r in enumerate(rows):
+        groups[r[2]].append(k)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for members in groups.values():
+        members.sort(key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, leaves[k]))
+    built = {g: climb([leaves[k] for k in groups[g]], fanout) for g in names}
+    root, tops = climb([built[g][0] for g in names], fanout) if names else (None, [])
+    out = {}
+    for g, above in zip(names, tops):
+        subroot, below = built[g]
+        for place, (k, runs) in enumerate(zip(groups[g], below)):
+            doc_id, text = rows[k][0], rows[k][4]
+            node = leaves[k]
+            if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0 and text is not None:
+                lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+                node = h(*map(field, (*rows[k][:4], lower)))
+            proof = ""
+            for at, run in [*runs, *above]:
+                proof += "".join(run[:at] + run[at + 1 :])
+                node = h(*run[:at], node, *run[at + 1 :])
+            out[k] = (g, place, leaves[k], subroot, root, h(proof), node)
+    return out
+
+
+def claim():
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    values = [lower if f == "text" else F.col(f) for f in merkle.FIELDS]
+    return F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.leaf(*values))
+
+
+def check(spark, rows, fanout, span, schema=SCHEMA):
+    docs = spark.createDataFrame([(*r, *FILL) for r in rows], schema)
+    found = merkle.proofs(merkle.build(docs, claim=claim(), fanout=fanout, span=span), fanout=fanout, span=span, with_proof=True).collect()
+    want = sorted(((rows[k][0], *told) for k, told in brute(rows, fanout).items()), key=str)
+    mine = [(r.id, r.group, r.place, r.leaf, r.subroot, r.root, r.proof_sha256, r.folded_root) for r in found]
+    # Equal rows may stand for each other.
+    assert sorted(mine, key=str) == want
+    assert all(merkle.fold(r.leaf, r.proof) == r.root for r in found)
+
+
+def made(sizes, seed=1):
+    rng, rows = random.Random(seed), []
+    for lang, n in sizes.items():
+        rows += [(i if rng.random() > 0.1 else None, rng.choice(["a", None]), lang, i, rng.choice(["Text", "", None, "Ünï X", "lower"]) and f"T{i % 5}") for i in range(n)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("fanout, span", [(8, 8), (3, 3), (2, 1), (8, 4096), (4, 16)])
+def test_ragged_trees(spark, fanout, span):
+    check(spark, made({None: 1, "": 2, "a": 9, "b": 64, "ä": 65, "c": 130, "de": 17}), fanout, span)
+
+
+def test_many_groups(spark):
+    check(spark, made({f"g{k}": 1 + k % 3 for k in range(75)}), 8, 8)
+
+
+@pytest.mark.parametrize("rows", [[(1, "s", "en", 3, "Abc")], [(None, None, None, None, None)], [(3, "s", "en", 1, "A")] * 20, [(3, "s", "en", 1, "A")] * 7 + [(None, "s", "en", 1, "")] * 12])
+def test_few_and_equal_rows(spark, rows):
+    check(spark, rows, 8, 8)
+
+
+def test_edges(spark, edge_docs, no_docs):
+    docs = edge_docs.withColumn("n_chars", F.length("text"))
+    rows = [(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in docs.collect()]
+    found = merkle.proofs(merkle.build(docs))
+    want = sorted(((rows[k][0], *t[:6]) for k, t in brute(rows).items()), key=str)
+    assert sorted(((r.id, r.group, r.place, r.leaf, r.subroot, r.root, r.proof_sha256) for r in found.collect()), key=str) == want
+    assert found.where("folded_root <> root").count() == 0
+    assert merkle.proofs(merkle.build(no_docs.withColumn("n_chars", F.length("text")))).count() == 0
+
+
+def test_a_span_is_a_power_of_the_fanout(spark, no_docs):
+    with pytest.raises(ValueError):
+        merkle.build(no_docs, span=100)
+
+
+def test_messages_grow_with_the_parts(spark):
+    """A round sends at most fanout rows per part, and no more than fanout of them meet."""
+    nodes = spark.range(200).select(F.lit("t").alias("tree"), F.col("id").alias("place"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    state = nodes.withColumn("path", F.array().cast(merkle._PATH)).withColumn("size", F.lit(200).cast("long"))
+    reach = 1
+    while reach < 200:
+        state = merkle._exchange(state, 8, reach)
+        assert state.count() == 200
+        reach *= 8
+    assert state.select("digest").distinct().count() == 1
+    assert {len(s.others) for r in state.collect() for s in r.path} <= set(range(8))
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in docs.collect()]
+    found = {r.doc_id: r for r in op13_merkle_manifest(spark, SF_DIR).collect()}
+    for k, (lang, place, leaf, subroot, root, proof, folded) in brute(rows).items():
+        r = found[rows[k][0]]
+        assert (r.lang, r.place, r.leaf, r.subroot, r.root, r.proof_sha256, r.folded_root, r.verified) == (
+            lang, place, leaf, subroot, root, proof, folded, folded == root
+        )
+    assert 0 < sum(not r.verified for r in found.values()) < len(found)

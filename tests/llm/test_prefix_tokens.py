@@ -50,7 +50,7 @@ def test_every_prefix_of_given_texts(counter, tokenizer, texts):
 
 def test_the_vocabulary_holds_what_the_method_needs(counter):
     """Every token's own bytes have that one token."""
-    assert all(counter._ask(("", token)) for token in list(counter.vocabulary)[::17])
+    assert all(counter._ask("", token) for token in list(counter.stays)[::17])
 
 
 def test_long_pieces_are_linear(counter, tokenizer):
@@ -62,7 +62,7 @@ def test_long_pieces_are_linear(counter, tokenizer):
 
 def test_wide_steps(counter, monkeypatch):
     monkeypatch.setattr(counter, "_counts", lambda chunk: [0, 300])
-    counter.memo.pop("q", None)
+    counter.memo.pop("\0q", None)
     assert counter.steps("q").tolist() == [300] and counter.steps("q").dtype == np.int32
 
 
@@ -72,7 +72,7 @@ def test_memory_is_bounded(monkeypatch, tokenizer, texts):
     small = prefix_tokens.PrefixCounter(PATH)
     for text in list(texts.values())[:20]:
         assert small.steps(text).sum(dtype=int) == len(tokenizer.encode(text, add_special_tokens=False).ids)
-    assert len(small.memo) <= 50 and len(small.older) <= 50 and len(small.pairs) <= 50
+    assert len(small.memo) <= 50 and len(small.older) <= 50 and small.pairs <= 50
 
 
 def test_query(spark, tokenizer, texts):
