@@ -30,9 +30,11 @@ Defined results
 from __future__ import annotations
 
 import array
+import contextlib
 import json
 import operator
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,8 @@ PREFIXES = "n_bytes long, n_chars long, n_tokens long, width int, steps binary"
 MEMO_CHUNKS, MEMO_PAIRS = 500_000, 1_000_000
 #: Longer chunks are not remembered.
 MEMO_CHARS = 64
+#: Characters of text whose chunks are learned together.
+PORTION = 4 << 20
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-ʯ]+"
 #: Chunks whose pieces are plain: a line feed, a word with or without its space, and marks after it.
 _PLAIN = re.compile(rf"(?:(\n)({_LETTERS})|( ?{_LETTERS}))([.,;:!?]*)")
@@ -84,11 +88,18 @@ class PrefixCounter:
         self.stays: dict[str, dict[str, bool]] = {token: {} for token in model["vocab"]}
         self.pairs = 0
         self.table = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
-        # By the last two bytes of a token: the lengths it may have, longest first.
+        # By the last three bytes: the lengths that a token with this end may have, longest first; and by the
+        # last two where they are a token.
         lengths: dict[str, set[int]] = {}
         for token in self.stays:
-            lengths.setdefault(token[-2:], set()).add(len(token))
-        self.lengths = {end: sorted(n, reverse=True) for end, n in lengths.items() if len(end) == 2}
+            if len(token) > 1:
+                lengths.setdefault(token[-3:], set()).add(len(token))
+        for end, found in lengths.items():
+            if end[1:] in lengths and len(end) == 3:
+                found.add(2)
+        self.lengths = {end: sorted(n, reverse=True) for end, n in lengths.items()}
+        #: The piece counted last: its bytes, and for each prefix its last token and its count.
+        self.previous: tuple[str, list[str], list[int]] = "", [""], [0]
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -108,10 +119,17 @@ class PrefixCounter:
         plain = piece.isascii()
         raw = (piece if plain else piece.encode("utf-8", "surrogatepass").decode("latin-1")).translate(self.table)
         lengths, tokens = self.lengths.get, self.stays.get
-        last, counts = ["", raw[:1]], [0, 1]
-        for end in range(2, len(raw) + 1):
+        # The counts go on from what the piece has in common with the one before it.
+        before, last, counts = self.previous
+        same = 0
+        for a, b in zip(before, raw):
+            if a != b:
+                break
+            same += 1
+        last, counts = (last[: same + 1], counts[: same + 1]) if same else (["", raw[:1]], [0, 1])
+        for end in range(max(same, 1) + 1, len(raw) + 1):
             begin = end - 1
-            for size in lengths(raw[end - 2 : end], ()):
+            for size in lengths(raw[end - 3 if end > 2 else 0 : end]) or lengths(raw[end - 2 : end], ()):
                 if size <= end:
                     known = tokens(raw[end - size : end])
                     if known is not None:
@@ -121,6 +139,8 @@ class PrefixCounter:
                             break
             last.append(raw[begin:end])
             counts.append(counts[begin] + 1)
+        if len(raw) > 3:  # not for the marks between words
+            self.previous = raw, last, counts
         if plain:
             return counts[: len(raw) + 1]
         ends, end = [0], 0
@@ -185,18 +205,30 @@ class PrefixCounter:
                 keys.append(chunk if _BLANKS.match(chunk) else "\0" + chunk)
         return keys
 
-    def _segment(self, text: str) -> np.ndarray:
+    def _segment(self, text: str, keys: list[str] | None = None) -> np.ndarray:
         """Steps of a text without special tokens, as int8, or int32 where that is too small."""
         known, learn = self.memo.get, self._learn
         try:
-            return np.frombuffer(b"".join([known(k) or learn(k) for k in self._keys(text)]), dtype=np.int8)
+            found = [known(k) or learn(k) for k in (self._keys(text) if keys is None else keys)]
+            return np.frombuffer(b"".join(found), dtype=np.int8)
         except OverflowError:
             return np.concatenate([np.diff(self._counts(c)) for c in _CHUNKS.findall(text)]).astype(np.int32)
 
     def steps(self, text: str) -> np.ndarray:
         """What each character of the text adds to the number of tokens, as int8 or int32."""
-        if not any(s in text for s in self.special):
-            return self._segment(text)
+        return self.steps_of([text])[0]
+
+    def steps_of(self, texts: list[str]) -> list[np.ndarray]:
+        """`steps` of each text. Their new chunks are learned in sorted order, so that a chunk is counted
+        from where it parts from the one before it."""
+        keys = [None if any(s in t for s in self.special) else self._keys(t) for t in texts]
+        missing = set().union(*(k for k in keys if k is not None)).difference(self.memo, self.older)
+        with contextlib.suppress(OverflowError):  # `_segment` meets it again
+            for key in sorted(missing):
+                self._learn(key)
+        return [self._around_special(t) if k is None else self._segment(t, k) for t, k in zip(texts, keys, strict=True)]
+
+    def _around_special(self, text: str) -> np.ndarray:
         found, begin = [], 0
         for match in self.special_pattern.finditer(text):
             before = text[begin : match.start()]
@@ -218,6 +250,18 @@ class PrefixCounter:
         return np.diff([*counts, base + 1])
 
 
+def _portions(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts of about PORTION characters, or one longer text."""
+    begin = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > PORTION:
+            yield slice(begin, k)
+            begin, size = k, 0
+        size += len(text) + 1
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def _counter(path: str) -> PrefixCounter:
     return process_cache(f"prefix counter {path}", lambda: PrefixCounter(path))
 
@@ -227,11 +271,11 @@ def prefixes(text: Column, tokenizer_path: str) -> Column:
 
     @F.pandas_udf(PREFIXES)
     def count(texts: pd.Series) -> pd.DataFrame:
-        counter, rows = _counter(tokenizer_path), []
-        for t in texts:
-            steps = counter.steps(t)
-            n_bytes = len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass"))
-            rows.append((n_bytes, len(t), int(steps.sum(dtype=np.int64)), steps.dtype.itemsize, steps.tobytes()))
+        counter, rows, texts = _counter(tokenizer_path), [], list(texts)
+        for part in _portions(texts):
+            for t, steps in zip(texts[part], counter.steps_of(texts[part]), strict=True):
+                n_bytes = len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass"))
+                rows.append((n_bytes, len(t), int(steps.sum(dtype=np.int64)), steps.dtype.itemsize, steps.tobytes()))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in PREFIXES.split(", ")])
 
     return count(F.coalesce(text, F.lit("")))
