@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from prefspark.llm.common import written
 from prefspark.session import new_workdir
 
+READ_BYTES = 64 << 10
 FILE_BYTES = 64 << 20
 MIN_REVISIT_BYTES = 0
 RANGE_CAPTURES = 100_000
@@ -167,16 +168,20 @@ def parse_member(raw: bytes) -> dict:
     }
 
 
-def members(raw: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, length, unpacked bytes) of the gzip members of a file."""
-    offset = 0
-    while offset < len(raw):
-        unpacker = zlib.decompressobj(31)
-        data = unpacker.decompress(memoryview(raw)[offset:])
-        if not unpacker.eof:
-            raise ValueError(f"cut off at byte {offset}")
-        length = len(raw) - offset - len(unpacker.unused_data)
-        yield offset, length, data
+def members(stream) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, unpacked bytes) of the gzip members of a file, which is read READ_BYTES at a time.
+
+    What an unpacker leaves of a read is copied for the next one, so a read is small."""
+    offset, unread = 0, stream.read(READ_BYTES)
+    while unread:
+        unpacker, length, data = zlib.decompressobj(31), 0, []
+        while not unpacker.eof:
+            if not unread:
+                raise ValueError(f"cut off at byte {offset}")
+            data.append(unpacker.decompress(unread))
+            length += len(unread) - len(unpacker.unused_data)
+            unread = unpacker.unused_data or stream.read(READ_BYTES)
+        yield offset, length, b"".join(data)
         offset += length
 
 
@@ -232,12 +237,11 @@ def read_runs(folder: str, files: DataFrame) -> DataFrame:
         system, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for file in batch["file"]:
-                with system.open_input_stream(f"{root}/{file}", compression=None) as f:
-                    raw = f.read()
                 rows = []
-                for offset, length, data in members(raw):
-                    capture = parse_member(data) | {"file": file, "offset": offset, "length": length}
-                    rows.append(tuple(capture[c] for c in _COLUMNS))
+                with system.open_input_stream(f"{root}/{file}", compression=None) as stream:
+                    for offset, length, data in members(stream):
+                        capture = parse_member(data) | {"file": file, "offset": offset, "length": length}
+                        rows.append(tuple(capture[c] for c in _COLUMNS))
                 rows.sort(key=capture_order)
                 yield pd.DataFrame(rows, columns=_COLUMNS).astype({"page_id": "Int64", "refers_to": "Int64"})
 

@@ -1,7 +1,11 @@
 import base64
+import gzip
 import hashlib
+import io
 import itertools
 import random
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -144,3 +148,46 @@ def test_loser_tree(k):
     rng = random.Random(k)
     runs = [sorted((rng.randrange(20), r, i) for i in range(rng.randrange(0, 30))) for r in range(k)]
     assert list(warc.LoserTree(runs, lambda x: x)) == sorted(itertools.chain(*runs))
+
+
+class Archive(io.RawIOBase):
+    """A file of gzip members that is made while it is read, so that it needs no memory."""
+
+    def __init__(self, member, n):
+        self.member, self.left, self.rest, self.longest = member, n, b"", 0
+
+    def read(self, size):
+        self.longest = max(self.longest, size)
+        while len(self.rest) < size and self.left:
+            self.rest, self.left = self.rest + self.member, self.left - 1
+        out, self.rest = self.rest[:size], self.rest[size:]
+        return out
+
+
+def test_archives_are_read_in_time_and_memory_that_their_size_allows():
+    member = gzip.compress(random.Random(1).randbytes(3000))
+    took = {}
+    for megabytes in (8, 64):
+        n = (megabytes << 20) // len(member)
+        archive, start = Archive(member, n), time.process_time()
+        tracemalloc.start()
+        count = end = 0
+        for offset, length, data in warc.members(archive):
+            assert (offset, length, len(data)) == (end, len(member), 3000)
+            count, end = count + 1, offset + length
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        took[megabytes] = time.process_time() - start
+        assert count == n and archive.longest == warc.READ_BYTES and peak < 1 << 20
+    assert took[64] < 8 * took[8] * 2
+
+
+@pytest.mark.parametrize("size", [1, 7, 64 << 10])
+def test_members_of_any_size(monkeypatch, size):
+    monkeypatch.setattr(warc, "READ_BYTES", size)
+    texts = [b"", b"a", random.Random(1).randbytes(50_000), b"b" * 100_000]
+    raw = b"".join(map(gzip.compress, texts))
+    assert [data for _, _, data in warc.members(io.BytesIO(raw))] == texts
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.members(io.BytesIO(raw[:-1])))
+    assert list(warc.members(io.BytesIO(b""))) == []
