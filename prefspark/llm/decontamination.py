@@ -13,9 +13,11 @@ no answers to check; the item's last ANSWER_WORDS words then stand in for one, i
 many words, and a paraphrase that changes two of them is not found. Words in over STOP of all cells weigh
 nothing, but for items that have few others; they count like any in the comparison of words.
 
-Words are compared in lower case and without punctuation. Only words of the benchmark matter for all
-of this, so a document becomes the numbers of its words in the benchmark's vocabulary, once. The
-benchmark is taken in slices of at most SLICE_WORDS words, whose vectors are what tasks get of it.
+Words are compared in lower case and without punctuation. Texts are read once: they become blocks of word
+numbers, each with a vocabulary of its own. The benchmark is taken in slices of at most SLICE_WORDS words,
+whose vectors are what tasks get of it, and SLICES of them share a pass over the blocks: one to count, one
+to search. What is left out before passages are folded in is bounded exactly: a passage whose words can't
+add up to PART along any vector is no candidate.
 
 Defined results
 * A null or empty text, in either table, is linked with nothing; nor is an item without words.
@@ -27,23 +29,25 @@ Defined results
 from __future__ import annotations
 
 import array
+import bisect
+import itertools
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import written
+from prefspark.llm.common import drop_written, written
 
 CELL = 16
 ENERGY = 0.9
 SHARE = 0.6
-COSINE = 0.5
-PART = 0.3
-STOP = 0.01
+COSINE = 0.4
+PART = 0.25
+STOP = 0.02
 #: A benchmark passage with fewer weighted words than this keeps the weights of all its words.
 FEW_WORDS = 5
 #: Item passages start this many words apart, so that one of them lies close to any passage of a text.
@@ -52,10 +56,14 @@ LCS = 0.7
 PARAPHRASE = 0.55
 ANSWER_WORDS = 5
 SLICE_WORDS = 10_000
+#: Slices that share a pass over the documents.
+SLICES = 8
+#: Groups of neighbouring item passages that share a bound.
+GROUPS = 32
 SEED = 42
 BLOCK_WORDS = 1 << 20
 LINK = "doc_id long, item_id long, lcs_share double, cosine double, first_word long"
-_ENCODED = "ids binary, lengths binary, tokens binary"
+_ENCODED = "ids binary, lengths binary, tokens binary, vocabulary string"
 _NO_ID = -(2**63)
 _MARKS = re.compile(r"[\W_]+")
 
@@ -66,15 +74,25 @@ def plain_words(text: str | None) -> list[str]:
 
 def lcs_length(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence; a row of the table is the bits of one number."""
+    return _lcs(places_of(a), len(a), b)
+
+
+def places_of(a: list[int]) -> dict[int, int]:
+    """For each word of `a` the bits of its places."""
     where: dict[int, int] = {}
     for k, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << k
-    full = (1 << len(a)) - 1
+    return where
+
+
+def _lcs(where: dict[int, int], n: int, b: Iterable[int]) -> int:
+    full = (1 << n) - 1
     row = full
     for x in b:
         hit = row & where.get(x, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+        if hit:  # else the row stays as it is
+            row = ((row + hit) | (row - hit)) & full
+    return n - row.bit_count()
 
 
 def cell_bounds(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,34 +105,42 @@ def cell_bounds(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return starts, text, within == np.repeat(cells, cells) - 1
 
 
+def _cell_sums(rows: np.ndarray, words: np.ndarray, cell: np.ndarray, cells: int) -> np.ndarray:
+    """Sums of the rows of words, which come cell by cell, over each cell."""
+    sums = np.zeros((cells, rows.shape[1]), dtype=np.float32)
+    filled, first = np.unique(cell, return_index=True)
+    for k in range(0, len(filled), 4096):  # so that what is gathered at a time stays small
+        low, high = first[k], first[k + 4096] if k + 4096 < len(first) else len(words)
+        sums[filled[k : k + 4096]] = np.add.reduceat(rows[words[low:high]], first[k : k + 4096] - low, axis=0)
+    return sums
+
+
 def passage_sums(
-    tokens: np.ndarray, lengths: np.ndarray, weighted: np.ndarray, least: float = 0.0
+    tokens: np.ndarray, lengths: np.ndarray, weighted: np.ndarray, bounds: np.ndarray | None = None, least: float = 0.0
 ) -> tuple[np.ndarray, ...]:
     """Sums of the rows of `weighted` over the words of each passage: (sums, start, end, text).
 
     A passage is a cell and the next one of the same text; a text of one cell is one passage. Word 0 has
-    no row. With `least`, passages whose words' squared weights (the last column, which is then not
-    summed) add up to less are left out.
+    no row. With `bounds`, passages over whose words each of its columns adds up to less than `least` are left
+    out.
     """
     starts, text, last = cell_bounds(lengths)
     lead = np.flatnonzero(~last | np.concatenate(([True], last[:-1])))
     two = ~last[lead]
     known = np.flatnonzero(tokens)
     cell = np.searchsorted(starts, known, side="right") - 1
-    if least:
-        mass = np.bincount(cell, weights=weighted[tokens[known], -1], minlength=len(starts))
-        heavy = mass[lead] + np.where(two, mass[np.minimum(lead + 1, len(mass) - 1)], 0) >= least
-        lead, two, weighted = lead[heavy], two[heavy], weighted[:, :-1]
+    words = tokens[known]
+    if bounds is not None:
+        most = _cell_sums(bounds, words, cell, len(starts))
+        reach = most[lead]
+        reach[two] += most[lead[two] + 1]
+        near = (reach >= least).any(axis=1)
+        lead, two = lead[near], two[near]
         needed = np.zeros(len(starts), dtype=bool)
         needed[lead] = needed[lead[two] + 1] = True
         inside = needed[cell]
-        known, cell = known[inside], cell[inside]
-    sums = np.zeros((len(starts), weighted.shape[1]), dtype=np.float32)
-    filled, first = np.unique(cell, return_index=True)
-    for k in range(0, len(filled), 4096):  # so that what is gathered at a time stays small
-        low, high = first[k], first[k + 4096] if k + 4096 < len(first) else len(known)
-        rows = weighted[tokens[known[low:high]]]
-        sums[filled[k : k + 4096]] = np.add.reduceat(rows, first[k : k + 4096] - low, axis=0)
+        words, cell = words[inside], cell[inside]
+    sums = _cell_sums(weighted, words, cell, len(starts))
     passages = sums[lead]
     passages[two] += sums[lead[two] + 1]
     cell_ends = np.append(starts[1:], lengths.sum())
@@ -135,6 +161,7 @@ class Items:
             [number(w) for w in plain_words(answer)] if answered else words[-ANSWER_WORDS:]
             for (_, _, answer), words, answered in zip(rows, self.words, self.answered, strict=True)
         ]
+        self.places = [places_of(words) for words in self.words]
         self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         self.tokens = np.array([w for words in self.words for w in words], dtype=np.int64)
 
@@ -147,8 +174,15 @@ class Items:
         if common < PARAPHRASE * n:  # more than this no order of the words can give
             return None
         best = (0.0, low)
+        where = self.places[item]
+        # Words that the item does not have are in no common subsequence.
+        shared = [k for k, w in enumerate(text) if w in where]
+        common = [text[k] for k in shared]
         for start in range(max(0, low - reach), min(len(text), high + 1), max(1, n // 8)):
-            share = lcs_length(words, text[start : start + reach]) / n
+            first, end = bisect.bisect_left(shared, start), bisect.bisect_left(shared, start + reach)
+            if end - first <= best[0] * n:  # no better than what was found
+                continue
+            share = _lcs(where, n, common[first:end]) / n
             if share > best[0]:
                 best = share, start
         share, start = best
@@ -178,36 +212,44 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str |
         yield rows
 
 
-def encoded(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
-    """Blocks of documents as word numbers, zero for words that no item has; a written table."""
-    vocabulary = items.vocabulary
+def encoded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Blocks of documents as numbers of their words in the block's vocabulary; a written table."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plain_of: dict[str, str] = {}
+
         class Numbers(dict):
+            """By word as it stands in a text: the number of its plain form, -1 if that is empty."""
+
             def __missing__(self, word: str) -> int:
-                plain = _MARKS.sub("", word.lower())
-                self[word] = n = vocabulary.get(plain, 0) if plain else -1
+                plain = plain_of.get(word)
+                if plain is None:
+                    if len(plain_of) > 1 << 20:
+                        plain_of.clear()
+                    plain_of[word] = plain = _MARKS.sub("", word.lower())
+                self[word] = n = vocabulary.setdefault(plain, len(vocabulary)) if plain else -1
                 return n
 
-        number = Numbers()
+        vocabulary, number = {}, Numbers()
         ids, lengths, tokens = [], [], array.array("i")
 
         def row() -> pd.DataFrame:
-            packed = (np.array(ids, dtype=np.int64).tobytes(), np.array(lengths, dtype=np.int32).tobytes(), tokens.tobytes())
-            return pd.DataFrame([packed], columns=["ids", "lengths", "tokens"])
+            packed = (
+                np.array(ids, dtype=np.int64).tobytes(), np.array(lengths, dtype=np.int32).tobytes(), tokens.tobytes(), " ".join(vocabulary),
+            )
+            return pd.DataFrame([packed], columns=["ids", "lengths", "tokens", "vocabulary"])
 
         for batch in batches:
             for doc_id, text in zip(batch["id"], batch["text"], strict=True):
                 found = list(map(number.__getitem__, text.split()))
                 if -1 in found:
                     found = [n for n in found if n >= 0]
-                if len(number) > 1 << 20:
-                    number.clear()
                 ids.append(_NO_ID if doc_id is None else int(doc_id))
                 lengths.append(len(found))
                 tokens.extend(found)
                 if len(tokens) >= BLOCK_WORDS:
                     yield row()
+                    vocabulary, number = {}, Numbers()
                     ids, lengths, tokens = [], [], array.array("i")
         if ids:
             yield row()
@@ -218,37 +260,54 @@ def encoded(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFr
     return written(rows.mapInPandas(encode, _ENCODED), "decontamination-blocks")
 
 
-def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return (
-        np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.lengths, dtype=np.int32).astype(np.int64),
-        np.frombuffer(row.tokens, dtype=np.int32),
-    )
+class Block:
+    """A row of the encoded table."""
+
+    def __init__(self, row):
+        self.ids = np.frombuffer(row.ids, dtype=np.int64)
+        self.lengths = np.frombuffer(row.lengths, dtype=np.int32).astype(np.int64)
+        self.own_tokens = np.frombuffer(row.tokens, dtype=np.int32)
+        self.vocabulary = row.vocabulary.split(" ")
 
+    def tokens(self, numbers: dict[str, int]) -> np.ndarray:
+        """The documents' words by these numbers, zero for words that have none."""
+        return np.array([numbers.get(w, 0) for w in self.vocabulary], dtype=np.int32)[self.own_tokens]
 
-def inverse_frequencies(blocks: DataFrame, items: Items, stop: float = STOP) -> np.ndarray:
-    """log(cells / cells with the word) for each word number, over all cells of all documents; zero for
-    stop words."""
-    size = len(items.vocabulary)
+
+def inverse_frequencies(blocks: DataFrame, slices: list[Items], stop: float = STOP) -> list[np.ndarray]:
+    """For each slice log(cells / cells with the word) for each word number, over all cells of all documents;
+    zero for stop words."""
+    vocabularies = [items.vocabulary for items in slices]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, cells = np.zeros(size + 1, dtype=np.int64), 0
+        found = [np.zeros(len(v) + 1, dtype=np.int64) for v in vocabularies]
         for batch in batches:
             for row in batch.itertuples(index=False):
-                _, lengths, tokens = _unpacked(row)
-                starts, _, _ = cell_bounds(lengths)
-                known = np.flatnonzero(tokens)
-                cell = np.searchsorted(starts, known, side="right") - 1
-                pairs = np.unique(cell * (size + 1) + tokens[known])
-                found += np.bincount(pairs % (size + 1), minlength=size + 1)
-                cells += len(starts)
-        found[0] = cells
-        yield pd.DataFrame({"word": np.arange(size + 1), "n": found})
-
-    counted = blocks.mapInPandas(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    n = np.zeros(size + 1)
-    for word, value in counted:
-        n[word] = value
-    idf = np.concatenate(([0.0], np.log((1 + n[0]) / (1 + n[1:]))))
+                block = Block(row)
+                starts, _, _ = cell_bounds(block.lengths)
+                for counts, numbers in zip(found, vocabularies, strict=True):
+                    tokens = block.tokens(numbers)
+                    known = np.flatnonzero(tokens)
+                    cell = np.searchsorted(starts, known, side="right") - 1
+                    # Words in order, and the cells of each in order: sorting 16 bits takes a step per byte.
+                    order = np.argsort(tokens[known].astype(np.uint16 if len(counts) <= 1 << 16 else np.uint32), kind="stable")
+                    words, cell = tokens[known][order], cell[order]
+                    new = np.ones(len(words), dtype=bool)
+                    new[1:] = (words[1:] != words[:-1]) | (cell[1:] != cell[:-1])
+                    counts += np.bincount(words[new], minlength=len(counts))
+                    counts[0] += len(starts)
+        for place, counts in enumerate(found):
+            yield pd.DataFrame({"slice": place, "word": np.arange(len(counts)), "n": counts})
+
+    counted = blocks.mapInPandas(count, "slice int, word int, n long").groupBy("slice", "word").agg(F.sum("n").alias("n")).collect()
+    totals = [np.zeros(len(v) + 1) for v in vocabularies]
+    for place, word, value in counted:
+        totals[place][word] = value
+    return [_weights(items, n, stop) for items, n in zip(slices, totals, strict=True)]
+
+
+def _weights(items: Items, n: np.ndarray, stop: float) -> np.ndarray:
+    idf = np.concatenate(([0.0], np.log((2 + n[0]) / (1 + n[1:]))))
     weighs = n <= stop * n[0]
     for _, low, high in item_passages(items.lengths):
         words = np.unique(items.tokens[low:high])
@@ -312,45 +371,58 @@ def latent_basis(spark, items: Items, idf: np.ndarray, energy=ENERGY, share=SHAR
     return (basis[:, :rank] * weights[:, None]).astype(np.float32)
 
 
-def _search(blocks: DataFrame, items: Items, basis: np.ndarray, idf: np.ndarray, cosine: float, part: float) -> DataFrame:
+class Index:
+    """What tasks get of a slice to search it."""
+
+    def __init__(self, items: Items, basis: np.ndarray, idf: np.ndarray):
+        places = item_passages(items.lengths)
+        self.items, self.basis, self.heavy = items, basis, idf > 0
+        self.vectors = np.stack([basis[items.tokens[low:high]].sum(axis=0) for _, low, high in places])
+        self.sizes = np.linalg.norm(self.vectors, axis=1)
+        self.whole = np.array([((np.bincount(items.tokens[low:high], minlength=len(idf)) * idf) ** 2).sum() for _, low, high in places])
+        self.owner = np.array([item for item, _, _ in places])
+        # Of each word, the greatest part that it can add along a vector of each group, for passages that can't
+        # reach `part` along any vector need not be folded in.
+        gains = basis @ self.vectors.T / self.whole.astype(np.float32)
+        groups = np.array_split(np.arange(len(places)), min(GROUPS, len(places)))
+        self.bounds = np.stack([gains[:, group].max(axis=1) for group in groups], axis=1)
+
+    def candidates(self, tokens: np.ndarray, lengths: np.ndarray, cosine: float, part: float) -> Iterator[tuple[int, int, int, float]]:
+        """(text, start among the words of all texts, item, cosine) for passages near an item's."""
+        weighing = np.where(self.heavy[tokens], tokens, 0)
+        # A little less than `part`, as sums are rounded.
+        passages, starts, _, text = passage_sums(weighing, lengths, self.basis, self.bounds, part * 0.999)
+        for k in range(0, len(passages), 8192):
+            rows = passages[k : k + 8192]
+            along = rows @ self.vectors.T
+            for p, q in np.argwhere(along >= part * self.whole).tolist():
+                near = float(along[p, q] / (np.linalg.norm(rows[p]) * self.sizes[q]))
+                if near >= cosine:
+                    yield int(text[k + p]), int(starts[k + p]), int(self.owner[q]), near
+
+
+def _search(blocks: DataFrame, indexes: list[Index], cosine: float, part: float) -> DataFrame:
     """Links found in each block: candidates by cosine, then the check of words and answers."""
-    places = item_passages(items.lengths)
-    vectors = np.stack([basis[items.tokens[low:high]].sum(axis=0) for _, low, high in places])
-    lengths_of = np.linalg.norm(vectors, axis=1)
-    whole = np.array([((np.bincount(items.tokens[low:high], minlength=len(idf)) * idf) ** 2).sum() for _, low, high in places])
-    owner = np.array([item for item, _, _ in places])
-    squares = idf[:, None].astype(np.float32) ** 2
-    weighted = np.concatenate([basis, squares], axis=1)
-    # A passage that has less weight than this has too small a part along any vector.
-    least = float(part**2 * whole.min())
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                ids, lengths, tokens = _unpacked(row)
-                found: dict[tuple[int, int], tuple] = {}
-                weighing = np.where(squares[tokens, 0] > 0, tokens, 0)
-                passages, starts, _, text = passage_sums(weighing, lengths, weighted, least)
-                begins = np.cumsum(lengths) - lengths
-                for k in range(0, len(passages), 8192):
-                    rows = passages[k : k + 8192]
-                    along = rows @ vectors.T
-                    for p, q in np.argwhere(along >= part * whole).tolist():
-                        near = float(along[p, q] / (np.linalg.norm(rows[p]) * lengths_of[q]))
-                        if near < cosine:
-                            continue
-                        doc, item = int(text[k + p]), int(owner[q])
-                        at = int(starts[k + p] - begins[doc])
-                        words = tokens[begins[doc] : begins[doc] + lengths[doc]]
-                        low = max(0, at - 3 * int(items.lengths[item]))
-                        high = at + 2 * CELL + 3 * int(items.lengths[item])
+                block = Block(row)
+                begins = np.cumsum(block.lengths) - block.lengths
+                for index in indexes:
+                    items, found = index.items, {}
+                    tokens = block.tokens(items.vocabulary)
+                    for doc, start, item, near in index.candidates(tokens, block.lengths, cosine, part):
+                        at, n = start - int(begins[doc]), int(items.lengths[item])
+                        low, high = max(0, at - 3 * n), at + 2 * CELL + 3 * n
+                        words = tokens[begins[doc] : begins[doc] + block.lengths[doc]]
                         leak = items.leak(item, words[low:high].tolist(), at - low, at - low + 2 * CELL)
                         if leak and (leak[0], near) > found.get((doc, item), (0.0, 0.0))[:2]:
                             found[doc, item] = leak[0], near, low + leak[1]
-                yield pd.DataFrame(
-                    [(ids[d], items.ids[i], share, near, at) for (d, i), (share, near, at) in found.items()],
-                    columns=["doc_id", "item_id", "lcs_share", "cosine", "first_word"],
-                ).astype({"item_id": "Int64"})
+                    yield pd.DataFrame(
+                        [(block.ids[d], items.ids[i], share, near, at) for (d, i), (share, near, at) in found.items()],
+                        columns=["doc_id", "item_id", "lcs_share", "cosine", "first_word"],
+                    ).astype({"item_id": "Int64"})
 
     return blocks.mapInPandas(search, LINK)
 
@@ -360,14 +432,16 @@ def leaks(
     item_id_col="item_id", text_col="text", answer_col: str | None = None,
 ) -> DataFrame:
     """One row per document and item of which it holds most words in order, with the place of the match."""
-    spark, found = docs.sparkSession, None
-    for rows in _slices(benchmark, item_id_col, text_col, answer_col):
-        items = Items(rows)
-        blocks = encoded(docs, items, doc_id_col, text_col)
-        idf = inverse_frequencies(blocks, items)
-        basis = latent_basis(spark, items, idf, seed=seed)
-        links = written(_search(blocks, items, basis, idf, cosine, part), "leaks")
+    spark, found, blocks = docs.sparkSession, None, None
+    slices = map(Items, _slices(benchmark, item_id_col, text_col, answer_col))
+    while some := list(itertools.islice(slices, SLICES)):
+        blocks = encoded(docs, doc_id_col, text_col) if blocks is None else blocks
+        weights = inverse_frequencies(blocks, some)
+        indexes = [Index(items, latent_basis(spark, items, idf, seed=seed), idf) for items, idf in zip(some, weights, strict=True)]
+        links = written(_search(blocks, indexes, cosine, part), "leaks")
         found = links if found is None else found.unionByName(links)
+    if blocks is not None:
+        drop_written(blocks)
     if found is None:
         return spark.createDataFrame([], LINK)
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("lcs_share", "cosine", -F.col("first_word"))).alias("m"))

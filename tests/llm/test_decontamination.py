@@ -121,3 +121,85 @@ def test_rows_of_one_id_are_judged_by_their_texts(spark):
     df = spark.createDataFrame([(1, f"{text(50)} {item} {text(50)}"), (1, clean), (2, clean)], "doc_id long, text string")
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert sorted((r.doc_id, r.text) for r in d.decontaminate(df, items).collect()) == [(1, clean), (2, clean)]
+
+
+def planted(documents, items, seed=5):
+    """Documents with an item in each, copied or changed: words replaced (15 to 44 percent) or left out."""
+    rng = random.Random(seed)
+    vocabulary = sorted({w for text in documents.values() for w in text.split()})
+    rows = []
+    for k, (doc_id, text) in enumerate(sorted(documents.items())):
+        inner = list(items[k % len(items)][1].split())
+        kind = k % 4
+        if kind == 1:
+            share = rng.uniform(0.15, 0.44)
+            inner = [w if rng.random() > share else rng.choice(vocabulary) for w in inner]
+        elif kind == 2:
+            inner = [w for w in inner if rng.random() > 0.2]
+        elif kind == 3:
+            inner = [w for w in inner if rng.random() > 0.1 for w in ([w, rng.choice(vocabulary)] if rng.random() < 0.1 else [w])]
+        words = text.split()
+        at = rng.randrange(len(words) + 1)
+        rows.append((doc_id, " ".join(words[:at] + inner + words[at:])))
+    return rows
+
+
+def every_leak(rows, items):
+    """The pairs whose words and answers agree, by comparing every item with every place of every text."""
+    known = d.Items([(i, text, None) for i, text in items])
+    found = set()
+    for doc_id, text in rows:
+        words = [known.vocabulary.get(w, 0) for w in d.plain_words(text)]
+        found |= {(doc_id, known.ids[k]) for k in range(len(known.ids)) if known.leak(k, words, 0, len(words))}
+    return found
+
+
+def test_recall_against_a_search_of_every_place(spark, texts):
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()]
+    rows = planted(texts, items)
+    want = every_leak(rows, items)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 150 and found <= want | found
+    recall = len(want & found) / len(want)
+    print(f"recall {recall:.4f} of {len(want)}")
+    assert recall >= 0.98
+    # Every link that was found is one of the plain search, but for places that it starts from.
+    assert len(found - want) <= 0.02 * len(want)
+
+
+def test_passages_that_are_left_out_are_no_candidates():
+    """The bounds leave out no passage that reaches the part along any vector."""
+    rng = np.random.default_rng(2)
+    rows = [(k, " ".join(f"w{j}" for j in rng.integers(0, 400, 40)), None) for k in range(50)]
+    items = d.Items(rows)
+    size = len(items.vocabulary) + 1
+    idf = np.concatenate(([0.0], rng.uniform(0.1, 5, size - 1))).astype(np.float32)
+    index = d.Index(items, (rng.standard_normal((size, 30)) * idf[:, None]).astype(np.float32), idf)
+    lengths = rng.integers(0, 300, 60)
+    tokens = rng.integers(0, size, lengths.sum()).astype(np.int32)
+    sums, starts, _, text = d.passage_sums(tokens, lengths, index.basis)
+    part = float(np.quantile((sums @ index.vectors.T / index.whole).max(axis=1), 0.7))
+    want = set()
+    for row, start, t in zip(sums, starts, text):
+        for q in np.flatnonzero(row @ index.vectors.T >= part * index.whole):
+            want.add((int(t), int(start), int(index.owner[q])))
+    found = {c[:3] for c in index.candidates(tokens, lengths, -2.0, part)}
+    kept = len(d.passage_sums(tokens, lengths, index.basis, index.bounds, part)[0])
+    assert want and found == want and kept < len(sums)
+
+
+def test_texts_are_read_once_for_all_slices(spark, documents, monkeypatch):
+    items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    calls, encoded = [], d.encoded
+    monkeypatch.setattr(d, "encoded", lambda *args: calls.append(1) or encoded(*args))
+    monkeypatch.setattr(d, "SLICE_WORDS", 400)
+    monkeypatch.setattr(d, "SLICES", 3)
+    assert d.leaks(documents, items).count() > 0 and len(calls) == 1
+
+
+def test_one_text_that_is_an_item(spark):
+    """Words that are in all cells still weigh enough to be found."""
+    text = " ".join(f"w{k}" for k in range(25))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert d.leaks(docs, spark.createDataFrame([(7, text)], "item_id long, text string")).first()[:3] == (1, 7, 1.0)
