@@ -35,5 +35,8 @@ class Backend(Protocol):
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
         """`struct<text, error>` with the rubric text for an instruction."""
 
+    # A backend may have `critique_until(instruction, prompt, attempts)`: `struct<text, error>` with the first of
+    # up to so many critiques that can be read, else the last one. Without it, attempts follow in the plan.
+
     def rewrite(self, instruction: Column, prompt: Column) -> Column:
         """`struct<text, error>` with the improved instruction."""

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import inspect
 import sys
 import types
 import uuid
-from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from typing import Any, Protocol, Tuple
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from prefspark.functions.rubric_text import readable
+
 GENERATED = "struct<texts: array<string>, error: string>"
 REPLY = "struct<text: string, error: string>"
 
@@ -26,46 +30,99 @@ class WorkerModel(Protocol):
         self, chats: list[list[dict[str, str]]], n: int, seed: int, stops: Sequence[str]
     ) -> list[list[str]]: ...
 
-    def complete(self, prompts: list[str]) -> list[str]: ...
+    def complete(self, prompts: list[str], attempt: int = 1) -> list[str]:
+        """`attempt` counts how often these prompts have been asked. A model may do without it."""
+        ...
 
 
-def _call(
-    run: Callable[[list], list], items: list, batch_size: int, threads: int, weight: Callable[[Any], int]
-) -> list[tuple[Any, str | None]]:
-    """(value, error) per item. Items of similar length share a batch, so padding stays small.
+Outcome = Tuple[Any, str | None]
+Ask = Callable[[list], list[Outcome]]
+
+#: Arrow batches that may wait for the slowest call of the first of them.
+AHEAD = 4
 
-    A failed batch is tried again item by item, so that only the failing items carry an error.
-    """
-    order = sorted(range(len(items)), key=lambda i: weight(items[i]))
-    batches = [order[i : i + batch_size] for i in range(0, len(order), batch_size)]
-
-    def one(batch: list[int]) -> list[tuple[Any, str | None]]:
-        try:
-            values = run([items[i] for i in batch])
-            if len(values) != len(batch):
-                raise ValueError(f"{len(values)} results for {len(batch)} inputs")
-            return [(value, None) for value in values]
-        except Exception as failure:
-            if len(batch) > 1:
-                return [pair for i in batch for pair in one([i])]
-            return [(None, f"{type(failure).__name__}: {failure}")]
-
-    results: list[tuple[Any, str | None]] = [(None, None)] * len(items)
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        for batch, outcome in zip(batches, pool.map(one, batches)):
-            for i, pair in zip(batch, outcome):
-                results[i] = pair
-    return results
 
+def _outcomes(run: Callable[[list], list], items: list) -> list[Outcome]:
+    """(value, error) per item. A failed batch is tried again item by item, so that only the failing items
+    carry an error."""
+    try:
+        values = run(items)
+        if len(values) != len(items):
+            raise ValueError(f"{len(values)} results for {len(items)} inputs")
+        return [(value, None) for value in values]
+    except Exception as failure:
+        if len(items) > 1:
+            return [outcome for item in items for outcome in _outcomes(run, [item])]
+        return [(None, f"{type(failure).__name__}: {failure}")]
 
-def _call_present(run, column: pd.Series, batch_size, threads, weight) -> list[tuple[Any, str | None]]:
-    """As `_call`, with null items left out of the call."""
-    present = [i for i, item in enumerate(column) if item is not None]
-    results: list[tuple[Any, str | None]] = [(None, None)] * len(column)
-    called = _call(run, [column.iloc[i] for i in present], batch_size, threads, weight)
-    for i, pair in zip(present, called):
-        results[i] = pair
-    return results
+
+def _until(run: Callable[[list, int], list], items: list, attempts: int, settled: Callable[[Any], bool]) -> list[Outcome]:
+    """As `_outcomes`, asking up to `attempts` times, each time for the items alone that have not settled.
+
+    An error ends its item.
+    """
+    outcomes: list[Outcome] = [(None, None)] * len(items)
+    still = list(range(len(items)))
+    for attempt in range(1, attempts + 1):
+        for i, outcome in zip(still, _outcomes(lambda some, k=attempt: run(some, k), [items[i] for i in still])):
+            outcomes[i] = outcome
+        still = [i for i in still if outcomes[i][1] is None and not settled(outcomes[i][0])]
+        if not still:
+            break
+    return outcomes
+
+
+class _Waiting:
+    """An Arrow batch whose calls are under way."""
+
+    def __init__(self, batch: Any, n_items: int):
+        self.batch = batch
+        self.results: list[Outcome] = [(None, None)] * n_items
+        self.calls: list[Future] = []
+
+    def fill(self, ask: Ask, places: list[int], items: list) -> None:
+        for i, outcome in zip(places, ask(items)):
+            self.results[i] = outcome
+
+    def finished(self) -> list[Outcome]:
+        for call in self.calls:
+            call.result()
+        return self.results
+
+
+def _in_flight(
+    batches: Iterable[tuple[Any, list]], ask: Ask, batch_size: int, threads: int, weight: Callable[[Any], int]
+) -> Iterator[tuple[Any, list[Outcome]]]:
+    """For each (batch, items) the batch with an outcome per item, in the order of the batches.
+
+    Items of similar length share a call, so padding stays small; a null item is not asked about. Calls of
+    later batches go on while one of an earlier batch is slow: there are always up to `threads` of them,
+    none waits in a queue, and at most AHEAD batches are held.
+    """
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        waiting: deque[_Waiting] = deque()
+        running: set[Future] = set()
+        for batch, items in batches:
+            slot = _Waiting(batch, len(items))
+            waiting.append(slot)
+            order = sorted((i for i, item in enumerate(items) if item is not None), key=lambda i: weight(items[i]))
+            for k in range(0, len(order), batch_size):
+                if len(running) >= threads:
+                    running = wait(running, return_when=FIRST_COMPLETED).not_done
+                places = order[k : k + batch_size]
+                call = pool.submit(slot.fill, ask, places, [items[i] for i in places])
+                slot.calls.append(call)
+                running.add(call)
+            while waiting and (len(waiting) > AHEAD or all(call.done() for call in waiting[0].calls)):
+                first = waiting.popleft()
+                yield first.batch, first.finished()
+        while waiting:
+            first = waiting.popleft()
+            yield first.batch, first.finished()
+
+
+def _takes_attempt(call: Callable) -> bool:
+    return "attempt" in inspect.signature(call).parameters
 
 
 def _held_model(key: str, factory: Callable[[], WorkerModel]) -> WorkerModel:
@@ -100,8 +157,7 @@ class WorkerBackend:
         self.name = name
         key = uuid.uuid4().hex
         self._held = lambda: _held_model(key, factory)
-        self._batch_size = batch_size
-        self._threads = threads
+        self._flow = lambda batches, ask, weight: _in_flight(batches, ask, batch_size, threads, weight)
 
     def score(self, instruction: Column, responses: Column) -> Column:
         return self._score(F.when(responses.isNotNull(), F.array(instruction)), responses)
@@ -111,28 +167,30 @@ class WorkerBackend:
 
     def _score(self, instructions: Column, responses: Column) -> Column:
         """Scores by an array of one instruction for all responses of a row, or of one for each."""
-        factory, size, threads = self._held, self._batch_size, self._threads
+        factory, flow = self._held, self._flow
 
         def pairs_of(asked, answers) -> list[tuple[str, str] | None]:
             of = [asked[0]] * len(answers) if len(asked) == 1 else asked
             return [None if i is None or r is None else (i, r) for i, r in zip(of, answers, strict=True)]
 
+        def flat(asked_lists: pd.Series, lists: pd.Series) -> tuple[list[int | None], list]:
+            # The lists of a batch are flattened, all pairs scored together, and the scores cut up again.
+            rows = [
+                None if a is None or r is None or (len(a) == 1 and a[0] is None) else pairs_of(a, r)
+                for a, r in zip(asked_lists, lists)
+            ]
+            sizes = [None if row is None else len(row) for row in rows]
+            return sizes, [pair for row in rows if row is not None for pair in row]
+
         @F.pandas_udf("array<double>")
         def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             model = factory()
-            for asked_lists, lists in batches:
-                # Flatten the lists of a batch, score all pairs together, cut them up again.
-                rows = [
-                    None if a is None or r is None or (len(a) == 1 and a[0] is None) else pairs_of(a, r)
-                    for a, r in zip(asked_lists, lists)
-                ]
-                flat = pd.Series([pair for row in rows if row is not None for pair in row], dtype=object)
-                scored = _call_present(
-                    model.score, flat, size, threads, lambda pair: len(pair[0]) + len(pair[1])
-                )
-                values = iter([value for value, _ in scored])
+            ask = lambda pairs: _outcomes(model.score, pairs)
+            flattened = (flat(*batch) for batch in batches)
+            for sizes, outcomes in flow(flattened, ask, lambda pair: len(pair[0]) + len(pair[1])):
+                values = iter([value for value, _ in outcomes])
                 yield pd.Series(
-                    [None if row is None else [next(values) for _ in row] for row in rows], dtype=object
+                    [None if size is None else [next(values) for _ in range(size)] for size in sizes], dtype=object
                 )
 
         return run.asNondeterministic()(instructions, responses)
@@ -145,41 +203,38 @@ class WorkerBackend:
         seed: int,
         stops: Sequence[str],
     ) -> Column:
-        factory, size, threads, stops = self._held, self._batch_size, self._threads, tuple(stops)
+        factory, flow, stops = self._held, self._flow, tuple(stops)
 
         @F.pandas_udf(GENERATED)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             model = factory()
-            for chats in batches:
-                lists = pd.Series(
-                    [None if c is None else [dict(message) for message in c] for c in chats],
-                    dtype=object,
-                )
-                results = _call_present(
-                    lambda items: model.generate(items, n, seed, stops),
-                    lists,
-                    size,
-                    threads,
-                    lambda chat: sum(len(message["content"]) for message in chat),
-                )
-                yield pd.DataFrame(results, columns=["texts", "error"], dtype=object)
+            ask = lambda chats: _outcomes(lambda some: model.generate(some, n, seed, stops), chats)
+            chats = ((None, [None if c is None else [dict(m) for m in c] for c in batch]) for batch in batches)
+            for _, outcomes in flow(chats, ask, lambda chat: sum(len(m["content"]) for m in chat)):
+                yield pd.DataFrame(outcomes, columns=["texts", "error"], dtype=object)
 
         return run.asNondeterministic()(F.when(instruction.isNotNull(), messages))
 
-    def _complete(self, prompt: Column) -> Column:
-        factory, size, threads = self._held, self._batch_size, self._threads
+    def _complete(self, prompt: Column, attempts: int = 1, settled: Callable[[str], bool] = bool) -> Column:
+        factory, flow = self._held, self._flow
 
         @F.pandas_udf(REPLY)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             model = factory()
-            for prompts in batches:
-                results = _call_present(model.complete, prompts, size, threads, len)
-                yield pd.DataFrame(results, columns=["text", "error"], dtype=object)
+            numbered = _takes_attempt(model.complete)
+            call = lambda some, k: model.complete(some, k) if numbered else model.complete(some)
+            ask = lambda prompts: _until(call, prompts, attempts, settled)
+            for _, outcomes in flow(((None, list(batch)) for batch in batches), ask, len):
+                yield pd.DataFrame(outcomes, columns=["text", "error"], dtype=object)
 
         return run.asNondeterministic()(prompt)
 
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
         return self._complete(prompt)
 
+    def critique_until(self, instruction: Column, prompt: Column, attempts: int) -> Column:
+        """Up to `attempts` critiques until one can be read, in one pass: only open items are asked again."""
+        return self._complete(prompt, attempts, readable)
+
     def rewrite(self, instruction: Column, prompt: Column) -> Column:
         return self._complete(prompt)

@@ -267,6 +267,11 @@ ATTEMPTS = "\n    union all ".join(
     for k in range(1, MAX_RETRIES + 1)
 )
 
+FIRST_CRITIQUES = f"""
+    select record_id, feedback, case when error is null then {_with_digest('instruction')} end
+        as refined_instruction, error
+    from ({ATTEMPTS}) where attempt = 1"""
+
 OUTCOMES = f"""
     select record_id, feedback, error, entries
     from ({_read_rubric(ATTEMPTS)})
@@ -571,6 +576,7 @@ ORACLES: dict[str, str] = {
         select 'gap ' || record_id, null, null, '{PARSE_FAILURE}'
         from ({DOCUMENTS}) where source = 'src0' or lang in ('fr', 'es', 'de')""",
     "rubric_report_live": REPORT,
+    "rubric_report_live_worker": REPORT,
     "rubric_report_counts": f"""
         select (select count(*) from ({REPORT})) as n_written,
             (select count(*) from documents) as n_total""",
@@ -586,10 +592,8 @@ ORACLES: dict[str, str] = {
                 from ({_fraction(GAPS, SAMPLE_FRACTION)})) s
             where instruction <> ''
                 and not exists (select 1 from ({DONE}) d where d.instruction = s.instruction))""",
-    "critique_rewrite": f"""
-        select record_id, feedback, case when error is null then {_with_digest('instruction')} end
-            as refined_instruction, error
-        from ({ATTEMPTS}) where attempt = 1""",
+    "critique_rewrite": FIRST_CRITIQUES,
+    "critique_rewrite_worker": FIRST_CRITIQUES,
     "refine_rounds": _with(_OUTCOME, **PAIR_ROUNDS),
     "refine_rounds_resumed": _with(_OUTCOME, **PAIR_ROUNDS),
     "refine_rounds_worker": _with(_OUTCOME, **PAIR_ROUNDS),

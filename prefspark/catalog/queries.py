@@ -489,6 +489,13 @@ def rubric_report_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_rubric(report, "instruction", "feedback_avg_score")
 
 
+@query
+def rubric_report_live_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `rubric_report_live`, with a flaky stand-in in the Python workers that is asked again there."""
+    report = reports.rubric_report_live(views.instructions(spark, sf_dir), worker_backend(flaky=True, threads=4))
+    return _flat_rubric(report, "instruction", "feedback_avg_score")
+
+
 @query
 def rubric_report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = reports.rubric_report_live(
@@ -535,6 +542,13 @@ def critique_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("record_id", "feedback", "refined_instruction", "error")
 
 
+@query
+def critique_rewrite_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `critique_rewrite`, with a flaky stand-in in the Python workers."""
+    rows = inference.critique_rewrite(views.instructions(spark, sf_dir), worker_backend(flaky=True, threads=4))
+    return rows.select("record_id", "feedback", "refined_instruction", "error")
+
+
 # Rounds
 
 

@@ -24,6 +24,10 @@ def _md5(text: str) -> str:
 
 
 class StandInModel:
+    """`flaky` makes critiques fail as those of `StandIn` do."""
+
+    flaky = False
+
     def score(self, pairs: list[tuple[str, str]]) -> list[float]:
         return [int(_md5(f"{text}\n{response}")[:8], 16) / (1 << 32) for text, response in pairs]
 
@@ -36,11 +40,10 @@ class StandInModel:
             for text in texts
         ]
 
-    def complete(self, prompts: list[str]) -> list[str]:
-        return [self._reply(prompt) for prompt in prompts]
+    def complete(self, prompts: list[str], attempt: int = 1) -> list[str]:
+        return [self._reply(prompt, attempt) for prompt in prompts]
 
-    @staticmethod
-    def _reply(prompt: str) -> str:
+    def _reply(self, prompt: str, attempt: int) -> str:
         if prompt.startswith(REWRITE_HEAD):
             text = prompt[len(REWRITE_HEAD) : prompt.rindex(REWRITE_MIDDLE)]
             return f"{text} {_md5(text)}"
@@ -49,8 +52,16 @@ class StandInModel:
             f"* {name}: {HEX_DIGITS.index(digit) % 5 + 1}/5 - note on {name}"
             for name, digit in zip(CRITERIA, digest)
         ]
-        return "\n".join([RUBRIC_HEADER, *lines])
+        if self.flaky and attempt == 1 and HEX_DIGITS.index(digest[9]) == 0:
+            raise TimeoutError("no reply")
+        unreadable = self.flaky and HEX_DIGITS.index(digest[8]) % 4 >= attempt
+        return "\n".join(["" if unreadable else RUBRIC_HEADER, *lines])
+
+
+class FlakyStandInModel(StandInModel):
+    flaky = True
 
 
-def worker_backend(**options) -> WorkerBackend:
-    return WorkerBackend(StandInModel, name="stand-in in workers", **options)
+def worker_backend(flaky: bool = False, **options) -> WorkerBackend:
+    model = FlakyStandInModel if flaky else StandInModel
+    return WorkerBackend(model, name="stand-in in workers", **options)

@@ -110,7 +110,8 @@ def rubric_report_live(
 ) -> DataFrame:
     """As `rubric_report`, with the backend asked again only for records not yet settled.
 
-    All attempts run in one pass over the records: a settled record passes a null prompt on.
+    All attempts run in one pass over the records: a settled record passes a null prompt on, and a backend
+    that can ask again by itself does so where the model is.
     """
     prompt = critique_prompt(F.col("instruction"))
     report = spread(records, partitions).withColumns(
@@ -120,6 +121,18 @@ def rubric_report_live(
             "_error": F.lit(None).cast("string"),
         }
     )
+    if hasattr(backend, "critique_until"):
+        reply = backend.critique_until(F.col("instruction"), prompt, max_retries)
+        text, error = F.col("_reply.text"), F.col("_reply.error")
+        report = (
+            report.withColumn("_reply", reply)
+            .withColumn("feedback_json", F.when(error.isNull(), parse_rubric(text)))
+            .withColumns(
+                {"feedback": F.when(F.col("feedback_json").isNotNull(), text), "_error": error}
+            )
+            .drop("_reply")
+        )
+        return _settled_report(report, keep_failed)
     for attempt in range(1, max_retries + 1):
         is_open = F.col("feedback_json").isNull() & F.col("_error").isNull()
         asked = F.when(is_open, prompt)
@@ -137,6 +150,10 @@ def rubric_report_live(
             )
             .drop("_reply", "_parsed")
         )
+    return _settled_report(report, keep_failed)
+
+
+def _settled_report(report: DataFrame, keep_failed: bool) -> DataFrame:
     report = _judged(report)
     if keep_failed:
         return report

@@ -8,12 +8,16 @@ from helpers import TESTDATA, plan_of
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from prefspark.backends import worker
 from prefspark.backends.standin import StandIn
-from prefspark.backends.worker import WorkerBackend, _call, _call_present
+from prefspark.backends.worker import WorkerBackend, _in_flight, _outcomes, _until
 from prefspark.catalog import views
 from prefspark.catalog.standin_model import StandInModel, worker_backend
 from prefspark.constants import STOPS
+from prefspark.functions.rubric import parse_rubric
+from prefspark.functions.rubric_text import readable
 from prefspark.operators.inference import critique_rewrite, generate_n, refine, score_responses
+from prefspark.operators.reports import rubric_report_live
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 
@@ -21,6 +25,12 @@ SF_DIR = f"{TESTDATA}/sf0.001"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def called(run, items, batch_size, threads, weight=len):
+    """The outcomes of one batch of items."""
+    ((_, outcomes),) = _in_flight([(None, items)], lambda some: _outcomes(run, some), batch_size, threads, weight)
+    return outcomes
+
+
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -132,7 +142,7 @@ def test_batches_hold_similar_lengths_and_results_keep_their_order():
         return [item.upper() for item in items]
 
     items = ["ccc", "a", "dddd", "bb"]
-    assert [v for v, _ in _call(run, items, 2, 1, len)] == ["CCC", "A", "DDDD", "BB"]
+    assert [v for v, _ in called(run, items, 2, 1)] == ["CCC", "A", "DDDD", "BB"]
     assert seen == [["a", "bb"], ["ccc", "dddd"]]
 
 
@@ -165,7 +175,7 @@ def test_a_rewritten_instruction_is_answered_anew(pairs):
 
 
 def test_too_few_results_are_an_error():
-    results = _call(lambda items: [], ["a", "b"], 2, 1, len)
+    results = called(lambda items: [], ["a", "b"], 2, 1)
     assert [value for value, _ in results] == [None, None]
     assert all(error.startswith("ValueError") for _, error in results)
 
@@ -183,15 +193,117 @@ def test_threads_overlap_calls_up_to_their_number():
             running -= 1
         return items
 
-    _call(run, list("abcdefghij"), 1, 4, len)
+    called(run, list("abcdefghij"), 1, 4)
     assert most == 4
 
 
 def test_missing_items_are_not_called():
-    import pandas as pd
+    assert [v for v, _ in called(lambda x: x, ["a", None, "b"], 9, 1)] == ["a", None, "b"]
+
+
+def test_a_slow_call_holds_up_no_later_batch():
+    """One slow call in each batch: all other calls of the following batches are over before it is."""
+    n, others, release, lock, order = worker.AHEAD, [], threading.Event(), threading.Lock(), []
+
+    def ask(items):
+        if "slow" in items[0]:
+            # It ends only once the calls of the other batches have been made.
+            assert release.wait(30)
+        else:
+            with lock:
+                others.append(items[0])
+                if len(others) == 3 * n:
+                    release.set()
+        return [(item.upper(), None) for item in items]
+
+    batches = [(k, [f"{k} slow", f"{k}a", f"{k}b", f"{k}c"]) for k in range(n)]
+    for batch, outcomes in _in_flight(iter(batches), ask, 1, n + 1, lambda item: -len(item)):
+        order.append(batch)
+        assert [v for v, _ in outcomes] == [item.upper() for item in batches[batch][1]]
+    assert order == list(range(n)) and release.is_set()
+
+
+def test_few_batches_are_held_and_calls_are_bounded():
+    read, given, running, most, lock = 0, 0, 0, 0, threading.Lock()
+
+    def batches():
+        nonlocal read
+        for k in range(40):
+            read += 1
+            assert read - given <= worker.AHEAD + 2
+            yield k, ["x"] * 6
+
+    def ask(items):
+        nonlocal running, most
+        with lock:
+            running += 1
+            most = max(most, running)
+        time.sleep(0.002)
+        with lock:
+            running -= 1
+        return [(item, None) for item in items]
+
+    for k, outcomes in _in_flight(batches(), ask, 2, 3, len):
+        assert k == given and len(outcomes) == 6
+        given += 1
+    assert given == 40 and most <= 3
 
-    column = pd.Series(["a", None, "b"], dtype=object)
-    assert [v for v, _ in _call_present(lambda x: x, column, 9, 1, len)] == ["a", None, "b"]
+
+def test_a_batch_without_items_keeps_its_place():
+    found = [b for b, _ in _in_flight([(0, []), (1, ["a"]), (2, [None]), (3, [])], lambda some: [(i, None) for i in some], 4, 2, len)]
+    assert found == [0, 1, 2, 3]
+
+
+def test_only_open_items_are_asked_again_and_errors_end_them():
+    asked = []
+
+    def run(items, attempt):
+        asked.append((attempt, list(items)))
+        if "bad" in items:
+            raise TimeoutError("slow")
+        return [f"{item}{attempt}" for item in items]
+
+    settled = lambda value: value in ("a1", "b3")
+    outcomes = _until(run, ["a", "bad", "b", "c"], 3, settled)
+    assert outcomes == [("a1", None), (None, "TimeoutError: slow"), ("b3", None), ("c3", None)]
+    assert asked[0] == (1, ["a", "bad", "b", "c"]) and asked[-2:] == [(2, ["b", "c"]), (3, ["b", "c"])]
+
+
+def test_a_model_that_does_not_count_attempts_is_asked_again(spark):
+    class Improving(StandInModel):
+        def __init__(self):
+            self.seen = {}
+
+        def complete(self, prompts):
+            for prompt in prompts:
+                self.seen[prompt] = self.seen.get(prompt, 0) + 1
+            return ["no rubric" if self.seen[p] < 3 else super(Improving, self).complete([p])[0] for p in prompts]
+
+    df = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", None)], "record_id string, instruction string").coalesce(1)
+    for retries, n in ((2, 0), (3, 2)):
+        report = rubric_report_live(df, WorkerBackend(Improving), max_retries=retries)
+        assert report.count() == n
+    failed = rubric_report_live(df, WorkerBackend(Improving), max_retries=1, keep_failed=True).collect()
+    assert {r.failure_reason for r in failed} == {"invalid_instruction_or_feedback_parse_failed"}
+
+
+def test_retries_in_the_workers_give_what_retries_in_the_plan_give(spark):
+    docs = views.instructions(spark, SF_DIR)
+    for keep in (False, True):
+        live = lambda backend: rows(rubric_report_live(docs, backend, keep_failed=keep))  # noqa: E731, B023
+        assert live(worker_backend(flaky=True, batch_size=5, threads=3)) == live(StandIn(flaky=True))
+    assert plan_of(rubric_report_live(docs, worker_backend())).count("ArrowEvalPython") == 1
+
+
+def test_a_text_is_readable_to_the_worker_when_the_columns_read_it(spark):
+    texts = [r.feedback for r in views.rubric_texts(spark, SF_DIR).collect()]
+    block = next(t for t in texts if readable(t))
+    texts += [block.replace("- note", f"- {c}note") for c in ("\xa0", "\x1c", "\x85", "", "\u2028")] + [block.replace("* S", f"{c}* S") for c in ("\x0b", "\xa0", "\r")]
+    texts += [block + "\n* Cl\u0301arity: 3/5 - x", block.replace("3/5", "\u0663/5"), "", None, block.replace(":", "\n:")]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    read = df.select("x", parse_rubric(F.col("x")).isNotNull().alias("ok")).collect()
+    assert {r.ok for r in read} == {True, False}
+    assert [r.ok for r in read] == [readable(r.x) for r in read]
 
 
 def test_the_system_text_and_the_budget_reach_the_model(spark):
