@@ -216,26 +216,29 @@ def encoded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Blocks of documents as numbers of their words in the block's vocabulary; a written table."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        plain_of: dict[str, str] = {}
-
         class Numbers(dict):
             """By word as it stands in a text: the number of its plain form, -1 if that is empty."""
 
+            def __init__(self):
+                self.plain: dict[str, int] = {}
+
             def __missing__(self, word: str) -> int:
-                plain = plain_of.get(word)
-                if plain is None:
-                    if len(plain_of) > 1 << 20:
-                        plain_of.clear()
-                    plain_of[word] = plain = _MARKS.sub("", word.lower())
-                self[word] = n = vocabulary.setdefault(plain, len(vocabulary)) if plain else -1
+                plain = _MARKS.sub("", word.lower())
+                self[word] = n = self.plain.setdefault(plain, len(self.plain)) if plain else -1
                 return n
 
-        vocabulary, number = {}, Numbers()
+        number = Numbers()
         ids, lengths, tokens = [], [], array.array("i")
 
         def row() -> pd.DataFrame:
+            """The block with numbers of its own, for the words that it has."""
+            words = np.frombuffer(tokens, dtype=np.int32)
+            there = np.zeros(len(number.plain), dtype=bool)
+            there[words] = True
+            own = (np.cumsum(there, dtype=np.int32) - 1)[words]
             packed = (
-                np.array(ids, dtype=np.int64).tobytes(), np.array(lengths, dtype=np.int32).tobytes(), tokens.tobytes(), " ".join(vocabulary),
+                np.array(ids, dtype=np.int64).tobytes(), np.array(lengths, dtype=np.int32).tobytes(), own.tobytes(),
+                " ".join(itertools.compress(number.plain, there.tolist())),
             )
             return pd.DataFrame([packed], columns=["ids", "lengths", "tokens", "vocabulary"])
 
@@ -249,8 +252,9 @@ def encoded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 tokens.extend(found)
                 if len(tokens) >= BLOCK_WORDS:
                     yield row()
-                    vocabulary, number = {}, Numbers()
                     ids, lengths, tokens = [], [], array.array("i")
+                    if len(number) > 1 << 20:
+                        number = Numbers()
         if ids:
             yield row()
 
