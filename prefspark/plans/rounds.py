@@ -12,10 +12,11 @@ the model calls of one part.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,9 +44,11 @@ from prefspark.session import new_workdir
 from prefspark.sources.tables import (
     drop_table,
     is_complete,
+    read_note,
     read_round,
     read_rounds,
     round_is_complete,
+    write_note,
     write_round,
     write_table,
 )
@@ -94,7 +97,17 @@ class Run:
 
     @property
     def counts(self) -> DataFrame:
-        return route_counts(self.routed, "round")
+        """Rows per round and route, as they were counted while they were written."""
+        notes = [read_note(self.spark, _counts_path(self.workdir, k)) for k in range(self.rounds_done)]
+        if None in notes:
+            return route_counts(self.routed, "round")
+        told = [
+            (number, way, n)
+            for number, note in enumerate(notes)
+            for way, n in json.loads(note).items()
+            if way in ROUTES and n
+        ]
+        return self.spark.createDataFrame(told, "round int, route string, n long")
 
     @property
     def final_products(self) -> DataFrame:
@@ -105,6 +118,30 @@ class Run:
         return both_sides(accepted.unionByName(left))
 
 
+ROUTES = (ACCEPTED, REFINE, CACHED, INVALID)
+_GOES_ON = "goes on"
+
+
+def _counts_path(workdir: str, number: int) -> str:
+    return f"{workdir}/counts/round={number}"
+
+
+def _write_counted(
+    df: DataFrame, counts: dict[str, Column], root: str, number: int, **options
+) -> dict[str, int]:
+    """Writes a part of a round, and counts its rows while they are written."""
+    observation = Observation()
+    counted = df.observe(observation, *[F.count_if(c).alias(name) for name, c in counts.items()])
+    write_round(counted, root, number, **options)
+    # A plan that turned out to be empty has nothing to observe.
+    return {name: int(observation.get.get(name) or 0) for name in counts}
+
+
+def _count(df: DataFrame, counts: dict[str, Column]) -> dict[str, int]:
+    """The same counts of rows that were written by an earlier run."""
+    return df.agg(*[F.count_if(c).alias(name) for name, c in counts.items()]).first().asDict()
+
+
 def _next_rows(log: DataFrame) -> DataFrame:
     """A failed refinement leaves its row as it was."""
     return log.select(
@@ -256,16 +293,21 @@ def refine_rounds(
     cache_root, settings_root = f"{workdir}/cache", f"{workdir}/settings"
     input_root = f"{workdir}/input"
     if not resume:
-        for root in (settings_root, cache_root, input_root, routed_root, log_root):
+        for root in (settings_root, cache_root, input_root, routed_root, log_root, f"{workdir}/counts"):
             drop_table(spark, root)
     _settle(spark, settings_root, settings)
     hits = _stored_cache(spark, cache, cache_root)
 
-    def carry_out(number: int, part: int, rows: DataFrame, kept: bool) -> bool:
-        """One part of a round; tells whether it was there already."""
+    by_route = {way: F.col("route") == way for way in ROUTES}
+    by_log = {_GOES_ON: F.lit(True)}
+
+    def carry_out(number: int, part: int, rows: DataFrame, kept: bool) -> tuple[bool, dict[str, int]]:
+        """One part of a round; tells whether it was there already, and its counts."""
         kept_routes = kept and round_is_complete(spark, routed_root, number, part=part)
         kept = kept_routes and round_is_complete(spark, log_root, number, part=part)
-        if not kept_routes:
+        if kept_routes:
+            counts = _count(read_round(spark, routed_root, ROUTED, number, part=part), by_route)
+        else:
             routed = score_and_route(
                 rows,
                 backend,
@@ -276,24 +318,31 @@ def refine_rounds(
                 score_units=score_units,
                 partitions=partitions,
             )
-            write_round(routed, routed_root, number, partition_by="route", part=part)
-        if not kept:
+            counts = _write_counted(
+                routed, by_route, routed_root, number, partition_by="route", part=part
+            )
+        if kept:
+            counts |= _count(read_round(spark, log_root, REFINE_LOG, number, part=part), by_log)
+        else:
             routed = read_round(spark, routed_root, ROUTED, number, part=part)
             log = _log_rows(routed, backend, partitions=partitions, **generation)
-            write_round(log, log_root, number, part=part)
-        return kept
+            counts |= _write_counted(log, by_log, log_root, number, part=part)
+        return kept, counts
 
     first = _dealt(spark, _first_rows(pairs), parts, input_root)
     # From its first incomplete round on, a part is done anew.
     kept = [resume] * parts
     for number in range(max_rounds):
+        totals = Counter()
         for part in range(parts):
             if number:
                 rows = _next_rows(read_round(spark, log_root, REFINE_LOG, number - 1, part=part))
             else:
                 rows = first[part]
-            kept[part] = carry_out(number, part, rows, kept[part])
-        if read_round(spark, log_root, REFINE_LOG, number).isEmpty():
+            kept[part], counts = carry_out(number, part, rows, kept[part])
+            totals.update(counts)
+        write_note(spark, _counts_path(workdir, number), json.dumps(totals))
+        if not totals[_GOES_ON]:
             break
     return Run(spark, workdir, number + 1)
 

@@ -134,6 +134,31 @@ def _round_path(root: str, number: int, part: int) -> str:
     return f"{root}/round={number}/part={part}"
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small text file; it appears whole or not at all."""
+    fs, target = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    fs.rename(draft, target)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, source = _file_system(spark, path)
+    if not fs.exists(source):
+        return None
+    stream = fs.open(source)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def write_round(
     df: DataFrame, root: str, number: int, partition_by: str | None = None, *, part: int = 0
 ) -> None:

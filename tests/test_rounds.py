@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import os
+import shutil
 import sys
 
 import pytest
@@ -15,6 +16,7 @@ from prefspark.catalog.standin_model import StandInModel
 from prefspark.constants import ACCEPTED
 from prefspark.functions.scores import collapse
 from prefspark.operators.resume import first_logged
+from prefspark.operators.routing import route_counts
 from prefspark.plans.finalize import finalize
 from prefspark.plans.preparation import first_responses, sample_instructions
 from prefspark.plans.rounds import Run, conservation, refine_rounds, score_and_route
@@ -269,6 +271,28 @@ def test_parts_do_not_change_the_run(spark, pairs, parts):
         refine_rounds(spark, pairs, StandIn(), gamma=0.6, parts=0)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_counts_taken_while_writing_are_those_of_the_tables(spark, pairs, tmp_path, parts):
+    workdir = str(tmp_path / "run")
+    options = dict(gamma=0.6, parts=parts, workdir=workdir, cache=cache_of(spark, ("1", "none", "r", 0)))
+    run = refine_rounds(spark, pairs, StandIn(), **options)
+    want = {(r["round"], r.route): r.n for r in route_counts(run.routed, "round").collect()}
+    assert counts(run) == want and len(want) > 4
+    # A restart counts the rows that it keeps.
+    os.rename(f"{workdir}/refine_log/round=1/part=0/_SUCCESS", f"{workdir}/refine_log/round=1/part=0/_lost")
+    shutil.rmtree(f"{workdir}/counts")
+    again = refine_rounds(spark, pairs, StandIn(), **options, resume=True)
+    assert counts(again) == want
+    # Without the notes the tables are counted.
+    shutil.rmtree(f"{workdir}/counts")
+    assert counts(again) == want
+
+
+def test_an_empty_run_stops(spark, pairs):
+    run = refine_rounds(spark, pairs.limit(0), StandIn(), gamma=0.6)
+    assert run.rounds_done == 1 and counts(run) == {}
+
+
 class Counting(StandInModel):
     """Notes the pairs it scores, and takes its whole process down when it meets one of them."""
 
