@@ -35,6 +35,13 @@ class Backend(Protocol):
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
         """`struct<text, error>` with the rubric text for an instruction."""
 
+    def token_cuts(self, texts: Column, most: Column, keep: str) -> Column:
+        """For arrays of texts and of budgets in tokens `array<struct<n: int, cut: int>>`: the tokens of each
+        text, and how many characters of its head or tail (`keep`) fit its budget; all of them where it fits.
+
+        Without it, budgets are counted in units.
+        """
+
     # A backend may have `critique_until(instruction, prompt, attempts)`: `struct<text, error>` with the first of
     # up to so many critiques that can be read, else the last one. Without it, attempts follow in the plan.
 

@@ -16,6 +16,9 @@ from prefspark.functions.binding import bind
 
 HEX_DIGITS = "0123456789abcdef"
 
+# The stand-in's tokens: up to four letters or digits, or any other character.
+TOKEN = "[A-Za-z0-9]{1,4}|[^A-Za-z0-9]"
+
 
 def _digit(digest: Column, position: Column | int) -> Column:
     """The value of one hex digit."""
@@ -71,6 +74,19 @@ class StandIn:
             F.lit(None).cast("string").alias("error"),
         )
 
+    def token_cuts(self, texts: Column, most: Column, keep: str) -> Column:
+        def cut(text: Column, budget: Column) -> Column:
+            tokens = F.regexp_extract_all(text, F.lit(TOKEN), 0)
+            n = F.size(tokens)
+            start = F.lit(1) if keep == "head" else F.greatest(n - budget, F.lit(0)) + 1
+            kept = F.length(F.array_join(F.slice(tokens, start, F.greatest(budget, F.lit(0))), ""))
+            return F.when(
+                text.isNotNull(),
+                F.struct(n.alias("n"), F.when(n <= budget, F.length(text)).otherwise(kept).alias("cut")),
+            )
+
+        return F.zip_with(texts, most, cut)
+
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
         asked = F.when(prompt.isNotNull(), F.md5(instruction))
         return bind(asked, lambda digest: self._critique(digest, attempt))

@@ -34,6 +34,10 @@ class WorkerModel(Protocol):
         """`attempt` counts how often these prompts have been asked. A model may do without it."""
         ...
 
+    def token_ends(self, texts: list[str]) -> list[list[int]]:
+        """Where each token of a text ends, in characters. Only budgets in tokens ask for it."""
+        ...
+
 
 Outcome = Tuple[Any, str | None]
 Ask = Callable[[list], list[Outcome]]
@@ -121,6 +125,18 @@ def _in_flight(
             yield first.batch, first.finished()
 
 
+def _cut(length: int, ends: Sequence[int], most: int, keep: str) -> dict[str, int]:
+    """How many characters of a text the first or last `most` of its tokens are."""
+    n = len(ends)
+    if n <= most:
+        kept = length
+    elif most <= 0:
+        kept = 0
+    else:
+        kept = ends[most - 1] if keep == "head" else length - ends[n - most - 1]
+    return {"n": n, "cut": int(kept)}
+
+
 def _takes_attempt(call: Callable) -> bool:
     return "attempt" in inspect.signature(call).parameters
 
@@ -229,6 +245,24 @@ class WorkerBackend:
 
         return run.asNondeterministic()(prompt)
 
+    def token_cuts(self, texts: Column, most: Column, keep: str) -> Column:
+        """The positions alone come back; texts are cut in the JVM. Equal texts of a batch are encoded once."""
+        factory = self._held
+
+        @F.pandas_udf("array<struct<n: int, cut: int>>")
+        def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            model = factory()
+            for lists, budgets in batches:
+                distinct = list({t for row in lists if row is not None for t in row if t is not None})
+                ends = dict(zip(distinct, model.token_ends(distinct), strict=True))
+                cut = lambda t, most: None if t is None else _cut(len(t), ends[t], int(most), keep)  # noqa: E731, B023
+                yield pd.Series(
+                    [None if row is None else [cut(t, b) for t, b in zip(row, of)] for row, of in zip(lists, budgets)],
+                    dtype=object,
+                )
+
+        return run(texts, most)
+
     def critique(self, instruction: Column, prompt: Column, attempt: int = 1) -> Column:
         return self._complete(prompt)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from prefspark.backends.standin import TOKEN
 from prefspark.catalog.queries import (
     CACHED_GAMMA,
     DIGITS,
@@ -108,6 +109,19 @@ def _budgeted(text: str, responses: str, budget: int) -> tuple[str, str]:
     return scores, flags
 
 
+def _tokens(text: str) -> str:
+    return f"regexp_extract_all({text}, '{TOKEN}')"
+
+
+def _token_head(text: str, most: int) -> str:
+    return f"array_to_string({_tokens(text)}[1:{most}], '')"
+
+
+def _token_tail(text: str, most: str) -> str:
+    """The last tokens, none where `most`, an expression, is not positive."""
+    return f"(case when {most} > 0 then array_to_string({_tokens(text)}[-({most}):], '') else '' end)"
+
+
 _SHOWN = MAX_CONTEXT - MAX_NEW
 
 
@@ -385,6 +399,17 @@ BUDGET_REPORT = f"""
         (scores[1] + scores[2]) / 2 as avg_score
     from (select record_id, {_BUDGET_SCORES} as scores, {_BUDGET_FLAGS} as flags from ({GENERATED}))"""
 
+_ROOM = f"({SCORED_UNITS} - len({_tokens('r')}))"
+TOKEN_REPORT = f"""
+    select record_id, {_each('scores', 'score')}, {_each('flags', 'cut')},
+        (scores[1] + scores[2]) / 2 as avg_score
+    from (select record_id,
+            list_transform(responses, lambda r:
+                {_score(_token_tail('instruction', _ROOM), _token_tail('r', str(SCORED_UNITS)))}) as scores,
+            list_transform(responses, lambda r:
+                len({_tokens('instruction')}) + len({_tokens('r')}) > {SCORED_UNITS}) as flags
+        from ({GENERATED}))"""
+
 PAIR_ROUNDS = _rounds(PAIRS, GAMMA, "min", cached=False)
 DOCUMENT_ROUNDS = _rounds(GENERATED, CACHED_GAMMA, "mean", cached=True)
 
@@ -453,6 +478,12 @@ ORACLES: dict[str, str] = {
         select record_id, {_over('instruction', MAX_CONTEXT)} as over_budget,
             {_tail('instruction', MAX_CONTEXT)} as kept
         from ({INSTRUCTIONS})""",
+    "prompt_budget_tokens": f"""
+        select record_id, len({_tokens('instruction')}) > {_SHOWN} as over_prompt,
+            {_token_head('instruction', _SHOWN)} as head,
+            len({_tokens('instruction')}) > {MAX_CONTEXT} as over_context,
+            {_token_tail('instruction', str(MAX_CONTEXT))} as tail
+        from ({INSTRUCTIONS})""",
     "trim_at_stops": f"""
         select conv_id, turn, {_trim('text', QUERY_STOPS)} as trimmed
         from conversations where role = 'assistant'""",
@@ -534,6 +565,7 @@ ORACLES: dict[str, str] = {
                         regexp_extract_all(response, '\\S+\\s*') as answer_pieces from ({TURNS}))))""",
     "reward_report_budget": BUDGET_REPORT,
     "reward_report_budget_worker": BUDGET_REPORT,
+    "reward_report_tokens": TOKEN_REPORT,
     "threshold_split": _with("select record_id, route from routed0", **PAIR_ROUNDS),
     "route_counts": _with(
         "select route, count(*) as n from routed0 group by route", **PAIR_ROUNDS

@@ -176,6 +176,19 @@ def prompt_budget_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _budget(spark, sf_dir, MAX_CONTEXT, text.keep_tail)
 
 
+@query
+def prompt_budget_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heads and tails of documents by the tokens of a model in the Python workers."""
+    docs, backend = views.instructions(spark, sf_dir), worker_backend()
+    heads = inference.token_budget(
+        docs, "instruction", backend, MAX_CONTEXT - MAX_NEW, name="head", flag="over_prompt"
+    )
+    both = inference.token_budget(
+        heads, "instruction", backend, MAX_CONTEXT, keep="tail", name="tail", flag="over_context"
+    )
+    return both.select("record_id", "over_prompt", "head", "over_context", "tail")
+
+
 @query
 def trim_at_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
@@ -360,6 +373,15 @@ def reward_report_budget_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_budget(report, "over_budget", "avg_score")
 
 
+@query
+def reward_report_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `reward_report_budget_worker`, with the budget in the model's tokens."""
+    report = reports.reward_report(
+        _generated(spark, sf_dir).drop("over_budget"), worker_backend(), max_units=SCORED_UNITS, measure="tokens"
+    )
+    return _flat_budget(report, "over_budget", "avg_score")
+
+
 # Routing
 
 

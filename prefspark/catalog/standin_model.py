@@ -6,9 +6,10 @@ Its scores and texts say nothing about quality; it gives what `StandIn` gives.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 
-from prefspark.backends.standin import HEX_DIGITS
+from prefspark.backends.standin import HEX_DIGITS, TOKEN
 from prefspark.backends.worker import WorkerBackend
 from prefspark.constants import CRITERIA, RUBRIC_HEADER
 from prefspark.functions.prompts import (
@@ -40,6 +41,9 @@ class StandInModel:
             for text in texts
         ]
 
+    def token_ends(self, texts: list[str]) -> list[list[int]]:
+        return [[token.end() for token in re.finditer(TOKEN, text)] for text in texts]
+
     def complete(self, prompts: list[str], attempt: int = 1) -> list[str]:
         return [self._reply(prompt, attempt) for prompt in prompts]
 

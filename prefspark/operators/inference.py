@@ -21,12 +21,45 @@ from prefspark.functions.text import (
     units,
 )
 
+# What budgets count: blank-separated units, or tokens as the backend finds them.
+MEASURES = ("units", "tokens")
+
 
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     """Even partitions for model calls; their number caps the calls in flight."""
     return df if partitions is None else df.repartition(partitions)
 
 
+def _by_tokens(measure: str) -> bool:
+    if measure not in MEASURES:
+        raise ValueError(f"unknown measure {measure!r}, expected one of {MEASURES}")
+    return measure == "tokens"
+
+
+def token_budget(
+    df: DataFrame,
+    column: str,
+    backend: Backend,
+    most: int,
+    *,
+    keep: str = "head",
+    name: str = "kept",
+    flag: str = "over_budget",
+) -> DataFrame:
+    """Adds `name`, the head or tail of a text that has at most so many of the backend's tokens, and `flag`,
+    whether that is less than the text."""
+    if keep not in ("head", "tail"):
+        raise ValueError(f"keep must be 'head' or 'tail', got {keep!r}")
+    text, cut = F.col(column), F.col("_cuts")[0]
+    part = F.left if keep == "head" else F.right
+    cuts = backend.token_cuts(F.array(text), F.array(F.lit(most)), keep)
+    return (
+        df.withColumn("_cuts", cuts)
+        .withColumns({name: part(text, cut["cut"]), flag: cut["n"] > most})
+        .drop("_cuts")
+    )
+
+
 def _generate(
     df: DataFrame,
     instruction: str,
@@ -36,21 +69,22 @@ def _generate(
     system: str,
     stops: Sequence[str],
     max_units: int,
+    measure: str,
 ) -> DataFrame:
     """Adds `_generated`, and `over_budget`: whether the text was cut to `max_units` first."""
     # The user text is cut before the messages are built, so they stay complete.
     shown = F.col("_shown")
     generated = backend.generate(shown, chat(shown, system), n, seed, stops)
-    return (
-        df.withColumns(
+    if _by_tokens(measure):
+        rows = token_budget(df, instruction, backend, max_units, name="_shown")
+    else:
+        rows = df.withColumns(
             {
                 "_shown": keep_head(F.col(instruction), max_units),
                 "over_budget": over_budget(F.col(instruction), max_units),
             }
         )
-        .withColumn("_generated", generated)
-        .drop("_shown")
-    )
+    return rows.withColumn("_generated", generated).drop("_shown")
 
 
 def generate_n(
@@ -62,12 +96,16 @@ def generate_n(
     system: str = "",
     stops: Sequence[str] = STOPS,
     max_units: int = MAX_CONTEXT - MAX_NEW,
+    measure: str = "units",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Adds n sampled `responses` per instruction, cut at stop strings, `over_budget` and `error`."""
+    """Adds n sampled `responses` per instruction, cut at stop strings, `over_budget` and `error`.
+
+    `measure` tells what `max_units` counts: blank-separated units, or the backend's tokens.
+    """
     rows = spread(df, partitions)
     return (
-        _generate(rows, "instruction", backend, n, seed, system, stops, max_units)
+        _generate(rows, "instruction", backend, n, seed, system, stops, max_units, measure)
         .withColumns(
             {
                 "responses": trim_all_at_stops(F.col("_generated.texts"), stops),
@@ -85,12 +123,15 @@ def with_scores(
     backend: Backend,
     max_units: int,
     flags: str,
+    measure: str = "units",
 ) -> DataFrame:
     """Adds `scores` of the tail of each conversation that fits `max_units`, and `flags` which were cut.
 
     Each response keeps its own tail and leaves its own room to the tail of the instruction, whose units
     are found once per row.
     """
+    if _by_tokens(measure):
+        return _with_token_scores(df, instruction, responses, backend, max_units, flags)
     asked, answers, rooms, pieces = (F.col(c) for c in ("_asked", "_answers", "_rooms", "_pieces"))
     # Two texts of so few bytes have no more units than that together.
     longest = F.array_max(F.transform(answers, lambda r: F.coalesce(F.octet_length(r), F.lit(0))))
@@ -114,18 +155,49 @@ def with_scores(
     return scored.drop("_asked", "_answers", "_rooms", "_pieces")
 
 
+def _with_token_scores(
+    df: DataFrame, instruction: Column, responses: Column, backend: Backend, most: int, flags: str
+) -> DataFrame:
+    """`with_scores` in tokens: the answers are measured first, the instruction then for the room each leaves."""
+    asked, answers, of_answers, of_asked = (F.col(c) for c in ("_asked", "_answers", "_of_answers", "_of_asked"))
+    room = lambda cut: F.greatest(F.lit(most) - F.coalesce(cut["n"], F.lit(0)), F.lit(0))
+    budgets = F.transform(answers, lambda _: F.lit(most))
+    rows = (
+        df.withColumns({"_asked": instruction, "_answers": responses})
+        .withColumn("_of_answers", backend.token_cuts(answers, budgets, "tail"))
+        .withColumn("_rooms", F.transform(of_answers, room))
+        .withColumn("_of_asked", backend.token_cuts(F.transform(answers, lambda _: asked), F.col("_rooms"), "tail"))
+    )
+    seen = F.transform(of_asked, lambda cut: F.right(asked, cut["cut"]))
+    kept = F.zip_with(answers, of_answers, lambda r, cut: F.right(r, cut["cut"]))
+    of_one = F.transform(of_answers, lambda cut: F.coalesce(cut["n"] > most, F.lit(False)))
+    of_both = F.zip_with(of_asked, F.col("_rooms"), lambda cut, room: F.coalesce(cut["n"] > room, F.lit(False)))
+    scored = rows.withColumns(
+        {
+            "scores": backend.score_pairs(F.when(asked.isNotNull(), seen), kept),
+            flags: F.zip_with(of_one, of_both, lambda a, b: a | b),
+        }
+    )
+    return scored.drop("_asked", "_answers", "_rooms", "_of_answers", "_of_asked")
+
+
 def score_responses(
-    df: DataFrame, backend: Backend, *, max_units: int | None = None, partitions: int | None = None
+    df: DataFrame,
+    backend: Backend,
+    *,
+    max_units: int | None = None,
+    measure: str = "units",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Adds `scores`, one per response and in their order.
 
     With `max_units` the model sees the tail of each conversation, and `over_budget`, an array too, tells
-    which of them were cut.
+    which of them were cut. `measure` tells what is counted: units or the backend's tokens.
     """
     rows, instruction, responses = spread(df, partitions), F.col("instruction"), F.col("responses")
     if max_units is None:
         return rows.withColumn("scores", backend.score(instruction, responses))
-    return with_scores(rows, instruction, responses, backend, max_units, "over_budget")
+    return with_scores(rows, instruction, responses, backend, max_units, "over_budget", measure)
 
 
 def score_single(
@@ -195,6 +267,7 @@ def refine(
     system: str = "",
     stops: Sequence[str] = STOPS,
     max_units: int = MAX_CONTEXT - MAX_NEW,
+    measure: str = "units",
     partitions: int | None = None,
 ) -> DataFrame:
     """Critique, rewrite and regenerate: adds `feedback`, `refined_instruction`,
@@ -202,7 +275,7 @@ def refine(
     rows = critique_rewrite(df, backend, partitions=partitions)
     fine = F.col("error").isNull()
     return (
-        _generate(rows, "refined_instruction", backend, n, seed, system, stops, max_units)
+        _generate(rows, "refined_instruction", backend, n, seed, system, stops, max_units, measure)
         .withColumn("error", F.coalesce("error", "_generated.error"))
         .withColumns(
             {

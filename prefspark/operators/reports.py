@@ -161,13 +161,20 @@ def _settled_report(report: DataFrame, keep_failed: bool) -> DataFrame:
 
 
 def reward_report(
-    records: DataFrame, backend: Backend, *, max_units: int | None = None, partitions: int | None = None
+    records: DataFrame,
+    backend: Backend,
+    *,
+    max_units: int | None = None,
+    measure: str = "units",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Adds `scores` and their mean `avg_score`, 0 for a record without responses.
 
     With `max_units` conversations are cut as in `score_responses`, and `over_budget` is added.
     """
-    scored = score_responses(records, backend, max_units=max_units, partitions=partitions)
+    scored = score_responses(
+        records, backend, max_units=max_units, measure=measure, partitions=partitions
+    )
     return scored.withColumn("avg_score", mean_or_zero(F.col("scores")))
 
 

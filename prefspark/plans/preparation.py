@@ -45,6 +45,7 @@ def first_responses(
     system: str = "",
     stops: Sequence[str] = STOPS,
     max_units: int = MAX_CONTEXT - MAX_NEW,
+    measure: str = "units",
     partitions: int | None = None,
 ) -> DataFrame:
     """Responses for the non-empty instructions that an earlier run has not done."""
@@ -57,5 +58,6 @@ def first_responses(
         system=system,
         stops=stops,
         max_units=max_units,
+        measure=measure,
         partitions=partitions,
     )

@@ -174,6 +174,7 @@ def score_and_route(
     first_logged: DataFrame | None = None,
     n_responses: int = N_RESPONSES,
     score_units: int | None = None,
+    measure: str = "units",
     partitions: int | None = None,
 ) -> DataFrame:
     """Adds `scores`, `hit` and `route`. Rows found in the reduced cache are not scored.
@@ -193,7 +194,7 @@ def score_and_route(
         flags = F.lit(None).cast(FLAGS)
         rows = rows.withColumns({"scores": backend.score(asked, answers), "score_over_budget": flags})
     else:
-        rows = with_scores(rows, asked, answers, backend, score_units, "score_over_budget")
+        rows = with_scores(rows, asked, answers, backend, score_units, "score_over_budget", measure)
     return rows.withColumn("route", route(F.col("scores"), gamma, agg, cached=~missed))
 
 
@@ -258,6 +259,7 @@ def refine_rounds(
     stops: Sequence[str] = STOPS,
     max_units: int = MAX_CONTEXT - MAX_NEW,
     score_units: int | None = None,
+    measure: str = "units",
     partitions: int | None = None,
     parts: int = 1,
     workdir: str | None = None,
@@ -269,7 +271,7 @@ def refine_rounds(
     run completed are kept, and of a round the parts it completed, and only the rest is carried out; other
     settings, inputs or cache rows than those of that run are an error. A part should be large enough to
     occupy the cluster, as parts are carried out one after another. `max_units` is the budget of a prompt, `score_units` that of a scored
-    conversation.
+    conversation, both in units or the backend's tokens (`measure`).
     """
     if agg not in AGGREGATES:
         raise ValueError(f"unknown aggregate {agg!r}, expected one of {AGGREGATES}")
@@ -282,6 +284,8 @@ def refine_rounds(
     settings |= {"backend": backend.name, "cached": cache is not None}
     if score_units is not None:
         settings["score_units"] = score_units
+    if measure != "units":
+        settings["measure"] = generation["measure"] = measure
     if parts > 1:
         settings["parts"] = parts
     settings["input"] = _content(pairs, "record_id", "instruction", "responses")
@@ -316,6 +320,7 @@ def refine_rounds(
                 first_logged=hits,
                 n_responses=n_responses,
                 score_units=score_units,
+                measure=measure,
                 partitions=partitions,
             )
             counts = _write_counted(

@@ -1,4 +1,5 @@
 import os
+import re
 import sys
 import threading
 import time
@@ -9,14 +10,14 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from prefspark.backends import worker
-from prefspark.backends.standin import StandIn
+from prefspark.backends.standin import TOKEN, StandIn
 from prefspark.backends.worker import WorkerBackend, _in_flight, _outcomes, _until
 from prefspark.catalog import views
 from prefspark.catalog.standin_model import StandInModel, worker_backend
 from prefspark.constants import STOPS
 from prefspark.functions.rubric import parse_rubric
 from prefspark.functions.rubric_text import readable
-from prefspark.operators.inference import critique_rewrite, generate_n, refine, score_responses
+from prefspark.operators.inference import critique_rewrite, generate_n, refine, score_responses, token_budget
 from prefspark.operators.reports import rubric_report_live
 
 SF_DIR = f"{TESTDATA}/sf0.001"
@@ -328,3 +329,45 @@ def test_flaky_attempts_all_occur(spark):
     ]
     assert {1, 2, 3, None} == set(first)
     assert any(r.r1.error for r in replies) and not any(r.r2.error for r in replies)
+
+
+@pytest.mark.parametrize("keep", ["head", "tail"])
+@pytest.mark.parametrize("most", [0, 1, 3, 50])
+def test_token_budgets(spark, keep, most):
+    texts = ["", "a", "abcdefgh ij", "x\n\n\u00e9\u00e8 \U0001f600 1234567", None, "a b c d e f"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string").coalesce(1)
+    for backend in (StandIn(), worker_backend()):
+        for row in token_budget(df, "x", backend, most, keep=keep).collect():
+            if row.x is None:
+                assert row.kept is None and row.over_budget is None
+                continue
+            tokens = re.findall(TOKEN, row.x)
+            want = tokens[:most] if keep == "head" else tokens[max(0, len(tokens) - most) :]
+            assert row.kept == "".join(want) and row.over_budget == (len(tokens) > most)
+
+
+def test_token_budgets_of_scores_and_prompts(spark):
+    df = spark.createDataFrame(
+        [("1", "a b c d e f", ["x y", "z " * 9, None]), ("2", None, ["x"]), ("3", "a", None), ("4", "a b", [])],
+        "record_id string, instruction string, responses array<string>",
+    )
+    model = StandInModel()
+    for backend in (StandIn(), worker_backend()):
+        found = {r.record_id: r for r in score_responses(df, backend, max_units=7, measure="tokens").collect()}
+        want = model.score([("d e f"[1:], "x y"), ("", ("z " * 9)[-7:])])
+        assert found["1"].scores == [*want, None] and found["1"].over_budget == [True, True, True]
+        assert found["2"].scores is None and found["3"].scores is None and found["4"].scores == []
+        row = generate_n(df, backend, max_units=3, measure="tokens").filter("record_id = '1'").first()
+        assert row.responses[0].startswith("a b ") and row.over_budget
+        with pytest.raises(ValueError, match="measure"):
+            score_responses(df, backend, max_units=7, measure="words")
+
+
+def test_equal_texts_are_encoded_once(spark):
+    class Counted(StandInModel):
+        def token_ends(self, texts):
+            assert len(texts) == len(set(texts))
+            return super().token_ends(texts)
+
+    df = spark.createDataFrame([("same text", ["r", "r", "s"])] * 20, "instruction string, responses array<string>")
+    assert score_responses(df, WorkerBackend(Counted), max_units=4, measure="tokens").count() == 20
