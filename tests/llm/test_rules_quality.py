@@ -1,12 +1,15 @@
+import itertools
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
-from conftest_llm import words
+from conftest_llm import SF_DIR, words
 from pyspark.sql import functions as F
 
 from prefspark.llm import quality, rules
 from prefspark.llm.common import fold
+from prefspark.llm.queries import op4_quality_rules
 
 
 def brute_measures(text):
@@ -42,15 +45,80 @@ def test_rules_edge_cases(spark, edge_docs, no_docs):
     assert "SCORE" in rules.cascade(edge_docs).columns
 
 
-def test_order_and_verdict(spark, documents):
-    cheap = rules.Rule("cheap", lambda t: len(t.text) > 1000)
-    dear = rules.Rule("dear", lambda t: sum(range(20_000)) > 0 and len(t.text) > 1000)
+def brute_kept(text):
+    """The verdict of all rules, from the plain measures."""
+    m = brute_measures(text)
+    text = text or ""
+    lines = sum(1 for line in text.split("\n") if words(line))
+    shouted = sum(1 for w in text.split() if len(w) > 1 and w.isupper())
+    n = m["n_words"]
+    bad = [
+        n < 50, 100 * m["n_repeat_words"] > 50 * n, 10 * m["n_symbols"] > n, 10 * shouted > 3 * n, 10 * m["n_dup_lines"] > 3 * lines,
+        not 2 * n <= m["word_chars"] <= 20 * n,
+    ]
+    return not any(bad)
+
+
+def test_verdicts_are_those_of_all_rules(spark, edge_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for df in (docs, edge_docs.select("doc_id", "text")):
+        for r in rules.cascade(df, measures=True).collect():
+            assert r.kept == brute_kept(r.text)
+    kept = [sorted(r.doc_id for r in rules.cascade(docs, order=order).where("kept").collect()) for order in (rules.RULES, rules.RULES[::-1])]
+    assert kept[0] == kept[1]
+
+
+def test_registered_query(spark, texts):
+    rows = op4_quality_rules(spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        want = brute_measures(texts[r.doc_id])
+        assert {name: r[name] for name in rules.MEASURES} == want and r.kept == brute_kept(texts[r.doc_id])
+
+
+def slow(n):
+    return sum(range(n))
+
+
+def test_order_follows_rejections_left_and_cost_beyond_what_is_made(spark, documents, monkeypatch):
+    monkeypatch.setitem(rules.MAKERS, "dear", lambda t: slow(30_000))
+    long = lambda t: len(t.text) > 1000
+    cheap, dear = rules.Rule("cheap", long), rules.Rule("dear", lambda t: t.dear > 0 and long(t))
+    shares = rules.Rule("shares", lambda t: t.dear > 0 and len(t.text) < 100)
     never = rules.Rule("never", lambda t: False)
-    costs = rules.rule_costs(documents, (never, dear, cheap), sample_rows=100)
-    assert [r.name for r in rules.ordered((never, dear, cheap), costs)] == ["cheap", "dear", "never"]
-    assert all(r.seen <= 200 for r in costs.collect())
-    kept = [{r.doc_id for r in rules.cascade(documents, order).where("kept").collect()} for order in ((never, dear, cheap), (cheap, never, dear))]
-    assert kept[0] == kept[1] == {r.doc_id for r in documents.where("length(text) <= 1000").collect()}
+    given = (never, dear, shares, cheap)
+    # Makers travel by reference here, as the workers of this session import the module anew.
+    sample = rules.Sample(
+        {"dear": 1e-3, "cheap": 1e-6, "shares": 1e-6, "never": 1e-6}, {"dear": frozenset(["dear"]), "shares": frozenset(["dear"])},
+        {0b1010: 60, 0b0100: 10, 0: 30},
+    )
+    # What `cheap` rejects leaves nothing for `dear`; `shares` pays for the measure.
+    order = [r.name for r in rules.ordered(given, sample)]
+    assert order[0] == "cheap" and order.index("shares") < order.index("dear")
+    best = rules.ordered(given, sample)
+    assert sample.work(best, given) == pytest.approx(min(sample.work(o, given) for o in itertools.permutations(given)))
+    assert sample.work(best, given) < 0.5 * sample.work(given, given)
+    # Measures that are made anyway cost nothing.
+    assert rules.ordered(given, sample, ["dear"])[0].name in ("cheap", "dear")
+
+
+def test_sampling(spark, documents):
+    sample = rules.sampled(documents, sample_rows=100)
+    assert 20 < sample.seen <= 200 and set(sample.reads["repetitive"]) == {"n_words", "words", "n_repeat_words"}
+    assert sample.reads["shouting"] >= {"n_shouted"} and all(t >= 0 for t in sample.seconds.values())
+    whole = rules.sampled(documents)
+    texts = [r.text for r in documents.collect()]
+    assert whole.seen == len(texts) and whole.patterns.get(0, 0) == sum(map(brute_kept, texts))
+    best = rules.ordered(rules.RULES, whole)
+    assert whole.work(best, rules.RULES) <= whole.work(rules.RULES[::-1], rules.RULES)
+    named = rules.cascade(documents, order=best).select("doc_id", "rejected_by").collect()
+    assert sorted(named, key=str) == sorted(rules.cascade(documents, order=best).select("doc_id", "rejected_by").collect(), key=str)
+
+
+def test_own_rules(spark, documents):
+    mine = (rules.Rule("long", lambda t: len(t.text) > 1000), rules.Rule("few", lambda t: t.n_words < 10, base=True))
+    for r in rules.cascade(documents, mine, measures=True).collect():
+        assert r.base_failed == (r.n_words < 10) and r.kept == (len(r.text or "") <= 1000 and r.n_words >= 10)
 
 
 def test_good_documents_stay_and_junk_goes(spark, documents):
