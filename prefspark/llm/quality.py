@@ -6,9 +6,17 @@ positive-unlabelled learning
     J(w) = prior R_p(+) + max(0, R_u(-) - prior R_p(-)) + l2 |w|^2 / 2
 
 where R_p is over texts labelled as good and R_u over all texts of the training fold, whatever their
-label. When the bracket is negative the step goes the other way, as it then shows overfitting. The class
-prior is estimated as the share of good ones among the labelled training texts. Every step is one Spark
-job over all training rows, whose sums (one number per weight and pair of weights) are added up by Spark.
+label. When the bracket is negative the step goes the other way, as it then shows overfitting. Labels of
+texts that are not good are never read.
+
+The class prior is estimated from the same two sets. A first model is learned with PRIOR for the prior. Above
+any bound on its scores lies some share of the unlabelled texts and some share of the good ones, and as the
+latter are among the former, their ratio is at least the prior; where only good texts are left above the
+bound, it is the prior. The estimate is the least ratio, each taken with the error that its numbers of
+texts allow for, over rows that the first model did not learn from. The final model is learned with it.
+
+Every step is one Spark job over all training rows; each task sends its sums (a number per weight and pair of
+weights) as one row, and these are added up in two steps.
 
 Defined results
 * A null or empty text has all measures zero and gets the score of those.
@@ -21,7 +29,7 @@ Defined results
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +42,10 @@ from prefspark.llm.common import without, written
 
 STEPS = 12
 L2 = 1e-3
+#: The prior of the first model, and of a model without labels.
+PRIOR = 0.5
+#: The chance of an error beyond what the estimate of the prior allows for, and its bound.
+ERROR, LEAST_PRIOR = 0.1, 0.01
 _UPPER, _LOWER = range(65, 91), range(97, 123)
 _CLASSES = {
     "digits": range(48, 58), "stops": b".", "commas": b",", "shouts": b"!?", "bars": b"|",
@@ -71,6 +83,10 @@ def features(text: str | None) -> np.ndarray:
 WIDTH = len(features(None))
 
 
+def _logistic(g: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(g, -40, 40)))
+
+
 def _loss(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, -z)
 
@@ -79,7 +95,7 @@ def _sums(rows: np.ndarray, trusted: np.ndarray, weights: np.ndarray) -> np.ndar
     """What one step needs of these rows, as one vector."""
     x = rows.astype(np.float64)
     g = x @ weights
-    p = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
+    p = _logistic(g)
     good = x[trusted]
     curve = (x * (p * (1 - p))[:, None]).T @ x
     return np.concatenate((
@@ -99,19 +115,20 @@ class QualityModel:
 
         def of(texts: pd.Series) -> pd.Series:
             g = np.array([features(t) @ weights for t in texts], dtype=float)
-            return pd.Series(1 / (1 + np.exp(-np.clip(g, -40, 40))))
+            return pd.Series(_logistic(g))
 
         return docs.select(*without(docs, name), F.pandas_udf(of, "double")(F.col(text_col)).alias(name))
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, *, train: Column | None = None, steps=STEPS, l2=L2,
+    docs: DataFrame, labels: DataFrame, *, train: Column | None = None, prior: float | None = None, steps=STEPS, l2=L2,
     id_col="doc_id", text_col="text", label_col="quality",
 ) -> QualityModel:
-    """Learns from the rows of `docs` for which `train` holds (all if not given)."""
+    """Learns from the rows of `docs` for which `train` holds (all if not given); estimates `prior` if it is
+    not given."""
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
         F.min(F.col(label_col).cast("int")).alias("__good")
-    )
+    ).where("__good = 1")
     rows = docs if train is None else docs.where(train)
     rows = rows.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
 
@@ -124,13 +141,23 @@ def fit(
     # Measures are taken first, so that the join moves them and not the texts.
     measured = written(rows.mapInArrow(extract, f"__id {kind}, x binary"), "quality-features")
     data = written(measured.join(marks, "__id", "left").select("x", "__good"), "quality-rows")
-    known = data.agg(F.count("__good"), F.sum("__good")).first()
-    if not known[1]:
-        return QualityModel((0.0,) * WIDTH, 0.5)
-    prior = known[1] / known[0]
+    if not data.where("__good = 1").limit(1).count():
+        return QualityModel((0.0,) * WIDTH, PRIOR)
+    if prior is None:
+        # Equal rows fall into the same half, so that none is both learned from and counted.
+        half = F.pmod(F.xxhash64("x"), F.lit(2))
+        learned, counted = data.where(half == 0), data.where(half == 1)
+        if not learned.where("__good = 1").limit(1).count():
+            learned = counted = data
+        prior = estimate_prior(counted, _minimise(learned, PRIOR, steps, l2))
+    return QualityModel(tuple(_minimise(data, prior, steps, l2).tolist()), prior)
+
+
+def _minimise(data: DataFrame, prior: float, steps: int, l2: float) -> np.ndarray:
+    """The weights with the least risk that the steps came to."""
     weights, best = np.zeros(WIDTH), (np.inf, np.zeros(WIDTH))
     for _ in range(steps):
-        total = _step(data, weights)
+        total = _added(data.mapInArrow(_step_sums(weights), _SUMS), 5 + 3 * WIDTH + WIDTH * WIDTH)
         n, n_good, u_minus, p_plus, p_minus = total[:5]
         u_grad, plus_grad, minus_grad = (total[5 + k * WIDTH : 5 + (k + 1) * WIDTH] for k in range(3))
         curve = total[5 + 3 * WIDTH :].reshape(WIDTH, WIDTH) / n
@@ -146,25 +173,76 @@ def fit(
         # The curvature of the unlabelled part scales the step, as in Newton's method.
         move = np.linalg.solve(curve + (l2 + 1e-6) * np.eye(WIDTH), gradient)
         weights = weights - move * min(1.0, 8.0 / max(np.abs(move).max(), 1e-9))
-    return QualityModel(tuple(best[1].tolist()), prior)
+    return best[1]
+
+
+def estimate_prior(data: DataFrame, weights: np.ndarray, bins: int = 1000) -> float:
+    """The share of good ones among all rows, by the scores of a model that need not be calibrated."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * bins)
+        for batch in batches:
+            x, good = _rows(batch)
+            place = np.minimum(_logistic(x.astype(float) @ weights) * bins, bins - 1).astype(np.int64)
+            total[:bins] += np.bincount(place, minlength=bins)
+            total[bins:] += np.bincount(place[good], minlength=bins)
+        yield _sum_row(total)
+
+    total = _added(data.mapInArrow(count, _SUMS), 2 * bins)
+    everything, good = (np.cumsum(part[::-1]) for part in (total[:bins], total[bins:]))
+    return prior_bound(everything, good)
+
+
+def prior_bound(everything: np.ndarray, good: np.ndarray) -> float:
+    """From how many of all rows and of the good ones lie above each bound (the last one: all of them)."""
+    n, n_good = everything[-1], good[-1]
+    if not n or not n_good:
+        return PRIOR
+    share, of_good = everything / n, good / n_good
+    error = np.sqrt(np.log(4 / ERROR) / 2) * (1 / np.sqrt(n) + 1 / np.sqrt(n_good))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(of_good > 0, share / of_good, np.inf)
+        # Few good ones above the bound make its ratio uncertain.
+        most = np.where(of_good > 0, (share + error) / of_good, np.inf)
+    return float(np.clip(ratio[np.argmin(most)], LEAST_PRIOR, 1 - LEAST_PRIOR))
+
 
+#: A task's sums: one row.
+_SUMS = "task long, sums binary"
+COMBINED = 64
 
-def _step(data: DataFrame, weights: np.ndarray) -> np.ndarray:
+
+def _sum_row(total: np.ndarray) -> pa.RecordBatch:
+    from pyspark import TaskContext
+
+    task = TaskContext.get().partitionId()
+    return pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["task", "sums"])
+
+
+def _added(parts: DataFrame, width: int) -> np.ndarray:
+    """The tasks' sums added up, by groups of tasks and then over the groups."""
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        return group.iloc[:1].assign(sums=sum(np.frombuffer(s) for s in group["sums"]).tobytes())
+
+    few = parts.withColumn("task", F.floor(F.col("task") / COMBINED)).groupBy("task").applyInPandas(add, _SUMS)
+    rows = few.collect()  # one row for COMBINED tasks
+    return sum((np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: r.task)), np.zeros(width))
+
+
+def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    x = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.float32).reshape(-1, WIDTH)
+    return x, batch.column(1).fill_null(0).to_numpy(zero_copy_only=False) == 1
+
+
+def _step_sums(weights: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(5 + 3 * WIDTH + WIDTH * WIDTH)
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.float32).reshape(-1, WIDTH)
-            good = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False) == 1
-            total += _sums(x, good, weights)
-        place = pa.array(np.arange(len(total)), pa.int32())
-        yield pa.RecordBatch.from_arrays([place, pa.array(total)], ["place", "value"])
-
-    parts = data.mapInArrow(add, "place int, value double")
-    summed = parts.groupBy("place").agg(F.sum("value").alias("value"))
-    out = np.zeros(5 + 3 * WIDTH + WIDTH * WIDTH)
-    for place, value in summed.collect():
-        out[place] = value
-    return out
+            total += _sums(*_rows(batch), weights)
+        yield _sum_row(total)
+
+    return add
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, held_out: Column | None = None, **options) -> DataFrame:

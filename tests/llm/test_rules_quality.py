@@ -140,6 +140,61 @@ def test_classifier_on_held_out_labels(spark):
     assert sum(r.predicted == r.quality for r in rows) >= 0.95 * len(rows)
 
 
+def risk(x, good, prior, weights, l2=quality.L2):
+    """The non-negative risk, written out."""
+    loss = lambda z: np.logaddexp(0, -z)
+    g = x @ weights
+    rest = loss(-g).mean() - prior * loss(-g[good]).mean()
+    return prior * loss(g[good]).mean() + max(0.0, rest) + l2 / 2 * weights @ weights
+
+
+def test_the_fit_is_the_least_risk(spark):
+    """Against plain descent on the whole risk, from several places."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    marks = {r.doc_id for r in labels.where("quality = 1").collect()}
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    x = np.array([quality.features(t) for _, t in rows], dtype=float)
+    good = np.array([i in marks for i, _ in rows])
+    for prior in (0.3, 0.8):
+        model = quality.fit(docs, labels, prior=prior)
+        found = risk(x, good, prior, np.array(model.weights))
+        rng, least = np.random.default_rng(1), np.inf
+        for start in (np.zeros(quality.WIDTH), rng.standard_normal(quality.WIDTH)):
+            w, rate = start.copy(), 0.5
+            for _ in range(4000):
+                g = x @ w
+                p = 1 / (1 + np.exp(-g))
+                rest = np.logaddexp(0, g).mean() - prior * np.logaddexp(0, g[good]).mean()
+                part = x.T @ p / len(x) - prior * (x[good].T @ p[good]) / good.sum()
+                step = (prior * (x[good].T @ (p[good] - 1)) / good.sum() + part if rest >= 0 else -part) + quality.L2 * w
+                w -= rate * step
+                least = min(least, risk(x, good, prior, w))
+        assert found <= least + 2e-3, prior
+
+
+def test_the_prior_is_that_of_the_unlabelled_texts(spark):
+    """Without reading a label of zero; against the share of good ones among the labelled."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.fit(docs, labels)
+    known = [r.quality for r in labels.where("quality is not null").collect()]
+    assert abs(model.prior - sum(known) / len(known)) < 0.1
+    assert quality.fit(docs, labels.where("quality = 1")).prior == model.prior
+
+
+@pytest.mark.parametrize("share", [0.1, 0.4, 0.8])
+def test_the_bound_of_the_prior(share):
+    rng = np.random.default_rng(3)
+    n, n_good, bins = 40_000, 5_000, 200
+    of_good = lambda k: rng.beta(8, 2, k)
+    is_good = rng.random(n) < share
+    scores = np.where(is_good, of_good(n), rng.beta(2, 8, n))
+    count = lambda s: np.cumsum(np.bincount((s * bins).astype(int), minlength=bins)[::-1])
+    assert quality.prior_bound(count(scores), count(of_good(n_good))) == pytest.approx(share, abs=0.03)
+    assert quality.prior_bound(np.zeros(5), np.zeros(5)) == quality.PRIOR
+
+
 def test_labels_of_held_out_rows_are_not_read(spark, documents):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     held_out = fold(F.col("doc_id"), 3) == 1
