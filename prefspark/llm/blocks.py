@@ -7,6 +7,11 @@ blocks sent and gives each of them one packed row of answers, in the order of it
 shuffled is bytes per distinct key and block, no key is hot (a block names it once), and a partition
 holds a bounded number of keys as the number of partitions follows the number of words.
 
+Defined results
+* A null or empty text is a document without words; a null id is NO_ID, and comes first.
+* Repeated rows and ids are documents of their own. An empty table gives no blocks, no questions and no answers.
+* Only the id, the text and the flag are read; other columns do not matter, whatever their names.
+
 Blocks and answers are written tables. A block's questions follow from its row and its earlier answers
 alone, so a task that is run again asks the same.
 """
@@ -34,6 +39,8 @@ ANSWER = "block long, step int, part int, payload binary, stats array<double>"
 #: Stands for a null id, and comes first.
 NO_ID = -(2**63)
 NOTE = -1
+#: The block of rows that are tables of keys.
+MODEL = -1
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
@@ -149,18 +156,22 @@ def partitions_for(blocks: DataFrame) -> int:
     return int((blocks.agg(F.sum("words")).first()[0] or 0) // PARTITION_KEYS) + 1
 
 
+def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The partition of each key; equal ranges of keys, in order. `parts` is below 2 ** 32."""
+    return (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+
+
 def part_bounds(sorted_keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where in the sorted keys each of `parts` equal ranges of keys begins, and the end."""
-    lows = np.array([(k << 64) // parts for k in range(parts)], dtype=np.uint64)
-    return np.append(np.searchsorted(sorted_keys, lows), len(sorted_keys))
+    """Where in the sorted keys each partition that has some begins, and the end."""
+    part = parts_of(sorted_keys, parts)
+    edges = np.flatnonzero(part[1:] != part[:-1]) + 1
+    return np.concatenate(([0], edges, [len(part)])) if len(part) else np.zeros(1, dtype=np.int64)
 
 
 def questions(number: int, keys: np.ndarray, parts: int, pack: Callable[[slice], bytes]) -> list[tuple]:
-    bounds = part_bounds(keys, parts)
-    return [
-        (part, number, pack(slice(bounds[part], bounds[part + 1])))
-        for part in np.flatnonzero(np.diff(bounds)).tolist()
-    ]
+    bounds = part_bounds(keys, parts).tolist()
+    named = parts_of(keys[bounds[:-1]], parts).tolist()
+    return [(part, number, pack(slice(a, b))) for part, a, b in zip(named, bounds, bounds[1:])]
 
 
 def attach(blocks: DataFrame, answers: DataFrame | None) -> DataFrame:
@@ -215,6 +226,27 @@ def ask(blocks: DataFrame, answers: DataFrame | None, step: int, parts: int, que
     return written(asked.groupBy("part").applyInPandas(compare, ANSWER), label)
 
 
+def look_up(blocks: DataFrame, tables: DataFrame, step: int, parts: int, question, reply, label: str) -> DataFrame:
+    """Answers from stored tables (rows with block = MODEL): as `ask`, with `reply(keys, payload)` giving what a
+    partition's table, None if there is none, says of the keys that a block sent.
+    """
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                yield pd.DataFrame(question(Block(row), {}, parts), columns=["part", "block", "payload"])
+
+    def answer(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        table = stored["payload"].iloc[0] if len(stored) else None
+        told = [(r.block, step, r.part, reply(unpack_sorted(r.payload), table), None) for r in asked.itertuples(index=False)]
+        return pd.DataFrame(told, columns=["block", "step", "part", "payload", "stats"])
+
+    stored = tables.where((F.col("block") == MODEL) & (F.col("step") == step)).select("part", "payload")
+    # A partition's table meets all questions at once, and not each of them.
+    met = blocks.mapInPandas(send, QUESTION).groupBy("part").cogroup(stored.groupBy("part"))
+    return written(met.applyInPandas(answer, ANSWER), label)
+
+
 def summed(answers: DataFrame) -> list[float]:
     """The numbers that the partitions told, added up by place."""
     each = answers.where("stats is not null").select(F.posexplode("stats").alias("place", "number"))

@@ -7,25 +7,40 @@ from pyspark.sql import functions as F
 
 from prefspark.llm.common import drop_written, written
 
+#: A node with this share of the links or more is hot.
+HOT = 0.001
+
 
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, least: DataFrame, n_links: int) -> DataFrame:
+    """`rows` (a, b) with m, the least neighbour of a, from `least` (a, m, n), n being a's links.
+
+    A node with HOT of all links or more gets its m by broadcast, as there are at most 2 / HOT of these;
+    the other nodes, none of which is heavy, in a join by hash.
+    """
+    is_hot = F.col("n") >= max(HOT * n_links, 2)
+    met = rows.join(F.broadcast(least.where(is_hot).select("a", F.col("m").alias("hot"))), "a", "left")
+    rest = met.where("hot is null").select("a", "b").join(least.where(~is_hot).select("a", "m"), "a")
+    return met.where("hot is not null").select("a", "b", F.col("hot").alias("m")).unionByName(rest.select("a", "b", "m"))
+
+
+def _large_star(links: DataFrame, n_links: int) -> DataFrame:
     """Every node's larger neighbours are linked to its smallest neighbour or itself."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    joined = both.where("b > a").join(least, "a")
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    joined = _with_least(both.where("b > a"), least, n_links)
     return joined.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n_links: int) -> DataFrame:
     """Every node's smaller neighbours, and the node, are linked to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a")
-    moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b")))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    joined = _with_least(down, least, n_links)
+    moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
     return moved.where("a <> b").distinct()
 
 
@@ -34,13 +49,18 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small stars in turn, which keep components as they are and end in one star for each, in a
     number of rounds that grows with the logarithm of the nodes. A round is a few shuffles of two numbers
-    per link; stars are made by a minimum per node, combined before the shuffle, and by joins that
-    adaptive execution splits at hot nodes. No component is ever brought together.
+    per link; stars are made by a minimum per node, combined before the shuffle, and by joins in which hot
+    nodes are met apart. No component is ever brought together.
+
+    Repeated links, links in both directions and links of a node to itself do not matter; a node that has
+    none but to itself is in no link and gets no row. No links give no rows.
     """
     links = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     state = _state(links)
     while state[0]:
-        after = written(_small_star(_large_star(links)), "links")
+        large = written(_large_star(links, state[0]), "links")
+        after = written(_small_star(large, state[0]), "links")
+        drop_written(large)
         drop_written(links)
         links, before, state = after, state, _state(after)
         if state == before:

@@ -460,7 +460,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, doc_id_col="doc_id",
     so that reruns agree. Rows without an id are one document.
     """
     number, text = F.col(doc_id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("__row", F.when(number.isNotNull(), F.xxhash64(number, text)))
-    found = leaks(keyed, benchmark, doc_id_col="__row", text_col=text_col, **options)
-    held = written(found.select(F.col("doc_id").alias("__leaking")).distinct(), "leaking")
-    return keyed.join(held, F.col("__row").eqNullSafe(F.col("__leaking")), "left_anti").drop("__row")
+    row = F.when(number.isNotNull(), F.xxhash64(number, text)).alias("row")
+    keyed = docs.select(F.struct("*").alias("doc"), row, text.alias(text_col))
+    found = leaks(keyed.select("row", text_col), benchmark, doc_id_col="row", text_col=text_col, **options)
+    held = written(found.select(F.col("doc_id").alias("leaking")).distinct(), "leaking")
+    return keyed.join(held, F.col("row").eqNullSafe(F.col("leaking")), "left_anti").select("doc.*")

@@ -11,6 +11,11 @@ compared with all those of other components, so that the components are those of
 buckets are dealt to several tasks, one for each two shares of the members.
 
 A set is named by a 64-bit hash of its shingles' hashes; equal sets are one throughout.
+
+Defined results
+* Sets without shingles are all equal, and so one set; they are linked with no other.
+* Repeated sets and candidates do not matter; a set without links has no row among the components.
+* No sets give no links. Columns other than those named are not read.
 """
 
 from __future__ import annotations

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.llm.blocks import (
-    NO_ID, Block, answers_by_step, ask, attach, joined_names, make_blocks, pack_small, pack_sorted, part_bounds,
+    MODEL, NO_ID, Block, answers_by_step, ask, attach, joined_names, look_up, make_blocks, pack_small, pack_sorted, part_bounds,
     partitions_for, questions, summed, unpack_small, unpack_sorted,
 )
 
@@ -38,7 +38,6 @@ ORDER = 2
 #: Counts up to this are discounted.
 K = 5
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-MODEL = -1
 _BEGIN, _END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0x27D4EB2F165667C5)
 
 
@@ -221,6 +220,40 @@ def _context_reply(payloads: list[bytes], bounds: np.ndarray) -> np.ndarray:
     return np.concatenate(parts, axis=1) if parts else np.zeros((2, 0))
 
 
+def _keys(block: Block, names: np.ndarray, parts: int) -> list[tuple]:
+    return questions(block.number, names, parts, lambda s: pack_sorted(names[s]))
+
+
+def _found(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the keys stand in a sorted table, and whether they do."""
+    if not len(table):
+        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return place, table[place] == keys
+
+
+def _told_counts(keys: np.ndarray, model: bytes | None, owners: bool = False) -> bytes:
+    raw = model or b""
+    n = len(raw) // 12
+    place, there = _found(keys, unpack_sorted(raw[: 8 * n]) if n else np.zeros(0, dtype=np.uint64))
+    counts = np.where(there, unpack_small(raw[8 * n :])[place], 0) if n else np.zeros(len(keys), dtype=np.int64)
+    return pack_small(counts) + (np.packbits(there).tobytes() if owners else b"")
+
+
+def _told_grams(keys: np.ndarray, model: bytes | None) -> bytes:
+    return _told_counts(keys, model, owners=True)
+
+
+def _told_weights(keys: np.ndarray, model: bytes | None) -> bytes:
+    raw = model or b""
+    n = len(raw) // 24
+    if not n:
+        return np.ones(2 * len(keys)).tobytes()
+    place, there = _found(keys, unpack_sorted(raw[: 8 * n]))
+    alpha, norm = np.frombuffer(raw[8 * n :]).reshape(2, n)
+    return np.where(there, alpha[place], 1.0).tobytes() + np.where(there, norm[place], 1.0).tobytes()
+
+
 @dataclass
 class KatzModel:
     """A trained model with the blocks it was trained on.
@@ -237,7 +270,36 @@ class KatzModel:
     texts: int
 
     def score(self) -> DataFrame:
-        """Scores of all texts of the blocks, held out or not."""
+        """Scores of all texts of the blocks, held out or not, by what the blocks were told in training."""
+        return self._scored(self.blocks, self.tables)
+
+    def score_texts(self, docs: DataFrame, *, held_out: Column | None = None, id_col="doc_id", text_col="text") -> DataFrame:
+        """Scores of any texts, by the stored tables: each order's counts, and the weights of histories, are
+        looked up by key. A key that no table has counts zero, and its history leaves the lower order as
+        it is."""
+        parts, texts = self.parts, self.texts
+        blocks = make_blocks(docs, lower=True, flag=held_out, id_col=id_col, text_col=text_col)
+
+        def words_of(block: Block, replies, parts: int) -> list[tuple]:
+            return _keys(block, Scorer(block, replies, parts, texts).words()[0], parts)
+
+        answers = look_up(blocks, self.tables, 0, parts, words_of, _told_counts, "katz-scored-words")
+        for n in range(2, len(self.levels) + 2):
+
+            def grams_of(block: Block, replies, parts: int, n=n) -> list[tuple]:
+                return _keys(block, Scorer(block, replies, parts, texts).grams(n)[2], parts)
+
+            def histories_of(block: Block, replies, parts: int, n=n) -> list[tuple]:
+                scorer = Scorer(block, replies, parts, texts)
+                history, there = scorer.histories(n)
+                return _keys(block, np.unique(history[there]), parts)
+
+            for step, question, reply in ((2 * n - 3, grams_of, _told_grams), (2 * n - 2, histories_of, _told_weights)):
+                told = look_up(blocks, self.tables, step, parts, question, reply, f"katz-scored-{step}")
+                answers = answers.unionByName(told)
+        return self._scored(blocks, answers)
+
+    def _scored(self, blocks: DataFrame, tables: DataFrame) -> DataFrame:
         parts, texts, unigrams, levels = self.parts, self.texts, self.unigrams, self.levels
 
         def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,7 +318,7 @@ class KatzModel:
                         "score": add(np.log10(scorer.probabilities(unigrams, levels))),
                     })
 
-        return attach(self.blocks, self.tables).mapInPandas(finish, RESULT)
+        return attach(blocks, tables).mapInPandas(finish, RESULT)
 
 
 def train(docs: DataFrame, *, held_out: Column, order=ORDER, id_col="doc_id", text_col="text") -> KatzModel:

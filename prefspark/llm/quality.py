@@ -109,15 +109,23 @@ class QualityModel:
     weights: tuple[float, ...]
     prior: float
 
-    def score(self, docs: DataFrame, *, text_col="text", name="score") -> DataFrame:
-        """The documents with their score: the probability of being good."""
+    def _scores(self, text: Column) -> Column:
         weights = np.array(self.weights)
 
         def of(texts: pd.Series) -> pd.Series:
             g = np.array([features(t) @ weights for t in texts], dtype=float)
             return pd.Series(_logistic(g))
 
-        return docs.select(*without(docs, name), F.pandas_udf(of, "double")(F.col(text_col)).alias(name))
+        return F.pandas_udf(of, "double")(text)
+
+    def score(self, docs: DataFrame, *, text_col="text", name="score") -> DataFrame:
+        """The documents with their score: the probability of being good."""
+        return docs.select(*without(docs, name), self._scores(F.col(text_col)).alias(name))
+
+    def accepted(self, docs: DataFrame, *, text_col="text", least=0.5) -> DataFrame:
+        """The documents whose score is at least `least`, with their own columns alone."""
+        scored = docs.select(F.struct("*").alias("doc"), self._scores(F.col(text_col)).alias("score"))
+        return scored.where(F.col("score") >= least).select("doc.*")
 
 
 def fit(

@@ -257,7 +257,7 @@ def near_dedup(
     repeat the smallest id within a component, one stays.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__text": F.xxhash64(text)})
+    keyed = docs.select(F.struct("*").alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("t"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,15 +272,15 @@ def near_dedup(
             columns += [pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "text", "set", "simhash", "bands"])
 
-    marked = keyed.select("__id", "__text", text.alias("t")).mapInArrow(mark, "id long, text long, set long, simhash long, bands array<long>")
+    marked = keyed.select("id", "key", "t").mapInArrow(mark, "id long, text long, set long, simhash long, bands array<long>")
     marks = written(marked, "near-marks")
     least = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text"))).alias("least")
     grouped = marks.groupBy("set").agg(least, F.min("text").alias("text"), F.min("simhash").alias("simhash"), F.first("bands").alias("bands"))
     distinct = written(grouped, "near-distinct")
 
     def sets_of(needed: DataFrame) -> DataFrame:
-        wanted = distinct.join(needed, "set").select("set", F.col("text").alias("__text"))
-        texts = keyed.select("__text", text.alias("t")).join(wanted, "__text").select("set", "t").dropDuplicates(["set"])
+        wanted = distinct.join(needed, "set").select("set", F.col("text").alias("key"))
+        texts = keyed.select("key", "t").join(wanted, "key").select("set", "t").dropDuplicates(["set"])
 
         def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -298,6 +298,6 @@ def near_dedup(
     labels = jaccard.linked_components(distinct.select("set", "bands"), more, sets_of, similarity)
     labelled = distinct.join(labels, distinct["set"] == labels["node"], "left").select(F.coalesce("label", "set").alias("label"), "least")
     firsts = labelled.groupBy("label").agg(F.min("least").alias("least")).where("least is not null")
-    kept = written(firsts.select(F.col("least.id").alias("__id"), F.col("least.text").alias("__text")), "simhash-kept")
-    unique = keyed.join(kept, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"])
-    return unique.unionByName(keyed.where("__id is null")).drop("__id", "__text")
+    kept = written(firsts.select(F.col("least.id").alias("id"), F.col("least.text").alias("key")), "simhash-kept")
+    unique = keyed.join(kept, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
+    return unique.unionByName(keyed.where("id is null")).select("doc.*")

@@ -169,8 +169,9 @@ def write_token_files(
     if files is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         files = int(size // PARTITION_BYTES) + 1
-    order = F.col("id").asc_nulls_first()
-    sorted_rows = rows.repartitionByRange(files, order).sortWithinPartitions(order)
+    # Rows that share an id, or have none, are spread by their texts.
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc()]
+    sorted_rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     # Ids travel as text: a column of numbers with nulls would reach pandas as floats.
     sorted_rows = sorted_rows.select(F.col("id").cast("string").alias("id"), "text")
 
