@@ -1,9 +1,16 @@
-"""The corpus pipeline: five stages over `documents`, each written and read again before the next."""
+"""The corpus pipeline: five stages over `documents`, each written and read again before the next.
+
+Defined results of the stages, beyond those of their operators
+* Null and empty texts are scored and compared like others; a document that is kept keeps all its columns.
+* Rows that repeat an id and a text are one document from the second stage on; rows that repeat an id alone
+  are documents of their own, and rows without an id stay, if their texts do.
+* Without documents every stage gives none. Further columns, whatever their names, are carried as they are,
+  but for the columns that the last stage adds, which replace those of their names.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from prefspark.llm import decontamination, mixing, quality, sharding, simhash
 from prefspark.llm.common import table, written
@@ -15,8 +22,7 @@ NEAR_SHINGLE, NEAR_BITS, NEAR_SIMILARITY = 5, 7, 0.8
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from all labels, accepts."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return model.score(docs, name="__score").where(F.col("__score") >= 0.5).drop("__score")
+    return quality.fit(docs, table(spark, sf_dir, "labels")).accepted(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
