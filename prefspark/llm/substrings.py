@@ -9,9 +9,13 @@ symbol the span of words that its making looked at is kept.
 
 Spark rounds, one for the words and one per level, count the symbols globally. A symbol that occurs
 once shows that no window around its span repeats; so a round leaves alive only windows all of whose
-interior symbols are shared, and the next round names symbols of living windows alone. The windows
-alive at the end are compared by 128-bit names and the earliest of each is found. The rounds only leave
-out windows that cannot repeat, so the result is that of comparing all windows.
+interior symbols are shared, and the next round names symbols of living windows alone.
+
+A living window is then known by the symbols of the last level that lie within it and by where they start:
+equal windows have the same ones, wherever they stand. Windows that agree in these are repeats if their
+words do, which is verified by a second name, of the words that the symbols expand to and those beside them.
+A window that holds no symbol of the last level whole is known by its words. The earliest of equal windows
+stays. A round leaves out windows alone that cannot repeat, so the result is that of comparing all windows.
 
 Defined results
 * A null or empty text has no words and nothing is removed. A text shorter than the window is kept.
@@ -37,18 +41,22 @@ LEVELS = 2
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:long,end:long>>"
 _FAR = 1 << 40
 _ALL = (1 << 64) - 1
+#: An odd number and its inverse modulo 2 ** 64.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 class Symbols:
-    """The symbols of a block at one level: name, document, and the span of words each depends on."""
+    """The symbols of a block at one level: name, document, the span of words each depends on, and the word
+    that each starts with."""
 
-    def __init__(self, name, document, low, high):
-        self.name, self.document, self.low, self.high = name, document, low, high
+    def __init__(self, name, document, low, high, start):
+        self.name, self.document, self.low, self.high, self.start = name, document, low, high, start
 
     @classmethod
     def words(cls, block: Block) -> Symbols:
         place = np.arange(len(block.tokens), dtype=np.int64)
-        return cls(block.names, block.document, place, place + 1)
+        return cls(block.names, block.document, place, place + 1, place)
 
     def _beside(self) -> tuple[np.ndarray, np.ndarray]:
         """Where the left and the right neighbour's spans end; far away at the ends of a document."""
@@ -69,7 +77,7 @@ class Symbols:
         run = length > 1
         name[run] = joined_names(name[run], length[run].astype(np.uint64), 4 * level)
         low, high = self._beside()
-        return Symbols(name, self.document[at], low[at], high[last])
+        return Symbols(name, self.document[at], low[at], high[last], self.start[at])
 
     def pairs(self, level: int) -> Symbols:
         n = len(self.name)
@@ -85,7 +93,7 @@ class Symbols:
         at = np.flatnonzero(opens)
         low[at], high[at] = self.low[at], self.high[at + 1]
         name[at] = joined_names(self.name[at], self.name[at + 1], 4 * level + 3)
-        return Symbols(name[kept], self.document[kept], low[kept], high[kept])
+        return Symbols(name[kept], self.document[kept], low[kept], high[kept], self.start[kept])
 
     def next_level(self, level: int) -> Symbols:
         return self.runs(level).pairs(level)
@@ -106,8 +114,6 @@ class Windows:
             starts = np.arange(n - window + 1)
             self.alive[: n - window + 1] = block.document[starts] == block.document[starts + window - 1]
         self.symbols = Symbols.words(block)
-        if begun == done > levels:
-            return
         for step in range(done):
             if step >= begun:
                 self.cull(replies.get(step, []))
@@ -143,13 +149,29 @@ class Windows:
         depth = np.bincount(low, minlength=n + 1) - np.bincount(high, minlength=n + 1)
         self.alive &= np.cumsum(depth)[:n] == 0
 
+    def symbol_names(self, starts: np.ndarray) -> np.ndarray:
+        """A name of each window from the symbols within it and their places in it."""
+        by_words = window_names(self.block.names, starts, self.window, 0x9E6C63D0676A9A99)
+        s = self.symbols
+        fits = np.flatnonzero(s.high - s.low <= self.window)
+        if not len(fits) or not len(starts):
+            return by_words
+        # Spans of these grow along the block, so those within a window follow each other.
+        first, end = np.searchsorted(s.low[fits], starts), np.searchsorted(s.high[fits], starts + self.window, side="right")
+        power = np.cumprod(np.full(len(self.alive) + 1, _BASE), dtype=np.uint64)
+        back = np.cumprod(np.full(len(self.alive) + 1, _BASE_BACK), dtype=np.uint64)
+        placed = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mixed(s.name[fits], 91) * power[s.start[fits]], dtype=np.uint64)))
+        # As a polynomial whose powers are places within the window.
+        inside = (placed[np.maximum(end, first)] - placed[first]) * back[starts]
+        return np.where(end > first, mixed(inside, 93), by_words)
+
     def candidates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Living windows: their starts, two names each, and the first of those with equal names.
 
         In the order of the names; of equal names the first is the earliest text and place.
         """
         starts = np.flatnonzero(self.alive)
-        one = window_names(self.block.names, starts, self.window, 0x9E6C63D0676A9A99)
+        one = self.symbol_names(starts)
         two = window_names(self.block.names, starts, self.window, 0xB5026F5AA96619E9)
         owner = self.block.ids[self.block.document[starts]]
         order = np.argsort(one, kind="stable")

@@ -68,3 +68,57 @@ def test_sorted_keys_round_trip():
     keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
     assert np.array_equal(blocks.unpack_sorted(blocks.pack_sorted(keys)), keys)
     assert len(blocks.unpack_sorted(blocks.pack_sorted(keys[:0]))) == 0
+
+
+def block_of(texts):
+    from types import SimpleNamespace
+
+    number, tokens, lengths = {}, [], []
+    for text in texts:
+        w = [x.encode() for x in words(text)]
+        lengths.append(len(w))
+        tokens += [number.setdefault(x, len(number)) for x in w]
+    row = SimpleNamespace(
+        block=0, ids=np.arange(len(texts), dtype=np.int64).tobytes(), flags=bytes(len(texts)),
+        lengths=np.array(lengths, dtype=np.uint32).tobytes(), tokens=blocks.pack_small(np.array(tokens)), vocabulary=b" ".join(number),
+    )
+    return blocks.Block(row)
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_equal_windows_have_equal_symbols_wherever_they_stand(levels):
+    """And most windows are known by symbols that span several words, not by their words."""
+    rng = random.Random(4)
+    text = lambda n: [f"w{rng.randrange(60)}" for _ in range(n)]
+    passage, runs = text(45), ["same"] * 9 + text(6) + ["other"] * 4 + text(20)
+    docs = [" ".join(text(rng.randrange(0, 70)) + inner + text(rng.randrange(0, 70))) for inner in (passage, passage, runs, passage, runs, [])]
+    block = block_of(docs)
+    found = substrings.Windows(block, {}, 0, 1, 20, levels)
+    for level in range(levels):
+        found.symbols = found.symbols.next_level(level + 1)
+    starts = np.flatnonzero(found.alive)
+    names = found.symbol_names(starts).tolist()
+    by_words = substrings.window_names(block.names, starts, 20, 0x9E6C63D0676A9A99).tolist()
+    of = {}
+    for start, name in zip(starts.tolist(), names):
+        of.setdefault(tuple(block.tokens[start : start + 20].tolist()), set()).add(name)
+    assert all(len(n) == 1 for n in of.values()) and len(of) < len(starts) - 2 * 20
+    by_symbols = sum(a != b for a, b in zip(names, by_words)) / len(names)
+    assert by_symbols > (0.9 if levels < 3 else 0.2)
+
+
+def test_windows_with_the_same_symbols_and_other_words_are_told_apart(monkeypatch):
+    """Were all symbols' names the same, the words would still decide, here and where blocks are compared."""
+    block = block_of([" ".join(f"w{(k * j) % 23}" for j in range(60)) for k in range(8)])
+    monkeypatch.setattr(substrings.Windows, "symbol_names", lambda self, starts: np.full(len(starts), 7, dtype=np.uint64))
+    starts, one, two, first = substrings.Windows(block, {}, 0, 1, 20, 0).candidates()
+    seen = set()
+    for start in sorted(starts[first].tolist()):
+        seen.add(tuple(block.tokens[start : start + 20].tolist()))
+    assert len(seen) == first.sum() == len({tuple(block.tokens[s : s + 20].tolist()) for s in starts.tolist()})
+    at = np.argsort(two[first], kind="stable")
+    owner, where = block.ids[block.document[starts[first]]], starts[first].astype(np.uint32)
+    payload = blocks.pack_sorted(one[first]) + two[first][at].tobytes() + owner[at].tobytes() + where[at].tobytes()
+    (_, mine, _), (_, other, _) = substrings._later(np.array([0, 1]), [payload, payload])
+    n = int(first.sum())
+    assert not np.unpackbits(np.frombuffer(mine, np.uint8), count=n).any() and np.unpackbits(np.frombuffer(other, np.uint8), count=n).all()
