@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefspark.session import new_workdir
+from prefspark.sources.tables import drop_table
 
 #: A word is a run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +19,10 @@ BLANKS = b" \t\n\x0b\x0c\r"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: The folders made within the blocks of `tables_dropped`, the innermost last.
+_MADE: list[list[str]] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,10 +47,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     This cuts the lineage: work above it is done once, and a lost executor costs only its own tasks.
     """
     spark = df.sparkSession
-    path = new_workdir(spark, label) + "/table"
+    folder = new_workdir(spark, label)
+    for made in _MADE[-1:]:
+        made.append(folder)
     with shuffle_files_dropped(spark):
-        df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        df.write.option("compression", "zstd").parquet(f"{folder}/table")
+    return spark.read.schema(df.schema).parquet(f"{folder}/table")
+
+
+@contextlib.contextmanager
+def tables_dropped(spark: SparkSession) -> Iterator[list[str]]:
+    """Drops the tables that `written` makes within this block, at its end.
+
+    Their folders are in the list it gives; those that are taken out of it stay.
+    """
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.remove(made)
+        for folder in made:
+            drop_table(spark, folder)
 
 
 def drop_written(df: DataFrame) -> None:

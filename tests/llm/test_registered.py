@@ -15,7 +15,8 @@ from test_substrings import brute
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from prefspark.llm import katz, queries
+from prefspark.llm import common, katz, queries
+from prefspark.sources.tables import exists
 
 
 def crc(number, n):
@@ -120,3 +121,18 @@ def test_new_documents_are_scored_from_the_tables(spark, documents, texts):
             mine = [*words(texts[r.doc_id].translate(LOWER)), "</s>"]
             assert r.n_tokens == len(mine) and r.score == pytest.approx(plain_model.score(mine), rel=1e-6)
         assert model.score_texts(documents.limit(0)).count() == 0
+
+
+def test_a_run_leaves_its_result_alone(spark, monkeypatch):
+    made = []
+    folder = common.new_workdir
+    monkeypatch.setattr(common, "new_workdir", lambda *args: made.append(folder(*args)) or made[-1])
+    result = corpus_pipeline.run(spark, SF_DIR)
+    n = result.count()
+    kept = [path for path in made if exists(spark, path)]
+    assert n > 0 and len(made) > 20 and kept == [path for path in made if "pipeline-sharding" in path]
+    assert result.count() == n
+    with pytest.raises(ZeroDivisionError), common.tables_dropped(spark):
+        common.written(spark.range(3), "gone")
+        raise ZeroDivisionError
+    assert not exists(spark, made[-1]) and not common._MADE
