@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from prefspark.llm import decontamination, mixing, quality, sharding, simhash
-from prefspark.llm.common import table, written
+from prefspark.llm.common import table, tables_dropped, written
+from prefspark.sources.tables import drop_table
 
 #: Near copies share five-word shingles to a Jaccard similarity of at least 0.8, which is confirmed by the
 #: shingles; fingerprints within 7 bits are candidates beside those of the MinHash bands.
@@ -58,7 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's documents. A stage's own tables go when it is written, and its input with them."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with tables_dropped(spark) as made:
+            after = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            result = made.pop()  # the folder made last
+        if before is not None:
+            drop_table(spark, before)
+        docs, before = after, result
     return docs
