@@ -15,10 +15,13 @@ from prefspark.operators.sampling import sample_fraction
 
 
 def project_instruction(df: DataFrame, id_col: str = "record_id", text_col: str = "instruction") -> DataFrame:
-    """Id and instruction alone; a dataset without the column yields nulls."""
+    """Id and instruction alone, and the place in the input (`seq`) where there is one; a dataset without the
+    column yields nulls."""
     text = F.col(text_col) if text_col in df.columns else F.lit(None)
     return df.select(
-        F.col(id_col).cast("string").alias("record_id"), text.cast("string").alias("instruction")
+        F.col(id_col).cast("string").alias("record_id"),
+        text.cast("string").alias("instruction"),
+        *[F.col(name).cast("long") for name in df.columns if name == "seq"],
     )
 
 

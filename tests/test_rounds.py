@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import json
 import os
 import shutil
 import sys
@@ -22,6 +23,7 @@ from prefspark.plans.preparation import first_responses, sample_instructions
 from prefspark.plans.rounds import Run, conservation, refine_rounds, score_and_route
 from prefspark.schemas import CACHE, PAIRS
 from prefspark.sources import tables
+from prefspark.sources.imports import import_instructions
 
 SF_DIR = f"{TESTDATA}/sf0.01"
 
@@ -388,6 +390,25 @@ def test_finalize_writes_four_datasets(spark, pairs, tmp_path, fmt):
         Run(spark, run.workdir, 0).left
 
 
+def test_final_files_are_in_the_order_of_the_input(spark, tmp_path):
+    """From numbered lines through a sample, first responses and rounds to files in input order."""
+    lines = str(tmp_path / "in.jsonl")
+    with open(lines, "w") as file:
+        file.writelines(json.dumps({"instruction": f"text {k} " * (1 + k % 9)}) + "\n" for k in range(300))
+    data = import_instructions(spark, spark.read.schema("instruction string").json(lines), str(tmp_path / "data"))
+    first = first_responses(sample_instructions(data, 0.5), StandIn())
+    assert "seq" in first.columns
+    run = refine_rounds(spark, first, StandIn(), gamma=0.5, parts=3, cache=cache_of(spark, ("1", "none", "r", 0)))
+    path = str(tmp_path / "final")
+    assert finalize(spark, run.workdir, run.rounds_done, path, "json", in_order=True).count() == 300
+    found = set()
+    for folder, _, names in os.walk(path):
+        rows = [json.loads(line) for name in sorted(names) if name.endswith(".json") for line in open(os.path.join(folder, name))]
+        assert [r["seq"] for r in rows] == sorted(r["seq"] for r in rows)
+        found |= {r["seq"] for r in rows}
+    assert len(found) == 150 and all(r.instruction == f"text {r.seq} " * (1 + r.seq % 9) for r in run.routed.filter("round = 0").collect())
+
+
 def test_fewer_rounds_can_be_finalized(spark, pairs):
     run = refine_rounds(spark, pairs, StandIn(), gamma=0.4)
     earlier = Run(spark, run.workdir, 1)
