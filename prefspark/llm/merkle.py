@@ -170,8 +170,10 @@ def build(
     inner = butterfly(parts.select("tree", "place", "digest"), fanout)
     tops = inner.where("place = 0").select("tree", "digest")
     named = numbered(tops, [F.col("tree").asc()], new_workdir(docs.sparkSession, "merkle-trees"), name="place")
-    outer = butterfly(named.select(F.lit("").alias("tree"), "place", "digest"), fanout)
-    whole = named.select("tree", "place").join(
+    # Written, so that the one tree they make is a value like others to the joins on it.
+    roots = written(named.select(F.lit("").alias("tree"), "place", "digest", F.col("tree").alias("of")), "merkle-subroots")
+    outer = butterfly(roots.select("tree", "place", "digest"), fanout)
+    whole = roots.select(F.col("of").alias("tree"), "place").join(
         outer.select("place", F.col("digest").alias("root"), F.col("path").alias("above")), "place"
     )
     paths = inner.select("tree", "place", F.col("digest").alias("subroot"), "path").join(whole.drop("place"), "tree")
