@@ -367,6 +367,18 @@ def test_scoring_budgets_in_rounds(spark):
     assert {r.score_over_budget for r in none.routed.collect()} == {None}
 
 
+def test_rounds_with_budgets_in_tokens(spark, pairs, tmp_path):
+    options = dict(gamma=0.5, max_rounds=2, max_units=12, score_units=30, measure="tokens")
+    runs = [refine_rounds(spark, pairs, b, **options) for b in (StandIn(), WorkerBackend(StandInModel, name="stand-in"))]
+    assert rows(runs[0].routed) == rows(runs[1].routed) and rows(runs[0].refine_log) == rows(runs[1].refine_log)
+    assert any(any(r.score_over_budget or []) for r in runs[0].routed.collect())
+    assert {r.over_budget for r in runs[0].refine_log.collect()} == {True}
+    workdir = str(tmp_path / "run")
+    refine_rounds(spark, pairs, StandIn(), workdir=workdir, **options)
+    with pytest.raises(ValueError, match="other settings"):
+        refine_rounds(spark, pairs, StandIn(), workdir=workdir, resume=True, **options | {"measure": "units"})
+
+
 def test_a_run_is_not_resumed_with_another_scoring_budget(spark, pairs, tmp_path):
     workdir = str(tmp_path / "run")
     refine_rounds(spark, pairs, StandIn(), gamma=0.9, workdir=workdir, max_rounds=1, score_units=50)
