@@ -8,7 +8,8 @@ threshold.
 First, members of a bucket are compared with its smallest and its largest set, which connects most of a
 crowd without its pairs. What is then still apart in a bucket is brought together, and each set is
 compared with all those of other components, so that the components are those of all links. Crowded
-buckets are dealt to several tasks, one for each two shares of the members.
+buckets are cut by the sizes of sets, as similar ones have similar sizes, and what is still crowded is
+dealt to several tasks, one for each two shares of the members.
 
 A set is named by a 64-bit hash of its shingles' hashes; equal sets are one throughout.
 
@@ -121,18 +122,37 @@ def _across(names: np.ndarray, labels: np.ndarray, shares: np.ndarray, sets: lis
     return found
 
 
+def _by_size(labelled: DataFrame, sets: DataFrame, similarity: float, crowd: int) -> DataFrame:
+    """The members (key, set, label) of buckets that are still apart, with `size`, a part of a crowded bucket.
+
+    Sets that reach the similarity differ in size by that factor at most. So in a crowded bucket a set
+    meets those of its class of sizes and of the next one alone; other buckets are one part.
+    """
+    buckets = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    open_ones = buckets.where("low <> high").select("key", (F.col("n") > crowd).alias("crowded"))
+    rows = written(labelled.join(open_ones, "key"), "near-open")
+    few = rows.where(~F.col("crowded")).select("key", "set", "label", F.lit(0).cast("long").alias("size"))
+    # A class is a little wider than the factor, as logarithms are rounded.
+    width = float(np.log(1 / similarity) * (1 + 1e-6)) if similarity < 1 else 1e-9
+    size = F.floor(F.log(F.col("n")) / F.lit(width))
+    many = rows.where("crowded").join(sets.select("set", "n"), "set")
+    return few.unionByName(many.select("key", "set", "label", F.explode(F.array(size, size + 1)).alias("size")))
+
+
 def _apart(members: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, crowd: int) -> DataFrame:
     """Links (a, b) between members (key, set) of one bucket that `labels` has in different components."""
     labelled = members.join(labels, members["set"] == labels["node"], "left").select(
         "key", "set", F.coalesce("label", "set").alias("label")
     )
     labelled = written(labelled, "near-labelled")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-    mixed = mixed.where("low <> high").select("key", F.ceil(F.col("n") / crowd).cast("int").alias("shares"))
+    parts = _by_size(labelled, sets, similarity, crowd)
+    mixed = parts.groupBy("key", "size").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    mixed = mixed.where("low <> high").select("key", "size", F.ceil(F.col("n") / crowd).cast("int").alias("shares"))
     share = F.pmod(F.xxhash64("set"), F.col("shares")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("other")
-    dealt = labelled.join(mixed, "key").withColumn("share", share).select("key", "set", "label", "share", other)
-    dealt = dealt.select("key", F.least("share", "other").alias("i"), F.greatest("share", "other").alias("j"), "set", "label", "share")
+    dealt = parts.join(mixed, ["key", "size"]).withColumn("share", share).select("key", "size", "set", "label", "share", other)
+    key = F.xxhash64("key", "size").alias("key")
+    dealt = dealt.select(key, F.least("share", "other").alias("i"), F.greatest("share", "other").alias("j"), "set", "label", "share")
     full = dealt.join(sets.select("set", "shingles"), "set").select("key", "i", "j", "set", "label", "share", "shingles")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
