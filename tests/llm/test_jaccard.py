@@ -91,29 +91,6 @@ def test_crowd_of_near_copies(spark, monkeypatch):
     assert kept(spark, texts) == want
 
 
-@pytest.mark.parametrize("crowd", [2, 7])
-def test_crowds_of_texts_of_many_sizes(spark, monkeypatch, crowd):
-    """Texts that grow word by word, so that each is similar to those a little shorter and longer."""
-    rng = random.Random(6)
-    base = [f"w{k}" for k in range(400)]
-    texts = {k: " ".join(changed(rng, base[: 20 + 5 * k], rng.randrange(0, 3)) if k % 3 else base[: 20 + 5 * k]) for k in range(70)}
-    want = brute_kept(texts)
-    found = simhash.jaccard.linked_components
-    monkeypatch.setattr(simhash.jaccard, "linked_components", lambda *a: found(*a, crowd=crowd))
-    assert kept(spark, texts) == want
-
-
-def test_members_of_a_crowd_meet_those_of_similar_size_alone(spark):
-    sizes = {k: 10 + 7 * k for k in range(60)}
-    sets = spark.createDataFrame([(k, n, b"") for k, n in sizes.items()], "set long, n int, shingles binary")
-    members = spark.createDataFrame([(1, k, k) for k in sizes], "key long, set long, label long")
-    parts = jaccard._by_size(members, sets, 0.8, 20).collect()
-    met = {(a.set, b.set) for a in parts for b in parts if a.size == b.size}
-    close = {(a, b) for a in sizes for b in sizes if min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b])}
-    assert close <= met and len(met) < 0.6 * len(sizes) ** 2
-    assert {r.size for r in jaccard._by_size(members, sets, 0.8, 60).collect()} == {0}
-
-
 def test_exactly_at_the_threshold():
     whole = np.arange(5, dtype=np.uint64)
     assert jaccard.similarity_of(whole, whole[:4]) >= 0.8
