@@ -7,11 +7,11 @@ import sys
 import types
 import uuid
 from collections import deque
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from typing import Any, Protocol, Tuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,8 +42,20 @@ class WorkerModel(Protocol):
 Outcome = Tuple[Any, str | None]
 Ask = Callable[[list], list[Outcome]]
 
-#: Arrow batches that may wait for the slowest call of the first of them.
+#: Pieces of Arrow batches that may wait for the slowest call of the first of them.
 AHEAD = 4
+#: Bytes of such a piece, which is as much as becomes Python objects at a time. Spark's batches have rows by
+#: the thousand, whatever their size.
+PIECE_BYTES = 4 << 20
+#: Characters of text whose token ends are held together; a longer text alone.
+PORTION = 1 << 20
+
+_TEXT = pa.string()
+_SCORES = pa.list_(pa.float64())
+_GENERATED = pa.struct([("texts", pa.list_(_TEXT)), ("error", _TEXT)])
+_REPLY = pa.struct([("text", _TEXT), ("error", _TEXT)])
+_CUTS = pa.list_(pa.struct([("n", pa.int32()), ("cut", pa.int32())]))
+_WITHIN = pa.list_(pa.struct([("score", pa.float64()), ("cut", pa.bool_())]))
 
 
 def _outcomes(run: Callable[[list], list], items: list) -> list[Outcome]:
@@ -76,8 +88,31 @@ def _until(run: Callable[[list, int], list], items: list, attempts: int, settled
     return outcomes
 
 
+def _pieces(batches: Iterable[Tuple[pa.Array, ...]]) -> Iterator[list[list]]:
+    """The columns of Arrow batches as Python lists, a piece of the rows after another."""
+    for columns in batches:
+        n, size = len(columns[0]), sum(column.nbytes for column in columns)
+        step = max(1, n * PIECE_BYTES // max(1, size))
+        for first in range(0, n, step):
+            yield [column.slice(first, step).to_pylist() for column in columns]
+
+
+def _portions(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts of PORTION characters together, or one longer text."""
+    portion: list[str] = []
+    size = 0
+    for text in texts:
+        if portion and size + len(text) > PORTION:
+            yield portion
+            portion, size = [], 0
+        portion.append(text)
+        size += len(text)
+    if portion:
+        yield portion
+
+
 class _Waiting:
-    """An Arrow batch whose calls are under way."""
+    """A piece of an Arrow batch whose calls are under way."""
 
     def __init__(self, batch: Any, n_items: int):
         self.batch = batch
@@ -101,7 +136,7 @@ def _in_flight(
 
     Items of similar length share a call, so padding stays small; a null item is not asked about. Calls of
     later batches go on while one of an earlier batch is slow: there are always up to `threads` of them,
-    none waits in a queue, and at most AHEAD batches are held.
+    none waits in a queue, and at most AHEAD batches are held. The batches here are pieces of bounded size.
     """
     with ThreadPoolExecutor(max_workers=threads) as pool:
         waiting: deque[_Waiting] = deque()
@@ -137,6 +172,54 @@ def _cut(length: int, ends: Sequence[int], most: int, keep: str) -> dict[str, in
     return {"n": n, "cut": int(kept)}
 
 
+def _cuts_of(model: WorkerModel, budgets: Mapping[str, set[int]], keep: str) -> dict[tuple[str, int], dict[str, int]]:
+    """`_cut` by text and budget. A text is encoded once, and its token ends go when its cuts are known."""
+    cuts = {}
+    for texts in _portions(budgets):
+        for text, ends in zip(texts, model.token_ends(texts), strict=True):
+            for most in budgets[text]:
+                cuts[text, most] = _cut(len(text), ends, most, keep)
+    return cuts
+
+
+def _asked_for(pairs: Iterable[tuple[str | None, int]]) -> dict[str, set[int]]:
+    """The budgets of each text."""
+    budgets: dict[str, set[int]] = {}
+    for text, most in pairs:
+        if text is not None:
+            budgets.setdefault(text, set()).add(most)
+    return budgets
+
+
+def _tail(text: str, cut: int) -> str:
+    return text[len(text) - cut :]
+
+
+def _tails(
+    model: WorkerModel, asked: list[str | None], lists: list[list[str | None] | None], most: int
+) -> Iterator[list[tuple[tuple[str, str] | None, bool]] | None]:
+    """For each response its conversation cut to its tail, None where a text is, and whether that was cut.
+
+    A response keeps its own tail and leaves its own room to the instruction.
+    """
+    of_answers = _cuts_of(model, _asked_for((r, most) for row in lists if row is not None for r in row), "tail")
+    room = lambda r: most if r is None else max(0, most - of_answers[r, most]["n"])
+    rooms = [None if row is None else [room(r) for r in row] for row in lists]
+    of_asked = _cuts_of(
+        model, _asked_for((a, b) for a, row in zip(asked, rooms) if row is not None for b in row), "tail"
+    )
+    for a, row, of in zip(asked, lists, rooms, strict=True):
+        if row is None:
+            yield None
+            continue
+        found = []
+        for r, b in zip(row, of, strict=True):
+            shown = None if a is None or r is None else (_tail(a, of_asked[a, b]["cut"]), _tail(r, of_answers[r, most]["cut"]))
+            over = (r is not None and of_answers[r, most]["n"] > most) or (a is not None and of_asked[a, b]["n"] > b)
+            found.append((shown, over))
+        yield found
+
+
 def _takes_attempt(call: Callable) -> bool:
     return "attempt" in inspect.signature(call).parameters
 
@@ -155,7 +238,7 @@ def _held_model(key: str, factory: Callable[[], WorkerModel]) -> WorkerModel:
 
 
 class WorkerBackend:
-    """Adapts a model object to columns by iterator Pandas UDFs.
+    """Adapts a model object to columns by iterator Arrow UDFs.
 
     `factory` runs once per Python worker process, which Spark keeps from task to task. Calls that follow
     one another in a plan (a critique, then its rewrite) have processes of their own, each with its
@@ -189,8 +272,8 @@ class WorkerBackend:
             of = [asked[0]] * len(answers) if len(asked) == 1 else asked
             return [None if i is None or r is None else (i, r) for i, r in zip(of, answers, strict=True)]
 
-        def flat(asked_lists: pd.Series, lists: pd.Series) -> tuple[list[int | None], list]:
-            # The lists of a batch are flattened, all pairs scored together, and the scores cut up again.
+        def flat(asked_lists: list, lists: list) -> tuple[list[int | None], list]:
+            # The lists of a piece are flattened, all pairs scored together, and the scores cut up again.
             rows = [
                 None if a is None or r is None or (len(a) == 1 and a[0] is None) else pairs_of(a, r)
                 for a, r in zip(asked_lists, lists)
@@ -198,19 +281,40 @@ class WorkerBackend:
             sizes = [None if row is None else len(row) for row in rows]
             return sizes, [pair for row in rows if row is not None for pair in row]
 
-        @F.pandas_udf("array<double>")
-        def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<double>")
+        def run(batches: Iterator[Tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             model = factory()
             ask = lambda pairs: _outcomes(model.score, pairs)
-            flattened = (flat(*batch) for batch in batches)
+            flattened = (flat(*piece) for piece in _pieces(batches))
             for sizes, outcomes in flow(flattened, ask, lambda pair: len(pair[0]) + len(pair[1])):
                 values = iter([value for value, _ in outcomes])
-                yield pd.Series(
-                    [None if size is None else [next(values) for _ in range(size)] for size in sizes], dtype=object
+                yield pa.array(
+                    [None if size is None else [next(values) for _ in range(size)] for size in sizes], _SCORES, from_pandas=True
                 )
 
         return run.asNondeterministic()(instructions, responses)
 
+    def score_within(self, instruction: Column, responses: Column, most: int) -> Column:
+        """Texts go to one process, once, that counts their tokens, cuts and scores them."""
+        factory, flow = self._held, self._flow
+
+        def flat(rows: list) -> tuple[list, list]:
+            # What a row is, without its texts, and the pairs of all rows.
+            flags = [None if row is None else [over for _, over in row] for row in rows]
+            return flags, [pair for row in rows if row is not None for pair, _ in row]
+
+        @F.arrow_udf("array<struct<score: double, cut: boolean>>")
+        def run(batches: Iterator[Tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            model = factory()
+            ask = lambda pairs: _outcomes(model.score, pairs)
+            flattened = (flat(list(_tails(model, asked, lists, most))) for asked, lists in _pieces(batches))
+            for flags, outcomes in flow(flattened, ask, lambda pair: len(pair[0]) + len(pair[1])):
+                values = iter([value for value, _ in outcomes])
+                told = [None if row is None else [{"score": next(values), "cut": over} for over in row] for row in flags]
+                yield pa.array(told, _WITHIN, from_pandas=True)
+
+        return run.asNondeterministic()(instruction, responses)
+
     def generate(
         self,
         instruction: Column,
@@ -221,45 +325,42 @@ class WorkerBackend:
     ) -> Column:
         factory, flow, stops = self._held, self._flow, tuple(stops)
 
-        @F.pandas_udf(GENERATED)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf(GENERATED)
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = factory()
             ask = lambda chats: _outcomes(lambda some: model.generate(some, n, seed, stops), chats)
-            chats = ((None, [None if c is None else [dict(m) for m in c] for c in batch]) for batch in batches)
+            chats = ((None, piece) for (piece,) in _pieces((batch,) for batch in batches))
             for _, outcomes in flow(chats, ask, lambda chat: sum(len(m["content"]) for m in chat)):
-                yield pd.DataFrame(outcomes, columns=["texts", "error"], dtype=object)
+                yield pa.array([{"texts": texts, "error": error} for texts, error in outcomes], _GENERATED)
 
         return run.asNondeterministic()(F.when(instruction.isNotNull(), messages))
 
     def _complete(self, prompt: Column, attempts: int = 1, settled: Callable[[str], bool] = bool) -> Column:
         factory, flow = self._held, self._flow
 
-        @F.pandas_udf(REPLY)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf(REPLY)
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = factory()
             numbered = _takes_attempt(model.complete)
             call = lambda some, k: model.complete(some, k) if numbered else model.complete(some)
             ask = lambda prompts: _until(call, prompts, attempts, settled)
-            for _, outcomes in flow(((None, list(batch)) for batch in batches), ask, len):
-                yield pd.DataFrame(outcomes, columns=["text", "error"], dtype=object)
+            prompts = ((None, piece) for (piece,) in _pieces((batch,) for batch in batches))
+            for _, outcomes in flow(prompts, ask, len):
+                yield pa.array([{"text": text, "error": error} for text, error in outcomes], _REPLY)
 
         return run.asNondeterministic()(prompt)
 
     def token_cuts(self, texts: Column, most: Column, keep: str) -> Column:
-        """The positions alone come back; texts are cut in the JVM. Equal texts of a batch are encoded once."""
+        """The positions alone come back; texts are cut in the JVM. Equal texts of a piece are encoded once."""
         factory = self._held
 
-        @F.pandas_udf("array<struct<n: int, cut: int>>")
-        def run(batches: Iterator[Tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<struct<n: int, cut: int>>")
+        def run(batches: Iterator[Tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             model = factory()
-            for lists, budgets in batches:
-                distinct = list({t for row in lists if row is not None for t in row if t is not None})
-                ends = dict(zip(distinct, model.token_ends(distinct), strict=True))
-                cut = lambda t, most: None if t is None else _cut(len(t), ends[t], int(most), keep)  # noqa: E731, B023
-                yield pd.Series(
-                    [None if row is None else [cut(t, b) for t, b in zip(row, of)] for row, of in zip(lists, budgets)],
-                    dtype=object,
-                )
+            for lists, budgets in _pieces(batches):
+                rows = [None if row is None else list(zip(row, of, strict=True)) for row, of in zip(lists, budgets)]
+                cuts = _cuts_of(model, _asked_for(pair for row in rows if row is not None for pair in row), keep)
+                yield pa.array([None if row is None else [cuts.get(pair) for pair in row] for row in rows], _CUTS)
 
         return run(texts, most)
 

@@ -4,6 +4,7 @@ import sys
 import threading
 import time
 
+import pyarrow as pa
 import pytest
 from helpers import TESTDATA, plan_of
 from pyspark import cloudpickle
@@ -371,3 +372,48 @@ def test_equal_texts_are_encoded_once(spark):
 
     df = spark.createDataFrame([("same text", ["r", "r", "s"])] * 20, "instruction string, responses array<string>")
     assert score_responses(df, WorkerBackend(Counted), max_units=4, measure="tokens").count() == 20
+
+
+def test_token_ends_are_asked_for_in_bounded_portions():
+    asked = []
+
+    class Noting(StandInModel):
+        def token_ends(self, texts):
+            asked.append(sum(map(len, texts)))
+            return super().token_ends(texts)
+
+    texts = [f"{k} " + "word " * 20_000 for k in range(40)] + ["x" * (2 * worker.PORTION)]
+    cuts = worker._cuts_of(Noting(), {t: {0, 7} for t in texts}, "tail")
+    assert len(asked) > 4 and sum(asked) == sum(map(len, texts))
+    assert sum(n > worker.PORTION for n in asked) == 1  # the long text alone
+    for t in texts:
+        tokens = re.findall(TOKEN, t)
+        assert cuts[t, 7] == {"n": len(tokens), "cut": len("".join(tokens[-7:]))} and cuts[t, 0]["cut"] == 0
+
+
+def test_an_arrow_batch_becomes_python_objects_in_pieces():
+    texts = pa.array([None if k % 10 == 0 else f"{k} " * 1000 for k in range(5000)])
+    numbers = pa.array(range(5000))
+    pieces = list(worker._pieces([(texts, numbers), (texts.slice(0, 0), numbers.slice(0, 0)), (texts.slice(0, 1), numbers.slice(0, 1))]))
+    assert [t for piece, _ in pieces for t in piece] == [*texts.to_pylist(), None]
+    assert [n for _, piece in pieces for n in piece] == [*range(5000), 0]
+    assert max(sum(len(t or "") for t in piece) for piece, _ in pieces) < 2 * worker.PIECE_BYTES < texts.nbytes
+
+
+def test_a_budgeted_score_takes_one_pass_over_the_texts(spark):
+    df = spark.range(3).select(F.lit("a b c").alias("instruction"), F.array(F.lit("d e")).alias("responses"))
+    plan = plan_of(score_responses(df, worker_backend(), max_units=4, measure="tokens"))
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_score_without_a_number_is_null_within_a_budget(spark):
+    class Broken(StandInModel):
+        def score(self, pairs):
+            if any(r == "bad" for _, r in pairs):
+                raise ValueError("no")
+            return [float("nan") if r == "nan" else 0.5 for _, r in pairs]
+
+    df = spark.createDataFrame([("a b", ["x", "bad", "nan", None])], "instruction string, responses array<string>")
+    (row,) = score_responses(df, WorkerBackend(Broken), max_units=50, measure="tokens").collect()
+    (old,) = score_responses(df, WorkerBackend(Broken)).collect()
+    assert row.scores == old.scores == [0.5, None, None, None] and row.over_budget == [False] * 4
