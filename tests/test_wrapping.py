@@ -1,0 +1,61 @@
+import os
+
+from helpers import TESTDATA
+from pyspark.sql import functions as F
+
+from prefspark.backends.standin import StandIn
+from prefspark.catalog import views
+from prefspark.functions.wrapping import packed, packed_schema, unpacked
+from prefspark.operators.inference import generate_n
+from prefspark.operators.resume import cache_lookup
+from prefspark.plans.rounds import refine_rounds
+from prefspark.schemas import REFINE_LOG
+
+SF_DIR = f"{TESTDATA}/sf0.001"
+
+
+def test_packed_rows_come_back_as_they_were(spark):
+    texts = [None, "", "a", "ab", "abc", "é", "éa", "aé", "[1] ab", "ab \U0001f600", "\U0001f600"]
+    rows = [
+        (f"{i} {j} {k}", a, [b, None, a, (b or "") + (a or "")], "f", b, None if k == 0 else [], c, [c, (c or "") + "!", a], None, True, False, i, 0)
+        for i, a in enumerate(texts)
+        for j, b in enumerate(texts)
+        for k, c in enumerate(texts)
+    ]
+    df = spark.createDataFrame(rows, REFINE_LOG)
+    small = packed(df)
+    assert [f.dataType.simpleString() for f in small.schema] == [f.dataType.simpleString() for f in packed_schema(REFINE_LOG)]
+    back = unpacked(small)
+    assert back.columns == df.columns and back.dtypes == df.dtypes
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, df.collect()))
+
+
+def test_bytes_that_are_no_text_come_back(spark):
+    # The instruction ends within a character that the response goes on with.
+    df = spark.range(1).select(
+        F.expr("cast(X'61C3' as string)").alias("instruction"),
+        F.expr("array(cast(X'61C3A962' as string), cast(X'6261C3' as string))").alias("responses"),
+    )
+    raw = lambda d: d.select(F.hex("instruction"), F.transform("responses", F.hex)).first()
+    assert raw(unpacked(packed(df))) == raw(df)
+
+
+def size(folder):
+    return sum(os.path.getsize(f"{at}/{name}") for at, _, names in os.walk(folder) for name in names if name.endswith(".parquet"))
+
+
+def test_a_run_stores_texts_once(spark, tmp_path):
+    """Rows whose texts repeat each other: the tables of three rounds take little more than the texts."""
+    docs = views.instructions(spark, SF_DIR).filter(F.length("instruction") > 2000)
+    docs.coalesce(1).write.option("compression", "zstd").parquet(str(tmp_path / "docs"))
+    pairs = generate_n(docs, StandIn())
+    cache = views.cache(spark, SF_DIR)
+    run = refine_rounds(spark, pairs, StandIn(), gamma=0.5, agg="mean", cache=cache, workdir=str(tmp_path / "run"))
+    # Routed and logged, all rows once and the half of them in each further round.
+    assert size(run.workdir) < 7 * size(tmp_path / "docs")
+    # A hit is stored by its instruction and comes back whole.
+    first = run.routed.filter("round = 0 and route = 'cached'")
+    want = cache_lookup(docs, cache).filter("hit is not null").select("record_id", "hit")
+    assert sorted(map(repr, first.select("record_id", "hit").collect())) == sorted(map(repr, want.collect()))
+    logged = run.refine_log.filter("from_cache").select("record_id", F.struct("responses", "feedback", "original_instruction", "original_responses", "refined_instruction", "refined_responses").alias("hit"))
+    assert sorted(map(repr, logged.filter("round = 0").collect())) == sorted(map(repr, want.collect()))
