@@ -93,6 +93,8 @@ def in_input_order(lines: DataFrame, path: str, name: str = "seq") -> DataFrame:
     keys = [_FILE, _START, "_task"]
     counts = splits.groupBy(*keys).agg(F.count("*").alias("n"), F.min(_PLACE).alias("_first"))
     starts = running_sum(counts, [F.col(k) for k in keys], "n", f"{path}/splits", "_before").drop("n")
-    joined = splits.join(starts, keys)
+    # Stored, so that their size is known: there are few of them, and the rows need not be sent to meet them.
+    write_table(starts, f"{path}/starts")
+    joined = splits.join(lines.sparkSession.read.parquet(f"{path}/starts"), keys)
     number = F.col("_before") + F.col(_PLACE) - F.col("_first")
     return joined.select(*[F.col(c) for c in kept], number.alias(name))

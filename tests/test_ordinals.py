@@ -1,0 +1,25 @@
+from helpers import plan_of
+
+from prefspark.backends.standin import StandIn
+from prefspark.operators.ordinals import in_input_order
+from prefspark.plans.finalize import finalize
+from prefspark.plans.rounds import refine_rounds
+
+
+def test_rows_are_not_sent_to_meet_the_counts_of_their_splits(spark, tmp_path):
+    spark.range(500).selectExpr("cast(id as string) as value").coalesce(1).write.text(str(tmp_path / "lines"))
+    numbered = in_input_order(spark.read.text(str(tmp_path / "lines")), str(tmp_path / "order"))
+    plan = plan_of(numbered)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert sorted((r.seq, r.value) for r in numbered.collect()) == [(k, str(k)) for k in range(500)]
+
+
+def test_ordered_files_may_be_compressed(spark, tmp_path):
+    data = [(f"{k}", f"text {k}", ["a", f"b {k}"], k) for k in range(200)]
+    pairs = spark.createDataFrame(data, "record_id string, instruction string, responses array<string>, seq long")
+    run = refine_rounds(spark, pairs, StandIn(), gamma=0.5, max_rounds=1)
+    plain, small = str(tmp_path / "plain"), str(tmp_path / "small")
+    want = finalize(spark, run.workdir, run.rounds_done, plain, "json", in_order=True).collect()
+    found = finalize(spark, run.workdir, run.rounds_done, small, "json", in_order=True, compression="gzip").collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, want)) and len(found) == 400
+    assert list((tmp_path / "small").rglob("*.json.gz")) and not list((tmp_path / "plain").rglob("*.gz"))
