@@ -332,19 +332,49 @@ def item_passages(lengths: np.ndarray) -> list[tuple[int, int, int]]:
     return found
 
 
+def _drawn(size: int, width: int, seed: int) -> np.ndarray:
+    """The random test matrix; each task draws it anew, so that none is sent."""
+    return np.random.default_rng(seed).standard_normal((size, width))
+
+
+def _leading_vectors(y: np.ndarray, test: np.ndarray, lengths: np.ndarray, tokens: np.ndarray, weights: np.ndarray, energy: float, share: float) -> np.ndarray:
+    """The singular vectors that `latent_basis` keeps, from the test matrix and A^T A times it."""
+    size, width = test.shape
+    test, turned = np.linalg.qr(test)
+    z = np.linalg.solve(turned.T, y.T).T  # A^T A times the orthonormal one
+    shift = 1e-9 * max(np.linalg.norm(z), 1.0)
+    z += shift * test
+    core = test.T @ z
+    del test
+    values, turns = np.linalg.eigh((core + core.T) / 2)
+    scaled = z @ (turns / np.sqrt(np.maximum(values, shift)))
+    del z
+    basis, strengths, _ = np.linalg.svd(scaled, full_matrices=False)
+    places = item_passages(lengths)
+    held = np.zeros((len(places), width))
+    for k, (_, low, high) in enumerate(places):
+        words, n = np.unique(tokens[low:high], return_counts=True)
+        row = n * weights[words]
+        held[k] = (row @ basis[words]) ** 2 / max(row @ row, 1e-12)
+    enough = (np.cumsum(strengths**2) >= energy * (strengths**2).sum()) & (np.cumsum(held, axis=1).min(axis=0) >= min(share, held.sum(axis=1).min()))
+    rank = int(np.argmax(enough)) + 1 if enough.any() else width
+    return basis[:, :rank]
+
+
 def latent_basis(spark, items: Items, idf: np.ndarray, energy=ENERGY, share=SHARE, seed=SEED) -> np.ndarray:
     """The leading right singular vectors of the items' passages, word by word, weighted by idf.
 
     With a random test matrix T, Spark adds up A^T A T over the rows of A, some passages a task; the
-    eigenvectors of A^T A then follow from T and that product alone (Nystroem). Rows have length one.
+    eigenvectors of A^T A then follow from T and that product alone (Nystroem), in a task too, and the driver
+    gets the kept vectors in single precision. Rows have length one.
     A slice of the benchmark has few hundred rows, so T has a column for each and some more.
     """
     places = item_passages(items.lengths)
     size, width = len(idf), min(len(places) + 16, len(idf))
-    test = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))[0]
-    weights = idf.astype(float)
+    lengths, tokens, weights = items.lengths, items.tokens, idf.astype(float)
 
     def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        test = _drawn(size, width, seed)
         total = np.zeros((size, width))
         for batch in batches:
             for packed in batch["words"]:
@@ -355,24 +385,18 @@ def latent_basis(spark, items: Items, idf: np.ndarray, energy=ENERGY, share=SHAR
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         parts = sum(np.frombuffer(p) for p in group["part"])
-        return pd.DataFrame([(int(group["at"].iloc[0]), parts.tobytes())], columns=["at", "part"])
+        return pd.DataFrame([(0, int(group["at"].iloc[0]), parts.tobytes())], columns=["slice", "at", "part"])
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        y = np.concatenate([np.frombuffer(p).reshape(-1, width) for _, p in sorted(zip(group["at"], group["part"], strict=True))])
+        basis = _leading_vectors(y, _drawn(size, width, seed), lengths, tokens, weights, energy, share)
+        return pd.DataFrame([((basis * weights[:, None]).astype(np.float32).tobytes(),)], columns=["basis"])
 
     passages = [(items.tokens[low:high].tobytes(),) for _, low, high in places]
     rows = spark.createDataFrame(passages, "words binary").repartition(min(len(passages) // 100 + 1, 200))
-    parts = rows.mapInPandas(product, "at int, part binary").groupBy("at").applyInPandas(add, "at int, part binary")
-    z = np.concatenate([np.frombuffer(p).reshape(-1, width) for _, p in sorted(map(tuple, parts.collect()))])
-    shift = 1e-9 * max(np.linalg.norm(z), 1.0)
-    core = test.T @ (z + shift * test)
-    values, turns = np.linalg.eigh((core + core.T) / 2)
-    scaled = (z + shift * test) @ turns / np.sqrt(np.maximum(values, shift))
-    basis, strengths, _ = np.linalg.svd(scaled, full_matrices=False)
-    held = np.zeros((len(places), width))
-    for k, (_, low, high) in enumerate(places):
-        row = np.bincount(items.tokens[low:high], minlength=size) * weights
-        held[k] = (row @ basis) ** 2 / max(row @ row, 1e-12)
-    enough = (np.cumsum(strengths**2) >= energy * (strengths**2).sum()) & (np.cumsum(held, axis=1).min(axis=0) >= min(share, held.sum(axis=1).min()))
-    rank = int(np.argmax(enough)) + 1 if enough.any() else width
-    return (basis[:, :rank] * weights[:, None]).astype(np.float32)
+    parts = rows.mapInPandas(product, "at int, part binary").groupBy("at").applyInPandas(add, "slice int, at int, part binary")
+    kept = parts.groupBy("slice").applyInPandas(finish, "basis binary").first().basis
+    return np.frombuffer(kept, dtype=np.float32).reshape(size, -1)
 
 
 class Index:
@@ -387,9 +411,9 @@ class Index:
         self.owner = np.array([item for item, _, _ in places])
         # Of each word, the greatest part that it can add along a vector of each group, for passages that can't
         # reach `part` along any vector need not be folded in.
-        gains = basis @ self.vectors.T / self.whole.astype(np.float32)
         groups = np.array_split(np.arange(len(places)), min(GROUPS, len(places)))
-        self.bounds = np.stack([gains[:, group].max(axis=1) for group in groups], axis=1)
+        gains = lambda group: basis @ self.vectors[group].T / self.whole[group].astype(np.float32)
+        self.bounds = np.stack([gains(group).max(axis=1) for group in groups], axis=1)
 
     def candidates(self, tokens: np.ndarray, lengths: np.ndarray, cosine: float, part: float) -> Iterator[tuple[int, int, int, float]]:
         """(text, start among the words of all texts, item, cosine) for passages near an item's."""

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 from conftest_llm import words
@@ -203,3 +204,25 @@ def test_one_text_that_is_an_item(spark):
     text = " ".join(f"w{k}" for k in range(25))
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert d.leaks(docs, spark.createDataFrame([(7, text)], "item_id long, text string")).first()[:3] == (1, 7, 1.0)
+
+
+def test_basis_is_found_in_tasks(spark):
+    """The singular vectors are those of the whole matrix, and the driver holds no copies of
+    the product's matrices."""
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(f"w{n}" for n in rng.integers(0, 3000, 40)), None) for k in range(100)]
+    items = d.Items(rows)
+    idf = np.append(0, rng.uniform(1, 5, len(items.vocabulary))).astype(np.float32)
+    places = d.item_passages(items.lengths)
+    whole = np.stack([np.bincount(items.tokens[low:high], minlength=len(idf)) * idf for _, low, high in places]).astype(float)
+    whole /= np.linalg.norm(whole, axis=1)[:, None]
+    tracemalloc.start()
+    basis = d.latent_basis(spark, items, idf)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    _, strengths, vectors = np.linalg.svd(whole, full_matrices=False)
+    rank = basis.shape[1]
+    assert (strengths[:rank] ** 2).sum() >= d.ENERGY * (strengths**2).sum()
+    found = basis[1:] / idf[1:, None]
+    assert np.allclose(found @ found.T, vectors[:rank, 1:].T @ vectors[:rank, 1:], atol=1e-3)
+    assert most < 2 * len(idf) * (len(places) + 16) * 8
