@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from helpers import plan_of
@@ -6,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from prefspark.backends.standin import StandIn
 from prefspark.constants import N_RESPONSES, STOPS
 from prefspark.functions import prompts
 from prefspark.functions.rubric import is_valid_rubric
@@ -19,6 +21,7 @@ from prefspark.functions.text import (
     trim_at_stops,
     truncate_responses,
 )
+from prefspark.operators.inference import score_responses
 
 
 def evaluate(spark, values, *columns, kind="string"):
@@ -142,3 +145,55 @@ def test_sample_replies_in_the_prompt_are_valid(spark):
 def test_text_expressions_have_no_python(spark):
     df = spark.range(1).select(trim_at_stops(keep_head(F.col("id").cast("string"), 3)))
     assert "Python" not in plan_of(df)
+
+
+def test_texts_without_stops_are_not_searched_by_pattern(spark):
+    """Most texts hold no stop: they cost much less than the pattern's search at every place."""
+    text = F.concat(F.col("id").cast("string"), F.repeat(F.lit("some words of no harm, "), 20_000))
+    rows = spark.range(0, 64, 1, 8).select(text.alias("t")).localCheckpoint()
+    pattern = F.split("t", "|".join(re.escape(s) for s in STOPS), 2)[0]
+
+    def seconds(column):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            rows.select(F.xxhash64(column)).write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert seconds(trim_at_stops(F.col("t"))) < 0.6 * seconds(pattern)
+
+
+def test_trimmed_as_by_the_pattern(spark):
+    texts = [None, "", "user", "User:", "a User: b <|user|> c", "x\nuser", "us er", "a <|user|>", "\u00e9\nuser\n\n", "(a|b)User"]
+    texts += [f"{a}{s}{b}" for s in STOPS for a in ("", "a ", "\u4e16") for b in ("", " b", s)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    pattern = F.split("t", "|".join(re.escape(s) for s in STOPS), 2)[0]
+    assert all(a == b for a, b in rows.select(trim_at_stops(F.col("t")), pattern).collect())
+
+
+def test_conversations_about_as_long_as_their_budget(spark):
+    """Units are longer than the bytes that would settle it, so that counts decide."""
+    made = lambda n, w: " ".join(f"{w}{k:09d}" for k in range(n))
+    lengths = [(0, 0), (0, 10), (0, 11), (3, 7), (4, 7), (3, 8), (10, 0), (11, 0), (30, 4), (4, 30)]
+    rows = [(k, made(a, "i"), [made(b, "r"), made(2, "s"), None]) for k, (a, b) in enumerate(lengths)]
+    rows += [(100, None, ["a"]), (101, made(30, "i"), None), (102, made(30, "i"), [])]
+    df = spark.createDataFrame(rows, "k int, instruction string, responses array<string>")
+
+    class Shown(StandIn):
+        def score_pairs(self, instructions, responses):
+            return F.zip_with(instructions, responses, lambda i, r: F.concat_ws("/", i, r))
+
+    got = score_responses(df, Shown(), max_units=10)
+    for row in got.collect():
+        if row.instruction is None or row.responses is None:
+            assert row.scores is None
+            continue
+        for response, score, cut in zip(row.responses, row.scores, row.over_budget, strict=True):
+            answer = (response or "").split()
+            room = max(0, 10 - len(answer))
+            asked = row.instruction.split()
+            seen = " ".join(asked[max(0, len(asked) - room):])
+            told = len(asked) > room or len(answer) > 10
+            parts = [seen] if response is None else [seen, " ".join(answer[-10:])]
+            assert (score, cut) == ("/".join(parts), told)
