@@ -59,3 +59,15 @@ def test_a_run_stores_texts_once(spark, tmp_path):
     assert sorted(map(repr, first.select("record_id", "hit").collect())) == sorted(map(repr, want.collect()))
     logged = run.refine_log.filter("from_cache").select("record_id", F.struct("responses", "feedback", "original_instruction", "original_responses", "refined_instruction", "refined_responses").alias("hit"))
     assert sorted(map(repr, logged.filter("round = 0").collect())) == sorted(map(repr, want.collect()))
+
+
+def test_texts_that_begin_alike_come_back(spark):
+    """What two texts begin with is stored once, whatever bytes they differ in."""
+    start = "é" * 40 + "x" * 5000
+    texts = [start + end for end in ("", "a", "é", "è", "ab" * 999)] + ["é" * 31 + "y", "é" * 33, start[:33] + "z" * 70]
+    rows = [(a, [b, a + "!", b[:-1]]) for a in texts for b in texts]
+    df = spark.createDataFrame(rows, "instruction string, responses array<string>")
+    small = packed(df.withColumn("original_instruction", F.lit(None).cast("string")))
+    assert sorted(map(repr, unpacked(small).drop("original_instruction").collect())) == sorted(map(repr, df.collect()))
+    told = small.filter(F.col("responses")[0]["how"] == -1).select(F.octet_length(F.col("responses")[0]["rest"]).alias("n"))
+    assert told.count() and told.filter("n > 5200").count() == 0
