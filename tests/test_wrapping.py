@@ -69,5 +69,5 @@ def test_texts_that_begin_alike_come_back(spark):
     df = spark.createDataFrame(rows, "instruction string, responses array<string>")
     small = packed(df.withColumn("original_instruction", F.lit(None).cast("string")))
     assert sorted(map(repr, unpacked(small).drop("original_instruction").collect())) == sorted(map(repr, df.collect()))
-    told = small.filter(F.col("responses")[0]["how"] == -1).select(F.octet_length(F.col("responses")[0]["rest"]).alias("n"))
-    assert told.count() and told.filter("n > 5200").count() == 0
+    told = small.filter((F.col("responses")[0]["how"] == -1) & (F.octet_length("instruction.rest") > 5000))
+    assert told.count() and told.filter(F.octet_length(F.col("responses")[0]["rest"]) > 2000).count() == 0
